@@ -136,3 +136,24 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
         out = np.minimum(out[:-step], out[step:])
         have += step
     return out
+
+
+def rolling_fixed(values: np.ndarray, width: int) -> np.ndarray:
+    """rolling() of each width consecutive values."""
+    n = len(values) - width + 1
+    if n <= 0:
+        return np.empty(0, dtype=np.uint64)
+    total = np.empty(len(values) + 1, dtype=np.uint64)
+    total[0] = 0
+    np.cumsum(values * powers(_BASE, len(values)), out=total[1:])
+    return mix((total[width:] - total[:n]) * powers(_INVERSE, n) + np.uint64(width))
+
+
+def byte_values(text: np.ndarray) -> np.ndarray:
+    return _BYTE[text]
+
+
+def buckets_for(docs: DataFrame, bytes_each: int = 4 << 20) -> int:
+    """Buckets by the bytes that Spark expects to scan."""
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(partitions_for(docs.sparkSession), min(1 << 20, size // bytes_each))

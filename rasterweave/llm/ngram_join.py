@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rasterweave.llm.common import hash_words, mix, partitions_for, rolling, saved, steps, table, text_bytes, word_spans
+from rasterweave.llm.common import buckets_for, hash_words, mix, rolling, saved, steps, table, text_bytes, word_spans
 from rasterweave.llm.components import components
 
 SHINGLE = 5
@@ -98,12 +98,6 @@ def describe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id bigint, node bigint, n bigint")
 
 
-def buckets_for(docs: DataFrame, bytes_each: int = 4 << 20) -> int:
-    """Buckets by the bytes that Spark expects to scan."""
-    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(partitions_for(docs.sparkSession), min(1 << 20, size // bytes_each))
-
-
 def signature_blocks(docs: DataFrame, n_buckets: int, text_col: str) -> DataFrame:
     """bucket and a block of (signature, node, size) triples; equal sets of a task are told once."""
 

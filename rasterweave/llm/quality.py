@@ -21,7 +21,7 @@ from rasterweave.llm.common import fold, saved, table, text_bytes
 FOLDS = 5
 THRESHOLD = 0.3
 #: Most labelled rows that the model is fitted on, the least by hash of the id; 17 numbers each.
-FIT_ROWS = 50_000
+FIT_ROWS = 20_000
 FEATURES = ("log_bytes", "log_words", "word_length", "distinct_words", "top_word", "symbols", "digits", "upper", "lines", "repeated_lines", "sentences", "non_ascii", "bars", "odd_ends", "entropy", "squeeze", "long_words")
 
 _CLASS = np.zeros(256, dtype=np.int64)  # 1 lower, 2 upper, 3 digit, 4 space, 5 sentence marks, 6 other ASCII, 7 beyond

@@ -11,11 +11,13 @@ from rasterweave.llm.mixing import op9_mixing
 from rasterweave.llm.ngram_join import op5_ngram_jaccard
 from rasterweave.llm.pii import op3_pii
 from rasterweave.llm.quality import op7_quality
+from rasterweave.llm.substring_dedup import op4_substring
+from rasterweave.llm.suffix_dedup import op8_suffix_array
 from rasterweave.llm.warc import op6_warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_pii, op5_ngram_jaccard, op6_warc, op7_quality, op9_mixing, op10_decontamination)}
+    return {f.__name__: f for f in (op3_pii, op4_substring, op5_ngram_jaccard, op6_warc, op7_quality, op8_suffix_array, op9_mixing, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
