@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = Path(__file__).resolve().parent
 
@@ -33,3 +34,19 @@ def local_session(cpus: int = 8, **conf: str) -> SparkSession:
     spark = SparkSession.builder.master(f"local[{cpus}]").config(map=settings).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return ship(spark)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the folder that all executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        at = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
+        spark.conf.set("spark.checkpoint.dir", at)
+    return f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """df as a written table in the shared folder: cuts lineage, and survives lost executors."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
