@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rasterweave.llm.decontamination import op10_decontamination
+from rasterweave.llm.fingerprint import op1_fingerprint
+from rasterweave.llm.lm_scoring import op2_lm_scoring
 from rasterweave.llm.mixing import op9_mixing
 from rasterweave.llm.ngram_join import op5_ngram_jaccard
 from rasterweave.llm.pii import op3_pii
@@ -17,7 +19,7 @@ from rasterweave.llm.warc import op6_warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_pii, op4_substring, op5_ngram_jaccard, op6_warc, op7_quality, op8_suffix_array, op9_mixing, op10_decontamination)}
+    return {f.__name__: f for f in (op1_fingerprint, op2_lm_scoring, op3_pii, op4_substring, op5_ngram_jaccard, op6_warc, op7_quality, op8_suffix_array, op9_mixing, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
