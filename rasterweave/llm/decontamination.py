@@ -172,7 +172,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, id_col: s
     merged = flat.groupBy("doc_id", "h", "n_words").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit")))).alias("hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), (F.count("*") / len(blocks)).cast("int").alias("copies"))
     starts = F.filter("hit", lambda x: ~F.array_contains("hit", x - 1))
     ends = F.filter("hit", lambda x: ~F.array_contains("hit", x + 1))
-    spans = F.transform(F.arrays_zip(starts.alias("start"), ends.alias("end")), lambda s: F.struct(s["start"].alias("start"), (s["end"] + 1).alias("end")))
+    spans = F.transform(F.arrays_zip(starts.alias("start"), ends.alias("end")), lambda s: F.struct(s["start"].alias("start"), (s["end"] + 1).alias("end"))).cast("array<struct<start:int,end:int>>")
     return merged.select("doc_id", "n_words", spans.alias("spans"), "items", F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).drop("copy")
 
 

@@ -13,6 +13,7 @@ from rasterweave.llm.mixing import op9_mixing
 from rasterweave.llm.ngram_join import op5_ngram_jaccard
 from rasterweave.llm.pii import op3_pii
 from rasterweave.llm.quality import op7_quality
+from rasterweave.llm.sql import ORACLE
 from rasterweave.llm.substring_dedup import op4_substring
 from rasterweave.llm.suffix_dedup import op8_suffix_array
 from rasterweave.llm.warc import op6_warc
@@ -23,4 +24,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
