@@ -5,21 +5,23 @@ at most (a + b) / 7 elements. A sketch deals the elements to parts by hash and X
 element that only one set has changes one part, so the number of parts in which two sketches differ never exceeds the symmetric difference.
 By the pigeonhole principle, similar sets agree on all but D of their parts, and so, whatever the order in which parts are
 taken, on at least 1 + slack of the first D + 1 + slack. Those go to buckets, by size band; sets that meet there are
-candidates, which an exact comparison of the shingle hashes verifies.
+candidates. A second sketch with one bit flip per element, whose Hamming distance bounds the difference as well, rules most of the others out, and an exact
+comparison of the shingle hashes verifies the rest.
 
 Equal sets are one node from the start. Where more than HEAVY nodes share a part's sketch, they are first verified
-against two of them only; nodes that this leaves in different components are compared pair by pair, unless one of the pair has at
-most slack such crowded parts: it then shares an uncrowded part with all that are similar to it.
+against two of them only. A node with at most slack such crowded parts shares an uncrowded part with all that are similar to it. The others
+meet once more by their rarest shingles, where components differ.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rasterweave.llm.common import buckets_for, hash_words, mix, rolling, saved, steps, table, text_bytes, word_spans
@@ -28,7 +30,9 @@ from rasterweave.llm.components import components
 SHINGLE = 5
 #: Similar: PART * intersection >= OF * union.
 PART, OF = 100, 75
-HEAVY = 32
+HEAVY = 6
+CROWD = 32
+LANES = 32
 BLOCK_BYTES = 16 << 20
 FILTER_BITS = 1 << 23
 SLACK_FROM = 64
@@ -55,64 +59,132 @@ def node_of(shingles: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
 
 
-def sketch(shingles: np.ndarray, band: int, first: int, slack: int) -> tuple[np.ndarray, np.ndarray]:
-    """Parity words of the first parts of a set in the grid of a band, and their names.
-
-    Parts of more elements come before others, since sets that are not similar seldom agree on them; then order is by hash. Both
-    follow from the part's content (equal parity words are taken to be equal parts), so it is one order for all sets.
-    """
+def parts_of(shingles: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
+    """Parity words of the parts that have elements, in the grid of a band, and how many elements each has."""
     parts = (1 << band) * 85 // 100 + 10
     at = ((shingles >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)  # monotone: a part's elements are neighbours
     begins = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
     counts = np.diff(np.concatenate((begins, [len(shingles)])))
-    words = mix(np.bitwise_xor.reduceat(mix(shingles), begins) ^ mix(at[begins] + np.uint64(band << 40)))
-    want = first + slack
-    if len(words) > want:
-        words = words[np.lexsort((words, -counts))[:want]]
-    if len(words) < first:  # empty parts come last; where fewer others are there than the principle needs, a common name stands for them
-        words = np.concatenate((words, mix(np.array([band + (1 << 50)], dtype=np.uint64))))
-    return words
+    return mix(np.bitwise_xor.reduceat(mix(shingles), begins) ^ mix(at[begins] + np.uint64(band << 40))), counts
 
 
-def signatures(shingles: np.ndarray) -> np.ndarray:
-    n = len(shingles)
+def with_empty(words: np.ndarray, band: int, first: int) -> np.ndarray:
+    """Empty parts come last; where fewer others are there than the principle needs, a common name stands for them."""
+    return np.concatenate((words, mix(np.array([band + (1 << 50)], dtype=np.uint64)))) if len(words) < first else words
+
+
+def sketch(shingles: np.ndarray, band: int, first: int, slack: int) -> np.ndarray:
+    """The parity words of the first parts of a set.
+
+    Parts of more elements come before others, since sets that are not similar seldom agree on them; then order is by hash. Both
+    follow from the part's content (equal parity words are taken to be equal parts), so it is one order for all sets.
+    """
+    words, counts = parts_of(shingles, band)
+    if len(words) > first + slack:
+        words = words[np.lexsort((words, -counts))[: first + slack]]
+    return with_empty(words, band, first)
+
+
+def bands_of(n: int) -> list[tuple[int, int]]:
+    """The bands in which a set of n meets others, and by how many parts it has to be known there."""
     band = n.bit_length() - 1
-    out = [sketch(shingles, band, n // 3 + 1, slack_of(n))]
-    if band and n * OF <= PART * ((1 << band) - 1):  # sets of the band below can be similar
-        out.append(sketch(shingles, band - 1, n // 4 + 1, slack_of(n)))
-    return np.concatenate(out)
+    own = [(band, n // 3 + 1)]  # a partner of up to 4/3 n
+    return [*own, (band - 1, n // 4 + 1)] if band and n * OF <= PART * ((1 << band) - 1) else own  # a smaller one in the band below
+
+
+def signatures(shingles: np.ndarray) -> np.ndarray:
+    return np.concatenate([sketch(shingles, band, first, slack_of(len(shingles))) for band, first in bands_of(len(shingles))])
 
 
 def slack_of(n: int) -> int:
     return 0 if n < SLACK_FROM else 3 + n // 32
 
 
+def parity(shingles: np.ndarray) -> bytes:
+    """One bit per element flips: a power of two of bits, four to eight times the elements. The Hamming distance of two, folded to one length, never exceeds the symmetric difference."""
+    bits = 1 << (max(len(shingles) - 1, 15).bit_length() + 2)
+    flips = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8), bitorder="little").tobytes()
+
+
+def distance(x: bytes, y: bytes) -> int:
+    """Hamming distance of two parity sketches; the longer is folded onto the shorter."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if len(a) != len(b):
+        least = min(len(a), len(b))
+        a, b = (np.bitwise_xor.reduce(v.reshape(-1, least), axis=0) for v in (a, b))
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def describe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, node, n: each document's set by name and size."""
+    """doc_id, node, n, sketch: each document's set by name, size and parity sketch."""
+    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [(node_of(s), len(s), parity(s) if len(s) else b"") for s in shingle_sets(text_bytes(batch.column(1)))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([s[i] for s in sets], schema.field(i + 1).type) for i in range(3))], schema=schema)
+
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id bigint, node bigint, n bigint, sketch binary")
+
+
+def near_enough(pairs: DataFrame, described: DataFrame) -> DataFrame:
+    """The pairs whose sketches do not rule them out: similar sets of a and b elements differ in (a + b) / 7 at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [(node_of(s), len(s)) for s in shingle_sets(text_bytes(batch.column(1)))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s[0] for s in sets], pa.int64()), pa.array([s[1] for s in sets], pa.int64())], names=["doc_id", "node", "n"])
+            a, b, x, y, total = (c.to_pylist() for c in batch.columns)
+            keep = [(PART + OF) * distance(p, q) <= (PART - OF) * n for p, q, n in zip(x, y, total, strict=True)]
+            yield pa.RecordBatch.from_arrays(list(batch.columns[:2]), names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id bigint, node bigint, n bigint")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    own = described.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    left, right = (own.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")) for c in "ab")
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "sketch_a", "sketch_b", F.col("n_a") + F.col("n_b"))
+    return both.mapInArrow(run, "a bigint, b bigint")
+
+
+def packed(words: np.ndarray, owner: np.ndarray, nodes: np.ndarray, sizes: np.ndarray) -> bytes:
+    """A block: its nodes with their sizes once, then per signature six bytes and the node's place."""
+    own, place = np.unique(owner, return_inverse=True)
+    head = np.array([len(own), len(words)], dtype=np.int64).tobytes()
+    plain = head + nodes[own].tobytes() + sizes[own].tobytes() + np.diff(place, prepend=0).astype(np.int32).tobytes()
+    return np.array([len(plain), len(words)], dtype=np.int64).tobytes() + words.view(np.uint8).reshape(-1, 8)[:, :6].tobytes() + pa.compress(plain, codec="zstd", asbytes=True)
+
+
+def unpacked(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures, nodes and sizes, row by row."""
+    size, n = int.from_bytes(block[:8], "little"), int.from_bytes(block[8:16], "little")
+    plain = pa.decompress(block[16 + 6 * n :], decompressed_size=size, codec="zstd", asbytes=True)
+    count, rows = np.frombuffer(plain, np.int64, 2).tolist()
+    nodes, sizes = np.frombuffer(plain, np.int64, count, 16), np.frombuffer(plain, np.int64, count, 16 + 8 * count)
+    place = np.cumsum(np.frombuffer(plain, np.int32, rows, 16 + 16 * count))
+    words = np.zeros((rows, 8), dtype=np.uint8)
+    words[:, :6] = np.frombuffer(block, np.uint8, 6 * rows, 16).reshape(rows, 6)
+    return words.view(np.uint64).ravel(), nodes[place], sizes[place]
 
 
 def signature_blocks(docs: DataFrame, n_buckets: int, text_col: str) -> DataFrame:
-    """bucket and a block of (signature, node, size) triples; equal sets of a task are told once."""
+    """bucket and blocks of signatures with their nodes; equal sets of a task are told once.
+
+    A signature's remainder by the number of buckets is its bucket; 48 bits of its quotient go along.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         held: list[np.ndarray] = []
+        nodes: list[tuple[int, int]] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
-            rows = np.concatenate(held, axis=1)
-            bucket = rows[0] % np.uint64(n_buckets)
-            rows = rows[:, np.lexsort((rows[0], bucket))]
-            bucket = np.sort(bucket)
+            words = np.concatenate(held)
+            owner = np.repeat(np.arange(len(held)), [len(h) for h in held])
+            names, sizes = np.array([n[0] for n in nodes], np.int64), np.array([n[1] for n in nodes], np.int64)
+            bucket, rest = words % np.uint64(n_buckets), words // np.uint64(n_buckets)
+            order = np.argsort(bucket, kind="stable")
+            bucket = bucket[order]
             cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
-            blocks = [np.ascontiguousarray(rows[:, a:b]).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            blocks = [packed(rest[order[a:b]], owner[order[a:b]], names, sizes) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             return pa.RecordBatch.from_arrays([pa.array(bucket[cuts[:-1]].astype(np.int64)), pa.array(blocks, pa.binary())], names=["bucket", "block"])
 
         for batch in batches:
@@ -121,12 +193,12 @@ def signature_blocks(docs: DataFrame, n_buckets: int, text_col: str) -> DataFram
                     continue
                 if len(seen) < 1_000_000:
                     seen.add(node)
-                words = signatures(shingles)
-                held.append(np.stack((words, np.full(len(words), node, np.int64).view(np.uint64), np.full(len(words), len(shingles), np.uint64))))
-                size += words.nbytes * 3
+                held.append(signatures(shingles))
+                nodes.append((node, len(shingles)))
+                size += held[-1].nbytes
                 if size > BLOCK_BYTES:
                     yield flush()
-                    held, size = [], 0
+                    held, nodes, size = [], [], 0
         if held:
             yield flush()
 
@@ -135,9 +207,9 @@ def signature_blocks(docs: DataFrame, n_buckets: int, text_col: str) -> DataFram
 
 def meet(blocks: pa.Table) -> pa.Table:
     """What a bucket's nodes have in common. kind 0: a and b are candidates. kind 1: a is among the crowd at signature b; n its size."""
-    rows = np.concatenate([np.frombuffer(b.as_py(), dtype=np.uint64).reshape(3, -1) for b in blocks.column("block")], axis=1)
-    order = np.lexsort((rows[1], rows[0]))
-    word, node, n = rows[0][order], rows[1][order].view(np.int64), rows[2][order].astype(np.int64)
+    word, node, n = (np.concatenate(x) for x in zip(*(unpacked(b.as_py()) for b in blocks.column("block")), strict=True))
+    order = np.lexsort((node, word))
+    word, node, n = word[order], node[order], n[order]
     new = np.concatenate(([True], (word[1:] != word[:-1]) | (node[1:] != node[:-1])))
     word, node, n = word[new], node[new], n[new]
     cuts = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1], [True])))
@@ -158,23 +230,30 @@ def meet(blocks: pa.Table) -> pa.Table:
             a, b = node[hub[ok]], node[crowd[ok]]
             pairs.append(np.stack((np.minimum(a, b), np.maximum(a, b))))
     found = np.unique(np.concatenate(pairs, axis=1), axis=1) if pairs else np.empty((2, 0), dtype=np.int64)
-    columns = [np.concatenate((found[0], node[crowd])), np.concatenate((found[1], word[crowd].view(np.int64))), np.concatenate((np.zeros(found.shape[1], dtype=np.int64), n[crowd]))]
+    # a signature's quotient and its bucket together name it
+    bucket = np.full(len(crowd), blocks.column("bucket")[0].as_py(), dtype=np.uint64)
+    columns = [np.concatenate((found[0], node[crowd])), np.concatenate((found[1], mix(word[crowd] ^ (bucket << np.uint64(44))).view(np.int64))), np.concatenate((np.zeros(found.shape[1], dtype=np.int64), n[crowd]))]
     return pa.table([pa.array(c) for c in columns], names=["a", "b", "n"])
 
 
-def sets_of(docs: DataFrame, nodes: DataFrame, text_col: str) -> DataFrame:
-    """node and its shingle hashes, for the given nodes: what a Bloom filter of fixed size lets through, then those exactly."""
+def of_nodes(docs: DataFrame, nodes: DataFrame, text_col: str, schema: str, each: Callable[[int, np.ndarray], list[tuple]]) -> DataFrame:
+    """Rows that each makes of a node and its shingles, for the given nodes: those that a Bloom filter of fixed size lets through, then exactly them.
+
+    A node can come from several tasks.
+    """
     word = F.shiftright(F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS)), 5)
     bit = F.lit(1).cast("bigint") * F.pow(F.lit(2.0), F.pmod(F.xxhash64("node"), F.lit(32))).cast("bigint")
     filled = nodes.groupBy(word.alias("w")).agg(F.bit_or(bit).alias("bits")).toPandas()  # at most FILTER_BITS / 32 rows
     have = np.zeros(FILTER_BITS >> 5, dtype=np.int64)
     have[filled["w"].to_numpy(np.int64)] = filled["bits"].to_numpy(np.int64)
     sent = docs.sparkSession.sparkContext.broadcast(have.astype(np.uint32))
+    names = [c.split()[0] for c in schema.split(", ")]
+    types = [pa.binary() if c.endswith("binary") else pa.list_(pa.int64()) if "array" in c else pa.int64() for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passed, seen = sent.value, set()
         for batch in batches:
-            names, sets = [], []
+            rows: list[tuple] = []
             for shingles in shingle_sets(text_bytes(batch.column(0))):
                 if not len(shingles):
                     continue
@@ -183,11 +262,26 @@ def sets_of(docs: DataFrame, nodes: DataFrame, text_col: str) -> DataFrame:
                 if node not in seen and int(passed[at >> 5]) >> (at & 31) & 1:
                     if len(seen) < 1_000_000:
                         seen.add(node)
-                    names.append(node)
-                    sets.append(shingles.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.binary())], names=["node", "hashes"])
+                    rows += each(node, shingles)
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
+
+    return docs.select(text_col).mapInArrow(run, schema).join(nodes, "node", "left_semi")
+
+
+def sets_of(docs: DataFrame, nodes: DataFrame, text_col: str) -> DataFrame:
+    """node and its shingle hashes."""
+    return of_nodes(docs, nodes, text_col, "node bigint, hashes binary", lambda node, s: [(node, s.tobytes())])
+
 
-    return docs.select(text_col).mapInArrow(run, "node bigint, hashes binary").join(nodes, "node", "left_semi")
+def shingles_of(docs: DataFrame, nodes: DataFrame, text_col: str) -> DataFrame:
+    """node, n, shingles, lanes: the parity sketch in LANES words of 64 bits."""
+
+    def each(node: int, s: np.ndarray) -> list[tuple]:
+        flips = np.bincount((s % np.uint64(64 * LANES)).astype(np.int64), minlength=64 * LANES) & 1
+        return [(node, len(s), s.view(np.int64).tolist(), np.packbits(flips.astype(np.uint8)).view(np.int64).tolist())]
+
+    found = of_nodes(docs, nodes, text_col, "node bigint, n bigint, shingles array<bigint>, lanes array<bigint>", each)
+    return found.dropDuplicates(["node"])
 
 
 def spark_hash(value: int) -> int:
@@ -211,34 +305,60 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
-def similar_nodes(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def checked(pairs: DataFrame, described: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
+    """The links among candidate pairs: by sketch, then by the shingles of those that are left."""
+    left = saved(near_enough(pairs, described), "left")
+    nodes = left.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = saved(sets_of(docs, nodes, text_col).groupBy("node").agg(F.first("hashes").alias("hashes")), "sets")
+    return saved(verified(left, sets), "links")
+
+
+def similar_nodes(docs: DataFrame, described: DataFrame, text_col: str = "text") -> DataFrame:
     """Links (a, b) between nodes that make the same components as all links do."""
     n = buckets_for(docs)
     met = saved(signature_blocks(docs, n, text_col).groupBy("bucket").applyInArrow(meet, "a bigint, b bigint, n bigint"), "met")
     pairs = saved(met.where("n = 0").select("a", "b").distinct(), "pairs")
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = saved(sets_of(docs, nodes, text_col).groupBy("node").agg(F.first("hashes").alias("hashes")), "sets")
-    links = saved(verified(pairs, sets), "links")
+    links = checked(pairs, described, docs, text_col)
     crowds = met.where("n > 0")
     if crowds.isEmpty():
         return links
-    # nodes of a crowd that are still apart
+    # nodes of crowds that no uncrowded part is sure to join to what is similar to them
     label = components(links)
     least = F.floor(F.col("n") * OF / PART)  # the smallest partner, and with it the slack that both of a pair have
     slack = F.when(least < SLACK_FROM, 0).otherwise(3 + F.floor(least / 32))
-    exposed = crowds.groupBy(F.col("a").alias("node")).agg(F.count("*").alias("crowded"), F.max("n").alias("n")).where(F.col("crowded") > slack).select("node")
-    member = crowds.select(F.col("a").alias("node"), F.col("b").alias("word"), "n").join(exposed, "node", "left_semi").join(label, "node", "left").select("node", "word", "n", F.coalesce("label", "node").alias("label"))
-    apart = member.groupBy("word").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("word")
-    member = saved(member.join(apart, "word", "left_semi"), "apart")
-    x, y = member.select("word", F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la")), member.select("word", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    size = (F.least("na", "nb") * PART) >= (F.greatest("na", "nb") * OF)
-    more = x.join(y, "word").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & size).select("a", "b").distinct()
-    more = saved(more.join(pairs, ["a", "b"], "left_anti"), "more")
-    if more.isEmpty():
-        return links
-    nodes = more.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = saved(sets_of(docs, nodes, text_col).groupBy("node").agg(F.first("hashes").alias("hashes")), "sets")
-    return links.union(verified(more, sets))
+    exposed = saved(crowds.groupBy(F.col("a").alias("node")).agg(F.count("*").alias("crowded"), F.max("n").alias("n")).where(F.col("crowded") > slack).select("node"), "exposed")
+    more = saved(rare_pairs(shingles_of(docs, exposed, text_col), label).join(pairs, ["a", "b"], "left_anti"), "more")
+    return links if more.isEmpty() else links.union(checked(more, described, docs, text_col))
+
+
+def rare_pairs(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """Candidate pairs (a, b) among nodes (node, n, shingles) of different labels; no similar pair is left out.
+
+    Shingles are taken in the order of how many of the nodes have them. Similar sets share one of the first n - ceil(3/4 n) + 1 of each. Where that
+    is one of few nodes, they are a pair. Where all that they share there is crowded, each has all its uncrowded shingles there, and the other has none
+    of them: with r uncrowded ones of n they differ in rx + ry at least, which has to stay within (nx + ny) / 7. So documents
+    that have little but a passage in common make no pairs, nor do those whose sketches differ in too many bits. Of a shingle's nodes, those of its commonest label are not compared with each other.
+    """
+    rows = saved(rows, "exposed-sets")
+    part = rows.select("node", "n", F.explode("shingles").alias("word"))
+    counted = part.groupBy("word").agg(F.count("*").alias("times"))
+    own = Window.partitionBy("node")
+    few = F.sum((F.col("times") <= CROWD).cast("bigint")).over(own)
+    first = F.col("n") - F.ceil(F.col("n") * OF / PART) + 1
+    ranked = part.join(counted, "word").withColumns({"rank": F.row_number().over(own.orderBy("times", "word")), "r": few})
+    rare = ranked.where((F.col("rank") <= first) & (F.col("times") > 1)).join(label, "node", "left")
+    rare = saved(rare.select("word", "node", "n", "r", "times", F.coalesce("label", "node").alias("label")), "rare")
+    by_label = rare.groupBy("word", "label").agg(F.count("*").alias("k")).groupBy("word").agg(F.max_by("label", F.struct("k", "label")).alias("common"), F.count("*").alias("labels"))
+    apart = rare.join(by_label.where("labels > 1"), "word").join(rows.select("node", "lanes"), "node")
+    x = apart.where("label <> common").select("word", "times", F.col("lanes").alias("x_lanes"), F.col("node").alias("x"), F.col("n").alias("nx"), F.col("r").alias("rx"), F.col("label").alias("lx"))
+    y = apart.select("word", F.col("lanes").alias("y_lanes"), F.col("node").alias("y"), F.col("n").alias("ny"), F.col("r").alias("ry"), F.col("label").alias("ly"), (F.col("label") == F.col("common")).alias("in_common"))
+    c = F.col
+    size = F.least("nx", "ny") * PART >= F.greatest("nx", "ny") * OF
+    apart_enough = (c("times") <= CROWD) | ((PART + OF) * (c("rx") + c("ry")) <= (PART - OF) * (c("nx") + c("ny")))
+    bits = reduce(Column.__add__, [F.bit_count(c("x_lanes")[i].bitwiseXOR(c("y_lanes")[i])) for i in range(LANES)])
+    near = (PART + OF) * bits <= (PART - OF) * (c("nx") + c("ny"))
+    met = x.join(y, "word").where((c("lx") != c("ly")) & (c("in_common") | (c("x") < c("y"))) & size & apart_enough & near)
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -248,8 +368,8 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     of the minimum unless nothing else is there. Other columns are not looked at.
     """
     described = saved(describe(docs, id_col, text_col), "described")
-    label = components(similar_nodes(docs, text_col))
-    labelled = described.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    label = components(similar_nodes(docs, described, text_col))
+    labelled = described.drop("sketch").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = labelled.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     out = labelled.join(least, "label", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
