@@ -4,8 +4,9 @@ A paragraph ends after a line break, or after a mark or one of a few letters wit
 the text right there alone and an edit moves no other end. A section ends after a paragraph whose digest says so, one in
 eight. A paragraph's digest is of its text, a section's of its paragraphs' digests, the root's of the sections'. The fingerprint is
 
-    root:section=paragraph.paragraph/section=paragraph...
+    root:section=paragraph-length.paragraph-length/section=paragraph-length...
 
+with lengths in hexadecimal, so the share of text that two documents have in common shows from their fingerprints alone.
 Equal roots mean equal texts; where roots differ, sections that differ lead to the paragraphs that do.
 """
 
@@ -20,7 +21,7 @@ PARAGRAPH = r"(?<=[.!?|$fyz] )|(?<=\n)"
 ROOT_HEX = 64
 NODE_HEX = 16
 #: The last digit of a paragraph's digest that ends a section: one in eight.
-SECTION_END = "[08]$"
+SECTION_END = ("0", "8")
 ROWS_IN_BUCKET = 2048
 COARSE = 256
 
@@ -34,9 +35,9 @@ def digest(text: Column) -> Column:
 
 
 def section_strings(text: Column) -> Column:
-    """Each section as its paragraphs' digests with points between them, and one behind the last of a section that the text's end cuts."""
-    leaves = F.transform(paragraphs(text), digest)
-    marked = F.transform(leaves, lambda d: F.concat(d, F.when(d.rlike(SECTION_END), "/").otherwise(".")))
+    """Each section as its paragraphs' digests and lengths with points between them, and one behind the last of a section that the text's end cuts."""
+    leaves = F.transform(paragraphs(text), lambda p: F.concat(digest(p), F.lit("-"), F.lower(F.hex(F.length(p)))))
+    marked = F.transform(leaves, lambda d: F.concat(d, F.when(F.substring(d, NODE_HEX, 1).isin(*SECTION_END), "/").otherwise(".")))
     return F.filter(F.split(F.array_join(marked, ""), "/"), lambda s: s != "")
 
 
@@ -48,14 +49,18 @@ def fingerprint(sections: Column) -> Column:
 
 
 def nodes_of(print_: Column) -> Column:
-    """The distinct digests of paragraphs and sections."""
-    return F.array_distinct(F.filter(F.split(F.substring(print_, ROOT_HEX + 2, 1 << 30), "[./=]"), lambda x: x != ""))
+    """The distinct paragraphs, each as its digest and length."""
+    return F.array_distinct(F.filter(F.split(F.substring(print_, ROOT_HEX + 2, 1 << 30), "[./=]"), lambda x: F.length(x) > NODE_HEX))
+
+
+def total_length(nodes: Column) -> Column:
+    return F.aggregate(nodes, F.lit(0).cast("bigint"), lambda n, x: n + F.conv(F.substring(x, NODE_HEX + 2, 8), 16, 10).cast("bigint"))
 
 
 def likeness(a: Column, b: Column, a_nodes: Column, b_nodes: Column) -> Column:
-    """1 for equal fingerprints, otherwise the share of the larger tree's nodes that the other has."""
-    most = F.greatest(F.size(a_nodes), F.size(b_nodes))
-    return F.when(a == b, 1.0).when(most == 0, 0.0).otherwise(F.size(F.array_intersect(a_nodes, b_nodes)) / most)
+    """1 for equal fingerprints, otherwise the length of the paragraphs that both have over the larger total length."""
+    most = F.greatest(total_length(a_nodes), total_length(b_nodes))
+    return F.when(a == b, 1.0).when(most == 0, 0.0).otherwise(total_length(F.array_intersect(a_nodes, b_nodes)) / most)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -98,16 +103,14 @@ def with_next(rows: DataFrame, id_col: str, carried: list[str]) -> DataFrame:
 
 
 def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    printed = fingerprints(table(spark, sf_dir, "documents"))
-    rows = with_next(printed, "doc_id", ["text", "fingerprint"]).withColumn("n_chars", F.length("text").cast("bigint"))
+    """Texts alone are shuffled: the next document's fingerprint is made again where it is needed, which costs less than carrying it."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = with_next(docs, "doc_id", ["text"]).withColumn("n_chars", F.length("text").cast("bigint"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int")), F.substring("following.text", F.lit(1), half))
-    rows = rows.select("doc_id", "n_chars", edited.alias("edited"), "fingerprint", F.col("following.fingerprint").alias("next_fingerprint"))
-    rows = rows.withColumn("edited_sections", section_strings(F.col("edited")))
-    rows = rows.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint", fingerprint(F.col("edited_sections")).alias("edited_fingerprint"), "next_fingerprint")
-    rows = rows.withColumns({"own": nodes_of(F.col("fingerprint")), "changed": nodes_of(F.col("edited_fingerprint")), "next": nodes_of(F.col("next_fingerprint"))})
-    c = F.col
-    return rows.select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        likeness(c("fingerprint"), c("edited_fingerprint"), c("own"), c("changed")).alias("near_edited"), likeness(c("fingerprint"), c("next_fingerprint"), c("own"), c("next")).alias("near_next"),
-    )
+    rows = rows.select("doc_id", "n_chars", "text", edited.alias("edited"), F.col("following.text").alias("next"))
+    rows = rows.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), *[section_strings(F.col(c)).alias(c) for c in ("text", "edited", "next")])
+    rows = rows.select("doc_id", "n_chars", "edited_sha256", *[fingerprint(F.col(c)).alias(f"{c}_print") for c in ("text", "edited", "next")])
+    rows = rows.withColumns({f"{c}_nodes": nodes_of(F.col(f"{c}_print")) for c in ("text", "edited", "next")})
+    near = lambda c: likeness(F.col("text_print"), F.col(f"{c}_print"), F.col("text_nodes"), F.col(f"{c}_nodes"))
+    return rows.select("doc_id", "n_chars", "edited_sha256", F.col("text_print").alias("fingerprint"), F.col("edited_print").alias("edited_fingerprint"), near("edited").alias("near_edited"), near("next").alias("near_next"))
