@@ -42,7 +42,8 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with copies. Documents of one id are taken alike."""
     taken = mixing.mix(mixing.sizes(docs)).groupBy("doc_id").agg(F.max("copies").alias("copies")).where("copies > 0")
-    return docs.join(taken, docs["doc_id"].eqNullSafe(taken["doc_id"])).select(docs["*"], "copies")
+    # joined alike at every size: a plan that changes with the size of its input can't be projected
+    return docs.join(taken.hint("merge"), docs["doc_id"].eqNullSafe(taken["doc_id"])).select(docs["*"], "copies")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -379,7 +379,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each group, that of the least id; of repeated rows, one."""
     kept = groups(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     same_id = Window.partitionBy("doc_id").orderBy("text")
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    rows = docs.join(kept.hint("merge"), docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
     numbered = rows.withColumn("_copy", F.row_number().over(same_id))
     return numbered.where((F.col("_copy") == 1) | F.col("doc_id").isNull()).drop("_copy")
 
