@@ -6,8 +6,9 @@ have classes of their own; the others share classes by shape, within which a tok
 probabilities over all training tokens and one unknown token per shape add up to one. Training needs no normalisation: each true class is told
 from noise drawn by frequency. Scoring normalises over all classes with batched matrix products.
 
-Counts cover all training tokens. Training makes passes over all partitions side by side, each over a fixed rate of its positions, and averages
-the partitions' parameters by number of positions.
+Counts cover all training tokens, and so does training: it makes passes over all partitions side by side, each over other positions, until every
+position was learned from once, and averages the partitions' parameters by number of positions after each pass. The number of tokens with classes of
+their own grows with the square root of the number of distinct tokens.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import log10
+from math import isqrt, log10
 
 import numpy as np
 import pyarrow as pa
@@ -29,14 +30,16 @@ FOLDS = 10
 SMOOTH = 0.1
 #: Tokens whose counts go to every task; the others' counts are joined.
 HEAD = 65_536
+#: Tokens with classes of their own, at least; more where the square root of the number of distinct tokens is more.
 OWN = 255
 SHAPES = 128
 CONTEXT = 8
 WIDTH = 32
 BATCH = 1024
 NOISE = 64
+#: Share of the positions that one pass learns from; together the passes learn from each once.
 RATE = 0.25
-PASSES = 2
+PASSES = round(1 / RATE)
 STRETCH = 64
 STEP = 0.12
 END = b""
@@ -101,10 +104,10 @@ class Vocabulary:
         return number, found
 
 
-def vocabulary(counts: DataFrame, head: int = HEAD, own: int = OWN) -> Vocabulary:
+def vocabulary(counts: DataFrame, head: int = HEAD, own: int | None = None) -> Vocabulary:
     total = counts.agg(F.sum("c"), F.count("*")).first()
     top = counts.orderBy(F.col("c").desc(), "word").limit(head).collect()
-    own = min(own, len(top))
+    own = min(max(OWN, isqrt(total[1])) if own is None else own, len(top))
     numbers = {bytes(r.word): i for i, r in enumerate(top)}
     c = np.array([r.c for r in top], dtype=float)
     apart = {bytes(r.word) for r in top[:own]} | {END}
@@ -188,7 +191,7 @@ def laid_out(docs: list[np.ndarray], pad: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def trained(texts: DataFrame, vocab: Vocabulary, passes: int = PASSES, rate: float = RATE) -> Parameters:
-    """Parameters after passes over all texts; at each pass every partition starts from the last average and learns from a fixed rate of its tokens, in stretches."""
+    """Parameters after passes over all texts; at each pass every partition starts from the last average and learns from a rate of its tokens, in stretches; 1 / rate passes take them all."""
     spark = texts.sparkSession
     sent, now = spark.sparkContext.broadcast(vocab), initial(vocab.frequency)
     for turn in range(passes):

@@ -66,6 +66,26 @@ def test_lm_without_training_rows(spark):
     assert sorted((r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 9)) for r in lm_scoring.score(rows).collect()) == [(1, 0, 0, 0.0), (3, 0, 0, 0.0)]
 
 
+def test_lm_training_learns_from_every_position_once(spark, monkeypatch):
+    seen, saved = [], lm_scoring.saved
+
+    def kept(rows, name):
+        seen.append(saved(rows, name))
+        return seen[-1]
+
+    monkeypatch.setattr(lm_scoring, "saved", kept)
+    texts = spark.createDataFrame([("a b c " * n,) for n in (1, 0, 30, 90, 400, 7)], "text string").repartition(2)
+    vocab = lm_scoring.vocabulary(lm_scoring.token_counts(texts))
+    lm_scoring.trained(texts, vocab)
+    assert sum(r.weight for rows in seen for r in rows.collect()) == vocab.tokens == 3 * 528 + 6
+
+
+def test_lm_own_classes_grow_with_the_vocabulary(spark):
+    counts = spark.range(90_000).select(F.col("id").cast("string").cast("binary").alias("word"), (F.col("id") + 1).alias("c"))
+    assert lm_scoring.vocabulary(counts).own == 300
+    assert lm_scoring.vocabulary(counts.limit(2000)).own == lm_scoring.OWN
+
+
 def test_lm_beats_its_base_on_held_out_texts(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     rows = lm_scoring.op2_lm_scoring(spark, SF).collect()
