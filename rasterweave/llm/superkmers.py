@@ -2,10 +2,14 @@
 
 Equal windows have equal minimisers, so all places of a window's content meet in one bucket. A bucket tells which windows of its
 strings occur more than once; the strings' digests lead back to the documents that have them.
+
+A minimiser with many different strings would be one large group. Their bytes are counted first; the windows of hot minimisers are not dealt to
+buckets but told apart by their digests, each window a group of its own.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -20,6 +24,9 @@ from rasterweave.llm.common import buckets_for, byte_values, hash_words, mix, ro
 BLOCK_BYTES = 24 << 20
 #: A run of more windows is cut, into strings of the same bucket.
 MOST_WINDOWS = 4096
+#: Minimisers with more bytes of strings than this, each string counted once a task, are hot.
+HOT_BYTES = 8 << 20
+FLUSH = 300_000
 
 
 @dataclass(frozen=True)
@@ -79,8 +86,98 @@ def super_kmers(texts: list[bytes], kind: Windows) -> Iterator[Runs]:
         yield Runs(doc + begin, starts - bounds[doc], count, least[starts], [raw[i:j] for i, j in zip(a, b, strict=True)])
 
 
-def blocks(docs: DataFrame, kind: Windows, n_buckets: int) -> DataFrame:
-    """bucket and a compressed block of strings with their minimisers and counts; a task tells equal strings once a block."""
+@dataclass(frozen=True)
+class Hot:
+    """The hot minimisers, by counter: minimisers that share a counter with a hot one count as hot too, which changes no result."""
+
+    slots: int
+    those: np.ndarray
+
+    def slot_of(self, minimisers: np.ndarray) -> np.ndarray:
+        return (mix(minimisers ^ np.uint64(1 << 62)) % np.uint64(self.slots)).astype(np.int64)
+
+    def has(self, minimisers: np.ndarray) -> np.ndarray:
+        return np.isin(self.slot_of(minimisers), self.those)
+
+
+def hot_minimisers(docs: DataFrame, kind: Windows, n_buckets: int) -> Hot:
+    counters = Hot(min(1 << 24, max(1 << 16, 64 * n_buckets)), np.empty(0, dtype=np.int64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, seen = np.zeros(counters.slots, dtype=np.int64), set()
+        for batch in batches:
+            for runs in super_kmers(text_bytes(batch.column(0)), kind):
+                names = [xxhash.xxh3_64_intdigest(s) for s in runs.packed]
+                new = np.zeros(len(names), dtype=np.int64)
+                for i, name in enumerate(names):
+                    if name not in seen:
+                        seen.add(name)
+                        new[i] = len(runs.packed[i]) + 60
+                np.add.at(total, counters.slot_of(runs.minimiser), new)
+                if len(seen) > 4 * FLUSH:
+                    seen.clear()
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["slot", "bytes"])
+
+    sums = docs.mapInArrow(run, "slot bigint, bytes bigint").groupBy("slot").agg(F.sum("bytes").alias("bytes"))
+    return Hot(counters.slots, np.array(sorted(r.slot for r in sums.where(F.col("bytes") > HOT_BYTES).collect()), dtype=np.int64))
+
+
+def windows_of(packed: bytes, kind: Windows) -> list[bytes]:
+    if not kind.words:
+        return [packed[i : i + kind.size] for i in range(len(packed) - kind.size + 1)]
+    ends = [*np.flatnonzero(np.frombuffer(packed, dtype=np.uint8) == 32).tolist(), len(packed)]
+    begins = [0, *(e + 1 for e in ends[:-1])]
+    return [packed[a:b] for a, b in zip(begins, ends[kind.size - 1 :], strict=False)]
+
+
+def hot_spans(rows: DataFrame, kind: Windows, hot: Hot) -> DataFrame:
+    """doc_id, h, span of the windows of hot minimisers that occur more than once, by 128-bit digest."""
+
+    def hot_runs(texts: list[bytes]) -> Iterator[tuple[int, int, list[bytes]]]:
+        for runs in super_kmers(texts, kind):
+            for i in np.flatnonzero(hot.has(runs.minimiser)).tolist():
+                yield int(runs.doc[i]), int(runs.start[i]), [xxhash.xxh3_128_digest(w) for w in windows_of(runs.packed[i], kind)]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[bytes] = Counter()
+        pack = lambda: pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["digest", "c"])
+        for batch in batches:
+            for _, _, digests in hot_runs(text_bytes(batch.column(0))):
+                counts.update(digests)
+                if len(counts) > FLUSH:
+                    yield pack()
+                    counts.clear()
+        if counts:
+            yield pack()
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc, start, digest = [], [], []
+
+            def pack(batch=batch, doc=doc, start=start, digest=digest) -> pa.RecordBatch:
+                at = pa.array(doc, pa.int64())
+                out = pa.RecordBatch.from_arrays([batch.column(1).take(at), batch.column(2).take(at), pa.array(digest, pa.binary()), pa.array(start, pa.int32())], names=["doc_id", "h", "digest", "start"])
+                for x in (doc, start, digest):
+                    x.clear()
+                return out
+
+            for d, a, digests in hot_runs(text_bytes(batch.column(0))):
+                doc += [d] * len(digests)
+                start += range(a, a + len(digests))
+                digest += digests
+                if len(doc) > FLUSH:
+                    yield pack()
+            if doc:
+                yield pack()
+
+    again = saved(rows.select("text").mapInArrow(count, "digest binary, c bigint").groupBy("digest").agg(F.sum("c").alias("c")).where("c > 1").select("digest"), "hot")
+    places = rows.select("text", "doc_id", "h").mapInArrow(place, "doc_id bigint, h bigint, digest binary, start int")
+    return places.join(again, "digest").select("doc_id", "h", F.struct(F.col("start"), (F.col("start") + kind.size).alias("end")).alias("span"))
+
+
+def blocks(docs: DataFrame, kind: Windows, n_buckets: int, hot: Hot) -> DataFrame:
+    """bucket and a compressed block of strings with their minimisers and counts; a task tells equal strings once a block. Hot minimisers are left to hot_spans()."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, list] = {}
@@ -104,7 +201,9 @@ def blocks(docs: DataFrame, kind: Windows, n_buckets: int) -> DataFrame:
 
         for batch in batches:
             for runs in super_kmers(text_bytes(batch.column(0)), kind):
-                for value, packed in zip(runs.minimiser.tolist(), runs.packed, strict=True):
+                for value, packed, apart in zip(runs.minimiser.tolist(), runs.packed, hot.has(runs.minimiser).tolist(), strict=True):
+                    if apart:
+                        continue
                     if have := held.get(packed):
                         have[1] += 1
                     else:
@@ -171,10 +270,13 @@ def repeats(rows: DataFrame, kind: Windows, judge: Judge) -> DataFrame:
     h is a hash of the text; rows that agree on doc_id and h are copies, each of which counts as an occurrence.
     """
     n = buckets_for(rows)
-    again = saved(blocks(rows.select("text"), kind, n).groupBy("bucket").applyInArrow(judged(judge), "digest binary, runs array<int>"), "repeats")
+    hot = hot_minimisers(rows.select("text"), kind, n)
+    again = saved(blocks(rows.select("text"), kind, n, hot).groupBy("bucket").applyInArrow(judged(judge), "digest binary, runs array<int>"), "repeats")
     run = lambda i: F.struct((F.col("start") + F.get("runs", i * 2)).alias("start"), (F.col("start") + F.get("runs", i * 2 + 1) + kind.size - 1).alias("end"))
     where = F.transform(F.expr("sequence(0, cast(size(runs) div 2 as int) - 1)"), run)
     found = addresses(rows, kind).join(again, "digest").select("doc_id", "h", F.explode(where).alias("span"))
+    if len(hot.those):
+        found = found.unionByName(hot_spans(rows, kind, hot))
     spans = found.groupBy("doc_id", "h").agg(F.sort_array(F.collect_set("span")).alias("spans"))
     spans = saved(spans, "spans")
     return rows.join(spans, rows["doc_id"].eqNullSafe(spans["doc_id"]) & (rows["h"] == spans["h"]), "left").select(rows["*"], "spans")

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from llm_cases import SF, documents, frame, groups, repeated, sha
 
-from rasterweave.llm import components, ngram_join, substring_dedup, suffix_dedup
+from rasterweave.llm import components, ngram_join, substring_dedup, suffix_dedup, superkmers
 from rasterweave.llm.suffix_array import suffix_array
 from rasterweave.llm.superkmers import Windows, super_kmers
 
@@ -114,6 +114,29 @@ def test_judges_on_random_texts(kind, judge):
         assert got == {(d, i) for d, u in enumerate(units) for i in range(len(u) - kind.size + 1) if counts[tuple(u[i : i + kind.size])] > 1}
 
 
+@pytest.mark.parametrize("kind,judge", [(Windows(False, 40, 16), suffix_dedup.by_suffixes(40)), (Windows(True, 12, 4), substring_dedup.counted(12))])
+def test_common_phrases_make_no_large_group(spark, monkeypatch, kind, judge):
+    """A phrase shorter than a window, with different text around it, and whole windows that repeat."""
+    monkeypatch.setattr(superkmers, "HOT_BYTES", 2500, raising=False)
+    draw = random.Random(9)
+    word = lambda: f"v{draw.randrange(5000)}"
+    phrase, passage = " ".join(word() for _ in range(6)), " ".join(word() for _ in range(20))
+    docs = [" ".join([*(word() for _ in range(draw.randint(5, 20))), phrase, *(word() for _ in range(draw.randint(5, 20)))]) for _ in range(200)]
+    docs += [f"{word()} {phrase} {passage} {phrase} {word()}" for _ in range(20)] + docs[:5] + ["", "a  b"]
+
+    def bounded(strings, counts, minimisers):
+        size = Counter()
+        for s, m in zip(strings, minimisers.tolist(), strict=True):
+            size[m] += len(s)
+        assert not size or max(size.values()) <= 2500
+        return judge(strings, counts, minimisers)
+
+    rows = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string").repartition(3).selectExpr("text", "doc_id", "xxhash64(text) h")
+    units = [t.encode().split() if kind.words else t.encode() for t in docs]
+    got = {r.doc_id: superkmers.merged(r.spans) for r in superkmers.repeats(rows, kind, bounded).collect()}
+    assert {d: [any(a <= i < b for a, b in got[d]) for i in range(len(u))] for d, u in enumerate(units)} == {d: list(map(bool, g)) for d, g in enumerate(repeated(units, kind.size))}
+
+
 def test_parity_distance_never_exceeds_the_difference():
     draw = np.random.default_rng(5)
     for n in (5, 40, 700):
