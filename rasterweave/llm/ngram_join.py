@@ -89,7 +89,7 @@ def bands_of(n: int) -> list[tuple[int, int]]:
     """The bands in which a set of n meets others, and by how many parts it has to be known there."""
     band = n.bit_length() - 1
     own = [(band, n // 3 + 1)]  # a partner of up to 4/3 n
-    return [*own, (band - 1, n // 4 + 1)] if band and n * OF <= PART * ((1 << band) - 1) else own  # a smaller one in the band below
+    return [*own, (band - 1, (n + (1 << band) - 1) // 7 + 1)] if band and n * OF <= PART * ((1 << band) - 1) else own  # a smaller one in the band below, of up to 2**band - 1
 
 
 def signatures(shingles: np.ndarray) -> np.ndarray:

@@ -145,6 +145,14 @@ def test_parity_distance_never_exceeds_the_difference():
         assert 0 < ngram_join.distance(ngram_join.parity(a), ngram_join.parity(b)) <= len(np.setxor1d(a, b))
 
 
+def test_parts_suffice_for_every_similar_pair():
+    for n in range(1, 3000):
+        known = dict(ngram_join.bands_of(n))
+        for m in range(-(-3 * n // 4), n + 1):
+            band = m.bit_length() - 1
+            assert min(known[band], dict(ngram_join.bands_of(m))[band]) > (n + m) // 7
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.range(300).selectExpr("id * 7 % 301 a", "(id + 1) * 7 % 301 b")
     assert {r.label for r in components.components(links).collect()} == {0}
