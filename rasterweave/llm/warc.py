@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, IsNotNull, WriterCommitMessage
 
-from rasterweave.llm.common import scratch, table
+from rasterweave.llm.common import saved, scratch, table
 
 #: Columns that are headers, and the headers' names.
 HEADERS = {
@@ -71,13 +71,13 @@ class WarcReader(DataSourceReader):
         self.wanted: dict[str, set[str]] = {}
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        """Takes equality and membership of header columns; yields the rest back to Spark."""
+        """Takes equality and membership of header columns, and what they imply; yields the rest back to Spark."""
+        taken = [f for f in filters if isinstance(f, EqualTo | In) and len(f.attribute) == 1 and f.attribute[0] in HEADERS]
+        for f in taken:
+            values = {f.value} if isinstance(f, EqualTo) else set(f.value)
+            self.wanted[f.attribute[0]] = self.wanted.get(f.attribute[0], values) & values
         for f in filters:
-            name = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
-            if isinstance(f, EqualTo | In) and name in HEADERS:
-                values = {f.value} if isinstance(f, EqualTo) else set(f.value)
-                self.wanted[name] = self.wanted.get(name, values) & values
-            elif not (isinstance(f, IsNotNull) and name in self.wanted):
+            if f not in taken and not (isinstance(f, IsNotNull) and f.attribute[0] in self.wanted):
                 yield f
 
     def partitions(self) -> list[FileRange]:
@@ -272,24 +272,31 @@ def register(spark: SparkSession) -> SparkSession:
 
 
 def deduplicated(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """pages (page_id, url, html) with sha1, payload_bytes, record_type and refers_to.
+    """pages (page_id, url, html) with payload, sha1, payload_bytes, record_type and refers_to.
 
     Of pages with equal payloads of at least least_bytes, those with the largest page_id are responses, the others revisits of it; all
     smaller ones are responses. A null html is an empty payload; a null page_id is less than any other; repeated rows of the largest id
-    are all responses.
+    are all responses. Other columns are not looked at.
+
+    Ids and digests alone are grouped by payload; payloads are shuffled once, by id and digest, so a payload that very many pages share is no hot key.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = pages.select("page_id", "url", payload.alias("payload")).withColumn("sha1", F.sha1("payload")).withColumn("payload_bytes", F.octet_length("payload").cast("bigint"))
-    first = rows.groupBy("sha1").agg(F.max("page_id").alias("first_id"))
-    is_first = (F.col("payload_bytes") < least_bytes) | F.col("page_id").eqNullSafe(F.col("first_id"))
-    return rows.join(first, "sha1").select("page_id", "url", "payload", "sha1", "payload_bytes", F.when(is_first, "response").otherwise("revisit").alias("record_type"), F.when(~is_first, F.col("first_id")).alias("refers_to"))
+    rows = pages.select("page_id", "url", payload.alias("payload"))
+    slim = saved(rows.select("page_id", F.sha1("payload").alias("sha1"), F.octet_length("payload").cast("bigint").alias("payload_bytes")), "digests")
+    shared = slim.where(F.col("payload_bytes") >= least_bytes).groupBy("sha1").agg(F.max("page_id").alias("first_id"), F.count("*").alias("pages")).where("pages > 1")
+    again = slim.join(saved(shared.drop("pages"), "shared"), "sha1").where(~F.col("page_id").eqNullSafe(F.col("first_id")))
+    again = saved(again.select(F.col("page_id").alias("again_id"), F.col("sha1").alias("again_sha1"), "first_id").distinct(), "revisits")
+    named = rows.withColumn("sha1", F.sha1("payload"))
+    # joined alike at every size
+    joined = named.join(again.hint("merge"), named["page_id"].eqNullSafe(again["again_id"]) & (named["sha1"] == again["again_sha1"]), "left")
+    first = F.col("again_sha1").isNull()
+    return joined.select("page_id", "url", "payload", "sha1", F.octet_length("payload").cast("bigint").alias("payload_bytes"), F.when(first, "response").otherwise("revisit").alias("record_type"), F.when(~first, F.col("first_id")).alias("refers_to"))
 
 
 def base32(sha1_hex: Column) -> Column:
-    """A digest's 160 bits in base 32, five at a time."""
-    bits = F.concat(*[F.lpad(F.conv(F.substring(sha1_hex, i * 10 + 1, 10), 16, 2), 40, "0") for i in range(4)])
-    letter = lambda i: F.substring(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), F.conv(F.substring(bits, i * 5 + 1, F.lit(5)), 2, 10).cast("int") + 1, F.lit(1))
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(31)), letter), "")
+    """A digest's 160 bits in base 32: each 40 of them are eight digits to the base, which have other names in conv()."""
+    digits = [F.lpad(F.conv(F.substring(sha1_hex, i * 10 + 1, 10), 16, 32), 8, "0") for i in range(4)]
+    return F.translate(F.concat(*digits), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
 def write_pages(pages: DataFrame, path: str) -> None:
@@ -305,16 +312,12 @@ def write_pages(pages: DataFrame, path: str) -> None:
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Writes the archive to the shared folder and reads it back: responses are measured by their payloads, revisits have headers only."""
+    """Writes the archive to the shared folder and reads it back: responses are measured by their payloads; revisits are read by their headers, no payload decoded."""
     path = scratch(spark, "warc")
     register(spark)
     write_pages(table(spark, sf_dir, "pages"), path)
-    records = spark.read.format("warc").load(path)
     number = lambda c: F.regexp_extract(c, r"^urn:page:(-?\d+)$", 1).try_cast("bigint")
-    response = F.col("record_type") == "response"
-    return records.select(
-        number("record_id").alias("page_id"),
-        F.when(response, F.octet_length("payload").cast("bigint")).otherwise(F.col("payload_length").cast("bigint")).alias("payload_bytes"),
-        F.when(response, base32(F.sha1("payload"))).otherwise(F.substring_index("payload_digest", ":", -1)).alias("payload_digest"),
-        "record_type", number("refers_to").alias("refers_to"),
-    )
+    archive = lambda **options: spark.read.format("warc").options(**options).load(path)
+    responses = archive().where(F.col("record_type") == "response").select("record_id", F.octet_length("payload").cast("bigint").alias("payload_bytes"), base32(F.sha1("payload")).alias("payload_digest"), "record_type", "refers_to")
+    revisits = archive(payload="false").where(F.col("record_type") == "revisit").select("record_id", F.col("payload_length").cast("bigint").alias("payload_bytes"), F.substring_index("payload_digest", ":", -1).alias("payload_digest"), "record_type", "refers_to")
+    return responses.unionByName(revisits).select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))

@@ -6,6 +6,7 @@ import base64
 import gzip
 import hashlib
 import random
+import re
 from collections import Counter
 
 import corpus_pipeline
@@ -124,7 +125,7 @@ def test_warc_pushes_predicates_down(spark, tmp_path):
     wanted = rows.where("record_type = 'revisit' and record_id in ('urn:page:1', 'urn:page:5')")
     assert [r.record_id for r in wanted.collect()] == ["urn:page:1"]
     plan = wanted._jdf.queryExecution().executedPlan().toString()
-    assert "Filter" not in plan.replace("PushedFilters", "")
+    assert not re.search(r"\bFilter\b", plan)  # none is left to Spark
     light = spark.read.format("warc").option("payload", "false").load(f"file://{tmp_path}/w")
     assert light.where("payload is not null").isEmpty() and light.count() == len(PAGES)
 
