@@ -10,7 +10,8 @@ comparison of the shingle hashes verifies the rest.
 
 Equal sets are one node from the start. Where more than HEAVY nodes share a part's sketch, they are first verified
 against two of them only. A node with at most slack such crowded parts shares an uncrowded part with all that are similar to it. The others
-meet once more by their rarest shingles, where components differ.
+meet once more by their rarest shingles: a crowd around one shingle meets one of its nodes at a time, in a few rounds, and nodes that
+are in different components even then are compared.
 """
 
 from __future__ import annotations
@@ -33,6 +34,9 @@ PART, OF = 100, 75
 HEAVY = 6
 CROWD = 32
 LANES = 32
+#: Rounds in which crowds meet one of their nodes, before what is left apart is compared pair by pair.
+HUB_ROUNDS = 4
+FIRST_WORDS = 32
 BLOCK_BYTES = 16 << 20
 FILTER_BITS = 1 << 23
 SLACK_FROM = 64
@@ -313,6 +317,14 @@ def checked(pairs: DataFrame, described: DataFrame, docs: DataFrame, text_col: s
     return saved(verified(left, sets), "links")
 
 
+def verified_among(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes of rows (node, shingles) whose sets are similar indeed."""
+    left, right = (rows.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_shingles")) for c in "ab")
+    both = F.size(F.array_intersect("a_shingles", "b_shingles"))
+    either = F.size("a_shingles") + F.size("b_shingles") - both
+    return pairs.join(left, "a").join(right, "b").where(both * PART >= either * OF).select("a", "b")
+
+
 def similar_nodes(docs: DataFrame, described: DataFrame, text_col: str = "text") -> DataFrame:
     """Links (a, b) between nodes that make the same components as all links do."""
     n = buckets_for(docs)
@@ -323,42 +335,94 @@ def similar_nodes(docs: DataFrame, described: DataFrame, text_col: str = "text")
     if crowds.isEmpty():
         return links
     # nodes of crowds that no uncrowded part is sure to join to what is similar to them
-    label = components(links)
     least = F.floor(F.col("n") * OF / PART)  # the smallest partner, and with it the slack that both of a pair have
     slack = F.when(least < SLACK_FROM, 0).otherwise(3 + F.floor(least / 32))
     exposed = saved(crowds.groupBy(F.col("a").alias("node")).agg(F.count("*").alias("crowded"), F.max("n").alias("n")).where(F.col("crowded") > slack).select("node"), "exposed")
-    more = saved(rare_pairs(shingles_of(docs, exposed, text_col), label).join(pairs, ["a", "b"], "left_anti"), "more")
-    return links if more.isEmpty() else links.union(checked(more, described, docs, text_col))
+    rows = saved(shingles_of(docs, exposed, text_col), "exposed-sets")
+    rare = saved(rarest(rows), "rare")
+    label = components(links)
+    for turn in range(HUB_ROUNDS):
+        new = saved(verified_among(hub_pairs(rare, rows, label, turn), rows), "hub-links")
+        if new.isEmpty():
+            break
+        links = links.union(new)
+        label = components(links)
+    more = saved(rare_pairs(rare, rows, label).join(pairs, ["a", "b"], "left_anti"), "more")
+    return links.union(saved(verified_among(more, rows), "more-links"))
 
 
-def rare_pairs(rows: DataFrame, label: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) among nodes (node, n, shingles) of different labels; no similar pair is left out.
+def rarest(rows: DataFrame) -> DataFrame:
+    """word, times, node, n, r: of each node (node, n, shingles) those of its first n - ceil(3/4 n) + 1 shingles, from the rarest up, that another node has too.
 
-    Shingles are taken in the order of how many of the nodes have them. Similar sets share one of the first n - ceil(3/4 n) + 1 of each. Where that
-    is one of few nodes, they are a pair. Where all that they share there is crowded, each has all its uncrowded shingles there, and the other has none
-    of them: with r uncrowded ones of n they differ in rx + ry at least, which has to stay within (nx + ny) / 7. So documents
-    that have little but a passage in common make no pairs, nor do those whose sketches differ in too many bits. Of a shingle's nodes, those of its commonest label are not compared with each other.
+    times: how many of the nodes have the word. r: how many of the node's shingles are uncrowded. Similar sets share one of these words at least.
     """
-    rows = saved(rows, "exposed-sets")
     part = rows.select("node", "n", F.explode("shingles").alias("word"))
-    counted = part.groupBy("word").agg(F.count("*").alias("times"))
+    # a written table, so that Spark may split a word that very many nodes have
+    times = saved(part.groupBy("word").agg(F.count("*").alias("times")).where("times > 1"), "times")
     own = Window.partitionBy("node")
-    few = F.sum((F.col("times") <= CROWD).cast("bigint")).over(own)
-    first = F.col("n") - F.ceil(F.col("n") * OF / PART) + 1
-    ranked = part.join(counted, "word").withColumns({"rank": F.row_number().over(own.orderBy("times", "word")), "r": few})
-    rare = ranked.where((F.col("rank") <= first) & (F.col("times") > 1)).join(label, "node", "left")
-    rare = saved(rare.select("word", "node", "n", "r", "times", F.coalesce("label", "node").alias("label")), "rare")
-    by_label = rare.groupBy("word", "label").agg(F.count("*").alias("k")).groupBy("word").agg(F.max_by("label", F.struct("k", "label")).alias("common"), F.count("*").alias("labels"))
-    apart = rare.join(by_label.where("labels > 1"), "word").join(rows.select("node", "lanes"), "node")
-    x = apart.where("label <> common").select("word", "times", F.col("lanes").alias("x_lanes"), F.col("node").alias("x"), F.col("n").alias("nx"), F.col("r").alias("rx"), F.col("label").alias("lx"))
-    y = apart.select("word", F.col("lanes").alias("y_lanes"), F.col("node").alias("y"), F.col("n").alias("ny"), F.col("r").alias("ry"), F.col("label").alias("ly"), (F.col("label") == F.col("common")).alias("in_common"))
+    counted = part.join(times.hint("merge"), "word", "left").withColumn("times", F.coalesce("times", F.lit(1)))
+    ranked = counted.withColumns({"rank": F.row_number().over(own.orderBy("times", "word")), "r": F.sum((F.col("times") <= CROWD).cast("bigint")).over(own)})
+    return ranked.where((F.col("rank") <= F.col("n") - F.ceil(F.col("n") * OF / PART) + 1) & (F.col("times") > 1)).select("word", "times", "node", "n", "r")
+
+
+def labelled_words(rare: DataFrame, label: DataFrame) -> DataFrame:
+    return rare.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def alike_in_size(a: str, b: str) -> Column:
+    return F.least(a, b) * PART >= F.greatest(a, b) * OF
+
+
+def alike_in_bits(a: str, b: str, n: Column) -> Column:
+    """Whether two parity sketches of LANES words differ in no more bits than similar sets of n elements together may."""
+    bits = reduce(Column.__add__, [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(LANES)])
+    return (PART + OF) * bits <= (PART - OF) * n
+
+
+def hub_pairs(rare: DataFrame, rows: DataFrame, label: DataFrame, turn: int) -> DataFrame:
+    """Candidate pairs (a, b) of one node, the hub, of each crowded word with all nodes of other labels that have the word: as many as the crowd has nodes, not their square.
+
+    The first hub is the node with the fewest uncrowded shingles, which stands in the middle of a group of near copies; later ones are drawn among
+    the nodes outside the word's commonest label.
+    """
+    crowded = saved(labelled_words(rare.where(F.col("times") > CROWD), label), "crowded")
+    first = F.struct("r", "node") if not turn else F.struct(F.xxhash64("node", F.lit(turn)).alias("r"), "node")
+    by_label = crowded.groupBy("word", "label").agg(F.count("*").alias("k"), F.min_by(F.struct("node", "n", "label"), first).alias("best"), F.min(first).alias("first"))
+    common = by_label.groupBy("word").agg(F.max_by("label", F.struct("k", "label")).alias("common"), F.count("*").alias("labels")).where("labels > 1")
+    of_word = by_label.join(common, "word")
+    of_word = of_word.where("label <> common") if turn else of_word
+    hubs = saved(of_word.groupBy("word").agg(F.min_by("best", "first").alias("hub")).select("word", F.col("hub.node").alias("hub"), F.col("hub.n").alias("m"), F.col("hub.label").alias("hub_label")), "hubs")
+    met = crowded.join(hubs.hint("merge"), "word").where((F.col("label") != F.col("hub_label")) & alike_in_size("n", "m"))
+    pairs = met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"), (F.col("n") + F.col("m")).alias("total")).distinct()
+    left, right = (rows.select(F.col("node").alias(c), F.col("lanes").alias(f"{c}_lanes")) for c in "ab")
+    return pairs.join(left, "a").join(right, "b").where(alike_in_bits("a_lanes", "b_lanes", F.col("total"))).select("a", "b")
+
+
+def rare_pairs(rare: DataFrame, rows: DataFrame, label: DataFrame) -> DataFrame:
+    """Candidate pairs (a, b) among nodes of different labels that share a word of rare; no similar pair is left out.
+
+    Where all that two nodes share there is crowded, each has all its uncrowded shingles there, and the other has none
+    of them: with rx and ry uncrowded ones they differ in rx + ry at least, which has to stay within (nx + ny) / 7. So documents
+    that have little but a passage in common make no pairs, nor do those whose sketches differ in too many bits. Of a word's nodes, those of its commonest label are not compared with each other.
+    A pair is told at its first common word among the first FIRST_WORDS of both, or at each where there is none.
+    """
     c = F.col
-    size = F.least("nx", "ny") * PART >= F.greatest("nx", "ny") * OF
-    apart_enough = (c("times") <= CROWD) | ((PART + OF) * (c("rx") + c("ry")) <= (PART - OF) * (c("nx") + c("ny")))
-    bits = reduce(Column.__add__, [F.bit_count(c("x_lanes")[i].bitwiseXOR(c("y_lanes")[i])) for i in range(LANES)])
-    near = (PART + OF) * bits <= (PART - OF) * (c("nx") + c("ny"))
-    met = x.join(y, "word").where((c("lx") != c("ly")) & (c("in_common") | (c("x") < c("y"))) & size & apart_enough & near)
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    named = saved(labelled_words(rare, label), "labelled")
+    by_label = named.groupBy("word", "label").agg(F.count("*").alias("k"), F.min("r").alias("r")).groupBy("word").agg(F.max_by("label", F.struct("k", "label")).alias("common"), F.count("*").alias("labels"), F.min("r").alias("least_r"))
+    words = saved(by_label.where("labels > 1").drop("labels"), "words")
+    # 7 / 3 n is the most that a node of n and its partner have together
+    may_have_a_partner = (c("times") <= CROWD) | ((PART + OF) * OF * (c("r") + c("least_r")) <= (PART - OF) * (PART + OF) * c("n"))
+    first = rare.groupBy("node").agg(F.transform(F.slice(F.array_sort(F.collect_list(F.struct("times", "word"))), 1, FIRST_WORDS), lambda w: w["word"]).alias("first"))
+    apart = named.join(words.hint("merge"), "word").where(may_have_a_partner).join(rows.select("node", "lanes"), "node").join(first, "node")
+    apart = saved(apart, "apart")
+    x = apart.where("label <> common").select("word", "times", *[c(k).alias(f"x_{k}") for k in ("node", "n", "r", "label", "lanes", "first")])
+    y = apart.select("word", *[c(k).alias(f"y_{k}") for k in ("node", "n", "r", "label", "lanes", "first")], (c("label") == c("common")).alias("in_common"))
+    apart_enough = (c("times") <= CROWD) | ((PART + OF) * (c("x_r") + c("y_r")) <= (PART - OF) * (c("x_n") + c("y_n")))
+    shared = F.array_intersect("x_first", "y_first")
+    told_here = (F.size(shared) == 0) | (F.get(shared, F.lit(0)) == c("word"))
+    one_way = (c("x_label") != c("y_label")) & (c("in_common") | (c("x_node") < c("y_node")))
+    met = x.join(y, "word").where(one_way & alike_in_size("x_n", "y_n") & apart_enough & alike_in_bits("x_lanes", "y_lanes", c("x_n") + c("y_n")) & told_here)
+    return met.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
