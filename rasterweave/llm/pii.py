@@ -96,7 +96,7 @@ def parse(text: str) -> list[tuple[int, int, str]]:
             a = run_start(text, at, least, DIGITS)
             if m := IP.match(text, a):
                 past[kind] = m.end()
-                if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+                if all(len(p) <= 3 and int(p or "0") <= 255 for p in (x.lstrip("0") for x in m.group().split("."))):
                     put(kind, a, m.end())
         elif kind == "card":
             m = CARD.match(text, at)  # the first anchor of a number stands at its start: what is before is no digit, nor a digit and one separator
@@ -135,7 +135,7 @@ def parse(text: str) -> list[tuple[int, int, str]]:
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and spans (kind, start, end; code points, end exclusive), one row per document.
 
-    Null and empty texts have no spans; repeated rows each get theirs; no document needs another. Other columns are not looked at.
+    Null and empty texts have no spans; digits may go on for as long as they like; repeated rows each get theirs; no document needs another. Other columns are not looked at.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("spans", pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])))])
 
