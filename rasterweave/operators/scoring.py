@@ -64,21 +64,16 @@ def tta_average(scores: DataFrame, keys: list[str], k: int = 4) -> DataFrame:
 
 
 def bilinear_resize(pixels: DataFrame, keys: list[str], height: int, width: int, new_height: int, new_width: int, value: str = "v") -> DataFrame:
-    """Pixels (keys, r, c, value) at a new size, centres at half pixels, edges clamped: each target pixel meets its four neighbours by equality."""
-
-    def axis(new: int, old: int, name: str) -> Column:
-        rows = []
-        for i in range(new):
-            at = (i + 0.5) * old / new - 0.5
-            low = int(at // 1)
-            part = at - low
-            near = {}
-            for j, w in ((low, 1 - part), (low + 1, part)):
-                j = min(max(j, 0), old - 1)
-                near[j] = near.get(j, 0.0) + w
-            rows += [(j, i, w) for j, w in near.items() if w > 0]
-        return F.array(*[F.struct(F.lit(j).alias(name), F.lit(i).alias(f"new_{name}"), F.lit(w).alias(f"w_{name}")) for j, i, w in rows])
-
-    near = lambda df, name, new, old: df.withColumn("_n", F.explode(F.filter(axis(new, old, name), lambda s: s[name] == F.col(name)))).select("*", f"_n.new_{name}", f"_n.w_{name}").drop("_n")
+    """Pixels (keys, r, c, value) at a new size, centres at half pixels, edges clamped. A pixel goes to the targets within one pixel of it, whose numbers follow from its own."""
+
+    def near(df: DataFrame, name: str, new: int, old: int) -> DataFrame:
+        place = lambda i: (i + 0.5) * old / new - 0.5
+        at = F.col(name)
+        first = F.when(at == 0, 0).otherwise(F.greatest(F.ceil(((at - 1) + 0.5) * new / old - 0.5), F.lit(0)))
+        last = F.when(at == old - 1, new - 1).otherwise(F.least(F.floor(((at + 1) + 0.5) * new / old - 0.5), F.lit(new - 1)))
+        spread = df.withColumn(f"new_{name}", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
+        clamped = F.least(F.greatest(place(F.col(f"new_{name}")), F.lit(0.0)), F.lit(old - 1.0))
+        return spread.withColumn(f"w_{name}", 1 - F.abs(clamped - at)).where(F.col(f"w_{name}") > 0)
+
     spread = near(near(pixels, "r", new_height, height), "c", new_width, width)
     return spread.groupBy(*keys, F.col("new_r").alias("r"), F.col("new_c").alias("c")).agg(F.sum(F.col(value) * F.col("w_r") * F.col("w_c")).alias(value))

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,16 +34,38 @@ def cap_by_tokens(tiles: DataFrame, tokens: DataFrame, n: int) -> DataFrame:
     return first_of_class(tiles, tokens, [F.col("id")], n, "tokens")
 
 
-def prefix_sums(df: DataFrame, order: str, value: str, parts: int = 32) -> DataFrame:
-    """df with before, the sum of value over all rows earlier in order. Ranges of rows sum side by side; only their totals meet.
+#: Bytes of input, as Spark expects to scan them, that one range of a global order takes.
+RANGE_BYTES = 64 << 20
+
+
+def ranges_for(df: DataFrame) -> int:
+    """Ranges by the bytes of the tables that df reads, as many as there are shuffle partitions at least."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    read = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(read, 1 << 50) // RANGE_BYTES)
+
+
+def prefix_sums(df: DataFrame, order: str, value: str) -> DataFrame:
+    """df with before, the sum of the whole-numbered value (null: 0) over all rows earlier in order. Ranges of rows are summed where they are sorted; only their totals meet.
 
     The ranges are written once: dealt out twice, rows could fall to other ranges.
     """
-    ranged = saved(df.repartitionByRange(parts, order).withColumn("_part", F.spark_partition_id()), "ranges")
+    names = df.columns
+    schema = df.select("*", F.lit(0).cast("bigint").alias("before"), F.lit(0).alias("_part")).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, part = 0, TaskContext.get().partitionId()
+        for batch in batches:
+            if batch.num_rows:
+                own = pc.fill_null(batch.column(names.index(value)).cast(pa.int64()), 0)
+                upto = pc.add(pc.cumulative_sum(own), total)
+                total = upto[-1].as_py()
+                yield pa.RecordBatch.from_arrays([*batch.columns, pc.subtract(upto, own), pa.array([part] * batch.num_rows, pa.int32())], names=[*names, "before", "_part"])
+
+    ranged = saved(df.repartitionByRange(ranges_for(df), order).sortWithinPartitions(order).mapInArrow(run, schema), "ranges")
     totals = ranged.groupBy("_part").agg(F.sum(value).alias("_sum"))
-    offsets = totals.withColumn("_offset", F.coalesce(F.sum("_sum").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_sum")
-    inside = F.coalesce(F.sum(value).over(Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return ranged.join(F.broadcast(offsets), "_part").withColumn("before", F.col("_offset") + inside).drop("_part", "_offset")
+    offsets = totals.select("_part", F.coalesce(F.sum("_sum").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))  # a row per range
+    return ranged.join(F.broadcast(offsets), "_part").withColumn("before", F.col("_offset") + F.col("before")).drop("_part", "_offset")
 
 
 def cap_by_bytes(tiles: DataFrame, budget: int, order: str = "id", size: str = "bytes") -> DataFrame:
@@ -144,17 +171,17 @@ def replay_weights(tiles: DataFrame, weights: dict[int, float], ratio: float = 0
     return tiles.crossJoin(F.broadcast(counts)).withColumn("w", F.when(F.col("origin") == "replay", scale * own).otherwise(own)).drop("nc", "nr")
 
 
-def weighted_sample_replace(items: DataFrame, draws: DataFrame, key: str = "id", weight: str = "w", seed: int = 42, buckets: int = 4096) -> DataFrame:
+def weighted_sample_replace(items: DataFrame, draws: DataFrame, key: str = "id", weight: str = "w", seed: int = 42) -> DataFrame:
     """draws (k) with the key drawn, in proportion to whole-numbered weights.
 
     An item holds an interval of the running total; a draw is a hash-uniform point. Intervals and points meet by
-    equal-width buckets, then by the exact bounds.
+    buckets of equal width, one for each item, then by the exact bounds: so intervals stand in twice as many buckets as there are items at most.
     """
     spread = prefix_sums(items, key, weight).withColumn("_end", F.col("before") + F.col(weight))
-    total = F.broadcast(items.agg(F.sum(weight).alias("_total")))
-    width = F.greatest(F.ceil(F.col("_total") / buckets), F.lit(1))
-    held = spread.where(F.col(weight) > 0).crossJoin(total).withColumn("_bucket", F.explode(F.sequence(F.floor(F.col("before") / width), F.floor((F.col("_end") - 1) / width)))).drop("_total")
-    points = draws.crossJoin(total).withColumn("_at", F.floor(hash_uniform(seed, "k") * F.col("_total"))).withColumn("_bucket", F.floor(F.col("_at") / width)).drop("_total")
+    total = F.broadcast(items.agg(F.sum(weight).alias("_total"), F.count("*").alias("_items")))
+    width = F.greatest(F.ceil(F.col("_total") / F.col("_items")), F.lit(1))
+    held = spread.where(F.col(weight) > 0).crossJoin(total).withColumn("_bucket", F.explode(F.sequence(F.floor(F.col("before") / width), F.floor((F.col("_end") - 1) / width)))).drop("_total", "_items")
+    points = draws.crossJoin(total).withColumn("_at", F.floor(hash_uniform(seed, "k") * F.col("_total"))).withColumn("_bucket", F.floor(F.col("_at") / width)).drop("_total", "_items")
     return points.join(held, "_bucket").where((F.col("_at") >= F.col("before")) & (F.col("_at") < F.col("_end"))).select("k", key)
 
 

@@ -23,12 +23,21 @@ def edge_boxes(edges: DataFrame, *keys: str) -> DataFrame:
     return edges.groupBy(*keys).agg(lo("x0", "x1").alias("minx"), lo("y0", "y1").alias("miny"), hi("x0", "x1").alias("maxx"), hi("y0", "y1").alias("maxy"))
 
 
-def bbox_overlap_join(rasters: DataFrame, layers: DataFrame) -> DataFrame:
-    """raster_id, layers: the names of overlapping layers in order, or none. layers has a row per layer and is broadcast; see grid_bbox_join for features."""
-    small = layers.select(F.col("layer"), *[F.col(c).alias(f"l_{c}") for c in ("minx", "miny", "maxx", "maxy")])
-    left = rasters.select("raster_id", *[F.col(c).alias(f"r_{c}") for c in ("minx", "miny", "maxx", "maxy")])
+#: Boxes that a join may send to every task.
+MOST_BROADCAST = 10_000
+
+
+def bbox_overlap_join(rasters: DataFrame, layers: DataFrame, cell: float = 32.0) -> DataFrame:
+    """raster_id, layers: the names of overlapping layers in order, or none. Up to MOST_BROADCAST layers, counted first, are broadcast; more meet the rasters by grid cells."""
+    box = ("minx", "miny", "maxx", "maxy")
+    if layers.limit(MOST_BROADCAST + 1).count() > MOST_BROADCAST:
+        pairs = grid_bbox_join(rasters, layers, "raster_id", "layer", cell)
+        joined = rasters.select("raster_id").join(pairs, "raster_id", "left")
+    else:
+        small = layers.select(F.col("layer"), *[F.col(c).alias(f"l_{c}") for c in box])
+        joined = rasters.select("raster_id", *[F.col(c).alias(f"r_{c}") for c in box]).join(F.broadcast(small), overlaps("r_", "l_"), "left")
     names = F.array_join(F.sort_array(F.collect_list("layer")), ",")
-    return left.join(F.broadcast(small), overlaps("r_", "l_"), "left").groupBy("raster_id").agg(F.when(names == "", "none").otherwise(names).alias("layers"))
+    return joined.groupBy("raster_id").agg(F.when(names == "", "none").otherwise(names).alias("layers"))
 
 
 def cells(df: DataFrame, prefix: str, size: float) -> DataFrame:

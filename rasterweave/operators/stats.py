@@ -24,10 +24,22 @@ def random_windows(rasters: DataFrame, n: int, tile: int, seed: int = 42) -> Dat
     return at.withColumns({"win_row": place("r", "height"), "win_col": place("c", "width")})
 
 
-def band_percentiles(pixels: DataFrame, *keys: str, low: float = 0.02, high: float = 0.98, exact: bool = True, value: str = "v") -> DataFrame:
-    """Linear interpolation between ranks. exact=False bounds memory: percentile_approx, for bands that outgrow it."""
-    f = F.percentile if exact else F.percentile_approx
-    return pixels.groupBy(*keys, "band").agg(f(value, low).alias("p_lo"), f(value, high).alias("p_hi"))
+def band_percentiles(pixels: DataFrame, *keys: str, low: float = 0.02, high: float = 0.98, spread: bool = False, value: str = "v") -> DataFrame:
+    """Linear interpolation between ranks, exact. spread: for groups that outgrow a task; ranks then come from prefix sums over the counts of distinct values, of which no task holds a whole group."""
+    if not spread:
+        return pixels.groupBy(*keys, "band").agg(F.percentile(value, low).alias("p_lo"), F.percentile(value, high).alias("p_hi"))
+    from rasterweave.operators.selection import prefix_sums  # which uses this module
+
+    counts = pixels.where(F.col(value).isNotNull()).groupBy(*keys, "band", F.col(value).alias("_value")).agg(F.count("*").alias("_n"))
+    ranked = prefix_sums(counts.withColumn("_order", F.struct(*keys, "band", "_value")), "_order", "_n").drop("_order")
+    sizes = ranked.groupBy(*keys, "band").agg(F.min("before").alias("_first"), F.sum("_n").alias("_total"))
+    placed = ranked.join(sizes, [*keys, "band"]).withColumn("_at", F.col("before") - F.col("_first"))
+    rank = lambda p: p * (F.col("_total") - 1)
+    of = lambda k: F.max(F.when((F.col("_at") <= k) & (k < F.col("_at") + F.col("_n")), F.col("_value").cast("double")))
+    ends = {f"_{name}_{end}": of(f(rank(p))) for name, p in (("lo", low), ("hi", high)) for end, f in (("below", F.floor), ("above", F.ceil))}
+    found = placed.groupBy(*keys, "band", "_total").agg(*[v.alias(k) for k, v in ends.items()])
+    between = lambda name, p: F.col(f"_{name}_below") + (F.col(f"_{name}_above") - F.col(f"_{name}_below")) * (rank(p) - F.floor(rank(p)))
+    return found.select(*keys, "band", between("lo", low).alias("p_lo"), between("hi", high).alias("p_hi"))
 
 
 def band_minmax(pixels: DataFrame, *keys: str, value: str = "v") -> DataFrame:
@@ -39,7 +51,7 @@ def clip(x: Column, lo: float, hi: float) -> Column:
 
 
 def percentile_scale(pixels: DataFrame, *keys: str) -> DataFrame:
-    """clip((v - p2) / (p98 - p2 + 1e-6), 0, 1) per group and band. A row per group and band joins back."""
+    """clip((v - p2) / (p98 - p2 + 1e-6), 0, 1) per group and band, whose pixels a task can hold. A row per group and band joins back."""
     joined = pixels.join(band_percentiles(pixels, *keys), [*keys, "band"])
     return joined.withColumn("v", clip((F.col("v") - F.col("p_lo")) / (F.col("p_hi") - F.col("p_lo") + 1e-6), 0.0, 1.0)).drop("p_lo", "p_hi")
 

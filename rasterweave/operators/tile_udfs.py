@@ -48,21 +48,25 @@ def score_tiles(tiles: DataFrame, load: Callable[[], Callable[[np.ndarray], np.n
     return tiles.withColumn("probs", score("x"))
 
 
-def flat_map_blocks(blocks: DataFrame, fn: Callable[[pd.Series], list[tuple]], schema: str) -> DataFrame:
-    """Rows that fn makes of each block, with error; a block that fails is one row with its key and the message."""
-    names = [c.split()[0] for c in schema.split(", ")]
+def flat_map_blocks(blocks: DataFrame, fn: Callable[[dict], list[tuple]], keys: list[str], schema: str) -> DataFrame:
+    """keys, and the rows of schema that fn makes of each block (a dict of its columns), with error; a block that fails is one row with its keys and the message."""
+    made = [c.split()[0] for c in schema.split(", ")]
+    names = [*keys, *made, "error"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            for _, block in frame.iterrows():
+            for values in zip(*(frame[c] for c in frame.columns), strict=True):
+                block = dict(zip(frame.columns, values, strict=True))
+                own = [block[k] for k in keys]
                 try:
-                    out += [(*row, None) for row in fn(block)]
+                    out += [(*own, *row, None) for row in fn(block)]
                 except Exception as e:  # any failure stays with its block
-                    out.append((block.iloc[0], *[None] * (len(names) - 1), f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(out, columns=[*names, "error"])
+                    out.append((*own, *[None] * len(made), f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(out, columns=names)
 
-    return blocks.mapInPandas(run, f"{schema}, error string")
+    types = dict(blocks.dtypes)
+    return blocks.mapInPandas(run, ", ".join([*(f"{k} {types[k]}" for k in keys), schema, "error string"]))
 
 
 @udtf(returnType="row int, col int")

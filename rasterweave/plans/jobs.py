@@ -83,5 +83,5 @@ def incremental_run(spark: SparkSession, source: str, schema, weights: dict[int,
         row = [(number, budget, admitted.count(), total.rows, int(total["last"] or 0) + 1)]
         spark.createDataFrame(row, "batch bigint, budget bigint, admitted bigint, train_rows bigint, train_batches bigint").write.mode("overwrite").parquet(f"{log}/batch={number}")
 
-    shards.drain(shards.shard_stream(spark, source, schema), scratch(spark, "checkpoint"), each)
+    shards.drain(spark, source, schema, scratch(spark, "checkpoint"), each)
     return spark.read.parquet(f"{log}/*")

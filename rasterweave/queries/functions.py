@@ -194,29 +194,29 @@ def softmax(spark: SparkSession, sf_dir: str) -> DataFrame:
 VARIANTS = ("identity", "hflip", "vflip", "rot180", "rot90", "rot180", "rot270", "anti")
 #: Where the pixel at (r, c) of an 8 x 8 tile goes.
 _GOES = {"identity": "r, c", "hflip": "r, 7 - c", "vflip": "7 - r, c", "rot180": "7 - r, 7 - c", "rot90": "7 - c, r", "rot270": "c, 7 - r", "anti": "7 - c, 7 - r"}
-_TTA = " union all ".join("select tile_id, {} variant_no, '{}' variant, cast({} as int) r, cast({} as int) c, round(v, 6) v from fx_px where band = 1".format(i, name, *_GOES[name].split(", ")) for i, name in enumerate(VARIANTS))
+_TTA = " union all ".join("select tile_id, band, {} variant_no, '{}' variant, cast({} as int) r, cast({} as int) c, round(v, 6) v from fx_px".format(i, name, *_GOES[name].split(", ")) for i, name in enumerate(VARIANTS))
 
 
 @query(oracle(_TTA, "fx_px"))
 def tta_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(scoring.tta_variants(px(spark, sf_dir).where("band = 1").select("tile_id", "r", "c", "v"), 8), "v")
+    return rounded(scoring.tta_variants(px(spark, sf_dir).select("tile_id", "band", "r", "c", "v"), 8), "v")
 
 
-@query(oracle("select tile_id, r, c, round(avg(1 / (1 + exp(-v * (1 + vr / 8e0)))), 6) p from (" + " union all ".join("select tile_id, r, c, v, {} vr from fx_px where band = 1".format(_GOES[name].split(", ")[0]) for name in VARIANTS) + ") group by 1, 2, 3", "fx_px"))
+@query(oracle("select tile_id, band, r, c, round(avg(1 / (1 + exp(-v * (1 + vr / 8e0)))), 6) p from (" + " union all ".join("select tile_id, band, r, c, v, {} vr from fx_px".format(_GOES[name].split(", ")[0]) for name in VARIANTS) + ") group by 1, 2, 3, 4", "fx_px"))
 def tta_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored by a column that leans on the place in the variant, undone, averaged."""
-    variants = scoring.tta_variants(px(spark, sf_dir).where("band = 1").select("tile_id", "r", "c", "v"), 8)
+    variants = scoring.tta_variants(px(spark, sf_dir).select("tile_id", "band", "r", "c", "v"), 8)
     scored = variants.withColumn("probs", F.array(1 / (1 + F.exp(-F.col("v") * (1 + F.col("r") / 8)))))
-    out = scoring.tta_average(scoring.tta_undo(scored, 8), ["tile_id", "r", "c"], 1)
-    return out.select("tile_id", "r", "c", F.round(F.col("probs")[0], 6).alias("p"))
+    out = scoring.tta_average(scoring.tta_undo(scored, 8), ["tile_id", "band", "r", "c"], 1)
+    return out.select("tile_id", "band", "r", "c", F.round(F.col("probs")[0], 6).alias("p"))
 
 
 _AXIS = "select cast(i as int) i, least(greatest(cast(floor((i + 0.5e0) / 2 - 0.5e0) as int) + k, 0), 7) j, case when k = 0 then 1 - ((i + 0.5e0) / 2 - 0.5e0 - floor((i + 0.5e0) / 2 - 0.5e0)) else (i + 0.5e0) / 2 - 0.5e0 - floor((i + 0.5e0) / 2 - 0.5e0) end w from (select range i from range(16)), (select range k from range(2))"
 
 
-@query(oracle("select tile_id, a.i r, b.i c, round(sum(v * a.w * b.w), 6) v from fx_px join ax a on a.j = r join ax b on b.j = c where band = 1 group by 1, 2, 3", "fx_px", ax=_AXIS))
+@query(oracle("select tile_id, band, a.i r, b.i c, round(sum(v * a.w * b.w), 6) v from fx_px join ax a on a.j = r join ax b on b.j = c group by 1, 2, 3, 4", "fx_px", ax=_AXIS))
 def bilinear_resize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(scoring.bilinear_resize(px(spark, sf_dir).where("band = 1").select("tile_id", "r", "c", "v"), ["tile_id"], 8, 8, 16, 16), "v")
+    return rounded(scoring.bilinear_resize(px(spark, sf_dir).select("tile_id", "band", "r", "c", "v"), ["tile_id", "band"], 8, 8, 16, 16), "v")
 
 
 @query(oracle("select tile_id, r, c, [cast(target = 0 as int), cast(target = 1 as int), cast(target = 2 as int), cast(target >= 3 as int)] hot from fx_scores", "fx_scores"))
@@ -265,9 +265,12 @@ def format_epoch_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture(spark, sf_dir, "fx_epochs").select("run_id", F.col("epoch").alias("line_no"), scalars.epoch_line(F.col("epoch"), {"tr_loss": rest, "tr_mIoU": m, "val_loss": rest, "val_mIoU": m}).alias("line"))
 
 
-@query(oracle("select run_id, epoch, concat('[', repeat('#', cast(epoch * 20 // 2500 as int)), repeat('.', cast(20 - epoch * 20 // 2500 as int)), '] ', cast(epoch * 100 // 2500 as varchar), '%') bar from fx_epochs where epoch <= 2500", "fx_epochs"))
+@query(oracle("select run_id, epoch, concat('[', repeat('#', cast(epoch * 20 // n as int)), repeat('.', cast(20 - epoch * 20 // n as int)), '] ', cast(epoch * 100 // n as varchar), '%') bar from (select run_id, epoch, max(epoch) over (partition by run_id) n from fx_epochs)", "fx_epochs"))
 def progress_bar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture(spark, sf_dir, "fx_epochs").where("epoch <= 2500").select("run_id", "epoch", scalars.progress_bar(F.col("epoch"), F.lit(2500)).alias("bar"))
+    """Against the last epoch of each run."""
+    epochs = fixture(spark, sf_dir, "fx_epochs").select("run_id", "epoch")
+    last = epochs.groupBy("run_id").agg(F.max("epoch").alias("last"))
+    return epochs.join(last, "run_id").select("run_id", "epoch", scalars.progress_bar(F.col("epoch"), F.col("last")).alias("bar"))
 
 
 @query(oracle("select run_id, epoch, case when val_miou > 0.6e0 then 'good' when val_miou > 0.4e0 then 'fair' else 'poor' end band from fx_epochs", "fx_epochs"))

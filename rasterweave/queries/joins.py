@@ -12,13 +12,13 @@ from rasterweave.queries.projections import _BLOCKS, _FEATURES, _PARSED, _blocks
 from rasterweave.registry import query
 
 HEIGHT, WIDTH = 104, 80
-_LAYER = "select class_id layer, min(least(x0, x1)) minx, min(least(y0, y1)) miny, max(greatest(x0, x1)) maxx, max(greatest(y0, y1)) maxy from fx_edges where fid % 4 = 0 group by 1"
+_LAYER = "select class_id layer, min(least(x0, x1)) minx, min(least(y0, y1)) miny, max(greatest(x0, x1)) maxx, max(greatest(y0, y1)) maxy from fx_edges group by 1"
 _OVER = "r.minx < l.maxx and r.maxx > l.minx and r.miny < l.maxy and r.maxy > l.miny"
 
 
 @query(oracle(f"select raster_id, coalesce(string_agg(cast(layer as varchar), ',' order by cast(layer as varchar)), 'none') layers from fx_rasters r left join ({_LAYER}) l on {_OVER} group by 1", "fx_rasters", "fx_edges"))
 def bbox_overlap_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    layers = spatial.edge_boxes(fixture(spark, sf_dir, "fx_edges").where("fid % 4 = 0"), "class_id").withColumn("layer", F.col("class_id").cast("string"))
+    layers = spatial.edge_boxes(fixture(spark, sf_dir, "fx_edges"), "class_id").withColumn("layer", F.col("class_id").cast("string"))
     return spatial.bbox_overlap_join(fixture(spark, sf_dir, "fx_rasters"), layers)
 
 

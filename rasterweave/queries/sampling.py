@@ -67,11 +67,11 @@ _WEIGHTED = f"select id, cast(10 * (select max(sampler_w) from (select unnest(co
 _AT = "cast(floor(cast(concat('0x', substr(md5(concat('42:', cast(o_orderkey as varchar))), 1, 8)) as bigint) / 4294967296e0 * (select sum(w) from items)) as bigint)"
 
 
-@query(oracle(f"select k, id from (select o_orderkey k, {_AT} p from orders where o_orderkey < 5000) d asof join (select id, coalesce(sum(w) over (order by id rows between unbounded preceding and 1 preceding), 0)::bigint b from items) i on d.p >= i.b", "fx_tile_meta", "fx_classes", items=_WEIGHTED))
+@query(oracle(f"select k, id from (select o_orderkey k, {_AT} p from orders) d asof join (select id, coalesce(sum(w) over (order by id rows between unbounded preceding and 1 preceding), 0)::bigint b from items) i on d.p >= i.b", "fx_tile_meta", "fx_classes", items=_WEIGHTED))
 def weighted_sample_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     weight = (stats.sample_weight(F.coalesce("class_ids", F.array(F.lit(0))), SAMPLER) * 10).cast("bigint")
     items = _meta(spark, sf_dir).select("id", weight.alias("w"))
-    return selection.weighted_sample_replace(items, fixture(spark, sf_dir, "orders").where("o_orderkey < 5000").select(F.col("o_orderkey").alias("k")))
+    return selection.weighted_sample_replace(items, fixture(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k")))
 
 
 @query(oracle("select raster_id, cast(k as int) k, win_row, win_col from win", "fx_big_px", rasters=_RASTERS, win=_WIN))

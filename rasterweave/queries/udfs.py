@@ -48,17 +48,17 @@ def score_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("tile_id", "r", "c", *[F.round(F.col("probs")[i], 6).alias(f"p{i}") for i in range(4)])
 
 
-@query(oracle("select tile_id, half, round(total, 5) total, error from (select tile_id, cast(r // 4 as bigint) half, sum(v) total, cast(null as varchar) error from fx_px where tile_id % 10 <> 0 and band = 1 group by 1, 2 union all select distinct tile_id, null, null, 'ValueError: no data' from fx_px where tile_id % 10 = 0)", "fx_px"))
+@query(oracle("select tile_id, band, half, round(total, 5) total, error from (select tile_id, band, cast(r // 4 as bigint) half, sum(v) total, cast(null as varchar) error from fx_px where tile_id % 10 <> 0 group by 1, 2, 3 union all select distinct tile_id, band, null, null, 'ValueError: no data' from fx_px where tile_id % 10 = 0)", "fx_px"))
 def flat_map_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blocks = fixture(spark, sf_dir, "fx_px").where("band = 1").groupBy("tile_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("r", "c", "v"))), lambda s: s.v).alias("data"))
+    blocks = fixture(spark, sf_dir, "fx_px").groupBy("tile_id", "band").agg(F.transform(F.sort_array(F.collect_list(F.struct("r", "c", "v"))), lambda s: s.v).alias("data"))
 
-    def halves(block) -> list[tuple]:
+    def halves(block: dict) -> list[tuple]:
         data = np.array(block["data"])
         if not data.any():
             raise ValueError("no data")
-        return [(block["tile_id"], 0, float(data[:32].sum())), (block["tile_id"], 1, float(data[32:].sum()))]
+        return [(i, float(half.sum())) for i, half in enumerate((data[:32], data[32:]))]
 
-    return rounded(tile_udfs.flat_map_blocks(blocks, halves, "tile_id bigint, half bigint, total double"), "total", digits=5)
+    return rounded(tile_udfs.flat_map_blocks(blocks, halves, ["tile_id", "band"], "half bigint, total double"), "total", digits=5)
 
 
 @query(TILE_SQL)
@@ -82,9 +82,10 @@ def fit_pixel_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def predict_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    px = _labelled(spark, sf_dir)
-    model = tile_udfs.fit_pixel_classifier(px.where("tile_id % 5 <> 0"), ["b1", "b2", "b3", "b4"], class_map(5))
-    return tile_udfs.predict_pixels(px.where("tile_id % 5 = 0"), model).select("tile_id", "r", "c", "target", "pred")
+    """Predictions for all pixels; the model learns from tiles that are not held out."""
+    px = _labelled(spark, sf_dir).withColumn("held_out", F.col("tile_id") % 5 == 0)
+    model = tile_udfs.fit_pixel_classifier(px.where("not held_out"), ["b1", "b2", "b3", "b4"], class_map(5))
+    return tile_udfs.predict_pixels(px, model).select("tile_id", "r", "c", "held_out", "target", "pred")
 
 
 @query(oracle(f"select distinct miou from ({IOU_SQL})", "fx_scores", "fx_classes", pairs=_PAIRS))

@@ -1,4 +1,4 @@
-"""Shards as a slow stream: one file a micro-batch, in order of arrival; the checkpoint is what a resumed run goes on from."""
+"""Shards as a slow stream: a shard is a folder of files, and its name, once it is there, a micro-batch; the checkpoint is what a resumed run goes on from."""
 
 from __future__ import annotations
 
@@ -13,20 +13,22 @@ from rasterweave.operators import selection
 from rasterweave.sources import sinks
 
 
-def shard_stream(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
-
-
 def land(df: DataFrame, path: str, shard_col: str, order: list[str]) -> None:
-    """Writes one file per shard, one after the other, as shards arrive."""
+    """Writes the files of each shard, one shard after the other, as they arrive, and then its name."""
     for shard in order:
-        df.where(F.col(shard_col) == shard).coalesce(1).write.mode("append").parquet(path)
+        df.where(F.col(shard_col) == shard).write.parquet(f"{path}/data/{shard}")
+        df.sparkSession.createDataFrame([(shard,)], "shard string").coalesce(1).write.mode("append").parquet(f"{path}/names")
+
+
+def drain(spark: SparkSession, path: str, schema, checkpoint: str, each: Callable[[DataFrame, int], None]) -> None:
+    """Runs each shard that is there; a second call with the same checkpoint finds nothing new."""
 
+    def run(names: DataFrame, number: int) -> None:
+        for row in names.collect():  # one name
+            each(spark.read.schema(schema).parquet(f"{path}/data/{row.shard}"), number)
 
-def drain(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None]) -> None:
-    """Runs each micro-batch that is there; a second call with the same checkpoint finds nothing new."""
-    query = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+    names = spark.readStream.schema("shard string").option("maxFilesPerTrigger", 1).parquet(f"{path}/names")
+    names.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def incremental_shards(spark: SparkSession, source: str, schema, checkpoint: str, log: str, preprocess: Callable[[DataFrame], DataFrame], train: Callable[[DataFrame], DataFrame]) -> None:
@@ -43,7 +45,7 @@ def incremental_shards(spark: SparkSession, source: str, schema, checkpoint: str
         row = spark.createDataFrame([(number, status, n)], "batch bigint, status string, tiles bigint")
         row.write.mode("overwrite").parquet(f"{log}/batch={number}")
 
-    drain(shard_stream(spark, source, schema), checkpoint, each)
+    drain(spark, source, schema, checkpoint, each)
 
 
 def stream_replay(spark: SparkSession, source: str, schema, checkpoint: str, store: str, weights: dict[int, float], n: int) -> None:
@@ -53,7 +55,7 @@ def stream_replay(spark: SparkSession, source: str, schema, checkpoint: str, sto
         chosen = selection.replay_select(batch, classes(spark), weights, n)
         sinks.write_replay(chosen.select("id", "source", "trow", "tcol", "coverage_ratio", "class_ids", "shard"), store)
 
-    drain(shard_stream(spark, source, schema), checkpoint, each)
+    drain(spark, source, schema, checkpoint, each)
 
 
 def stream_budget(spark: SparkSession, source: str, schema, checkpoint: str, log: str, ceiling: int, bytes_per_tile: int, replay_tiles: int) -> None:
@@ -67,4 +69,4 @@ def stream_budget(spark: SparkSession, source: str, schema, checkpoint: str, log
         row = sized.groupBy("shard").agg(F.count("*").alias("tiles")).select("shard", F.lit(number).cast("bigint").alias("batch"), budget.alias("budget"), F.least("tiles", F.ceil(most)).alias("admitted"))
         row.write.mode("overwrite").parquet(f"{log}/batch={number}")
 
-    drain(shard_stream(spark, source, schema), checkpoint, each)
+    drain(spark, source, schema, checkpoint, each)
