@@ -8,17 +8,21 @@ from pyspark.sql import functions as F
 from rasterweave.functions import grid, scalars
 from rasterweave.model import CLASSES
 from rasterweave.operators import filters, metrics, scoring, selection, spatial, stats
-from rasterweave.session import scratch
+from rasterweave.session import saved, scratch
 from rasterweave.sources import catalog, sinks
 from rasterweave.streaming import shards
 
 
 def inspect(rasters: DataFrame, edges: DataFrame, pixels: DataFrame) -> DataFrame:
-    """Per raster: size in MB, whether large, overlapping layers, and the mean of its first band (null without pixels). pixels: raster_id, band, v."""
-    layers = spatial.edge_boxes(edges, "class_id").withColumn("layer", F.col("class_id").cast("string"))
-    overlap = spatial.bbox_overlap_join(rasters, layers)
-    first = stats.band_stats(pixels.where("band = 1"), "raster_id").select("raster_id", F.col("mean").alias("band1_mean"))
-    return catalog.raster_catalog(rasters).join(overlap, "raster_id").join(first, "raster_id", "left").select("raster_id", "pixel_count", "raw_mb", "large", "layers", "band1_mean")
+    """Per raster: size in MB, whether large, overlapping layers with their number of features, and the mean of each band (null without pixels). pixels: raster_id, band, v."""
+    boxes = spatial.edge_boxes(edges, "class_id", "fid").withColumn("layer", F.col("class_id").cast("string"))
+    summary = stats.layer_summary(boxes.withColumns({"geom_type": F.lit("Polygon"), "attrs": F.create_map(F.lit("fid"), F.col("fid").cast("string"))}))
+    overlap = spatial.bbox_overlap_join(rasters, summary)
+    named = overlap.select("raster_id", F.explode(F.split("layers", ",")).alias("layer")).join(summary.select("layer", "features"), "layer")
+    features = named.groupBy("raster_id").agg(F.sum("features").alias("features"))
+    means = stats.band_stats(pixels, "raster_id").groupBy("raster_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("band", "mean"))), lambda s: F.round(s["mean"], 6)).alias("band_means"))
+    found = catalog.raster_catalog(rasters).join(overlap, "raster_id").join(features, "raster_id", "left").join(means, "raster_id", "left")
+    return found.select("raster_id", "pixel_count", "raw_mb", "large", "layers", F.coalesce("features", F.lit(0)).cast("bigint").alias("features"), "band_means")
 
 
 def preprocess(pixels: DataFrame, edges: DataFrame, classes: DataFrame, weights: dict[int, float], stem: str, tile: int, step: int, max_tiles: int) -> DataFrame:
@@ -40,32 +44,53 @@ def preprocess(pixels: DataFrame, edges: DataFrame, classes: DataFrame, weights:
 
 
 def build_training_set(current: DataFrame, replay: DataFrame, weights: dict[int, float], batch: int = 2, seed: int = 42) -> DataFrame:
-    """Training tiles of the current shard with replayed ones: id, origin, w, batch in hash order. Validation tiles are left out."""
+    """Sampled batches of training tiles, those of the current shard with replayed ones: k, id, origin, w, batch. Validation tiles are left out.
+
+    As many draws, with replacement and by weight in millionths, as there are tiles; an incomplete last batch is dropped.
+    """
+    spark = current.sparkSession
     train = selection.train_val_split(current, "id", seed=seed).where("not is_val").drop("is_val")
-    mixed = selection.replay_weights(selection.union_current_replay(train, replay, exclude_current=True), weights)
-    key = F.concat(F.lpad(scalars.hash_number(seed + 1, "origin", "id").cast("string"), 10, "0"), F.lit(":"), "origin", F.lit(":"), "id")
-    return selection.assign_batches(mixed.select("id", "origin", "w", key.alias("_k")), "_k", batch).drop("_k")
+    mixed = selection.replay_weights(selection.union_current_replay(train, replay, exclude_current=True), weights).select("id", "origin", "w")
+    mixed = saved(mixed, "mixed")
+    items = mixed.select("id", F.floor(F.col("w") * 1_000_000 + 0.5).alias("weight"))
+    n = mixed.count()
+    drawn = selection.weighted_sample_replace(items, spark.range(n // batch * batch).select(F.col("id").alias("k")), weight="weight", seed=seed)
+    return drawn.join(mixed, "id").select("k", "id", "origin", "w", F.floor(F.col("k") / batch).alias("batch"))
 
 
-def predict(pixels: DataFrame, windows: DataFrame, size: int, prompts: DataFrame, scorer) -> DataFrame:
+def predict(pixels: DataFrame, windows: DataFrame, size: int, prompts: DataFrame, scorer, use_tta: bool = True) -> DataFrame:
     """Mask (row, col, class_id) of a raster: scaled bands, sliding windows, a column scorer, blending, the likeliest class, prompts on top.
 
-    scorer takes the bands and the place in the window, both Columns, and gives the class probabilities.
+    scorer takes the bands and the place in the window, both Columns, and gives the class probabilities. With use_tta it sees each window in every
+    variant, and what it says of a pixel at its places there is averaged.
     """
     scaled = stats.minmax_scale(pixels.withColumn("one", F.lit(1)), "one")
     bands = scaled.groupBy(F.col("gr").alias("row"), F.col("gc").alias("col")).agg(F.transform(F.sort_array(F.collect_list(F.struct("band", "v"))), lambda s: s.v).alias("bands"))
     covered = spatial.window_cover_join(bands, windows, size)
-    scored = covered.withColumn("probs", scorer(F.col("bands"), F.col("row") - F.col("win_row"), F.col("col") - F.col("win_col")))
-    mask = scoring.blend_windows(scored, size).select("row", "col", metrics.argmax_class(F.col("probs")).alias("class_id"))
+    r, c = F.col("row") - F.col("win_row"), F.col("col") - F.col("win_col")
+    names = grid.DEFAULT_VARIANTS if use_tta else ("identity",)
+    places = [grid.SYMMETRIES[grid.INVERSE.get(v, v)](r, c, size) for v in names]
+    scored = covered.withColumn("variants", F.array(*[scorer(F.col("bands"), *place) for place in places]))
+    none = F.array(*[F.lit(0.0)] * len(CLASSES))
+    total = F.aggregate("variants", none, lambda a, p: F.zip_with(a, p, lambda x, y: x + y))
+    mask = scoring.blend_windows(scored.withColumn("probs", F.transform(total, lambda x: x / len(names))), size).select("row", "col", metrics.argmax_class(F.col("probs")).alias("class_id"))
     return spatial.point_prompt_override(mask, prompts)
 
 
-def sample_report(meta: DataFrame, show_class: int, n: int, seed: int = 42) -> DataFrame:
-    """Up to n validation tiles, by source, of those that show a class, with their labels."""
-    chosen = filters.filter_tiles_with_class(selection.group_split(meta, seed=seed), show_class, seed=seed)
+def sample_report(tiles: DataFrame, pixels: DataFrame, mask: DataFrame, show_class: int, n: int, seed: int = 42) -> DataFrame:
+    """Up to n validation tiles (id, source, class_ids), by source, of those that show a class: a row per pixel with its rgb, its class's colour and the overlay of both, with the tile's labels and class shares.
+
+    pixels: id, r, c, bands. mask: id, r, c, class_id. Only the pixels of the chosen tiles are coloured.
+    """
+    chosen = filters.filter_tiles_with_class(selection.group_split(tiles, seed=seed), show_class, seed=seed)
     sampled = selection.sample_n(chosen, "id", n, seed)
     label = F.map_from_entries(F.array(*[F.struct(F.lit(c[0]), F.lit(c[2])) for c in CLASSES]))
-    return sampled.select("id", "source", "coverage_ratio", F.array_join(F.transform("class_ids", lambda c: F.coalesce(F.element_at(label, c), F.concat(F.lit("cls"), c))), "|").alias("labels"))
+    sampled = sampled.select("id", "source", F.array_join(F.transform("class_ids", lambda c: F.coalesce(F.element_at(label, c), F.concat(F.lit("cls"), c))), "|").alias("labels"))
+    own = mask.join(F.broadcast(sampled.select("id")), "id", "left_semi")
+    shares = stats.class_distribution(own, "id").groupBy("id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("class_id", "share")))).alias("shares"))
+    rgb = scoring.to_rgb8(F.col("bands"))
+    shown = pixels.join(own, ["id", "r", "c"]).join(F.broadcast(sampled), "id").join(shares, "id")
+    return shown.select("id", "source", "labels", "shares", "r", "c", rgb.alias("rgb"), scoring.colorize(F.col("class_id")).alias("colour"), scoring.overlay_blend(rgb, F.col("class_id")).alias("overlay"))
 
 
 def incremental_run(spark: SparkSession, source: str, schema, weights: dict[int, float], classes: DataFrame, n_replay: int, ceiling: int, bytes_per_tile: int) -> DataFrame:

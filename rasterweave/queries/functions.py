@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rasterweave.fixtures import fixture, oracle
@@ -280,14 +280,19 @@ def miou_band(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ALERT_SQL = """select run_id, kind, severity, subject, next_step from (select run_id, 'progress' kind, case when max(miou_e4) > 6000 then 'good' when max(miou_e4) > 4000 then 'fair' else 'poor' end severity,
  concat('[', run_id, '] epoch ', cast(max(epoch) as varchar), ', best mIoU 0.', lpad(cast(max(miou_e4) as varchar), 4, '0')) subject, 'training goes on' next_step from fx_epochs group by 1
+ union all select run_id, 'complete', case when best > 6000 then 'good' when best > 4000 then 'fair' else 'poor' end, concat('[', run_id, '] done (', cast(step as varchar), '/', cast(total as varchar), '), best mIoU 0.', lpad(cast(best as varchar), 4, '0'), ' at epoch ', cast(best_epoch as varchar), ' of ', cast(epochs as varchar)),
+ case when step < total then concat('next: folder ', cast(step + 1 as varchar)) else 'all folders are done' end from (select *, row_number() over (order by run_id) step, count(*) over () total from (select run_id, max(miou_e4) best, max(epoch) epochs, min(epoch) filter (where miou_e4 = m) best_epoch from (select *, max(miou_e4) over (partition by run_id) m from fx_epochs) group by 1))
  union all select run_id, 'error', 'critical', concat('[', run_id, '] stopped at epoch ', cast(max(epoch) as varchar)), 'see the log tail' from fx_epochs where run_id = 'error' group by 1)"""
 
 
 @query(oracle(ALERT_SQL, "fx_epochs"))
 def alert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from rasterweave.streaming.alerts import alert_rows as rows
-
-    latest = fixture(spark, sf_dir, "fx_epochs").groupBy("run_id").agg(F.max("epoch").alias("epoch"), F.max("miou_e4").alias("best_e4"))
-    return rows(latest.withColumn("failed", F.lit(False)).union(latest.where("run_id = 'error'").withColumn("failed", F.lit(True))))
-
-
+    """Progress and completion of every run, and the failure of one; a run is a folder here."""
+    from rasterweave.streaming import alerts
+
+    epochs = fixture(spark, sf_dir, "fx_epochs")
+    latest = epochs.groupBy("run_id").agg(F.max("epoch").alias("epoch"), F.max("miou_e4").alias("best_e4"))
+    best = F.min(F.struct(-F.col("miou_e4"), F.col("epoch").alias("epoch")))["epoch"]
+    runs = epochs.groupBy("run_id").agg(F.max("miou_e4").alias("best_e4"), best.alias("best_epoch"), F.max("epoch").alias("epochs"))  # a row per run
+    done = runs.withColumns({"step": F.row_number().over(Window.orderBy("run_id")), "total": F.count("*").over(Window.partitionBy())})
+    return alerts.alert_rows(latest.withColumn("failed", F.lit(False)).union(latest.where("run_id = 'error'").withColumn("failed", F.lit(True)))).union(alerts.complete_rows(done))

@@ -28,8 +28,8 @@ def grid_bbox_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _GRID = f"select r.range as row, c.range as col from range({HEIGHT}) r, range({WIDTH}) c"
-_INSIDE = """select fid, class_id, row, col from fx_edges join grid on row + 0.5e0 >= least(y0, y1) and row + 0.5e0 < greatest(y0, y1)
- and x0 + (row + 0.5e0 - y0) * (x1 - x0) / cast(y1 - y0 as double) > col + 0.5e0 group by 1, 2, 3, 4 having count(*) % 2 = 1"""
+_INSIDE = """select fid, class_id, row, col from (select *, x0 + (row + 0.5e0 - y0) * (x1 - x0) / cast(y1 - y0 as double) x from (select *, unnest(range(cast(ceil(least(y0, y1) - 0.5e0) as bigint), cast(ceil(greatest(y0, y1) - 0.5e0) as bigint))) as row
+ from fx_edges where y0 <> y1)) join (select distinct col from grid) on x > col + 0.5e0 where row in (select row from grid) group by 1, 2, 3, 4 having count(*) % 2 = 1"""
 _TOUCH = """select distinct fid, class_id, row, col from (select fid, class_id, row, lo, greatest(lo, hi) hi from (select fid, class_id, row, cast(floor(least(xa, xb)) as bigint) lo, cast(ceil(greatest(xa, xb)) as bigint) - 1 hi from (
  select fid, class_id, row, case when y0 = y1 then cast(x0 as double) else x0 + (greatest(row, least(y0, y1)) - y0) * (x1 - x0) / cast(y1 - y0 as double) end xa,
  case when y0 = y1 then cast(x1 as double) else x0 + (least(row + 1, greatest(y0, y1)) - y0) * (x1 - x0) / cast(y1 - y0 as double) end xb

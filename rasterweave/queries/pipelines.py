@@ -8,22 +8,23 @@ from pyspark.sql import functions as F
 from rasterweave.fixtures import fixture, oracle
 from rasterweave.model import class_map, classes
 from rasterweave.plans import jobs
-from rasterweave.queries.aggregations import _RAREST, rounded
+from rasterweave.queries.aggregations import _RAREST, long_px, rounded
+from rasterweave.queries.functions import _BANDS, _GOES, _MIX, _RGB, _RGB8, VARIANTS, bands_of
 from rasterweave.queries.joins import _GRID, _INSIDE, _MASK, _OVER, _POINTS, _WINDOWS, prompts
 from rasterweave.queries.sampling import _HID, _H
 from rasterweave.queries.streams import TILE_BYTES, landed
 from rasterweave.queries.windows import _share
 from rasterweave.registry import query
 
-_LAYERS = "select class_id layer, min(least(x0, x1)) minx, min(least(y0, y1)) miny, max(greatest(x0, x1)) maxx, max(greatest(y0, y1)) maxy from fx_edges group by 1"
+_LAYERS = "select class_id layer, min(least(x0, x1)) minx, min(least(y0, y1)) miny, max(greatest(x0, x1)) maxx, max(greatest(y0, y1)) maxy, count(distinct fid) features from fx_edges group by 1"
 
 
 @query(oracle(f"""select raster_id, any_value(cast(width as bigint) * height) pixel_count, any_value(cast(width as bigint) * height * n_bands * itemsize / 1048576) raw_mb, any_value(cast(width as bigint) * height * n_bands * itemsize / 1048576 > 4096) large,
- coalesce(string_agg(cast(layer as varchar), ',' order by cast(layer as varchar)), 'none') layers, any_value(m) band1_mean from fx_rasters r left join ({_LAYERS}) l on {_OVER}
- left join (select concat('scene_', cast(scene as varchar)) id, round(avg(b1), 6) m from fx_big_px group by 1) s on s.id = raster_id group by 1""", "fx_rasters", "fx_edges", "fx_big_px"))
+ coalesce(string_agg(cast(layer as varchar), ',' order by cast(layer as varchar)), 'none') layers, cast(coalesce(sum(features), 0) as bigint) features, any_value(m) band_means from fx_rasters r left join ({_LAYERS}) l on {_OVER}
+ left join (select concat('scene_', cast(scene as varchar)) id, [round(avg(cast(b1 as double)), 6), round(avg(cast(b2 as double)), 6), round(avg(cast(b3 as double)), 6), round(avg(cast(b4 as double)), 6)] m from fx_big_px group by 1) s on s.id = raster_id group by 1""", "fx_rasters", "fx_edges", "fx_big_px"))
 def inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pixels = fixture(spark, sf_dir, "fx_big_px").select(F.concat(F.lit("scene_"), "scene").alias("raster_id"), F.lit(1).alias("band"), F.col("b1").cast("double").alias("v"))
-    return rounded(jobs.inspect(fixture(spark, sf_dir, "fx_rasters"), fixture(spark, sf_dir, "fx_edges"), pixels), "band1_mean")
+    pixels = long_px(spark, sf_dir).select(F.concat(F.lit("scene_"), "scene").alias("raster_id"), "band", F.col("v").cast("double").alias("v"))
+    return jobs.inspect(fixture(spark, sf_dir, "fx_rasters"), fixture(spark, sf_dir, "fx_edges"), pixels)
 
 
 _TILED = """select tr * 12 tile_row, tc * 12 tile_col, avg(case when ok then 1e0 else 0e0 end) valid_ratio, avg(case when class_id > 0 then 1e0 else 0e0 end) coverage_ratio, list_sort(list_distinct(list(class_id))) class_ids
@@ -42,14 +43,14 @@ def preprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CURRENT = "select id, class_ids, row_number() over (order by lpad(cast(" + _HID + " as varchar), 10, '0') || ':' || id) > ceil(count(*) over () * 0.2e0) train from fx_tile_meta where shard = 'shard_1'"
 _BOTH = "select id, class_ids, 'current' origin from current where train union all select id, class_ids, 'replay' from fx_tile_meta where shard = 'shard_2' and coverage_ratio = 1"
 _WEIGHED = f"select id, origin, case when origin = 'replay' then least(nc * 0.3e0 / greatest(nr * 0.7e0, 1), 5) * own else own end w from (select id, origin, (select sampler_w from fx_classes where class_id = {_RAREST}) own from mixed), (select count_if(origin = 'current') nc, count_if(origin = 'replay') nr from mixed)"
-_KEY = "lpad(cast(cast(concat('0x', substr(md5(concat_ws(':', '43', origin, id)), 1, 8)) as bigint) as varchar), 10, '0') || ':' || origin || ':' || id"
+_DRAWS = "select k, cast(floor(cast(concat('0x', substr(md5(concat('42:', cast(k as varchar))), 1, 8)) as bigint) / 4294967296e0 * (select sum(iw) from items)) as bigint) p from (select range k from range((select count(*) // 2 * 2 from weighed)))"
 
 
-@query(oracle(f"select id, origin, round(w, 9) w, cast((rn - 1) // 2 as bigint) batch from (select *, row_number() over (order by {_KEY}) rn, count(*) over () n from weighed) where rn <= n // 2 * 2", "fx_tile_meta", "fx_classes", current=_CURRENT, mixed=_BOTH, weighed=_WEIGHED))
+@query(oracle("select k, id, origin, round(w, 9) w, k // 2 batch from draws asof join (select *, coalesce(sum(iw) over (order by id rows between unbounded preceding and 1 preceding), 0)::bigint b from items) i on p >= b", "fx_tile_meta", "fx_classes", current=_CURRENT, mixed=_BOTH, weighed=_WEIGHED, items="select *, cast(floor(w * 1000000 + 0.5e0) as bigint) iw from weighed", draws=_DRAWS))
 def build_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     meta = fixture(spark, sf_dir, "fx_tile_meta")
     out = jobs.build_training_set(meta.where("shard = 'shard_1'"), meta.where("shard = 'shard_2' and coverage_ratio = 1"), class_map(4))
-    return rounded(out.select("id", "origin", "w", "batch"), "w", digits=9)
+    return rounded(out.select("k", "id", "origin", "w", "batch"), "w", digits=9)
 
 
 def _scorer(bands: Column, r: Column, c: Column) -> Column:
@@ -60,12 +61,14 @@ def _scorer(bands: Column, r: Column, c: Column) -> Column:
 
 
 _SCALED = "select gr as row, gc as col, list((v - lo) / (hi - lo) order by band) b from fx_px join (select band, min(v) lo, max(v) hi from fx_px group by 1) using (band) group by 1, 2"
-_EXP = "select row, col, exp(-((row - win_row - 8) * (row - win_row - 8) + (col - win_col - 8) * (col - win_col - 8)) / 32e0) w, " + ", ".join(f"exp(4 * b[{i + 1}] * (1 + (row - win_row) / 16e0) + (0.1e0 * {i}) * (col - win_col) / 16e0) e{i}" for i in range(4)) + " from scaled join windows on row between win_row and win_row + 15 and col between win_col and win_col + 15"
+_PLACES = "select row, col, win_row, win_col, b, row - win_row r, col - win_col c from scaled join windows on row between win_row and win_row + 15 and col between win_col and win_col + 15"
+_W = "exp(-((r - 8) * (r - 8) + (c - 8) * (c - 8)) / 32e0)"
+_EXP = " union all ".join("select row, col, " + _W + " w, " + ", ".join("exp(4 * b[{}] * (1 + ({}) / 16e0) + (0.1e0 * {}) * ({}) / 16e0) e{}".format(i + 1, *(x.replace("7 -", "15 -") for x in _GOES[name].split(", ")[:1]), i, *(x.replace("7 -", "15 -") for x in _GOES[name].split(", ")[1:]), i) for i in range(4)) + " from places" for name in VARIANTS)
 _BEST = "select row, col, cast(list_position(p, list_max(p)) - 1 as int) class_id from (select row, col, [" + ", ".join(f"sum(e{i} / (e0 + e1 + e2 + e3) * w) / greatest(sum(w), 1e-6)" for i in range(4)) + "] p from scored group by 1, 2)"
 _PREDICTED = "select row, col, coalesce(arg_max(p.class_id, seq), any_value(m.class_id)) class_id from best m left join points p on row >= floor(y) - 5 and row < floor(y) + 5 and col >= floor(x) - 5 and col < floor(x) + 5 group by 1, 2"
 
 
-@query(oracle("select class_id, cast(count(*) as bigint) n, round(count(*) / cast(sum(count(*)) over () as double), 6) share from predicted group by 1", "fx_px", "fx_prompts", "fx_classes", windows=_WINDOWS, scaled=_SCALED, scored=_EXP, best=_BEST, points=_POINTS, predicted=_PREDICTED))
+@query(oracle("select class_id, cast(count(*) as bigint) n, round(count(*) / cast(sum(count(*)) over () as double), 6) share from predicted group by 1", "fx_px", "fx_prompts", "fx_classes", windows=_WINDOWS, scaled=_SCALED, places=_PLACES, scored=_EXP, best=_BEST, points=_POINTS, predicted=_PREDICTED))
 def predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class distribution of the predicted mask."""
     from rasterweave.operators.stats import class_distribution
@@ -78,12 +81,20 @@ def predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(class_distribution(mask), "share")
 
 
-_VAL = f"select * from fx_tile_meta where source in (select source from (select source, row_number() over (order by lpad(cast({_H.format('source')} as varchar), 10, '0') || ':' || source) rn, count(*) over () n from (select distinct source from fx_tile_meta)) where rn <= ceil(n * 0.2e0))"
+_TILES = "select tile_id id, concat('scene_', cast(tile_id % 20 as varchar)) source, list_sort(list_distinct(list(target))) class_ids from fx_scores group by 1"
+_VAL = f"select * from tiles where source in (select source from (select source, row_number() over (order by lpad(cast({_H.format('source')} as varchar), 10, '0') || ':' || source) rn, count(*) over () n from (select distinct source from tiles)) where rn <= ceil(n * 0.2e0))"
+_SAMPLED = f"select id, source, (select string_agg(coalesce(label, concat('cls', c)), '|' order by c) from (select unnest(class_ids) c) u left join fx_classes on class_id = c) labels from (select * from (select * from val order by {_HID}, id limit 200) where list_contains(class_ids, 2)) order by {_HID}, id limit 50"
+_SHARES = "select tile_id id, string_agg(concat(cast(target as varchar), ':', cast(round(n * 1000 / t) as int)), ',' order by target) shares from (select tile_id, target, count(*) n, sum(count(*)) over (partition by tile_id) t from fx_scores group by 1, 2) group by 1"
 
 
-@query(oracle(f"select id, source, coverage_ratio, (select string_agg(label, '|' order by class_id) from (select unnest(class_ids) c) u join fx_classes on class_id = c) labels from (select * from (select * from val order by {_HID}, id limit 200) where list_contains(class_ids, 2)) order by {_HID}, id limit 50", "fx_tile_meta", "fx_classes", val=_VAL))
+@query(oracle(f"""select id, source, labels, shares, r, c, rgb, k colour, case when target = 0 then rgb else {_MIX} end overlay from (select id, source, labels, shares, f.r, f.c, target, {_RGB8} rgb, {_RGB.format('target')} k
+ from sampled join shares using (id) join fx_scores f on f.tile_id = id join bb on bb.tile_id = f.tile_id and bb.r = f.r and bb.c = f.c)""", "fx_px", "fx_scores", "fx_classes", bb=_BANDS, tiles=_TILES, val=_VAL, sampled=_SAMPLED, shares=_SHARES))
 def sample_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.sample_report(fixture(spark, sf_dir, "fx_tile_meta"), 2, 50)
+    scores = fixture(spark, sf_dir, "fx_scores").select(F.col("tile_id").alias("id"), "r", "c", F.col("target").alias("class_id"))
+    tiles = scores.groupBy("id").agg(F.sort_array(F.collect_set("class_id")).alias("class_ids")).withColumn("source", F.concat(F.lit("scene_"), F.col("id") % 20))
+    out = jobs.sample_report(tiles, bands_of(fixture(spark, sf_dir, "fx_px")).withColumnRenamed("tile_id", "id"), scores, 2, 50)
+    shares = F.array_join(F.transform(F.map_entries("shares"), lambda e: F.concat(e["key"].cast("string"), F.lit(":"), F.round(e["value"] * 1000).cast("int").cast("string"))), ",")
+    return out.withColumn("shares", shares)
 
 
 @query()

@@ -62,11 +62,14 @@ def write_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 _META_ROWS = oracle("select id, source, shard, trow, tcol, coverage_ratio, class_ids from fx_tile_meta", "fx_tile_meta")
 
 
-@query(_META_ROWS)
+@query(oracle("select m.*, total_tiles, shards, (select cast(count(*) as bigint) from fx_tile_meta where list_contains(class_ids, 2)) with_roads from fx_meta m, (select cast(count(*) as bigint) total_tiles, cast(count(distinct shard) as bigint) shards from fx_tile_meta)", "fx_tile_meta", fx_meta="select id, source, shard, trow, tcol, coverage_ratio, class_ids from fx_tile_meta"))
 def write_tile_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was written, with parts of the summary document."""
     path = scratch(spark, "meta")
     sinks.write_tile_meta(fixture(spark, sf_dir, "fx_tile_meta"), path)
-    return sinks.read_tile_meta(spark, path)
+    roads = F.filter("classes", lambda c: c["class_id"] == 2)
+    summary = sinks.read_summary(spark, path).select("total_tiles", "shards", F.coalesce(F.get(roads, F.lit(0))["tiles"], F.lit(0)).cast("bigint").alias("with_roads"))
+    return sinks.read_tile_meta(spark, path).crossJoin(F.broadcast(summary))
 
 
 @query(oracle("select cast(count(*) as bigint) total_tiles, cast(count(distinct source) as bigint) sources, cast(count(class_ids) as bigint) with_classes from fx_tile_meta", "fx_tile_meta"))

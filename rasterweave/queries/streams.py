@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from rasterweave.fixtures import fixture, oracle
 from rasterweave.model import class_map
 from rasterweave.operators import filters
-from rasterweave.queries.windows import _IMPROVED, EARLY_SQL
+from rasterweave.queries.aggregations import _RAREST
+from rasterweave.queries.windows import _IMPROVED, _share, EARLY_SQL
 from rasterweave.registry import query
 from rasterweave.session import scratch
 from rasterweave.streaming import alerts, progress, shards
@@ -62,12 +63,13 @@ def progress_snapshots_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(oracle(EARLY_SQL.replace("epoch - coalesce(", "cast(epoch - coalesce(", 1).replace("0) since", "0) as int) since", 1), "fx_epochs", improved=_IMPROVED))
 def stream_early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From a stream that is resumed as epochs arrive."""
     epochs = fixture(spark, sf_dir, "fx_epochs").select("run_id", "epoch", "val_miou")
-    path = scratch(spark, "epochs")
-    for part in ("epoch <= 10", "epoch > 10 and epoch <= 30", "epoch > 30"):  # arrives in order
-        epochs.where(part).coalesce(1).write.mode("append").parquet(path)
-    stream = spark.readStream.schema(epochs.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    return progress.drained(progress.stream_early_stop(stream), scratch(spark, "checkpoint"), scratch(spark, "stops"))
+    path, checkpoint, out = (scratch(spark, x) for x in ("epochs", "checkpoint", "stops"))
+    for part in ("epoch <= 10", "epoch > 10 and epoch <= 30", "epoch > 30"):
+        epochs.where(part).write.mode("append").parquet(path)
+        found = progress.drained(progress.stream_early_stop(spark.readStream.schema(epochs.schema).parquet(path)), checkpoint, out)
+    return found
 
 
 @query()
@@ -78,11 +80,16 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(store).groupBy("shard").agg(F.count("*").alias("tiles"), F.min("coverage_ratio").alias("least_coverage"))
 
 
-@query(oracle(f"select shard, b batch, greatest({CEILING} - b * 300 * {TILE_BYTES}, 1073741824) budget, cast(least(n, ceil(greatest({CEILING} - b * 300 * {TILE_BYTES}, 1073741824) / {TILE_BYTES}e0)) as bigint) admitted from (select shard, cast(right(shard, 1) as bigint) - 1 b, count(*) n from fx_tile_meta group by 1, 2)", "fx_tile_meta"))
+_KEPT = f"select shard, rarest, least(count(*), any_value(quota)) n from (select shard, {_RAREST} rarest from fx_tile_meta) join (select class_id, {_share(300)} quota from fx_classes) on class_id = rarest group by 1, 2"
+_STORED = f"select shard, cast(right(shard, 1) as bigint) - 1 b, count(*) n, greatest({CEILING} - {TILE_BYTES} * cast(coalesce((select sum(n) from kept k where k.shard < m.shard), 0) as bigint), 1073741824) budget from fx_tile_meta m group by 1, 2"
+
+
+@query(oracle(f"select shard, b batch, cast(budget as bigint) budget, cast(least(n, ceil(budget / {TILE_BYTES}e0)) as bigint) admitted from stored", "fx_tile_meta", "fx_classes", kept=_KEPT, stored=_STORED))
 def stream_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every shard has tiles of every class here, so quotas are those of all classes."""
     path, schema = landed(spark, sf_dir)
     log = scratch(spark, "budgets")
-    shards.stream_budget(spark, path, schema, scratch(spark, "checkpoint"), log, CEILING, TILE_BYTES, 300)
+    shards.stream_budget(spark, path, schema, scratch(spark, "checkpoint"), log, CEILING, TILE_BYTES, scratch(spark, "store"), class_map(4), 300)
     return spark.read.parquet(f"{log}/*")
 
 
@@ -110,8 +117,33 @@ def alert_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return progress.alert_once(failures(spark, sf_dir)).select("event_id", "run_id", "value")
 
 
-@query("select event_id, user_id, event_type from (select *, coalesce(max(case when event_type = 'purchase' then 1 else 0 end) over (partition by user_id order by ts, event_id rows between unbounded preceding and 1 preceding), 0) over_ from events) where over_ = 0")
+_UNTIL = "select event_id, user_id, event_type from (select *, coalesce(max(case when event_type = 'purchase' then 1 else 0 end) over (partition by user_id order by ts, event_id rows between unbounded preceding and 1 preceding), 0) over_ from events) where over_ = 0"
+
+
+@query(_UNTIL)
 def suppress_after_done(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A purchase ends a user's run."""
     events = fixture(spark, sf_dir, "events").withColumn("run_id", F.col("user_id")).withColumn("done", F.col("event_type") == "purchase")
     return progress.suppress_after_done(events).select("event_id", "user_id", "event_type")
+
+
+@query()
+def alert_once_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One failure of each run within the watermark's delay."""
+    path = scratch(spark, "failures")
+    failures(spark, sf_dir).write.parquet(path)
+    stream = spark.readStream.schema("event_id bigint, ts timestamp, run_id string, value double").parquet(path)
+    return progress.drained(progress.alert_once_stream(progress.watermarked(stream)), scratch(spark, "checkpoint"), scratch(spark, "alerts")).select("run_id")
+
+
+@query(_UNTIL)
+def suppress_after_done_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As suppress_after_done, from a stream that is resumed when the later half of the events is there."""
+    events = fixture(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", F.col("user_id").alias("run_id"), (F.col("event_type") == "purchase").alias("done"))
+    path, checkpoint, out = (scratch(spark, x) for x in ("events", "checkpoint", "undone"))
+    middle = events.agg(F.percentile_approx("ts", 0.5)).first()[0]
+    for half in (F.col("ts") <= F.lit(middle), F.col("ts") > F.lit(middle)):
+        events.where(half).write.mode("append").parquet(path)
+        stream = progress.suppress_after_done_stream(spark.readStream.schema(events.schema).parquet(path))
+        found = progress.drained(stream, checkpoint, out)
+    return found.select("event_id", "user_id", "event_type")

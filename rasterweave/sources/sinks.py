@@ -14,7 +14,15 @@ def write_tiles(tiles: DataFrame, path: str) -> None:
 
 
 def write_tile_meta(meta: DataFrame, path: str) -> None:
+    """The rows, and beside them a summary: tiles, sources, shards, and how many tiles show each class, as one document."""
     meta.write.mode("overwrite").json(path)
+    by_class = meta.select(F.explode("class_ids").alias("c")).groupBy("c").agg(F.count("*").alias("n")).agg(F.sort_array(F.collect_list(F.struct(F.col("c").alias("class_id"), F.col("n").alias("tiles")))).alias("classes"))  # a row per class
+    whole = meta.agg(F.count("*").alias("total_tiles"), F.countDistinct("source").alias("sources"), F.countDistinct("shard").alias("shards"))
+    whole.crossJoin(F.broadcast(by_class)).write.mode("overwrite").json(f"{path}-summary")
+
+
+def read_summary(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("total_tiles bigint, sources bigint, shards bigint, classes array<struct<class_id:int,tiles:bigint>>").json(f"{path}-summary")
 
 
 def read_tile_meta(spark: SparkSession, path: str) -> DataFrame:

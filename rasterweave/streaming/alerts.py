@@ -16,3 +16,10 @@ def alert_rows(state: DataFrame) -> DataFrame:
         "run_id", F.when(F.col("failed"), "error").otherwise("progress").alias("kind"), F.when(F.col("failed"), "critical").otherwise(miou_band(F.col("best_e4") / 10000)).alias("severity"),
         subject.alias("subject"), F.when(F.col("failed"), "see the log tail").otherwise("training goes on").alias("next_step"),
     )
+
+
+def complete_rows(done: DataFrame) -> DataFrame:
+    """done (run_id, step, total, best_e4, best_epoch, epochs): a folder is over, as an alert row like those of alert_rows."""
+    best = F.concat(F.lit("0."), F.lpad(F.col("best_e4").cast("string"), 4, "0"))
+    subject = F.concat(F.lit("["), "run_id", F.lit("] done ("), "step", F.lit("/"), "total", F.lit("), best mIoU "), best, F.lit(" at epoch "), "best_epoch", F.lit(" of "), "epochs")
+    return done.select("run_id", F.lit("complete").alias("kind"), miou_band(F.col("best_e4") / 10000).alias("severity"), subject.alias("subject"), F.when(F.col("step") < F.col("total"), F.concat(F.lit("next: folder "), F.col("step") + 1)).otherwise("all folders are done").alias("next_step"))

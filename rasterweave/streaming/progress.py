@@ -37,6 +37,31 @@ def suppress_after_done(events: DataFrame) -> DataFrame:
     return events.withColumn("over", F.coalesce(F.max(F.col("done").cast("int")).over(before), F.lit(0))).where("over = 0").drop("over")
 
 
+class UntilDone(StatefulProcessor):
+    """Per run: whether it is done; emits its events before and at the first done flag."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("done", "done boolean")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+        frame = pd.concat(list(rows)).sort_values(["ts", "event_id"], ignore_index=True)
+        if self.state.exists():
+            frame = frame.iloc[:0]
+        elif frame["done"].any():
+            self.state.update((True,))
+            frame = frame.iloc[: int(frame["done"].to_numpy().argmax()) + 1]
+        yield frame
+
+    def close(self) -> None:
+        pass
+
+
+def suppress_after_done_stream(events: DataFrame) -> DataFrame:
+    """A stream of (run_id, event_id, ts, done, ...), in order of arrival, without what comes after a run's first done flag."""
+    use_rocksdb(events.sparkSession)
+    return events.groupBy("run_id").transformWithStateInPandas(UntilDone(), events.schema, "Append", "None")
+
+
 class EarlyStop(StatefulProcessor):
     """Per run: best value so far (strictly greater, from 0), epochs since; emits each epoch, and stops once."""
 

@@ -58,15 +58,16 @@ def stream_replay(spark: SparkSession, source: str, schema, checkpoint: str, sto
     drain(spark, source, schema, checkpoint, each)
 
 
-def stream_budget(spark: SparkSession, source: str, schema, checkpoint: str, log: str, ceiling: int, bytes_per_tile: int, replay_tiles: int) -> None:
-    """For each shard the bytes that replay of the shards before it leaves, and how many tiles fit."""
+def stream_budget(spark: SparkSession, source: str, schema, checkpoint: str, log: str, ceiling: int, bytes_per_tile: int, store: str, weights: dict[int, float], n: int) -> None:
+    """For each shard the bytes that the replay store, as the shards before have left it, leaves, and how many tiles fit; then the shard's own slice joins the store."""
 
     def each(batch: DataFrame, number: int) -> None:
-        replay = F.lit(number * replay_tiles * bytes_per_tile).cast("bigint")
-        budget = processed_budget(F.lit(ceiling).cast("bigint"), replay)
-        sized = batch.select("id", "shard", F.lit(bytes_per_tile).cast("bigint").alias("bytes"))
-        most = budget / bytes_per_tile
-        row = sized.groupBy("shard").agg(F.count("*").alias("tiles")).select("shard", F.lit(number).cast("bigint").alias("batch"), budget.alias("budget"), F.least("tiles", F.ceil(most)).alias("admitted"))
+        replay = sinks.read_replay(spark, store).count() * bytes_per_tile
+        budget = processed_budget(F.lit(ceiling).cast("bigint"), F.lit(replay).cast("bigint"))
+        sized = batch.select("id", "shard")
+        row = sized.groupBy("shard").agg(F.count("*").alias("tiles")).select("shard", F.lit(number).cast("bigint").alias("batch"), budget.alias("budget"), F.least("tiles", F.ceil(budget / bytes_per_tile)).alias("admitted"))
         row.write.mode("overwrite").parquet(f"{log}/batch={number}")
+        chosen = selection.replay_select(batch, classes(spark), weights, n)
+        sinks.write_replay(chosen.select("id", "source", "trow", "tcol", "coverage_ratio", "class_ids", "shard"), store)
 
     drain(spark, source, schema, checkpoint, each)
