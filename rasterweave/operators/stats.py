@@ -50,9 +50,9 @@ def clip(x: Column, lo: float, hi: float) -> Column:
     return F.least(F.greatest(x, F.lit(lo)), F.lit(hi))
 
 
-def percentile_scale(pixels: DataFrame, *keys: str) -> DataFrame:
-    """clip((v - p2) / (p98 - p2 + 1e-6), 0, 1) per group and band, whose pixels a task can hold. A row per group and band joins back."""
-    joined = pixels.join(band_percentiles(pixels, *keys), [*keys, "band"])
+def percentile_scale(pixels: DataFrame, *keys: str, spread: bool = False) -> DataFrame:
+    """clip((v - p2) / (p98 - p2 + 1e-6), 0, 1) per group and band; spread as in band_percentiles. A row per group and band joins back."""
+    joined = pixels.join(band_percentiles(pixels, *keys, spread=spread), [*keys, "band"])
     return joined.withColumn("v", clip((F.col("v") - F.col("p_lo")) / (F.col("p_hi") - F.col("p_lo") + 1e-6), 0.0, 1.0)).drop("p_lo", "p_hi")
 
 

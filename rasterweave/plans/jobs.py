@@ -25,22 +25,27 @@ def inspect(rasters: DataFrame, edges: DataFrame, pixels: DataFrame) -> DataFram
     return found.select("raster_id", "pixel_count", "raw_mb", "large", "layers", F.coalesce("features", F.lit(0)).cast("bigint").alias("features"), "band_means")
 
 
-def preprocess(pixels: DataFrame, edges: DataFrame, classes: DataFrame, weights: dict[int, float], stem: str, tile: int, step: int, max_tiles: int) -> DataFrame:
-    """Pixels (band, gr, gc, v) and edges to the metadata of the tiles that are kept.
+def preprocess(pixels: DataFrame, edges: DataFrame, classes: DataFrame, weights: dict[int, float], stem: str, tile: int, step: int, max_tiles: int, budget: int, seed: int = 42) -> DataFrame:
+    """Pixels (band, gr, gc, v) and edges to the metadata of the tiles that are kept, in a seeded order up to a budget in bytes, and summed up in used_gb and total_tiles.
 
-    Polygons are burned once for the whole raster; every pixel knows whether it is valid and its class before it is dealt to its tiles, so the pixel
-    grid is shuffled once for bands and once for tiles. Quotas are two window functions over tile rows.
+    Bands are scaled between their percentiles over the whole raster. Polygons are burned once; every pixel knows whether it is valid, its class and its scaled mean
+    before it is dealt to its tiles, so the pixel grid is shuffled for bands and for tiles only. Quotas are two window functions over tile rows.
     """
-    size = pixels.agg((F.max("gr") + 1).alias("height"), (F.max("gc") + 1).alias("width"))
-    height, width = (int(x) for x in size.first())
+    size = pixels.agg((F.max("gr") + 1).alias("height"), (F.max("gc") + 1).alias("width"), F.count_distinct("band").alias("bands"))
+    height, width, bands = (int(x) for x in size.first())
     mask = spatial.overlay_by_priority(spatial.rasterize_polygons(edges, "class_id", "fid", height=height, width=width), classes)
-    valid = filters.valid_mask(pixels, ["gr", "gc"])
+    scaled = stats.percentile_scale(pixels.select(F.lit(0).alias("raster"), "band", "gr", "gc", "v", F.col("v").alias("raw")), "raster", spread=True)
+    valid = scaled.groupBy("gr", "gc").agg(F.bool_or(F.col("raw") != 0).alias("valid"), F.avg("v").alias("shade"))
     px = valid.join(mask.select(F.col("row").alias("gr"), F.col("col").alias("gc"), "class_id"), ["gr", "gc"], "left").withColumn("class_id", F.coalesce("class_id", F.lit(0)))
     dealt = grid.crop_tiles(px, tile, step, F.lit(height), F.lit(width))
-    tiles = dealt.groupBy("tile_row", "tile_col").agg(F.avg(F.col("valid").cast("double")).alias("valid_ratio"), F.avg((F.col("class_id") > 0).cast("double")).alias("coverage_ratio"), F.sort_array(F.collect_set("class_id")).alias("class_ids"))
+    tiles = dealt.groupBy("tile_row", "tile_col").agg(F.avg(F.col("valid").cast("double")).alias("valid_ratio"), F.avg((F.col("class_id") > 0).cast("double")).alias("coverage_ratio"), F.sort_array(F.collect_set("class_id")).alias("class_ids"), F.avg("shade").alias("shade"))
     kept = filters.filter_tiles_quality(tiles).withColumn("id", scalars.tile_id(F.lit(stem), "tile_row", "tile_col"))
     capped = selection.cap_by_tokens(selection.with_rarest(kept, weights), selection.allocate_tokens(classes, max_tiles), max_tiles)
-    return capped.select("id", "tile_row", "tile_col", "valid_ratio", "coverage_ratio", "class_ids", "rarest")
+    one = tile * tile * (bands * 4 + 1)
+    ordered = capped.withColumns({"bytes": F.lit(one).cast("bigint"), "place": F.concat(F.lpad(scalars.hash_number(seed, "id").cast("string"), 10, "0"), F.lit(":"), "id")})
+    chosen = saved(selection.cap_by_bytes(ordered, budget, order="place").drop("before"), "chosen")
+    summary = stats.run_summary(chosen, stats.class_tile_counts(chosen, classes), budget / scalars.GIB, one).select("total_tiles", "used_gb")
+    return chosen.select("id", "tile_row", "tile_col", "valid_ratio", "coverage_ratio", "class_ids", "rarest", "shade").crossJoin(F.broadcast(summary))
 
 
 def build_training_set(current: DataFrame, replay: DataFrame, weights: dict[int, float], batch: int = 2, seed: int = 42) -> DataFrame:

@@ -27,17 +27,21 @@ def inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.inspect(fixture(spark, sf_dir, "fx_rasters"), fixture(spark, sf_dir, "fx_edges"), pixels)
 
 
-_TILED = """select tr * 12 tile_row, tc * 12 tile_col, avg(case when ok then 1e0 else 0e0 end) valid_ratio, avg(case when class_id > 0 then 1e0 else 0e0 end) coverage_ratio, list_sort(list_distinct(list(class_id))) class_ids
- from (select gr, gc, ok, coalesce(class_id, 0) class_id from (select gr, gc, bool_or(v <> 0) ok from fx_px group by 1, 2) left join mask on mask.row = gr and mask.col = gc) p, (select range tr from range(50)), (select range tc from range(50))
+_SHADED = """select gr, gc, bool_or(v <> 0) ok, avg(least(greatest((v - lo) / (hi - lo + 1e-6), 0), 1)) shade from fx_px join (select band, quantile_cont(v, 0.02e0) lo, quantile_cont(v, 0.98e0) hi from fx_px group by 1) using (band) group by 1, 2"""
+_TILED = """select tr * 12 tile_row, tc * 12 tile_col, avg(case when ok then 1e0 else 0e0 end) valid_ratio, avg(case when class_id > 0 then 1e0 else 0e0 end) coverage_ratio, list_sort(list_distinct(list(class_id))) class_ids, avg(shade) shade
+ from (select gr, gc, ok, shade, coalesce(class_id, 0) class_id from shaded left join mask on mask.row = gr and mask.col = gc) p, (select range tr from range(50)), (select range tc from range(50))
  where gr between tr * 12 and tr * 12 + 15 and gc between tc * 12 and tc * 12 + 15 and tr * 12 + 16 <= (select max(gr) + 1 from fx_px) and tc * 12 + 16 <= (select max(gc) + 1 from fx_px) group by 1, 2"""
 _KEPT = f"select *, printf('scene_r%06d_c%06d', tile_row, tile_col) id, {_RAREST} rarest from tiled where valid_ratio >= 0.1e0 and coverage_ratio >= 0.05e0"
 _TOKENS40 = f"select class_id, cast(case when class_id = 0 then t + 40 - sum(t) over () else t end as bigint) tokens from (select class_id, {_share(40)} t from fx_classes)"
+#: Bytes of a tile of 16 pixels with four bands; the budget is met within the 13th.
+_ONE, _BUDGET = 16 * 16 * 17, 12 * 16 * 16 * 17 + 1
+_CHOSEN = f"select * from (select *, coalesce(sum({_ONE}) over (order by lpad(cast({_HID} as varchar), 10, '0') || ':' || id rows between unbounded preceding and 1 preceding), 0) before from (select *, row_number() over (partition by rarest order by id) rn from kept) join tokens on class_id = rarest where rn <= tokens) where before < {_BUDGET}"
 
 
-@query(oracle("select id, tile_row, tile_col, round(valid_ratio, 9) valid_ratio, round(coverage_ratio, 9) coverage_ratio, class_ids, rarest from (select *, row_number() over (partition by rarest order by id) rn from kept) join tokens on class_id = rarest where rn <= tokens", "fx_px", "fx_edges", "fx_classes", grid=_GRID, inside=_INSIDE, mask=_MASK, tiled=_TILED, kept=_KEPT, tokens=_TOKENS40))
+@query(oracle(f"select id, tile_row, tile_col, round(valid_ratio, 9) valid_ratio, round(coverage_ratio, 9) coverage_ratio, class_ids, rarest, round(shade, 6) shade, cast(count(*) over () as bigint) total_tiles, round(count(*) over () * {_ONE} / 1073741824e0, 9) used_gb from chosen", "fx_px", "fx_edges", "fx_classes", grid=_GRID, inside=_INSIDE, mask=_MASK, shaded=_SHADED, tiled=_TILED, kept=_KEPT, tokens=_TOKENS40, chosen=_CHOSEN))
 def preprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = jobs.preprocess(fixture(spark, sf_dir, "fx_px"), fixture(spark, sf_dir, "fx_edges"), classes(spark), class_map(4), "scene", 16, 12, 40)
-    return rounded(out, "valid_ratio", "coverage_ratio", digits=9)
+    out = jobs.preprocess(fixture(spark, sf_dir, "fx_px"), fixture(spark, sf_dir, "fx_edges"), classes(spark), class_map(4), "scene", 16, 12, 40, _BUDGET)
+    return rounded(rounded(out, "valid_ratio", "coverage_ratio", "used_gb", digits=9), "shade")
 
 
 _CURRENT = "select id, class_ids, row_number() over (order by lpad(cast(" + _HID + " as varchar), 10, '0') || ':' || id) > ceil(count(*) over () * 0.2e0) train from fx_tile_meta where shard = 'shard_1'"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -37,9 +38,11 @@ def local_session(cpus: int = 8, **conf: str) -> SparkSession:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder that all executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """A fresh path in the folder that all executors share: spark.checkpoint.dir. Where that is unset, one of our own on a single machine (tests), an error on a cluster."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not re.fullmatch(r"local(\[[^\[]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", at)
     return f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex}"
