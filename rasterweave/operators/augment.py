@@ -102,15 +102,21 @@ def sharpen(pixels: DataFrame, size: int, alpha: float = 0.3) -> DataFrame:
     return pixels.join(blurred, ["tile_id", "band", "r", "c"]).select("tile_id", "band", "r", "c", (F.col("v") + alpha * (F.col("v") - F.col("_b"))).alias("v"))
 
 
-def elastic(pixels: DataFrame, size: int, alpha: float = 60.0, sigma: float = 6.0, window: int = 5, seed: int = 42) -> DataFrame:
-    """Places shift by a smoothed noise field, one per tile and axis."""
+def smoothed(pixels: DataFrame, size: int, sigma: float) -> DataFrame:
+    """Blurred by a Gaussian out to three deviations: along columns, then along rows, so a pixel meets 2 * 3 * sigma others twice, not their square."""
+    half = min(round(3 * sigma), size - 1)
+    raw = [(i, exp(-i * i / (2 * sigma * sigma))) for i in range(-half, half + 1)]
+    down = convolve(pixels, [(i, 0, w) for i, w in raw], size)
+    return convolve(down, [(0, i, w) for i, w in raw], size)
+
+
+def elastic(pixels: DataFrame, size: int, alpha: float = 60.0, sigma: float = 6.0, seed: int = 42) -> DataFrame:
+    """Places shift by alpha times a smoothed noise field, one per tile and axis."""
     places = pixels.select("tile_id", "r", "c").distinct()
     noise = places.select("tile_id", F.explode(F.array(F.lit(0), F.lit(1))).alias("band"), "r", "c").withColumn("v", hash_uniform(seed, "tile_id", "band", "r", "c") * 2 - 1)
-    field = convolve(noise, kernel(window, sigma), size)
-    dr, dc = field.where("band = 0").select("tile_id", "r", "c", F.col("v").alias("_dr")), field.where("band = 1").select("tile_id", "r", "c", F.col("v").alias("_dc"))
-    scale = alpha / (10 * sigma)
-    shifted = pixels.join(dr, ["tile_id", "r", "c"]).join(dc, ["tile_id", "r", "c"])
-    return remap(shifted, F.col("r") + scale * F.col("_dr"), F.col("c") + scale * F.col("_dc"))
+    field = smoothed(noise, size, sigma).groupBy("tile_id", "r", "c").pivot("band", [0, 1]).agg(F.first("v"))
+    shifted = pixels.join(field.withColumnsRenamed({"0": "_dr", "1": "_dc"}), ["tile_id", "r", "c"])
+    return remap(shifted, F.col("r") + alpha * F.col("_dr"), F.col("c") + alpha * F.col("_dc"))
 
 
 def brightness_contrast(pixels: DataFrame, contrast: float, brightness: float) -> DataFrame:

@@ -11,6 +11,7 @@ from rasterweave.operators import filters, metrics, scoring, selection, spatial,
 from rasterweave.session import saved, scratch
 from rasterweave.sources import catalog, sinks
 from rasterweave.streaming import shards
+from rasterweave.streaming.alerts import alert_rows
 
 
 def inspect(rasters: DataFrame, edges: DataFrame, pixels: DataFrame) -> DataFrame:
@@ -99,19 +100,25 @@ def sample_report(tiles: DataFrame, pixels: DataFrame, mask: DataFrame, show_cla
 
 
 def incremental_run(spark: SparkSession, source: str, schema, weights: dict[int, float], classes: DataFrame, n_replay: int, ceiling: int, bytes_per_tile: int) -> DataFrame:
-    """All shards, one after the other: budget, admitted tiles, replay slice, training set. A row per shard."""
+    """All shards, one after the other: budget, admitted tiles, replay slice, training set, the rules of the budget and an alert. A row per shard."""
     store, log = scratch(spark, "store"), scratch(spark, "runs")
 
     def each(batch: DataFrame, number: int) -> None:
         replay = sinks.read_replay(spark, store, batch.schema)
-        budget = int(max(ceiling - replay.count() * bytes_per_tile, scalars.GIB))
+        replay_bytes = replay.count() * bytes_per_tile
+        budget = int(max(ceiling - replay_bytes, scalars.GIB))
         admitted = selection.cap_by_bytes(filters.default_class_ids(batch).withColumn("bytes", F.lit(bytes_per_tile).cast("bigint")), budget).drop("bytes", "before")
+        admitted = saved(admitted, "admitted")
         train = build_training_set(admitted, replay, weights)
         total = train.agg(F.count("*").alias("rows"), F.max("batch").alias("last")).first()
         chosen = selection.replay_select(admitted, classes, weights, n_replay)
         sinks.write_replay(chosen.select(*batch.columns), store)
-        row = [(number, budget, admitted.count(), total.rows, int(total["last"] or 0) + 1)]
-        spark.createDataFrame(row, "batch bigint, budget bigint, admitted bigint, train_rows bigint, train_batches bigint").write.mode("overwrite").parquet(f"{log}/batch={number}")
+        n = admitted.count()
+        rules = (replay_bytes < ceiling, budget >= 1, replay_bytes + n * bytes_per_tile <= ceiling * 1.02)
+        row = [(number, budget, n, total.rows, int(total["last"] or 0) + 1, *rules)]
+        done = spark.createDataFrame(row, "batch bigint, budget bigint, admitted bigint, train_rows bigint, train_batches bigint, replay_ok boolean, budget_ok boolean, total_ok boolean")
+        state = done.select(F.concat(F.lit("shard_"), F.col("batch") + 1).alias("run_id"), F.col("train_batches").alias("epoch"), F.lit(0).alias("best_e4"), (~(F.col("replay_ok") & F.col("budget_ok") & F.col("total_ok"))).alias("failed"))
+        done.crossJoin(alert_rows(state).select("kind", "subject")).write.mode("overwrite").parquet(f"{log}/batch={number}")
 
     shards.drain(spark, source, schema, scratch(spark, "checkpoint"), each)
     return spark.read.parquet(f"{log}/*")

@@ -73,7 +73,11 @@ def affine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(augment.affine(px(spark, sf_dir), 8, 1.1, 20.0, (0.5, -1.0), 0.1))
 
 
-@query()
+_NOISE = f"select tile_id, r, c, {_u('42', 'tile_id', '0', 'r', 'c')} * 2 - 1 x, {_u('42', 'tile_id', '1', 'r', 'c')} * 2 - 1 y from (select distinct tile_id, r, c from fx_px)"
+_FIELD = "select tile_id, r, c, sum(x * w) / sum(w) dr, sum(y * w) / sum(w) dc from (select a.tile_id, a.r, a.c, b.x, b.y, exp(-((a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c)) / 72e0) w from noise a join noise b on a.tile_id = b.tile_id) group by 1, 2, 3"
+
+
+@query(oracle("select p.tile_id, p.band, p.r, p.c, round(coalesce(s.v, 0), 6) v from fx_px p join field f on f.tile_id = p.tile_id and f.r = p.r and f.c = p.c left join fx_px s on s.tile_id = p.tile_id and s.band = p.band and s.r = cast(floor(p.r + 60 * dr + 0.5e0) as int) and s.c = cast(floor(p.c + 60 * dc + 0.5e0) as int)", "fx_px", noise=_NOISE, field=_FIELD))
 def elastic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(augment.elastic(px(spark, sf_dir), 8))
 
