@@ -12,14 +12,27 @@ from rasterweave.session import scratch
 from rasterweave.sources import catalog, sinks
 
 
-@query()
+def _part(name: str):
+    return F.regexp_extract("path", f"/{name}=([^/]*)/", 1)
+
+
+@query(oracle("select shard, source, cast(sum(strlen(id) + 1) as bigint) bytes from fx_tile_meta group by 1, 2", "fx_tile_meta"))
 def scan_raster_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog.list_files(spark, [sf_dir], ("tif", "tiff", "parquet"))
+    """Bytes per folder of files that hold the tiles' ids, a line each; other kinds of files there are left out."""
+    path, meta = scratch(spark, "rasters"), fixture(spark, sf_dir, "fx_tile_meta")
+    meta.select("id", "shard", "source").write.partitionBy("shard", "source").text(path)
+    meta.select("id", "shard", "source").write.mode("append").partitionBy("shard", "source").json(path)
+    files = catalog.list_files(spark, [path], ("txt", "tif"))
+    return files.groupBy(_part("shard").alias("shard"), _part("source").alias("source")).agg(F.sum("length").alias("bytes"))
 
 
-@query()
+@query(oracle("select class_id, cast(sum(strlen(concat_ws(',', fid, x0, y0, x1, y1)) + 1) as bigint) bytes from fx_edges group by 1", "fx_edges"))
 def scan_vector_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog.list_files(spark, [sf_dir, sf_dir], ("shp", "parquet"))
+    """Bytes per layer of files of edges; a root that is named twice counts once."""
+    path = scratch(spark, "vectors")
+    fixture(spark, sf_dir, "fx_edges").select("class_id", "fid", "x0", "y0", "x1", "y1").write.partitionBy("class_id").csv(path)
+    files = catalog.list_files(spark, [path, path], ("shp", "csv"))
+    return files.groupBy(_part("class_id").cast("int").alias("class_id")).agg(F.sum("length").alias("bytes"))
 
 
 _LAYERS = "case class_id when 0 then 'src1_1.tif' when 1 then 'src2_2.shp' when 2 then 'src5_5.shp' else 'src4_4.shp' end"
