@@ -21,28 +21,91 @@ def test_fingerprints_of_edge_cases(spark):
 
 
 def test_next_goes_round_in_descending_order(spark):
-    for ids in ([5], [3, 1, 2], [10, -4, 1 << 60, 7, None, 8]):
-        rows = spark.createDataFrame([(i, f"t{i}") for i in ids], "doc_id bigint, text string")
+    for ids in ([5], [3, 1, 2], [10, -4, 1 << 60, 7, None, 8], [None, 1, 2, 7], [-(1 << 63), (1 << 63) - 1]):
+        rows = spark.createDataFrame([(i, f"t{i}", i, i, i, i) for i in ids], "doc_id bigint, text string, key bigint, half bigint, row bigint, following bigint")
         order = sorted(ids, key=lambda i: (i is None, 0 if i is None else -i))
-        got = {r.doc_id: r.following.text for r in fingerprint.with_next(rows, "doc_id", ["text"]).collect()}
-        assert got == {d: f"t{order[(k + 1) % len(order)]}" for k, d in enumerate(order)}
+        got = {r.doc_id: (r.key, r.half, r.row, r.following.text) for r in fingerprint.with_next(rows, "doc_id", ["text"]).collect()}
+        assert got == {d: (d, d, d, f"t{order[(k + 1) % len(order)]}") for k, d in enumerate(order)}
     many = spark.range(0, 60_000, 3).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
     wrong = fingerprint.with_next(many, "doc_id", ["text"]).where("following.text <> cast(if(doc_id = 0, 59997, doc_id - 3) as string)")
     assert wrong.isEmpty()
 
 
+def test_next_among_clustered_and_repeated_ids(spark, monkeypatch):
+    """A third of the rows have one id, and others are close together or far apart: no bucket takes many rows."""
+    monkeypatch.setattr(fingerprint, "ROWS_IN_BUCKET", 64)
+    ids = [None] * 1500 + [7] * 1500 + list(range(1000, 2500)) + [k << 40 for k in range(1, 400)]
+    docs = [(d, f"{k}") for k, d in enumerate(ids)]
+    rows = fingerprint.with_next(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4), "doc_id", ["text"])
+    out = [(r.doc_id, r.text, r.following.text) for r in rows.collect()]
+    after, id_of = {t: n for _, t, n in out}, {t: d for d, t, _ in out}
+    assert sorted(after) == sorted(t for _, t in docs) == sorted(after.values())  # one round through all rows
+    low = lambda d: -(1 << 63) if d is None else d
+    assert sum(low(id_of[t]) < low(id_of[n]) for t, n in after.items()) == 1
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "32"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    rows = fingerprint.with_next(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4), "doc_id", ["text"])
+    assert rows.rdd.mapPartitions(lambda x: [sum(1 for _ in x)]).max() < 1000
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def leaf_lengths(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select("i", fingerprint.paragraphs(F.col("text")).alias("p"))
+    return {r.i: r.p for r in rows.collect()}
+
+
+def test_paragraphs_make_up_the_text(spark):
+    draw = np.random.default_rng(3)
+    texts = ["".join(draw.choice(list("ab. \n!漢"), n)) for n in (1, 30, 300, 3000)] + ["漢" * 8000, "word " * 900, "x" * 1000 + " y. " * 9, "", "a.\nb", "".join(f"w{i} " for i in range(3000)), "😀" * 700]
+    got = leaf_lengths(spark, texts)
+    for i, t in enumerate(texts):
+        assert "".join(got[i]) == t and all(0 < len(p) <= fingerprint.LONG for p in got[i])
+    before, after = (leaf_lengths(spark, [t])[0] for t in (texts[9], "in front of " + texts[9]))
+    assert len(set(before) & set(after)) > 0.9 * len(before)  # cuts of long paragraphs move along
+
+
+def test_likeness_and_edits_against_plain_versions(spark):
+    draw = np.random.default_rng(5)
+    pairs = []
+    for n in (0, 1, 5, 40, 400):
+        a = [f"s{draw.integers(0, 60)} and so." for _ in range(n)]
+        for _ in range(6):
+            b, i, j = list(a), *sorted(draw.integers(0, n + 1, 2).tolist())
+            b[i:j] = [f"new {draw.integers(0, 9)}!" for _ in range(draw.integers(0, 4))]
+            pairs.append((" ".join(a), " ".join(b)))
+    pairs += [("line\n" * 1000, "line\n" * 500 + "x" * 2500), ("line\n" * 1000, "line\n"), ("", "a"), ("", "")]
+    c, told = F.col, lambda x: fingerprint.told_apart(fingerprint.paragraphs_of(F.col(f"s{x}")))
+    rows = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string")
+    rows = rows.select("i", *[fingerprint.paragraphs(c(x)).alias(f"l{x}") for x in "ab"], *[fingerprint.fingerprint(fingerprint.section_strings(c(x))).alias(f"p{x}") for x in "ab"])
+    rows = rows.withColumns({f"s{x}": fingerprint.sections_of(c(f"p{x}")) for x in "ab"})
+    rows = rows.withColumns({f"t{x}": told(x) for x in "ab"}).withColumn("edit", fingerprint.edit(c("sa"), c("sb")))
+    for r in rows.select("*", fingerprint.likeness(c("pa"), c("pb"), c("ta"), c("tb")).alias("near"), "edit.start", "edit.end").collect():
+        a, b = pairs[r.i]
+        both = Counter(r.la) & Counter(r.lb)
+        assert abs(r.near - (1.0 if a == b else sum(len(p) * k for p, k in both.items()) / max(len(a), len(b), 1))) < 1e-12
+        assert (r.pa == r.pb) == (a == b)
+        first = next((k for k, (x, y) in enumerate(zip(r.la, r.lb, strict=False)) if x != y), min(len(r.la), len(r.lb)))
+        assert r.start == sum(map(len, r.lb[:first])) and r.start <= r.end <= len(b)
+        assert a[: r.start] == b[: r.start] and a[len(a) - (len(b) - r.end) :] == b[r.end :]
+
+
 def test_query_fingerprints(spark):
     docs = sorted(((r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF}/documents.parquet").collect()), reverse=True)
     rows = {r.doc_id: r for r in fingerprint.op1_fingerprint(spark, SF).collect()}
     assert len(rows) == len(docs)
+    leaves = leaf_lengths(spark, [t for _, t in docs])
     for i, (doc_id, text) in enumerate(docs):
-        half = len(text) // 2
-        r = rows[doc_id]
-        assert (r.n_chars, r.edited_sha256) == (len(text), sha(text[: len(text) - half] + docs[(i + 1) % len(docs)][1][:half]))
-        assert 0 <= r.near_next <= 1 and 0 <= r.near_edited <= 1
-        pieces = text.split(". ")  # repeated paragraphs count once, and long ones are cut whole
-        if len(pieces) > 10 and len(set(pieces)) > 0.9 * len(pieces) and max(map(len, pieces)) < len(text) / 8 and r.near_next == 0:
-            assert 0.2 < r.near_edited < 0.9
+        half, following, r = len(text) // 2, (i + 1) % len(docs), rows[doc_id]
+        edited = text[: len(text) - half] + docs[following][1][:half]
+        assert (r.n_chars, r.edited_sha256) == (len(text), sha(edited))
+        near = sum(len(p) * k for p, k in (Counter(leaves[i]) & Counter(leaves[following])).items()) / max(len(text), len(docs[following][1]), 1)
+        assert abs(r.near_next - (1 if text == docs[following][1] else near)) < 1e-12 and 0 <= r.near_edited <= 1
+        assert len(text) - half - fingerprint.LONG <= r.edit_start <= r.edit_end <= len(edited) and text[: r.edit_start] == edited[: r.edit_start]
+        if len(text) > 4000:
+            assert 0.4 < r.near_edited
     assert len({t for _, t in docs}) == len({r.fingerprint for r in rows.values()})
 
 
@@ -70,8 +133,9 @@ def test_lm_training_learns_from_every_position_once(spark, monkeypatch):
     seen, saved = [], lm_scoring.saved
 
     def kept(rows, name):
-        seen.append(saved(rows, name))
-        return seen[-1]
+        out = saved(rows, name)
+        seen.extend([out] if name == "parameters" else [])
+        return out
 
     monkeypatch.setattr(lm_scoring, "saved", kept)
     texts = spark.createDataFrame([("a b c " * n,) for n in (1, 0, 30, 90, 400, 7)], "text string").repartition(2)
@@ -81,9 +145,18 @@ def test_lm_training_learns_from_every_position_once(spark, monkeypatch):
 
 
 def test_lm_own_classes_grow_with_the_vocabulary(spark):
-    counts = spark.range(90_000).select(F.col("id").cast("string").cast("binary").alias("word"), (F.col("id") + 1).alias("c"))
-    assert lm_scoring.vocabulary(counts).own == 300
-    assert lm_scoring.vocabulary(counts.limit(2000)).own == lm_scoring.OWN
+    counts = spark.range(640_000).select(F.col("id").cast("string").cast("binary").alias("word"), (F.col("id") + 1).alias("c"))
+    assert lm_scoring.vocabulary(counts).own == 1600
+    assert lm_scoring.vocabulary(counts.limit(2000)).own == lm_scoring.OWN_LEAST
+
+
+def test_the_most_frequent_tokens(spark):
+    counts = spark.createDataFrame([(f"w{i}".encode(), 1 + 5000 // (i + 1)) for i in range(3000)], "word binary, c bigint").repartition(3)
+    for most in (40, 700, 5000):
+        top = [(r.c, bytes(r.word)) for r in lm_scoring.most_frequent(counts, most)]
+        rest = sorted(((r.c, bytes(r.word)) for r in counts.collect()), key=lambda x: (-x[0], x[1]))
+        assert 0.5 * min(most, 3000) < len(top) <= most and top == rest[: len(top)]
+    assert len(lm_scoring.most_frequent(counts.withColumn("c", F.lit(1)), 10)) == 10
 
 
 def test_lm_beats_its_base_on_held_out_texts(spark):
@@ -95,25 +168,52 @@ def test_lm_beats_its_base_on_held_out_texts(spark):
 
 
 def test_class_probabilities_add_up():
-    frequency = np.full(20, 1 / 20)
-    parameters = lm_scoring.initial(frequency)
-    context = np.arange(8)
-    total = 0.0
-    for k in range(20):
-        flat = np.append(context, k)
-        total += 10 ** lm_scoring.class_logs(parameters, flat, np.array([8]))[0]
-    assert abs(total - 1) < 1e-5
+    frequency = np.arange(20, 0, -1) / 210
+    bounds = lm_scoring.grouped(frequency)
+    parameters = [10 * x for x in lm_scoring.initial(frequency, bounds)]
+    size = lm_scoring.CONTEXT
+    context = np.arange(size)
+    total = sum(10 ** lm_scoring.class_logs(parameters, bounds, np.append(context, k), np.array([size]))[0] for k in range(20))
+    assert len(bounds) == 5 and abs(total - 1) < 1e-5
+    parameters[5][0] = 1e4  # scores beyond the numbers
+    assert abs(sum(10 ** lm_scoring.class_logs(parameters, bounds, np.append(context, k), np.array([size]))[0] for k in range(20)) - 1) < 1e-5
 
 
 def test_within_a_shape_tokens_and_the_unknown_add_up(spark):
     texts = spark.createDataFrame([("a b c zz yy xx zz 1 2 é",), ("a a q,",)], "text string")
     vocab = lm_scoring.vocabulary(lm_scoring.token_counts(texts), own=3)
     counts = {bytes(r.word): r.c for r in lm_scoring.token_counts(texts).collect()}
-    for k in range(vocab.own, len(vocab.mass)):
+    assert vocab.own == 3
+    for k in vocab.shapes.tolist():
         own = [c for w, c in counts.items() if vocab.look_up([w])[1][0] == k]
         assert abs(vocab.mass[k] - (sum(own) + 0.1 * (len(own) + 1))) < 1e-9
 
 
+def test_scores_against_plain_sums(spark):
+    """Every text's score, token by token and class by class, from the trained parameters."""
+    docs = [(i, " ".join(f"w{(i * k * k) % 41}" for k in range(i % 23)) + (" Odd%d" % i) * (i % 3)) for i in range(120)]
+    rows = spark.createDataFrame(docs, "doc_id bigint, text string").coalesce(1)
+    learning = rows.where("crc32(cast(doc_id as string)) % 10 <> 0").select("text")
+    counts = {bytes(r.word): r.c for r in lm_scoring.token_counts(learning).collect()}
+    vocab = lm_scoring.vocabulary(lm_scoring.token_counts(learning))
+    e, c, q, b, u, a = (x.astype(float) for x in lm_scoring.trained(learning, vocab))
+    got = {r.doc_id: r.score for r in lm_scoring.score(rows).collect()}
+    for doc_id, text in docs:
+        words = [*text.encode().lower().split(), b""]
+        size = lm_scoring.CONTEXT
+        classes = [len(vocab.frequency)] * size + vocab.look_up(words)[1].tolist()
+        total = 0.0
+        for i, w in enumerate(words, size):
+            h = sum(e[classes[i - j - 1]] * c[j] for j in range(size))
+            k = classes[i]
+            g = max(x for x in range(len(vocab.bounds) - 1) if vocab.bounds[x] <= k)
+            low, high = vocab.bounds[g], vocab.bounds[g + 1]
+            total += math.log10(math.exp(h @ u[g] + a[g]) / np.exp(u @ h + a).sum() * math.exp(h @ q[k] + b[k]) / np.exp(q[low:high] @ h + b[low:high]).sum())
+            if k in vocab.shapes:
+                total += math.log10((counts.get(w, 0) + 0.1) / vocab.mass[k])
+        assert abs(got[doc_id] - total) < 1e-3 * max(1, -total)
+
+
 def test_quality_of_edge_cases(spark):
     docs = frame(spark)
     labels = spark.createDataFrame([(i, 1 if i % 2 else 0, None) for i in range(20)] + [(None, 1, 0), (5, None, 1)], "doc_id bigint, quality int, toxic int")
@@ -180,6 +280,21 @@ def test_mix_reaches_its_targets_and_repeats(spark):
     assert all(abs(taken[s] - t) <= 0.01 * t for s, t in expected.items())
 
 
+def test_repeated_rows_are_dealt_to_blocks(spark, monkeypatch):
+    seen, saved = {}, mixing.saved
+
+    def kept(rows, name):
+        seen[name] = saved(rows, name)
+        return seen[name]
+
+    monkeypatch.setattr(mixing, "saved", kept)
+    rows = spark.range(12_000).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit("a").alias("source"), F.lit("w w w").alias("text")).union(spark.range(4000).select("id", F.lit("b"), F.lit("x y")))
+    out = mixing.mix(mixing.sizes(rows)).collect()
+    expected, taken = check_mix(out, [(r.doc_id, r.source) for r in out])
+    assert len(out) == 16_000 and all(abs(taken[s] - t) <= 6 for s, t in expected.items())
+    assert max(r["count"] for r in seen["dealt"].groupBy("source", "block").count().collect()) < 1.5 * mixing.BLOCK
+
+
 def test_flight_keeps_sums():
     draw = np.random.default_rng(2)
     pi, x = draw.random(500), draw.integers(1, 900, 500).astype(float)
