@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from math import exp, pi
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rasterweave.functions.grid import symmetry
@@ -140,26 +140,29 @@ def hue_saturation_value(colours: DataFrame, hue: float, saturation: float, valu
     return shifted.withColumns({"red": channel(5), "green": channel(3), "blue": channel(1)}).drop("_h", "_s", "_v")
 
 
-def clahe(pixels: DataFrame, size: int, cells: int = 2, bins: int = 16, clip: float = 3.0) -> DataFrame:
-    """Histogram equalisation by cell with clipped counts, blended bilinearly between the cells around a pixel. Values lie in 0..1."""
+def clahe(pixels: DataFrame, size: int, cells: int = 8, bins: int = 256, clip: float = 3.0) -> DataFrame:
+    """Histogram equalisation in cells x cells parts with clipped counts, blended bilinearly between the cells around a pixel. Values lie in 0..1.
+
+    What a cell's counts lose above the limit, one at least, is spread over all bins. A cell is told by the levels that it has, with running sums; a pixel
+    looks its level up in four cells.
+    """
     width = size // cells
-    level = F.least(F.floor(F.col("v") * bins), F.lit(bins - 1)).cast("int")
-    px = pixels.withColumn("level", F.greatest(level, F.lit(0)))
-    hist = px.groupBy("tile_id", "band", F.floor(F.col("r") / width).cast("int").alias("cr"), F.floor(F.col("c") / width).cast("int").alias("cc")).agg(*[F.count_if(F.col("level") == k).alias(f"n{k}") for k in range(bins)])
-    most = clip * width * width / bins
-    counts = [F.least(F.col(f"n{k}").cast("double"), F.lit(most)) for k in range(bins)]
-    cut = sum(((F.col(f"n{k}") - counts[k]) for k in range(1, bins)), F.col("n0") - counts[0])
-    summed, lut = F.lit(0.0), []
-    for k in range(bins):
-        summed = summed + counts[k] + cut / bins
-        lut.append(summed / (width * width))
-    luts = hist.select("tile_id", "band", "cr", "cc", F.array(*lut).alias("lut"))
+    area, cell = float(width * width), ["tile_id", "band", "cr", "cc"]
+    level = F.greatest(F.least(F.floor(F.col("v") * bins), F.lit(bins - 1)), F.lit(0)).cast("int")
+    px = pixels.select("tile_id", "band", "r", "c", level.alias("level"))
+    own = px.withColumns({"cr": F.floor(F.col("r") / width).cast("int"), "cc": F.floor(F.col("c") / width).cast("int")})
+    counts = own.groupBy(*cell, "level").agg(F.count("*").alias("n")).withColumn("held", F.least(F.col("n").cast("double"), F.lit(max(clip * area / bins, 1.0))))
+    upto = F.sum("held").over(Window.partitionBy(*cell).orderBy("level"))
+    summed = counts.withColumn("upto", upto).groupBy(*cell).agg(F.sort_array(F.collect_list(F.struct("level", "upto"))).alias("levels"), F.sum(F.col("n") - F.col("held")).alias("cut"))
     at = lambda c: (F.col(c) + 0.5) / width - 0.5
-    near = lambda c: F.array(F.struct(F.floor(at(c)).cast("int").alias("k"), (1 - (at(c) - F.floor(at(c)))).alias("w")), F.struct((F.floor(at(c)) + 1).cast("int").alias("k"), (at(c) - F.floor(at(c))).alias("w")))
-    around = px.withColumn("_a", F.explode(near("r"))).withColumn("_b", F.explode(near("c")))
-    inside = lambda k: F.least(F.greatest(k, F.lit(0)), F.lit(cells - 1))
-    joined = around.withColumns({"cr": inside(F.col("_a.k")), "cc": inside(F.col("_b.k")), "w": F.col("_a.w") * F.col("_b.w")}).join(luts, ["tile_id", "band", "cr", "cc"])
-    return joined.groupBy("tile_id", "band", "r", "c").agg(F.sum(F.col("w") * F.get("lut", F.col("level"))).alias("v"))
+    part = lambda c: at(c) - F.floor(at(c))
+    inside = lambda k: F.least(F.greatest(k, F.lit(0)), F.lit(cells - 1)).cast("int")
+    near = lambda c: F.explode(F.array(F.struct(inside(F.floor(at(c))).alias("k"), (1 - part(c)).alias("w")), F.struct(inside(F.floor(at(c)) + 1).alias("k"), part(c).alias("w"))))
+    around = px.withColumn("_a", near("r")).withColumn("_b", near("c"))
+    joined = around.withColumns({"cr": F.col("_a.k"), "cc": F.col("_b.k"), "w": F.col("_a.w") * F.col("_b.w")}).join(summed, cell)
+    below = F.coalesce(F.array_max(F.transform(F.filter("levels", lambda x: x["level"] <= F.col("level")), lambda x: x["upto"])), F.lit(0.0))
+    value = (below + (F.col("level") + 1) * F.col("cut") / bins) / area
+    return joined.groupBy("tile_id", "band", "r", "c").agg(F.sum(F.col("w") * value).alias("v"))
 
 
 def gauss_noise(pixels: DataFrame, sigma: float = 0.05, seed: int = 42) -> DataFrame:

@@ -125,10 +125,17 @@ def hue_saturation_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(augment.hue_saturation_value(colours, 0.25, 0.1, -0.05), "red", "green", "blue")
 
 
-@query()
+_LEVELS = "select tile_id, band, r, c, greatest(least(cast(floor(least(greatest(v + 0.5e0, 0), 1) * 256) as int), 255), 0) l from fx_px"
+_HIST = "select tile_id, band, r // 4 cr, c // 4 cc, l, least(count(*), 1) held, sum(count(*) - least(count(*), 1)) over (partition by tile_id, band, cr, cc) cut from levels group by 1, 2, 3, 4, 5"
+_CORNERS = "select range i, k, least(greatest(cast(floor((i + 0.5e0) / 4 - 0.5e0) as int) + k, 0), 1) cell, case k when 0 then 1 - ((i + 0.5e0) / 4 - 0.5e0 - floor((i + 0.5e0) / 4 - 0.5e0)) else (i + 0.5e0) / 4 - 0.5e0 - floor((i + 0.5e0) / 4 - 0.5e0) end w from range(8), (select range k from range(2))"
+
+
+@query(oracle("""select tile_id, band, r, c, round(sum(w * (below + (l + 1) * cut / 256e0) / 16e0), 6) v from (select p.tile_id, p.band, p.r, p.c, p.l, a.k ka, b.k kb, any_value(a.w * b.w) w, coalesce(sum(h.held) filter (where h.l <= p.l), 0) below, any_value(h.cut) cut
+ from levels p join corners a on a.i = p.r join corners b on b.i = p.c join hist h on h.tile_id = p.tile_id and h.band = p.band and h.cr = a.cell and h.cc = b.cell group by 1, 2, 3, 4, 5, 6, 7) group by 1, 2, 3, 4""", "fx_px", levels=_LEVELS, hist=_HIST, corners=_CORNERS))
 def clahe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In cells of 4 x 4 pixels; a tile of 8 has no 8 x 8 cells worth the name."""
     unit = px(spark, sf_dir).withColumn("v", F.least(F.greatest(F.col("v") + 0.5, F.lit(0.0)), F.lit(1.0)))
-    return out(augment.clahe(unit, 8))
+    return out(augment.clahe(unit, 8, cells=2))
 
 
 @query(oracle(f"select tile_id, band, r, c, round(v + 0.05e0 * sqrt(-2 * ln(({_h('42a', 'tile_id', 'band', 'r', 'c')} + 1) / 4294967296e0)) * cos(2 * pi() * {_u('42b', 'tile_id', 'band', 'r', 'c')}), 6) v from fx_px", "fx_px"))

@@ -72,7 +72,10 @@ def stream_early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found
 
 
-@query()
+_SLICES = f"select shard, coverage, row_number() over (partition by shard, rarest order by coverage desc, id) rn, quota from (select id, shard, coalesce(coverage_ratio, 0e0) coverage, {_RAREST} rarest from fx_tile_meta) join (select class_id, {_share(300)} quota from fx_classes) on class_id = rarest"
+
+
+@query(oracle("select shard, cast(count(*) as bigint) tiles, min(coverage) least_coverage from slices where rn <= quota group by 1", "fx_tile_meta", "fx_classes", slices=_SLICES))
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, schema = landed(spark, sf_dir)
     store = scratch(spark, "store")
