@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -20,10 +21,12 @@ STEP_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir. Where it is unset, one of our own on a single machine (tests), an error on a cluster."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if current.isEmpty() and not re.fullmatch(r"local(\[[^\[]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = current.get() if current.isDefined() else "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -38,7 +41,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """df as a written table in the shared folder: cuts lineage, and survives lost executors."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._saved_at = path
+    return out
+
+
+def removed(*tables: DataFrame) -> None:
+    """Deletes tables of saved() that nothing reads any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._saved_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rasterweave.llm.common import saved
+from rasterweave.llm.common import removed, saved
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -22,6 +22,8 @@ def components(links: DataFrame) -> DataFrame:
         hooked = label.join(near, F.col("node") == F.col("a"), "left").select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
         up = label.select(F.col("node").alias("up"), F.col("label").alias("above"))
         following = saved(hooked.join(up, F.col("label") == F.col("up"), "left").select("node", "old", F.least("label", "above").alias("label")), "labels")
+        removed(label)
         if following.where("old <> label").isEmpty():
+            removed(both)
             return following.select("node", "label")
-        label = following.select("node", "label")
+        label = following
