@@ -7,20 +7,24 @@ that ends at each word is tracked. Where it reaches a window's length, the windo
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
-from functools import reduce
+import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rasterweave.llm.common import table, text_bytes
+from rasterweave.llm.common import saved, table, text_bytes
 
 #: Bytes to bytes: A-Z to a-z; everything that is not a letter, a digit or beyond ASCII to a space.
 NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
-SCHEMA = "doc_id bigint, h bigint, n_words bigint, spans array<struct<start:int,end:int>>, items array<string>"
+SPANS = "array<struct<start:int,end:int>>"
+#: Text of a block of items. Its automaton takes some hundred times that in a worker.
+MOST_BYTES = 2 << 20
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -130,50 +134,71 @@ class Automaton:
         return spans, items
 
 
-def scanner(automaton: Automaton) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("items", pa.list_(pa.string()))])
+_kept: dict[str, Automaton] = {}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for doc_id, text, h in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-                spans, items = automaton.scan(words := words_of(text))
-                rows.append({"doc_id": doc_id, "h": h, "n_words": len(words), "spans": [{"start": a, "end": b} for a, b in spans], "items": sorted(items)})
-            yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return run
+def automaton_of(name: str, sent: Broadcast, window: int) -> Automaton:
+    """A block's automaton, built in the task that needs it and kept for the worker's next task."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = Automaton([(i, words_of(t)) for i, t in sent.value], window)
+    return _kept[name]
 
 
-def item_blocks(items: DataFrame, id_col: str, text_col: str, most_bytes: int) -> list[list[tuple[str, list[bytes]]]]:
-    """The items in blocks of up to most_bytes, so that what a block sends to the executors is bounded."""
+def item_blocks(items: DataFrame, id_col: str, text_col: str, most_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
+    """The items in blocks of about most_bytes, one at a time. An item is not split. Without items there is one empty block."""
     total = items.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     n = -(-total // most_bytes) or 1
     rows = items.select(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("i"), F.col(text_col).alias("t"))
-    blocks = (rows if n == 1 else rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k) for k in range(n))
-    return [[(r.i, words_of((r.t or "").encode())) for r in block.collect()] for block in blocks]
-
-
-def contamination(docs: DataFrame, items: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", most_bytes: int = 64 << 20) -> DataFrame:
+    for k in range(n):
+        yield [(r.i, (r.t or "").encode()) for r in rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).collect()]
+
+
+def joined_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Maximal runs of the words that spans cover."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def marked(docs: DataFrame, items: DataFrame, window: int, item_id_col: str, item_text_col: str, most_bytes: int) -> DataFrame:
+    """docs (text, row: a struct) with n_words, spans and found. Every block of items meets every document in a pass of its own, which adds to what the passes before have found; a pass is written before the next."""
+    spark, schema = docs.sparkSession, docs.select("text", "row", F.lit(0).cast("bigint").alias("n_words"), F.expr(f"cast(array() as {SPANS})").alias("spans"), F.expr("cast(array() as array<string>)").alias("found")).schema
+    out = docs.select("text", "row", F.lit(0).cast("bigint").alias("n_words"), F.expr(f"cast(array() as {SPANS})").alias("spans"), F.expr("cast(array() as array<string>)").alias("found"))
+    for turn, block in enumerate(item_blocks(items, item_id_col, item_text_col, most_bytes)):
+        out = saved(out, "marked") if turn else out
+
+        def run(batches: Iterator[pa.RecordBatch], name=uuid.uuid4().hex, sent=spark.sparkContext.broadcast(block)) -> Iterator[pa.RecordBatch]:
+            automaton = automaton_of(name, sent, window)
+            for batch in batches:
+                counts, spans, found = [], [], []
+                for text, before, names in zip(text_bytes(batch.column(0)), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+                    own, items = automaton.scan(words := words_of(text))
+                    counts.append(len(words))
+                    spans.append([{"start": a, "end": b} for a, b in joined_spans([*((s["start"], s["end"]) for s in before), *own])])
+                    found.append(sorted({*names, *items}))
+                columns = [pa.array(x, batch.schema.field(k).type) for k, x in ((2, counts), (3, spans), (4, found))]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=batch.schema.names)
+
+        out = out.mapInArrow(run, schema)
+    return out
+
+
+def contamination(docs: DataFrame, items: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", most_bytes: int = MOST_BYTES) -> DataFrame:
     """doc_id, n_words, spans of hit words (start, end), items whose windows occur, one row per document.
 
     window: words of a window; an item of fewer words is one window as a whole. Nulls and texts without words hit
     nothing; an item with null id is named "null"; repeated documents each get their row; items of one id count as
     one. Without items or documents the result has no hits or no rows. Other columns are not looked at.
-    The items are the stated query set: they are sent out in blocks of most_bytes, each of which meets every document.
+    The items are the stated query set: they meet the documents in blocks of most_bytes.
     """
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
-    blocks = item_blocks(items, item_id_col, item_text_col, most_bytes)
-    parts = [rows.mapInArrow(scanner(Automaton(block, window)), SCHEMA) for block in blocks]
-    if len(parts) == 1:
-        return parts[0].drop("h")
-    # a hit needs one window of one item, so the blocks' hits add up
-    marks = F.flatten(F.transform("spans", lambda s: F.sequence(s.start, s.end - 1)))
-    flat = reduce(DataFrame.unionByName, parts).withColumn("hit", marks)
-    merged = flat.groupBy("doc_id", "h", "n_words").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit")))).alias("hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), (F.count("*") / len(blocks)).cast("int").alias("copies"))
-    starts = F.filter("hit", lambda x: ~F.array_contains("hit", x - 1))
-    ends = F.filter("hit", lambda x: ~F.array_contains("hit", x + 1))
-    spans = F.transform(F.arrays_zip(starts.alias("start"), ends.alias("end")), lambda s: F.struct(s["start"].alias("start"), (s["end"] + 1).alias("end"))).cast("array<struct<start:int,end:int>>")
-    return merged.select("doc_id", "n_words", spans.alias("spans"), "items", F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).drop("copy")
+    rows = docs.select(F.col(text_col).alias("text"), F.struct(F.col(id_col).cast("bigint").alias("doc_id")).alias("row"))
+    found = marked(rows, items, window, item_id_col, item_text_col, most_bytes)
+    return found.select("row.doc_id", "n_words", "spans", F.col("found").alias("items"))
 
 
 def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -186,36 +211,24 @@ def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, text[at:]])
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, most_covered: float = 0.5) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, most_covered: float = 0.5, most_bytes: int = MOST_BYTES) -> DataFrame:
     """docs without the item passages: hit spans are cut out of the text, and documents of which they cover more than most_covered go.
 
     Clean documents, null texts included, pass unchanged. n_chars, where there is one, follows the text.
     """
-    automata = [Automaton(block, window) for block in item_blocks(items, "item_id", "text", 64 << 20)]
-    names = docs.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, keep = batch.column(names.index("text")).to_pylist(), []
-            for i, text in enumerate(texts):
-                words = words_of(raw := (text or "").encode())
-                hit = np.zeros(len(words) + 2, dtype=np.int8)
-                for automaton in automata:
-                    for a, b in automaton.scan(words)[0]:
-                        hit[a + 1 : b + 1] = 1
-                n = int(hit.sum())
-                if n:
-                    edge = np.diff(hit)
-                    texts[i] = cut(raw, list(zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True))).decode()
-                if n <= most_covered * len(words):
-                    keep.append(i)
-            columns = dict(zip(names, batch.columns, strict=True))
-            columns["text"] = pa.array(texts, batch.column(names.index("text")).type)
-            if "n_chars" in columns:
-                columns["n_chars"] = pa.array([n if t is None else len(t) for t, n in zip(texts, columns["n_chars"].to_pylist(), strict=True)], columns["n_chars"].type)
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names=names).take(pa.array(keep, pa.int64()))
-
-    return docs.mapInArrow(run, docs.schema)
+    rest = [c for c in docs.columns if c != "text"]
+    found = marked(docs.select("text", F.struct(*rest).alias("row")), items, window, "item_id", "text", most_bytes)
+
+    @F.pandas_udf("string")
+    def without(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        return pd.Series([t if t is None or not len(s) else cut(t.encode(), [(x["start"], x["end"]) for x in s]).decode() for t, s in zip(texts, spans, strict=True)], dtype=object)
+
+    hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s.end - s.start)
+    left = found.where(hit <= F.col("n_words") * most_covered).withColumn("kept", without("text", "spans"))
+    own = {c: F.col("row").getField(c) for c in rest} | {"text": F.col("kept")}
+    if "n_chars" in own:
+        own["n_chars"] = F.when(F.col("kept").isNull(), own["n_chars"]).otherwise(F.length("kept").cast(docs.schema["n_chars"].dataType))
+    return left.select(*[own[c].alias(c) for c in docs.columns])
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
