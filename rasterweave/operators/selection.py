@@ -112,16 +112,16 @@ def early_stop(epochs: DataFrame, patience: int = 12, key: str = "run_id") -> Da
 
 
 def ema_warmup(series: DataFrame, key: str, step: str, value: str, decay: float = 0.9998) -> DataFrame:
-    """key, steps, ema: e = d * e + (1 - d) * x with d = min(decay, (1 + s) / (10 + s)), s the row's number, from the first value on."""
-    rows = series.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(F.col(step).alias("s"), F.col(value).alias("x")))).alias("rows"))
+    """key, steps, ema: e = d * e + (1 - d) * x with d = min(decay, (1 + s) / (10 + s)), s the row's number, from the first value on.
 
-    def fold(acc: Column, row: Column) -> Column:
-        s = acc["s"] + 1
-        d = F.least(F.lit(decay), (1 + s) / (10 + s))
-        return F.struct(s.alias("s"), F.when(acc["s"] == 0, row["x"]).otherwise(d * acc["e"] + (1 - d) * row["x"]).alias("e"))
-
-    start = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("e"))
-    return rows.select(key, F.aggregate("rows", start, fold).alias("f")).select(key, F.col("f.s").cast("bigint").alias("steps"), F.col("f.e").alias("ema"))
+    Written out, a value counts (1 - d) times the product of all later d: running sums of logarithms give it, so no task holds a run.
+    """
+    order = Window.partitionBy(key).orderBy(step)
+    rows = series.select(key, F.col(value).cast("double").alias("x"), F.row_number().over(order).cast("double").alias("s"), step)
+    d = F.least(F.lit(decay), (1 + F.col("s")) / (10 + F.col("s")))
+    rows = rows.withColumn("log_d", F.when(F.col("s") == 1, 0.0).otherwise(F.log(d))).withColumn("own", F.when(F.col("s") == 1, F.col("x")).otherwise((1 - d) * F.col("x")))
+    later = F.coalesce(F.sum("log_d").over(Window.partitionBy(key).orderBy(F.col(step).desc()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    return rows.withColumn("later", later).groupBy(key).agg(F.count("*").alias("steps"), F.sum(F.col("own") * F.exp("later")).alias("ema"))
 
 
 def last_metric(lines: DataFrame, metrics: list[str]) -> DataFrame:
