@@ -13,7 +13,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round, every node takes the least label among itself and its neighbours, then the label of its label, so the number of rounds
     follows the logarithm of a component's diameter. A round is written to the shared folder, which cuts lineage. Groups are
-    combined before the shuffle, so a node with very many links costs its task no more than others.
+    combined before the shuffle, so a node with very many links costs its task no more than others. Links of a node with itself or with null, and repeated
+    ones, change nothing; no links make no rows.
     """
     both = saved(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "links")
     label = saved(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")), "labels")

@@ -169,7 +169,7 @@ def train(featured: DataFrame, labels: DataFrame, label_col: str = "quality", fo
 
 
 def scored(featured: DataFrame, model: Additive) -> DataFrame:
-    """featured with score in place of x."""
+    """featured with score in place of x, a row for each row; null ids and repeated rows are scored like others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,7 +186,11 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: Additive, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that score at least threshold, unchanged; features and scores are made where the text is."""
+    """The documents that score at least threshold, unchanged; features and scores are made where the text is.
+
+    A null text is scored as an empty one and stays null where it is kept; repeated rows fare alike and all stay; no documents, none out. Null ids
+    and other columns are not looked at.
+    """
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

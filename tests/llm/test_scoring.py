@@ -234,6 +234,21 @@ def test_quality_on_held_out_labels(spark):
     assert sum(r.predicted == r.quality for r in joined) / len(joined) > 0.95
 
 
+def test_quality_scores_against_plain_lookups(spark):
+    """Every score of the query, bin by bin, from the tables that training gives."""
+    featured = quality.featurise(spark.read.parquet(f"{SF}/documents.parquet"))
+    model = quality.train(featured, spark.read.parquet(f"{SF}/labels.parquet"))
+    texts = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = quality.op7_quality(spark, SF).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        x = quality.features(texts[r.doc_id])
+        bins = [sum(v >= e for e in edges) for v, edges in zip(x, model.edges, strict=True)]
+        total = model.base + sum(t[b] for t, b in zip(model.tables, bins, strict=True)) + sum(t[bins[i] // 4][bins[j] // 4] for (i, j), t in zip(model.pairs, model.pair_tables, strict=True))
+        assert abs(r.score - 1 / (1 + math.exp(-total))) < 1e-9 and r.predicted == int(r.score >= 0.3)
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+
+
 def water_fill(sizes, weights=(5, 2, 1)):
     names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     w = {s: weights[i % 3] for i, s in enumerate(names)}
