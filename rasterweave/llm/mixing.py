@@ -15,7 +15,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rasterweave.llm.common import saved, table, text_bytes
@@ -132,25 +132,40 @@ def fly(last: bool, most: int):
     return run
 
 
-def mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
-    """sized (doc_id, source, size, ...) with source_size, target and copies, the times that the mix takes the document.
+def told_apart(rows: DataFrame, by: list[str]) -> DataFrame:
+    """rows (with part, the number of the task that wrote them) with copy, which numbers those that agree on the columns of by.
+
+    A task's rows are numbered among themselves and put behind those of the tasks before, so that no task gets all of them.
+    """
+    counts = rows.groupBy("part", *by).agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy(*by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    ahead = counts.select(F.col("part").alias("_part"), *[F.col(c).alias(f"_{c}") for c in by], F.coalesce(before, F.lit(0)).alias("_before"))
+    own = rows.withColumn("copy", F.row_number().over(Window.partitionBy("part", *by).orderBy(F.lit(0))))
+    alike = [own[c].eqNullSafe(ahead[f"_{c}"]) for c in ["part", *by]]
+    return own.join(ahead.hint("merge"), reduce(Column.__and__, alike)).withColumn("copy", F.col("copy") + F.col("_before")).select(*rows.columns, "copy")
+
+
+def mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, row_col: str | None = None) -> DataFrame:
+    """sized (doc_id, source, size, ...) with source_size, target and copies, the times that the mix takes the document; and with row_col, if one is named.
 
     A null source is a source of its own; null ids and repeated rows are documents like any others; documents of size 0, and all
-    when every size is 0, are never taken. copies is at most `most`, and reruns agree: order and draws come from hashes.
+    when every size is 0, are never taken; no documents make an empty mix. copies is at most `most`, and reruns agree: order and draws come from hashes.
     """
-    spark = sized.sparkSession
-    base = saved(sized.select("doc_id", "source", "size"), "sizes")
+    carried = [row_col] if row_col else []
+    base = saved(sized.select("doc_id", "source", "size", *carried, F.spark_partition_id().alias("part")), "sizes")
     shares = saved(targets(base, weights, most), "targets")
     n_blocks = F.broadcast(shares) if shares.count() <= 100_000 else shares
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     # a rate within rounding of a whole number is one
     whole = F.floor(rate + 1e-9)
-    rank = F.xxhash64("doc_id", "size", F.lit("mix"))
-    drawn = base.join(n_blocks, base["source"].eqNullSafe(shares["source"])).select(
-        "doc_id", base["source"], "size", "source_size", "target", whole.cast("int").alias("sure"), F.when(F.col("size") > 0, F.greatest(rate - whole, F.lit(0.0))).otherwise(0.0).alias("pi"), rank.alias("rank"),
+    rank = F.xxhash64("doc_id", "size", "copy", F.lit("mix"))
+    rows = told_apart(base, ["doc_id", "source", "size"]).drop("part")
+    drawn = rows.join(n_blocks, rows["source"].eqNullSafe(shares["source"])).select(
+        "doc_id", rows["source"], "size", *carried, "source_size", "target", whole.cast("int").alias("sure"), F.when(F.col("size") > 0, F.greatest(rate - whole, F.lit(0.0))).otherwise(0.0).alias("pi"), rank.alias("rank"),
     )
-    counted = drawn.groupBy("source").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.ceil(F.count("*") / HELD).alias("apart"))
-    dealt = drawn.join(F.broadcast(counted) if shares.count() <= 100_000 else counted, drawn["source"].eqNullSafe(counted["source"])).drop(counted["source"])
+    drawn = saved(drawn, "drawn")
+    counted = drawn.groupBy(F.col("source").alias("counted_source")).agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.ceil(F.count("*") / HELD).alias("apart"))
+    dealt = drawn.join(F.broadcast(counted) if shares.count() <= 100_000 else counted, drawn["source"].eqNullSafe(counted["counted_source"])).drop("counted_source")
     # about HELD documents of each source wait for the last round, where the landing may change them
     block = F.when(F.pmod(F.xxhash64("rank"), F.col("apart")) == 0, F.lit(-1)).otherwise(F.pmod("rank", F.col("blocks")))
     dealt = saved(dealt.withColumn("block", block.cast("bigint")).drop("blocks", "apart"), "dealt")
@@ -163,7 +178,7 @@ def mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_C
         done.append(flown if last else flown.where("pi = 0 or pi = 1"))
         open_ = flown.where("pi > 0 and pi < 1").withColumn("block", F.floor(F.col("block") / (BLOCK // 2)))
     taken = F.when(F.col("size") > 0, F.col("sure") + F.rint("pi").cast("int")).otherwise(0)
-    return reduce(DataFrame.unionByName, done).select("doc_id", "source", "size", "source_size", "target", taken.alias("copies"))
+    return reduce(DataFrame.unionByName, done).select("doc_id", "source", "size", *carried, "source_size", "target", taken.alias("copies"))
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
