@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rasterweave.llm.common import buckets_for, hash_words, mix, rolling, saved, steps, table, text_bytes, word_spans
+from rasterweave.llm.common import buckets_for, hash_words, mix, removed, rolling, saved, steps, table, text_bytes, word_spans
 from rasterweave.llm.components import components
 
 SHINGLE = 5
@@ -121,15 +121,15 @@ def distance(x: bytes, y: bytes) -> int:
 
 
 def describe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, node, n, sketch: each document's set by name, size and parity sketch."""
-    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary())])
+    """doc_id, h, node, n, sketch: the hash of each document's text, and its set by name, size and parity sketch."""
+    schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [(node_of(s), len(s), parity(s) if len(s) else b"") for s in shingle_sets(text_bytes(batch.column(1)))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([s[i] for s in sets], schema.field(i + 1).type) for i in range(3))], schema=schema)
+            sets = [(node_of(s), len(s), parity(s) if len(s) else b"") for s in shingle_sets(text_bytes(batch.column(2)))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array([s[i] for s in sets], schema.field(i + 2).type) for i in range(3))], schema=schema)
 
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id bigint, node bigint, n bigint, sketch binary")
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id bigint, h bigint, node bigint, n bigint, sketch binary")
 
 
 def near_enough(pairs: DataFrame, described: DataFrame) -> DataFrame:
@@ -314,7 +314,9 @@ def checked(pairs: DataFrame, described: DataFrame, docs: DataFrame, text_col: s
     left = saved(near_enough(pairs, described), "left")
     nodes = left.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = saved(sets_of(docs, nodes, text_col).groupBy("node").agg(F.first("hashes").alias("hashes")), "sets")
-    return saved(verified(left, sets), "links")
+    links = saved(verified(left, sets), "links")
+    removed(left, sets)
+    return links
 
 
 def verified_among(pairs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -348,7 +350,9 @@ def similar_nodes(docs: DataFrame, described: DataFrame, text_col: str = "text")
         links = links.union(new)
         label = components(links)
     more = saved(rare_pairs(rare, rows, label).join(pairs, ["a", "b"], "left_anti"), "more")
-    return links.union(saved(verified_among(more, rows), "more-links"))
+    links = links.union(saved(verified_among(more, rows), "more-links"))
+    removed(met, pairs, exposed, rows, rare, more)
+    return links
 
 
 def rarest(rows: DataFrame) -> DataFrame:
@@ -425,27 +429,41 @@ def rare_pairs(rare: DataFrame, rows: DataFrame, label: DataFrame) -> DataFrame:
     return met.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
 
 
+def labelled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, h, node, n and label, the name of the component, of each document."""
+    described = saved(describe(docs, id_col, text_col), "described")
+    label = components(similar_nodes(docs, described, text_col))
+    return described.drop("sketch").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (the least id that links lead to), one row per document.
 
     Nulls and texts without words have no shingles, no links, and their own id. Repeated rows and equal texts are one node. A null id is left out
     of the minimum unless nothing else is there. Other columns are not looked at.
     """
-    described = saved(describe(docs, id_col, text_col), "described")
-    label = components(similar_nodes(docs, described, text_col))
-    labelled = described.drop("sketch").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least = labelled.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    out = labelled.join(least, "label", "left")
+    rows = saved(labelled(docs, id_col, text_col), "labelled")
+    # a written table, so that Spark may split a group that holds very many documents
+    least = saved(rows.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("component_id")), "least")
+    out = rows.join(least, "label", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each group, that of the least id; of repeated rows, one."""
-    kept = groups(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    same_id = Window.partitionBy("doc_id").orderBy("text")
-    rows = docs.join(kept.hint("merge"), docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    numbered = rows.withColumn("_copy", F.row_number().over(same_id))
-    return numbered.where((F.col("_copy") == 1) | F.col("doc_id").isNull()).drop("_copy")
+    """One document of each group: of its least id (null after all others) and, where texts share that, the least hash of the text; of repeated rows, one.
+
+    Texts that links don't join all stay, whatever their ids; texts without words, nulls included, are groups of their own.
+    """
+    rows = saved(labelled(docs), "labelled")
+    first = rows.where("n > 0").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "h")).alias("first"))
+    first = saved(first.select("label", F.col("first.h").alias("first_h"), F.col("first.doc_id").alias("first_id")), "first")
+    chosen = rows.join(first, "label", "left").where((F.col("n") == 0) | (F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("h") == F.col("first_h"))))
+    kept = saved(chosen.groupBy(F.col("doc_id").alias("kept_id"), F.col("h").alias("kept_h")).agg((F.max("n") > 0).alias("has_words"), F.count("*").alias("times")), "kept")
+    alike = docs["doc_id"].eqNullSafe(kept["kept_id"]) & (F.xxhash64(docs["text"]) == kept["kept_h"])
+    single, repeated = (F.col("times") == 1) | ~F.col("has_words"), (F.col("times") > 1) & F.col("has_words")
+    out = docs.join(kept.where(single).hint("merge"), alike, "left_semi")
+    # of repeated rows, one: they are combined before the shuffle
+    return out.unionByName(docs.join(kept.where(repeated), alike, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,10 +44,18 @@ def test_groups_of_edge_cases(spark):
 
 
 def test_keep_one_of_each_group(spark):
-    kept = [r.doc_id for r in ngram_join.keep_one(frame(spark)).collect()]
+    kept = [(r.doc_id, r.text) for r in ngram_join.keep_one(frame(spark)).collect()]
     expected = {d for d, _, c in groups(documents()) if d == c}
-    assert {d for d in kept if d is not None} == {d for d in expected if d is not None}
-    assert len([d for d in kept if d is not None]) == len({d for d in kept if d is not None})
+    assert {d for d, _ in kept if d is not None} == {d for d in expected if d is not None}
+    assert len([d for d, _ in kept if d is not None]) == len({d for d, _ in kept if d is not None})
+    assert (None, None) in kept and not any(d is None and t for d, t in kept)  # the text of a null id has copies with ids
+
+
+def test_keep_one_where_ids_are_shared(spark):
+    docs = [(5, "a text of its own that nothing is like"), (5, "quite another one with other words in it"), (None, "no id here but some words to tell"), (None, "no id there but others words to tell now"), (6, None), (6, None), (None, None)]
+    docs += [(5, "a text of its own that nothing is like")] * 3 + [(9, "quite another one with other words in it")]
+    kept = Counter(tuple(r) for r in ngram_join.keep_one(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)).collect())
+    assert kept == Counter([*docs[:6], docs[6]])
 
 
 def test_crowded_passages_and_many_near_copies(spark):

@@ -36,6 +36,12 @@ def test_kinds_beyond_the_base():
     assert pii.parse("IBAN GB82 WEST 1234 5698 7654 33 and account manager") == []
 
 
+def test_very_long_numbers():
+    assert pii.parse("0" * 5000 + ".1.1.1") == [(0, 5006, "ip")]
+    assert pii.parse("1" * 5000 + ".1.1.1") == [] and pii.parse("7" * 100_000) == []
+    assert pii.parse("+" + "1" * 9000 + " a@" + "b" * 9000 + ".c") == [(9002, 18006, "email")]
+
+
 def test_query_pii(spark):
     docs = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     expected = Counter()
@@ -182,3 +188,12 @@ def test_stages_bear_edge_cases(spark):
             out = stage(spark, docs, SF)
             assert out.columns == docs.columns or name == "mixing sources"
             docs = spark.createDataFrame(out.collect(), out.schema)
+
+
+def test_mixing_stage_takes_its_target_where_ids_are_null(spark):
+    docs = spark.createDataFrame([(None if i % 2 else i % 7, "w " * (20 + i % 30), "en", f"s{i % 3}", None, i) for i in range(400)], "doc_id bigint, text string, lang string, source string, n_chars bigint, copies int")
+    out = corpus_pipeline.mixing_stage(spark, docs, SF)
+    assert out.columns == docs.columns
+    size = lambda rows, times: sum(len(r.text.split()) * times(r) for r in rows)
+    total = size(docs.collect(), lambda r: 1)
+    assert abs(size(out.collect(), lambda r: r.copies) - total) < 0.02 * total
