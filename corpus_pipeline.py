@@ -40,10 +40,13 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with copies. Documents of one id are taken alike."""
-    taken = mixing.mix(mixing.sizes(docs)).groupBy("doc_id").agg(F.max("copies").alias("copies")).where("copies > 0")
+    """The documents that the mix takes, with copies in place of a column of that name. Rows are numbered in a written table, so each gets its own copies whatever ids are null or shared."""
+    rows = saved(docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row")), "rows")
+    sized = mixing.sizes(rows.select("doc.doc_id", "doc.source", "doc.text", "row"))
+    taken = mixing.mix(sized, row_col="row").where("copies > 0").select("row", "copies")
     # joined alike at every size: a plan that changes with the size of its input can't be projected
-    return docs.join(taken.hint("merge"), docs["doc_id"].eqNullSafe(taken["doc_id"])).select(docs["*"], "copies")
+    kept = rows.join(taken.hint("merge"), "row")
+    return kept.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns if c != "copies"], "copies")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
