@@ -35,11 +35,11 @@ union all select fid, class_id, x + w, y + h, x, y + h from fx_boxes where odd =
 union all select fid, class_id, x, y + h, x, y from fx_boxes where odd = 1""",
     "fx_boxes": """select s_suppkey fid, cast(1 + s_suppkey % 3 as int) class_id, s_suppkey * 7 % 64 x, s_suppkey * 13 % 88 y,
   4 + s_suppkey % 8 w, 4 + s_suppkey % 6 h, s_suppkey % 2 odd from supplier""",
-    "fx_rasters": """select concat('scene_', cast(n_nationkey as varchar(12))) raster_id, cast(512 * (1 + n_nationkey % 5) + 100 as int) width,
- cast(512 * (1 + n_nationkey % 3) + 60 as int) height, 4 n_bands, 4 itemsize, cast(case when n_nationkey % 4 = 0 then 4326 else 32644 end as int) crs,
- cast(n_nationkey % 5 * 20 as double) minx, cast(floor(n_nationkey / 5) * 20 as double) miny,
- cast(n_nationkey % 5 * 20 + 18 as double) maxx, cast(floor(n_nationkey / 5) * 20 + 18 as double) maxy,
- case when n_nationkey % 5 = 0 then cast(null as double) else cast(0 as double) end nodata from nation""",
+    "fx_rasters": """select concat('scene_', cast(c_custkey as varchar(12))) raster_id, cast(512 * (1 + k % 5) + 100 as int) width,
+ cast(512 * (1 + k % 3) + 60 as int) height, 4 n_bands, 4 itemsize, cast(case when k % 4 = 0 then 4326 else 32644 end as int) crs,
+ cast(k % 5 * 20 as double) minx, cast(floor(k / 5) * 20 as double) miny,
+ cast(k % 5 * 20 + 18 as double) maxx, cast(floor(k / 5) * 20 + 18 as double) maxy,
+ case when k % 5 = 0 then cast(null as double) else cast(0 as double) end nodata from (select c_custkey, c_custkey % 25 k from customer)""",
     "fx_epochs": """select event_type run_id, cast(row_number() over (partition by event_type order by ts, event_id) as int) epoch, ts,
  cast(round(value * 20) as bigint) miou_e4, value / 500 val_miou, 1 - value / 500 val_loss, event_id from events""",
     "fx_log": """select run_id, epoch line_no, concat('Epoch ', lpad(cast(epoch as varchar(12)), 5, '0'), '  tr_loss=0.', lpad(cast(9999 - miou_e4 as varchar(12)), 4, '0'),
@@ -47,9 +47,9 @@ union all select fid, class_id, x, y + h, x, y from fx_boxes where odd = 1""",
  '  val_mIoU=0.', lpad(cast(miou_e4 as varchar(12)), 4, '0')) line from fx_epochs""",
     "fx_files": """select concat('/raw/shard_', cast(doc_id % 4 + 1 as varchar(12)), '/', source, '_', cast(doc_id as varchar(12)),
  case doc_id % 3 when 0 then '.tif' when 1 then '.tiff' else '.shp' end) path, n_chars * 1000 length from documents""",
-    "fx_prompts": """select cast(n_nationkey as int) seq, case when n_nationkey % 5 = 4 then 'bad prompt' when n_nationkey = 7 then '3,4,forest'
- when n_nationkey = 8 then 'x,4,road' else concat(cast(n_nationkey * 3 as varchar(12)), ',', cast(n_nationkey * 2 as varchar(12)), ', ',
-  case n_nationkey % 3 when 0 then 'builtup' when 1 then 'road' else 'waterbody' end) end txt from nation""",
+    "fx_prompts": """select cast(c_custkey as int) seq, case when k % 5 = 4 then 'bad prompt' when k = 7 then '3,4,forest'
+ when k = 8 then 'x,4,road' else concat(cast(k * 3 as varchar(12)), ',', cast(k * 2 as varchar(12)), ', ',
+  case c_custkey % 3 when 0 then 'builtup' when 1 then 'road' else 'waterbody' end) end txt from (select c_custkey, c_custkey % 25 k from customer)""",
     "fx_classes": """select * from (values (0, 'background', 'Background', 0, 0.3e0, 0.4e0), (1, 'builtup', 'Built-up', 1, 1.5e0, 1.2e0), (2, 'road', 'Road', 3, 5.0e0, 4.0e0), (3, 'waterbody', 'Water Body', 2, 3.0e0, 2.0e0)) as t(class_id, class_name, label, priority, sampler_w, loss_w)""",
 }
 SPARK = _BOTH | {

@@ -142,16 +142,16 @@ def read_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.read_run_log(spark, path)
 
 
-_LIST = "case when n_nationkey % 5 = 4 then null when n_nationkey % 5 = 3 then ' : ' else concat(' CG_', cast(n_nationkey as varchar(9)), ' :: CG_', cast(n_regionkey as varchar(9)), ': ') end"
+_LIST = "case when c_custkey % 5 = 4 then null when c_custkey % 5 = 3 then ' : ' else concat(' CG_', cast(c_custkey as varchar(9)), ' :: CG_', cast(c_nationkey as varchar(9)), ': ') end"
 
 
-@query(f"""with t as (select n_nationkey, {_LIST} txt from nation), l as (select n_nationkey, list_filter(list_transform(string_split(txt, ':'), lambda x: trim(x)), lambda x: x <> '') names from t),
-d as (select n_nationkey, case when coalesce(len(names), 0) > 0 then names else ['CG_1', 'CG_2', 'CG_3', 'CG_4'] end names from l)
-select n_nationkey, cast(generate_subscripts(names, 1) as int) step, unnest(names) as name from d""")
+@query(f"""with t as (select c_custkey, {_LIST} txt from customer), l as (select c_custkey, list_filter(list_transform(string_split(txt, ':'), lambda x: trim(x)), lambda x: x <> '') names from t),
+d as (select c_custkey, case when coalesce(len(names), 0) > 0 then names else ['CG_1', 'CG_2', 'CG_3', 'CG_4'] end names from l)
+select c_custkey, cast(generate_subscripts(names, 1) as int) step, unnest(names) as name from d""")
 def parse_shard_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fixture(spark, sf_dir, "nation").select("n_nationkey", F.expr(_LIST).alias("txt"))
+    rows = fixture(spark, sf_dir, "customer").select("c_custkey", F.expr(_LIST).alias("txt"))
     names = catalog.parse_shard_list(F.col("txt"), ["CG_1", "CG_2", "CG_3", "CG_4"])
-    return rows.select("n_nationkey", F.posexplode(names).alias("step", "name")).withColumn("step", F.col("step") + 1)
+    return rows.select("c_custkey", F.posexplode(names).alias("step", "name")).withColumn("step", F.col("step") + 1)
 
 
 @query(oracle("select id, source, shard, trow, tcol, coverage_ratio, class_ids from fx_tile_meta where shard <> 'shard_3'", "fx_tile_meta"))

@@ -21,11 +21,13 @@ def _share(n: int, weight: str = "sampler_w") -> str:
 _TOKENS = f"select class_id, cast(case when class_id = 0 then t + {N} - sum(t) over () else t end as bigint) tokens from (select class_id, {_share(N)} t from fx_classes)"
 
 
-@query(oracle(_TOKENS, "fx_classes"))
+_ORDERS = "(select count(*) from orders)"
+
+
+@query(oracle(f"select class_id, cast(case when class_id = 0 then t + {_ORDERS} - sum(t) over () else t end as bigint) tokens from (select class_id, {_share(_ORDERS)} t from fx_classes)", "fx_classes"))
 def allocate_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The tokens of as many tiles as there are nations times 12, with the class dimension."""
-    n = fixture(spark, sf_dir, "nation").count() * 12
-    return selection.allocate_tokens(classes(spark), n)
+    """As many tokens as there are orders."""
+    return selection.allocate_tokens(classes(spark), fixture(spark, sf_dir, "orders").count())
 
 
 _TILES = f"select *, {_RAREST} rarest from fx_tile_meta"
