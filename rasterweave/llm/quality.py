@@ -163,7 +163,14 @@ def train(featured: DataFrame, labels: DataFrame, label_col: str = "quality", fo
     It is fitted on at most most_rows rows, those with the least hash of the id: a uniform sample that reruns repeat.
     """
     known = labels.where(F.col(label_col).isNotNull() & (fold(F.col("doc_id"), folds) != 0)).select("doc_id", F.col(label_col).cast("double").alias("y"))
-    rows = featured.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "y", "x").limit(most_rows).toPandas()
+    joined, place = featured.join(known, "doc_id"), F.xxhash64("doc_id")
+    n = joined.count()
+    # all rows up to a hash that about a fifth more than most_rows have, so that tasks don't each send most_rows of their own to the driver
+    share = 1.2 * most_rows / max(n, 1)
+    near = joined.where(place <= int((share - 0.5) * (1 << 64))) if share < 1 else joined
+    rows = near.orderBy(place, "doc_id", "y", "x").limit(most_rows).toPandas()
+    if len(rows) < min(most_rows, n):  # many rows of one id can leave too few others below that hash
+        rows = joined.orderBy(place, "doc_id", "y", "x").limit(most_rows).toPandas()
     x = np.array(rows["x"].tolist(), dtype=float).reshape(len(rows), len(FEATURES))
     return fit(x, rows["y"].to_numpy(float))
 

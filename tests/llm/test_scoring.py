@@ -234,6 +234,20 @@ def test_quality_on_held_out_labels(spark):
     assert sum(r.predicted == r.quality for r in joined) / len(joined) > 0.95
 
 
+def test_quality_is_fitted_on_the_rows_of_least_hash(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda x, y: seen.append((x[:, 0].tolist(), y.tolist())))
+    ids = [*range(1, 900), *[7] * 300]
+    featured = spark.createDataFrame([(i, [float(k)] * len(quality.FEATURES)) for k, i in enumerate(ids)], "doc_id bigint, x array<double>").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 900)], "doc_id bigint, quality int")
+    for most in (5, 60, 400, 5000):
+        quality.train(featured, labels, most_rows=most)
+        x, y = seen.pop()
+        held = featured.where("crc32(cast(doc_id as string)) % 5 <> 0").selectExpr("xxhash64(doc_id) h", "doc_id", "x[0] x").collect()
+        expected = sorted((r.h, r.doc_id, float(r.doc_id % 2), r.x) for r in held)[:most]
+        assert x == [e[3] for e in expected] and y == [e[2] for e in expected]
+
+
 def test_quality_scores_against_plain_lookups(spark):
     """Every score of the query, bin by bin, from the tables that training gives."""
     featured = quality.featurise(spark.read.parquet(f"{SF}/documents.parquet"))
