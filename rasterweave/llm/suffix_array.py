@@ -12,6 +12,9 @@ from __future__ import annotations
 import numpy as np
 
 
+UNSET = -2
+
+
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
     """The order of all suffixes of symbols, whose last is the only least one."""
     n = len(symbols)
@@ -26,7 +29,7 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     size_at = np.zeros(n, dtype=np.int64)
     size_at[begins] = sizes
     at, place, group, size = order.tolist(), place_at.tolist(), group_at.tolist(), size_at.tolist()  # suffix of a place; place, and group's first place, of a suffix; size by a group's first place
-    smaller = [-1] * n  # previous smaller suffix
+    smaller = [UNSET] * n  # previous smaller suffix, -1 for none
     top = n - 1
     while top >= 0:
         low = group[at[top]]
@@ -49,13 +52,22 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
             top = low - 1
             continue
         pointed: dict[int, int] = {}
-        for s in sorted(at[low : top + 1]):
-            p = s - 1
-            while p >= 0 and group[p] >= low:
-                p = smaller[p]
-            smaller[s] = p
-            if p >= 0:
-                pointed[p] = pointed.get(p, 0) + 1
+        for first in at[low : top + 1]:
+            waiting = [first]
+            while waiting:
+                s = waiting[-1]
+                p = s - 1
+                while p >= 0 and group[p] >= low:
+                    if smaller[p] == UNSET:  # of the same group: its own comes first
+                        waiting.append(p)
+                        break
+                    p = smaller[p]
+                else:
+                    waiting.pop()
+                    if smaller[s] == UNSET:
+                        smaller[s] = p
+                        if p >= 0:
+                            pointed[p] = pointed.get(p, 0) + 1
         by_times: dict[int, list[int]] = {}
         for p, times in pointed.items():
             by_times.setdefault(times, []).append(p)

@@ -59,9 +59,9 @@ def agreement(order: np.ndarray, symbols: np.ndarray, length: np.ndarray, names:
     a, b = order[:-1].copy(), order[1:].copy()
     while len(row):
         equal = (symbols[a] == symbols[b]) & (symbols[a] > 1)
-        for i, x, y in zip(*(v[~equal].tolist() for v in (row, symbols[a], symbols[b])), strict=True):
-            if x > 1 and y > 1 and out[i] + min(len(names[x]), len(names[y])) >= least:
-                out[i] += len(commonprefix((names[x], names[y])))
+        near = ~equal & (symbols[a] > 1) & (symbols[b] > 1) & (out[row] + np.minimum(length[a], length[b]) >= least)
+        for i, x, y in zip(*(v[near].tolist() for v in (row, symbols[a], symbols[b])), strict=True):
+            out[i] += len(commonprefix((names[x], names[y])))
         out[row[equal]] += length[a[equal]]
         go = equal & (out[row] < window)
         row, a, b = row[go], a[go] + 1, b[go] + 1
@@ -104,6 +104,8 @@ def again_in(strings: list[bytes], window: int, single: bool) -> list[np.ndarray
 
 
 def by_suffixes(window: int):
+    long_word = re.compile(rb"[^\x20\x09-\x0d]{%d}" % (min(LONGEST_WORD, window // 2) + 1))
+
     def judge(strings: list[bytes], counts: np.ndarray, minimisers: np.ndarray) -> list[np.ndarray | None]:
         out: list[np.ndarray | None] = [np.ones(len(s) - window + 1, dtype=bool) if c > 1 else None for s, c in zip(strings, counts.tolist(), strict=True)]
         if not strings:
@@ -125,7 +127,7 @@ def by_suffixes(window: int):
             group = order[a:b].tolist()
             if b - a == 1 and (counts[group[0]] > 1 or not may_repeat_itself(strings[group[0]], window)):
                 continue
-            single = any(len(w) > min(LONGEST_WORD, window // 2) for i in group for w in strings[i].split())
+            single = any(long_word.search(strings[i]) for i in group)
             batches[single] += group
             size[single] += sum(len(strings[i]) if single else strings[i].count(b" ") + 2 for i in group)
             if size[single] > BATCH_SYMBOLS:
