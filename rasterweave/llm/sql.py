@@ -35,4 +35,55 @@ m as (select doc_id, count(*) n_items, string_agg(x, ',' order by x) names from
 select w.doc_id, cast(len(ws) as bigint) n_words, cast(coalesce(n_hit, 0) as bigint) n_hit, cast(coalesce(n_items, 0) as bigint) n_items, sha256(coalesce(names, '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
 from w left join n using (doc_id) left join m using (doc_id)"""
 
-ORACLE = {"op4_substring": OP4, "op5_ngram_jaccard": OP5, "op6_warc": OP6, "op10_decontamination": OP10}
+_FINITE = "embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
+_PMOD_FLOOR = "cast((s - ((s % n) + n) % n) // n as bigint)"
+
+
+def _whole(scale: int) -> str:
+    return f"list_transform(embedding, lambda x: cast(greatest(least(floor({scale} * cast(x as double)), 67108864), -67108864) as bigint))"
+
+
+def _op11() -> str:
+    """Every round in full: parts against all entries, then floors of means."""
+    ctes = [
+        f"kept as materialized (select vec_id, label, {_whole(256)} v from embeddings where {_FINITE})",
+        "w as materialized (select cast(ceil(max(len(v)) / 16) as bigint) w from kept)",
+        "x as materialized (select vec_id, p, list_transform(range(0, w), lambda i: coalesce(v[p * w + i + 1], 0)) u from kept, w, (select unnest(range(0, 16)) p))",
+        "b0 as materialized (select p, k, u from x join (select vec_id, row_number() over (order by vec_id) - 1 k from kept order by vec_id limit 64) using (vec_id))",
+    ]
+    for t in range(3):
+        distance = "cast(list_sum(list_transform(range(1, len(x.u) + 1), lambda i: (x.u[i] - b.u[i]) * (x.u[i] - b.u[i]))) as bigint)"
+        ctes.append(f"a{t} as materialized (select vec_id, p, min(d) d, arg_min(k, d * 64 + k) k from (select x.vec_id, x.p, b.k, {distance} d from x join b{t} b on x.p = b.p) group by 1, 2)")
+        if t < 2:
+            ctes.append(f"m{t} as (select p, k, list(c order by i) u from (select p, k, i, {_PMOD_FLOOR} c from (select p, k, i, cast(sum(u[i]) as bigint) s, count(*) n from a{t} join x using (vec_id, p), (select unnest(range(1, w + 1)) i from w) group by 1, 2, 3)) group by 1, 2)")
+            ctes.append(f"b{t + 1} as materialized (select b.p, b.k, coalesce(m.u, b.u) u from b{t} b left join m{t} m on m.p = b.p and m.k = b.k)")
+    ctes.append("r as (select vec_id, string_agg(printf('%02x', k), '' order by p) code, cast(sum(d) as bigint) error from a2 group by 1)")
+    return f"with {', '.join(ctes)} select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) label_error, (select sha256(string_agg(array_to_string(u, ','), ',' order by p, k)) from b2) codebooks_sha256 from r join kept using (vec_id)"
+
+
+OP11 = _op11()
+
+OP12 = f"""with kept as materialized (select vec_id, {_whole(1024)} v from embeddings where {_FINITE}),
+scored as (select q.vec_id query_id, c.vec_id, cast(list_sum(list_transform(range(1, least(len(q.v), len(c.v)) + 1), lambda i: q.v[i] * c.v[i])) as bigint) score from kept q join kept c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) rank, vec_id, score from scored qualify rank <= 10"""
+
+
+def _op13() -> str:
+    """Every round in full."""
+    ctes = [
+        f"kept as materialized (select vec_id, {_whole(1024)} v from embeddings where {_FINITE} and len(embedding) = 64)",
+        "c0 as materialized (select row_number() over (order by sha256(concat('3:', vec_id))) - 1 k, v from kept order by sha256(concat('3:', vec_id)) limit 8)",
+    ]
+    for t in range(11):
+        distance = "cast(list_sum(list_transform(range(1, 65), lambda i: (x.v[i] - c.v[i]) * (x.v[i] - c.v[i]))) as bigint)"
+        ctes.append(f"a{t} as materialized (select vec_id, min(d) d, arg_min(k, d * 8 + k) k from (select x.vec_id, c.k, {distance} d from kept x, c{t} c) group by 1)")
+        if t < 10:
+            ctes.append(f"m{t} as (select k, list(y order by i) v from (select k, i, {_PMOD_FLOOR} y from (select k, i, cast(sum(v[i]) as bigint) s, count(*) n from a{t} join kept using (vec_id), (select unnest(range(1, 65)) i) group by 1, 2)) group by 1)")
+            ctes.append(f"c{t + 1} as materialized (select c.k, coalesce(m.v, c.v) v from c{t} c left join m{t} m using (k))")
+    ctes.append("named as (select k, sha256(array_to_string(v, ',')) centroid_sha256 from c10)")
+    return f"with {', '.join(ctes)} select vec_id, cast(k as int) as cluster, d as distance, cast(sum(d) over (partition by k) as bigint) cluster_inertia, cast(sum(d) over () as bigint) inertia, centroid_sha256 from a10 join named using (k)"
+
+
+OP13 = _op13()
+
+ORACLE = {"op4_substring": OP4, "op5_ngram_jaccard": OP5, "op6_warc": OP6, "op10_decontamination": OP10, "op11_vector_codes": OP11, "op12_top_k": OP12, "op13_centroids": OP13}
