@@ -13,8 +13,8 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -119,15 +119,15 @@ def landing(copies: np.ndarray, x: np.ndarray, goal: float, most: int) -> np.nda
 
 
 def fly(last: bool, most: int):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["rank", "doc_id", "size"], kind="stable", ignore_index=True)
-        pi, x = rows["pi"].to_numpy(float), rows["size"].to_numpy(float)
-        out = flight(pi, x, f"{rows['source'].iloc[0]}|{rows['block'].iloc[0]}")
+    def run(rows: pa.Table) -> pa.Table:
+        """The block with pi after the flight; whole numbers stay whole beside nulls."""
+        rows = rows.take(pc.sort_indices(rows, sort_keys=[("rank", "ascending"), ("doc_id", "ascending"), ("size", "ascending")]))
+        pi, x = rows.column("pi").to_numpy(), rows.column("size").to_numpy().astype(float)
+        out = flight(pi, x, f"{rows.column('source')[0].as_py()}|{rows.column('block')[0].as_py()}")
         if last:
-            sure = rows["sure"].to_numpy(float)
+            sure = rows.column("sure").to_numpy().astype(float)
             out = landing(sure + out, x, float((sure + pi) @ x), most) - sure
-        rows["pi"] = out
-        return rows
+        return rows.set_column(rows.schema.get_field_index("pi"), rows.schema.field("pi"), pa.array(out, pa.float64()))
 
     return run
 
@@ -174,7 +174,7 @@ def mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_C
         last = level == 2
         if last:
             open_ = open_.unionByName(held).withColumn("block", F.lit(0).cast("bigint"))
-        flown = saved(open_.groupBy("source", "block").applyInPandas(fly(last, most), dealt.schema), f"flight{level}")
+        flown = saved(open_.groupBy("source", "block").applyInArrow(fly(last, most), dealt.schema), f"flight{level}")
         done.append(flown if last else flown.where("pi = 0 or pi = 1"))
         open_ = flown.where("pi > 0 and pi < 1").withColumn("block", F.floor(F.col("block") / (BLOCK // 2)))
     taken = F.when(F.col("size") > 0, F.col("sure") + F.rint("pi").cast("int")).otherwise(0)

@@ -301,6 +301,16 @@ def test_mix_of_edge_cases(spark):
     assert [r.copies for r in mixing.mix(mixing.sizes(zero)).collect()] == [0, 0]
 
 
+def test_long_ids_beside_null_ones_stay_as_they_are(spark):
+    rows = [(None, "a", "w w")] + [((1 << 53) + 1 + 2 * i, "a" if i % 2 else "b", "w " * (1 + i % 5)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    sized = mixing.sizes(docs).withColumn("row", F.when(F.col("doc_id").isNotNull(), F.col("doc_id") + 2))
+    out = mixing.mix(sized, row_col="row").collect()
+    assert Counter((r.doc_id, r.row) for r in out) == Counter((d, d and d + 2) for d, _, _ in rows)
+    expected, taken = check_mix(out, [(r.doc_id, r.source) for r in out])
+    assert all(abs(taken[s] - t) <= 2 for s, t in expected.items())
+
+
 def test_mix_reaches_its_targets_and_repeats(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     first, second = (sorted(mixing.mix(mixing.sizes(d)).collect()) for d in (docs, docs.repartition(7)))
