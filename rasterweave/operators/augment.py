@@ -1,19 +1,25 @@
 """Augmentation of a tile table (tile_id, band, r, c, v), set-wise.
 
-A plan tells per tile and epoch which operations happen and with which parameters, all from hash uniforms. Geometric operations move coordinates (equi joins on the source
-pixel), photometric ones are Column expressions, neighbourhood ones spread each pixel over the kernel's offsets and sum up.
+A plan tells per tile and epoch which operations happen, from hash uniforms; operators.programs draws all parameters and runs whole programs over packed tiles. Here each operation stands alone
+over long pixels: symmetries and photometric operations are Column expressions, what looks at other pixels works on the planes of a tile, which meet in one shuffle.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import exp, pi
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rasterweave.functions.grid import symmetry
 from rasterweave.functions.scalars import hash_number, hash_uniform
 
+Plane = dict[str, np.ndarray]
+Rows = tuple[np.ndarray, np.ndarray, np.ndarray]
+
 #: Operation, probability.
 OPERATIONS = [
     ("hflip", 0.5), ("vflip", 0.5), ("rot90", 0.5), ("transpose", 0.3), ("affine", 0.5), ("elastic", 0.25), ("grid_distortion", 0.25), ("optical_distortion", 0.2), ("brightness_contrast", 0.5),
@@ -38,11 +44,38 @@ def nearest(x: Column) -> Column:
     return F.floor(x + 0.5).cast("int")
 
 
+def per_plane(pixels: DataFrame, fn: Callable[[Plane], Rows], *extra: str) -> DataFrame:
+    """tile_id, band, r, c, v that fn makes of each plane, the pixels of a tile's band, which meet in one shuffle; extra: further columns that fn sees."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        at = {name: rows.column(name).fill_null(0).to_numpy() for name in ("r", "c", "v", *extra)}
+        r, c, v = fn(at)
+        same = pa.array(np.zeros(len(r), dtype=np.int64))
+        return pa.table({"tile_id": rows.column("tile_id").take(same), "band": rows.column("band").take(same), "r": pa.array(r, pa.int32()), "c": pa.array(c, pa.int32()), "v": pa.array(v, pa.float64())})
+
+    types = dict(pixels.dtypes)
+    own = pixels.select("tile_id", "band", F.col("r").cast("int").alias("r"), F.col("c").cast("int").alias("c"), F.col("v").cast("double").alias("v"), *extra)
+    return own.groupBy("tile_id", "band").applyInArrow(run, f"tile_id {types['tile_id']}, band {types['band']}, r int, c int, v double")
+
+
+def grid_of(plane: Plane, value: str = "v") -> np.ndarray:
+    """The pixels at their places, 0 where there is none."""
+    out = np.zeros((plane["r"].max() + 1, plane["c"].max() + 1))
+    out[plane["r"], plane["c"]] = plane[value]
+    return out
+
+
+def taken(plane: Plane, rows: np.ndarray, cols: np.ndarray) -> Rows:
+    """Every pixel with the value at its source place; 0 where that is outside."""
+    values = grid_of(plane)
+    inside = (rows >= 0) & (rows < values.shape[0]) & (cols >= 0) & (cols < values.shape[1])
+    return plane["r"], plane["c"], np.where(inside, values[np.where(inside, rows, 0), np.where(inside, cols, 0)], 0.0)
+
+
 def remap(pixels: DataFrame, source_r: Column, source_c: Column) -> DataFrame:
-    """Every pixel takes the value of its source place; 0 where that is outside."""
-    target = pixels.select("tile_id", "band", "r", "c", nearest(source_r).alias("_sr"), nearest(source_c).alias("_sc"))
-    source = pixels.select("tile_id", "band", F.col("r").alias("_sr"), F.col("c").alias("_sc"), "v")
-    return target.join(source, ["tile_id", "band", "_sr", "_sc"], "left").select("tile_id", "band", "r", "c", F.coalesce("v", F.lit(0.0)).alias("v"))
+    """Every pixel takes the value of its source place; 0 where that is outside. Planes are looked up in memory, so pixels are shuffled once and never joined."""
+    placed = pixels.withColumns({"_sr": nearest(source_r), "_sc": nearest(source_c)})
+    return per_plane(placed, lambda plane: taken(plane, plane["_sr"], plane["_sc"]), "_sr", "_sc")
 
 
 def affine(pixels: DataFrame, size: int, scale: float, degrees: float, shift: tuple[float, float], shear: float) -> DataFrame:
@@ -84,12 +117,34 @@ def kernel(size: int, sigma: float) -> list[tuple[int, int, float]]:
     return [(i, j, w / total) for i, j, w in raw]
 
 
+def spread(values: np.ndarray, weights: list[tuple[int, int, float]]) -> np.ndarray:
+    """Every value, times the weight, added at its place and offset."""
+    (h, w), out = values.shape, np.zeros(values.shape)
+    for i, j, weight in weights:
+        if abs(i) < h and abs(j) < w:
+            out[max(i, 0) : h + min(i, 0), max(j, 0) : w + min(j, 0)] += weight * values[max(-i, 0) : h - max(i, 0), max(-j, 0) : w - max(j, 0)]
+    return out
+
+
+def blurred(plane: Plane, passes: list[list[tuple[int, int, float]]], size: int, value: str = "v") -> tuple[np.ndarray, np.ndarray]:
+    """Weighted means over neighbours by one kernel after the other, and which places they exist at; the weights of pixels that are there add up to one."""
+    values, there = np.zeros((size, size)), np.zeros((size, size))
+    values[plane["r"], plane["c"]], there[plane["r"], plane["c"]] = plane[value], 1.0
+    for weights in passes:
+        total, have = spread(values, weights), spread(there, weights)
+        values, there = np.divide(total, have, out=np.zeros_like(total), where=have > 0), (have > 0).astype(float)
+    return values, there > 0
+
+
 def convolve(pixels: DataFrame, weights: list[tuple[int, int, float]], size: int) -> DataFrame:
-    """Weighted sums over neighbours; at the edge the weights inside add up to one. Pixels spread and sum in one aggregation."""
-    offsets = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(w).alias("w")) for i, j, w in weights]))
-    spread = pixels.select("tile_id", "band", "r", "c", "v", offsets.alias("o")).select("tile_id", "band", (F.col("r") + F.col("o.i")).alias("r"), (F.col("c") + F.col("o.j")).alias("c"), (F.col("v") * F.col("o.w")).alias("v"), F.col("o.w").alias("w"))
-    inside = spread.where(F.col("r").between(0, size - 1) & F.col("c").between(0, size - 1))
-    return inside.groupBy("tile_id", "band", "r", "c").agg((F.sum("v") / F.sum("w")).alias("v"))
+    """Weighted means over neighbours; at the edge the weights inside add up to one. A plane is convolved where it lies, so a pixel is shuffled once, whatever the kernel."""
+
+    def run(plane: Plane) -> Rows:
+        values, there = blurred(plane, [weights], size)
+        r, c = np.nonzero(there)
+        return r, c, values[r, c]
+
+    return per_plane(pixels, run)
 
 
 def gaussian_blur(pixels: DataFrame, size: int, window: int = 3, sigma: float = 0.8) -> DataFrame:
@@ -98,25 +153,26 @@ def gaussian_blur(pixels: DataFrame, size: int, window: int = 3, sigma: float =
 
 def sharpen(pixels: DataFrame, size: int, alpha: float = 0.3) -> DataFrame:
     """The picture plus alpha of its difference from its blur."""
-    blurred = gaussian_blur(pixels, size).withColumnRenamed("v", "_b")
-    return pixels.join(blurred, ["tile_id", "band", "r", "c"]).select("tile_id", "band", "r", "c", (F.col("v") + alpha * (F.col("v") - F.col("_b"))).alias("v"))
 
+    def run(plane: Plane) -> Rows:
+        soft = blurred(plane, [kernel(3, 0.8)], size)[0][plane["r"], plane["c"]]
+        return plane["r"], plane["c"], plane["v"] + alpha * (plane["v"] - soft)
 
-def smoothed(pixels: DataFrame, size: int, sigma: float) -> DataFrame:
-    """Blurred by a Gaussian out to three deviations: along columns, then along rows, so a pixel meets 2 * 3 * sigma others twice, not their square."""
+    return per_plane(pixels, run)
+
+
+def elastic(pixels: DataFrame, size: int, alpha: float = 60.0, sigma: float = 6.0, seed: int = 42) -> DataFrame:
+    """Places shift by alpha times a smoothed noise field, one per tile and axis: blurred out to three deviations along columns and then along rows, plane by plane."""
     half = min(round(3 * sigma), size - 1)
     raw = [(i, exp(-i * i / (2 * sigma * sigma))) for i in range(-half, half + 1)]
-    down = convolve(pixels, [(i, 0, w) for i, w in raw], size)
-    return convolve(down, [(0, i, w) for i, w in raw], size)
+    passes = [[(i, 0, w) for i, w in raw], [(0, i, w) for i, w in raw]]
+    noise = {f"_n{axis}": hash_uniform(seed, "tile_id", F.lit(axis), "r", "c") * 2 - 1 for axis in (0, 1)}
 
+    def run(plane: Plane) -> Rows:
+        shift = [alpha * blurred(plane, passes, size, f"_n{axis}")[0][plane["r"], plane["c"]] for axis in (0, 1)]
+        return taken(plane, *(np.floor(plane[at] + d + 0.5).astype(int) for at, d in zip("rc", shift, strict=True)))
 
-def elastic(pixels: DataFrame, size: int, alpha: float = 60.0, sigma: float = 6.0, seed: int = 42) -> DataFrame:
-    """Places shift by alpha times a smoothed noise field, one per tile and axis."""
-    places = pixels.select("tile_id", "r", "c").distinct()
-    noise = places.select("tile_id", F.explode(F.array(F.lit(0), F.lit(1))).alias("band"), "r", "c").withColumn("v", hash_uniform(seed, "tile_id", "band", "r", "c") * 2 - 1)
-    field = smoothed(noise, size, sigma).groupBy("tile_id", "r", "c").pivot("band", [0, 1]).agg(F.first("v"))
-    shifted = pixels.join(field.withColumnsRenamed({"0": "_dr", "1": "_dc"}), ["tile_id", "r", "c"])
-    return remap(shifted, F.col("r") + alpha * F.col("_dr"), F.col("c") + alpha * F.col("_dc"))
+    return per_plane(pixels.withColumns(noise), run, "_n0", "_n1")
 
 
 def brightness_contrast(pixels: DataFrame, contrast: float, brightness: float) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -50,23 +51,33 @@ def score_tiles(tiles: DataFrame, load: Callable[[], Callable[[np.ndarray], np.n
 
 def flat_map_blocks(blocks: DataFrame, fn: Callable[[dict], list[tuple]], keys: list[str], schema: str) -> DataFrame:
     """keys, and the rows of schema that fn makes of each block (a dict of its columns), with error; a block that fails is one row with its keys and the message."""
-    made = [c.split()[0] for c in schema.split(", ")]
-    names = [*keys, *made, "error"]
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            for values in zip(*(frame[c] for c in frame.columns), strict=True):
-                block = dict(zip(frame.columns, values, strict=True))
-                own = [block[k] for k in keys]
+    types = dict(blocks.dtypes)
+    out_schema = ", ".join([*(f"{k} {types[k]}" for k in keys), schema, "error string"])
+    made = blocks.sparkSession.createDataFrame([], schema).toArrow().schema
+
+    def plain(column: pa.Array) -> list:
+        """A value per block: arrays as numpy has them, the rest as Python has it, so that whole numbers stay whole beside nulls."""
+        if pa.types.is_list(column.type) and pa.types.is_primitive(column.type.value_type):
+            return [x.values.to_numpy(zero_copy_only=False) if x.is_valid else None for x in column]
+        return column.to_pylist()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, rows, errors = [], [], []
+            for i, values in enumerate(zip(*map(plain, batch.columns), strict=True)):
                 try:
-                    out += [(*own, *row, None) for row in fn(block)]
+                    own = [tuple(row) for row in fn(dict(zip(batch.schema.names, values, strict=True)))]
+                    errors += [None] * len(own)
                 except Exception as e:  # any failure stays with its block
-                    out.append((*own, *[None] * len(made), f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(out, columns=names)
-
-    types = dict(blocks.dtypes)
-    return blocks.mapInPandas(run, ", ".join([*(f"{k} {types[k]}" for k in keys), schema, "error string"]))
+                    own = [(None,) * len(made)]
+                    errors.append(f"{type(e).__name__}: {e}")
+                at += [i] * len(own)
+                rows += own
+            columns = [pa.array([row[j] for row in rows], field.type) for j, field in enumerate(made)]
+            there = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(there) for k in keys), *columns, pa.array(errors, pa.string())], names=[*keys, *made.names, "error"])
+
+    return blocks.mapInArrow(run, out_schema)
 
 
 @udtf(returnType="row int, col int")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rasterweave.fixtures import fixture, oracle
-from rasterweave.operators import augment, spatial
+from rasterweave.operators import augment, programs, spatial
 from rasterweave.queries.aggregations import rounded
 from rasterweave.registry import query
 
@@ -179,3 +179,102 @@ def random_shadow(spark: SparkSession, sf_dir: str) -> DataFrame:
     triangle = F.explode(F.array(edge(a, 0, at(7), 3), edge(at(7), 3, at(1), 8), edge(at(1), 8, a, 0)))
     edges = pixels.select("tile_id").distinct().select("tile_id", triangle.alias("e")).select("tile_id", "e.*")
     return out(augment.random_shadow(pixels, spatial.rasterize_polygons(edges, "tile_id", height=8, width=8)))
+
+
+# --- programs: parameters, and what they do to packed tiles -------------------------------------------------------
+
+EPOCHS = [1, 2]
+
+
+def _ranges() -> list[tuple[str, int, str, str, float, float]]:
+    """op, k, name, kind (u: uniform, w: whole, o: odd window, c: constant), low, high of every parameter of an 8 x 8 tile's program."""
+    out = [("rot90", 0, "k", "w", 0, 3)]
+    out += [("affine", k, name, "u", lo, hi) for k, (name, lo, hi) in enumerate((("sy", 0.85, 1.15), ("sx", 0.85, 1.15), ("turn", -20, 20), ("dy", -0.06, 0.06), ("dx", -0.06, 0.06), ("hy", -5, 5), ("hx", -5, 5)))]
+    out += [("elastic", 0, "noise", "w", 0, 2147483646), ("elastic", 1, "", "c", 60, 60), ("elastic", 2, "", "c", 6, 6)]
+    out += [("grid_distortion", 5 * (axis == "c") + i, f"{axis}{i}", "u", 0.8, 1.2) for axis in "rc" for i in range(5)]
+    out += [("optical_distortion", k, name, "u", -lim, lim) for k, (name, lim) in enumerate((("k", 0.15), ("dy", 0.1), ("dx", 0.1)))]
+    out += [("brightness_contrast", k, name, "u", -0.25, 0.25) for k, name in enumerate(("contrast", "brightness"))]
+    out += [("hue_saturation_value", k, name, "u", -lim, lim) for k, (name, lim) in enumerate((("hue", 10 / 30), ("saturation", 20 / 255), ("value", 15 / 255)))]
+    out += [("clahe", 0, "clip", "u", 1, 3), ("clahe", 1, "", "c", 2, 2), ("gauss_noise", 0, "noise", "w", 0, 2147483646), ("gauss_noise", 1, "sigma", "u", 0.01, 0.05)]
+    out += [("gaussian_blur", 0, "window", "o", 1, 2), ("sharpen", 0, "alpha", "u", 0.1, 0.3), ("sharpen", 1, "lightness", "u", 0.8, 1.2), ("coarse_dropout", 0, "n", "w", 1, 6)]
+    out += [("coarse_dropout", 1 + 4 * i + j, f"{name}{i}", "w", *((1, 1) if name in "hw" else (0, 7))) for i in range(6) for j, name in enumerate("rchw")]
+    return out + [("random_shadow", 0, "n", "w", 1, 3)] + [("random_shadow", 1 + 2 * i + j, f"{axis}{i}", "u", 0, 8) for i in range(15) for j, axis in enumerate("yx")]
+
+
+_RANGES = "select * from (values " + ", ".join(f"('{op}', {k}, '{name}', '{kind}', {float(lo)!r}e0, {float(hi)!r}e0)" for op, k, name, kind, lo, hi in _ranges()) + ") as t(op, k, name, kind, lo, hi)"
+_DRAWN = "cast(concat('0x', substr(md5(concat_ws(':', concat('42', op, '.', {}), cast(epoch as varchar), cast(tile_id as varchar))), 1, 8)) as bigint)"
+_AT = _DRAWN.format("name")
+
+
+@query(oracle(f"""select tile_id, epoch, op, k, round(case kind when 'u' then lo + (hi - lo) * ({_AT} / 4294967296e0) when 'w' then lo + {_AT} % cast(hi - lo + 1 as bigint) when 'o' then 1 + 2 * (1 + {_AT} % 2) when 'c' then lo end, 8) as value
+from (select distinct tile_id from fx_px), (select unnest([1, 2]) epoch), ops left join ranges using (op) where {_DRAWN.format("'on'")} / 4294967296e0 < p""", "fx_px", ops=_OPS, ranges=_RANGES))
+def augment_program(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per parameter of every step, or one with nulls for a step without any."""
+    plans = programs.programs(px(spark, sf_dir).select("tile_id").distinct(), EPOCHS, 8)
+    steps = plans.select("tile_id", "epoch", F.explode("steps").alias("s"))
+    return rounded(steps.select("tile_id", "epoch", "s.op", F.posexplode_outer("s.p").alias("k", "value")), "value", digits=8)
+
+
+def _p(op: str, name: str, lo: float, hi: float) -> str:
+    return f"({float(lo)!r}e0 + ({float(hi)!r}e0 - ({float(lo)!r}e0)) * {_u(f'42{op}.{name}', 'epoch', 'tile_id')})"
+
+
+def _composed() -> dict[str, str]:
+    """CTEs s0, s1, ...: source places of all target places, taken back through the geometric steps from the last to the first; null once outside."""
+    chance = dict(augment.OPERATIONS)
+    on = lambda op: f"{_u(f'42{op}.on', 'epoch', 'tile_id')} < {chance[op]}e0"
+    base = _h("42elastic.noise", "epoch", "tile_id") + " % 2147483647"
+    rough = "select tile_id, epoch, a, r, c, (x * x + 69621 * x + 12345) % 2147483647 / 2147483647e0 * 2 - 1 u from (select tile_id, epoch, a, r, c, (x * x + 48271 * x + 12345) % 2147483647 x from (select tile_id, epoch, a, r, c, (base + 7919 * (a * 64 + r * 8 + c)) % 2147483647 x from bent, (select unnest([0, 1]) a), (select unnest(range(8)) r), (select unnest(range(8)) c)))"
+    ctes = {
+        "runs": "select tile_id, epoch from (select distinct tile_id from fx_px), (select unnest([1, 2]) epoch)", "bent": f"select tile_id, epoch, {base} base from runs where {on('elastic')}", "rough": rough,
+        "bend": "select x.tile_id, x.epoch, x.r fr, x.c fc, sum(w * y.u) filter (where y.a = 0) / sum(w) filter (where y.a = 0) dr, sum(w * y.u) filter (where y.a = 1) / sum(w) filter (where y.a = 1) dc from (select * from rough where a = 0) x join (select * from rough) y using (tile_id, epoch), lateral (select exp(-((x.r - y.r) * (x.r - y.r) + (x.c - y.c) * (x.c - y.c)) / 72e0) w) group by 1, 2, 3, 4",
+        "s0": "select tile_id, epoch, tr, tc, cast(tr as double) r, cast(tc as double) c from runs, (select unnest(range(8)) tr), (select unnest(range(8)) tc)",
+    }
+    k, gy, gx = _p("optical_distortion", "k", -0.15, 0.15), _p("optical_distortion", "dy", -0.1, 0.1), _p("optical_distortion", "dx", -0.1, 0.1)
+    y, x = f"(r - 3.5e0 - {gy} * 8)", f"(c - 3.5e0 - {gx} * 8)"
+    grow = f"(1 + {k} * (({y} / 3.5e0) * ({y} / 3.5e0) + ({x} / 3.5e0) * ({x} / 3.5e0)))"
+
+    def cells(axis: str) -> str:
+        length = "[" + ", ".join(f"(1 + {_p('grid_distortion', f'{axis}{i}', -0.2, 0.2)})" for i in range(5)) + "]"
+        at = f"cast(greatest(least(floor({axis} / 1.6e0), 4), 0) as int)"
+        return f"(coalesce(list_sum({length}[1:{at}]), 0) + ({axis} / 1.6e0 - {at}) * {length}[{at} + 1]) * 8 / list_sum({length})"
+
+    a = {n: _p("affine", n, lo, hi) for n, lo, hi in (("sy", 0.85, 1.15), ("sx", 0.85, 1.15), ("turn", -20, 20), ("dy", -0.06, 0.06), ("dx", -0.06, 0.06), ("hy", -5, 5), ("hx", -5, 5))}
+    ay, ax = f"(r - 3.5e0 - {a['dy']} * 8)", f"(c - 3.5e0 - {a['dx']} * 8)"
+    ax = f"({ax} - tan(radians({a['hx']})) * {ay})"
+    ay = f"({ay} - tan(radians({a['hy']})) * {ax})"
+    turns = f"({_h('42rot90.k', 'epoch', 'tile_id')} % 4)"
+    maps = [
+        ("optical_distortion", f"3.5e0 + {gy} * 8 + {y} * {grow}", f"3.5e0 + {gx} * 8 + {x} * {grow}"), ("grid_distortion", cells("r"), cells("c")), ("elastic", "r + 60 * dr", "c + 60 * dc"),
+        ("affine", f"(cos(radians({a['turn']})) * {ay} - sin(radians({a['turn']})) * {ax}) / {a['sy']} + 3.5e0", f"(sin(radians({a['turn']})) * {ay} + cos(radians({a['turn']})) * {ax}) / {a['sx']} + 3.5e0"),
+        ("transpose", "c", "r"), ("rot90", f"case {turns} when 0 then r when 1 then c when 2 then 7 - r else 7 - c end", f"case {turns} when 0 then c when 1 then 7 - r when 2 then 7 - c else r end"), ("vflip", "7 - r", "c"), ("hflip", "r", "7 - c"),
+    ]
+    for i, (op, r, c) in enumerate(maps):
+        source = f"s{i}" if op != "elastic" else f"s{i} left join bend using (tile_id, epoch)"
+        near = " where dr is null or r is null or (fr = greatest(least(floor(r + 0.5e0), 7), 0) and fc = greatest(least(floor(c + 0.5e0), 7), 0))" if op == "elastic" else ""
+        ctes[f"s{i + 1}"] = f"select distinct tile_id, epoch, tr, tc, case when inside then r end r, case when inside then c end c from (select *, r >= -0.5e0 and r < 7.5e0 and c >= -0.5e0 and c < 7.5e0 inside from (select tile_id, epoch, tr, tc, case when {on(op)} then {r} else r end r, case when {on(op)} then {c} else c end c from {source}{near}))"
+    ctes["placed"] = "select *, cast(floor(r + 0.5e0) as int) sr, cast(floor(c + 0.5e0) as int) sc from s8"
+    return ctes
+
+
+def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return programs.packed_tiles(px(spark, sf_dir), fixture(spark, sf_dir, "fx_scores").select("tile_id", "r", "c", F.col("target").alias("class_id")))
+
+
+@query(oracle("""select p.tile_id, p.epoch, cast(p.tr as int) r, cast(p.tc as int) c, b.band, round(case when b.band = 4 then own.v else coalesce(v.v, 0) end, 6) v, cast(coalesce(m.target, 0) as int) class_id
+from placed p, (select unnest([1, 2, 3, 4]) band) b join fx_px own on own.tile_id = p.tile_id and own.band = b.band and own.r = p.tr and own.c = p.tc
+left join fx_px v on v.tile_id = p.tile_id and v.band = b.band and v.r = p.sr and v.c = p.sc left join fx_scores m on m.tile_id = p.tile_id and m.r = p.sr and m.c = p.sc""", "fx_px", "fx_scores", **_composed()))
+def augment_geometric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Image and mask of every tile in two epochs after the geometric steps of their programs, taken from the nearest pixel; the fourth band stays."""
+    done = programs.augmented(tiles(spark, sf_dir), EPOCHS, 8, between=False, only=tuple(programs.MAPS))
+    at = done.select("tile_id", "epoch", "image", F.posexplode("mask").alias("at", "class_id"))
+    rows = at.select("tile_id", "epoch", F.floor(F.col("at") / 8).cast("int").alias("r"), (F.col("at") % 8).cast("int").alias("c"), "class_id", F.explode(F.transform(F.array(*map(F.lit, range(4))), lambda b: F.struct((b + 1).alias("band"), F.get("image", b * 64 + F.col("at")).alias("v")))).alias("x"))
+    return rounded(rows.select("tile_id", "epoch", "r", "c", "x.band", "x.v", "class_id"), "v")
+
+
+@query()
+def augment_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole programs over every tile in two epochs: the steps, the mean of each band and the classes of the mask. Compared with plain steps in the tests."""
+    done = programs.augmented(tiles(spark, sf_dir), EPOCHS, 8)
+    mean = lambda b: F.aggregate(F.slice("image", b * 64 + 1, 64), F.lit(0.0), lambda a, x: a + x) / 64
+    return done.select("tile_id", "epoch", F.array_join("ops", "+").alias("ops"), F.array(*[F.round(mean(b), 6) for b in range(4)]).alias("band_means"), F.sort_array(F.array_distinct("mask")).alias("class_ids"))
