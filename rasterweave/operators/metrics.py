@@ -80,3 +80,18 @@ def epoch_metrics(batches: DataFrame) -> DataFrame:
 def best_epoch(epochs: DataFrame) -> DataFrame:
     """run_id, best_epoch (the first of the largest val_miou), best, epochs."""
     return epochs.groupBy("run_id").agg(F.max_by("epoch", F.struct("val_miou", -F.col("epoch"))).alias("best_epoch"), F.max("val_miou").alias("best"), F.count("*").alias("epochs"))
+
+
+def class_means(pixels: DataFrame, bands: int, weight: str = "n") -> dict[int, list[float]]:
+    """The weighted mean of each band per class of labelled pixels (bands, target, weight): the least model that can be fitted in one pass. A row per class."""
+    mean = lambda i: F.sum(F.col("bands")[i] * F.col(weight)) / F.sum(weight)
+    rows = pixels.where(F.col("target") != IGNORE).groupBy("target").agg(F.array(*[mean(i) for i in range(bands)]).alias("means"))
+    return {r.target: list(r.means) for r in rows.collect()}
+
+
+def nearest_mean(bands: Column, means: dict[int, list[float]]) -> Column:
+    """The class whose mean is nearest, of equals the least; null without any."""
+    if not means:
+        return F.lit(None).cast("int")
+    far = lambda m: sum(((bands[i] - x) * (bands[i] - x) for i, x in enumerate(m)), F.lit(0.0))
+    return F.array_min(F.array(*[F.struct(far(m).alias("far"), F.lit(c).alias("class_id")) for c, m in sorted(means.items())]))["class_id"]

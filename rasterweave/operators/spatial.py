@@ -28,7 +28,7 @@ MOST_BROADCAST = 10_000
 
 
 def bbox_overlap_join(rasters: DataFrame, layers: DataFrame, cell: float = 32.0) -> DataFrame:
-    """raster_id, layers: the names of overlapping layers in order, or none. Up to MOST_BROADCAST layers, counted first, are broadcast; more meet the rasters by grid cells."""
+    """raster_id, layers: the names of overlapping layers in order, or none. Up to MOST_BROADCAST layers, counted first, are broadcast; more meet the rasters by grid cells of several levels, from `cell` upward."""
     box = ("minx", "miny", "maxx", "maxy")
     if layers.limit(MOST_BROADCAST + 1).count() > MOST_BROADCAST:
         pairs = grid_bbox_join(rasters, layers, "raster_id", "layer", cell)
@@ -40,53 +40,74 @@ def bbox_overlap_join(rasters: DataFrame, layers: DataFrame, cell: float = 32.0)
     return joined.groupBy("raster_id").agg(F.when(names == "", "none").otherwise(names).alias("layers"))
 
 
-def cells(df: DataFrame, prefix: str, size: float) -> DataFrame:
-    """df with a row for each grid cell that its box touches."""
-    span = lambda lo, hi: F.sequence(F.floor(F.col(prefix + lo) / size), F.floor(F.col(prefix + hi) / size))
-    return df.withColumn("cell_x", F.explode(span("minx", "maxx"))).withColumn("cell_y", F.explode(span("miny", "maxy")))
+def level_of(prefix: str, size: float) -> Column:
+    """The least level whose cells, of size * 2^level, are as large as the box: it touches two of them along an axis at most."""
+    extent = F.greatest(F.col(f"{prefix}maxx") - F.col(f"{prefix}minx"), F.col(f"{prefix}maxy") - F.col(f"{prefix}miny"))
+    level = F.greatest(F.ceil(F.log2(F.greatest(extent, F.lit(size)) / size)), F.lit(0))
+    return (level + F.when(F.pow(F.lit(2.0), level) * size < extent, 1).otherwise(0)).cast("int")
+
+
+def cells(df: DataFrame, prefix: str, size: float, levels: list[int]) -> DataFrame:
+    """df with level and with a row for each cell (at, cell_x, cell_y) that its box touches, on its own level and on those of levels that are coarser: four cells a level at most, whatever its extent."""
+    leveled = df.withColumn("level", level_of(prefix, size))
+    at = F.explode(F.array_distinct(F.concat(F.array("level"), F.filter(F.array(*map(F.lit, levels)), lambda x: x > F.col("level")))))
+    span = lambda lo, hi: F.sequence(F.floor(F.col(prefix + lo) / F.col("_w")), F.floor(F.col(prefix + hi) / F.col("_w")))
+    rows = leveled.withColumn("at", at).withColumn("_w", F.pow(F.lit(2.0), F.col("at")) * size)
+    return rows.withColumn("cell_x", F.explode(span("minx", "maxx"))).withColumn("cell_y", F.explode(span("miny", "maxy"))).drop("_w")
 
 
 def grid_bbox_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str, size: float) -> DataFrame:
-    """Pairs of ids of strictly overlapping boxes: an equi join on grid cells, then the exact predicate."""
+    """Pairs of ids of strictly overlapping boxes: an equi join on cells, then the exact predicate.
+
+    A box is covered by cells of the level that fits its extent. Two boxes meet on the coarser one's level, where the finer one's box has its cells too, in the one cell
+    that holds the least corner of their overlap; so each pair of rows is found once, and no box is cut into cells by its area. Ids are told once each, however often they stand there.
+    """
     box = ("minx", "miny", "maxx", "maxy")
-    a = cells(left.select(F.col(left_id), *[F.col(c).cast("double").alias(f"l_{c}") for c in box]), "l_", size)
-    b = cells(right.select(F.col(right_id), *[F.col(c).cast("double").alias(f"r_{c}") for c in box]), "r_", size)
-    return a.join(b, ["cell_x", "cell_y"]).where(overlaps("l_", "r_")).select(left_id, right_id).distinct()
+    sides = [df.select(F.col(i), *[F.col(c).cast("double").alias(f"{p}{c}") for c in box]) for df, i, p in ((left, left_id, "l_"), (right, right_id, "r_"))]
+    levels = [[r.level for r in df.select(level_of(p, size).alias("level")).where("level is not null").distinct().collect()] for df, p in zip(sides, ("l_", "r_"), strict=True)]  # tens of rows
+    a = cells(sides[0], "l_", size, levels[1]).withColumnRenamed("level", "l_level")
+    b = cells(sides[1], "r_", size, levels[0]).withColumnRenamed("level", "r_level")
+    width = F.pow(F.lit(2.0), F.col("at")) * size
+    first = (F.col("cell_x") == F.floor(F.greatest("l_minx", "r_minx") / width)) & (F.col("cell_y") == F.floor(F.greatest("l_miny", "r_miny") / width))
+    met = a.join(b, ["at", "cell_x", "cell_y"]).where((F.col("at") == F.greatest("l_level", "r_level")) & first & overlaps("l_", "r_"))
+    return met.select(left_id, right_id).distinct()
 
 
-def spans(edges: DataFrame, *keys: str) -> DataFrame:
-    """keys, row, first, last: the runs of pixels whose centres lie inside, by the even-odd rule over all rings.
+def spans(edges: DataFrame, *keys: str, rows: tuple[int, int] | None = None) -> DataFrame:
+    """keys, row, first, last: the runs of pixels whose centres lie inside, by the even-odd rule over all rings; within the rows (both ends included), if given.
 
-    Each edge gives its crossing with the centre line of every row between its ends; crossings of a key and row, in order, pair up.
+    Each edge gives its crossing with the centre line of every row between its ends, of those rows only, so an edge costs what is left of it after clipping; crossings of a key and row, in order, pair up.
     """
-    lo, hi = F.least("y0", "y1").cast("double"), F.greatest("y0", "y1").cast("double")
-    sloped = edges.where(F.col("y0") != F.col("y1")).withColumn("lo", F.ceil(lo - 0.5)).withColumn("hi", F.ceil(hi - 0.5) - 1).where("lo <= hi")
-    rows = sloped.withColumn("row", F.explode(F.sequence("lo", "hi")))
+    lo, hi = F.ceil(F.least("y0", "y1").cast("double") - 0.5), F.ceil(F.greatest("y0", "y1").cast("double") - 0.5) - 1
+    if rows is not None:
+        lo, hi = F.greatest(lo, F.lit(rows[0])), F.least(hi, F.lit(rows[1]))
+    sloped = edges.where(F.col("y0") != F.col("y1")).withColumn("lo", lo).withColumn("hi", hi).where("lo <= hi")
+    crossing = sloped.withColumn("row", F.explode(F.sequence("lo", "hi")))
     x = F.col("x0") + (F.col("row") + 0.5 - F.col("y0")) * (F.col("x1") - F.col("x0")) / (F.col("y1") - F.col("y0"))
-    crossed = rows.select(*keys, "row", x.alias("x")).groupBy(*keys, "row").agg(F.sort_array(F.collect_list("x")).alias("xs"))
+    crossed = crossing.select(*keys, "row", x.alias("x")).groupBy(*keys, "row").agg(F.sort_array(F.collect_list("x")).alias("xs"))
     pair = F.explode(F.transform(F.sequence(F.lit(0), F.floor(F.size("xs") / 2).cast("int") - 1), lambda i: F.struct(F.ceil(F.get("xs", i * 2) - 0.5).alias("first"), (F.ceil(F.get("xs", i * 2 + 1) - 0.5) - 1).alias("last"))))
     return crossed.where(F.size("xs") >= 2).select(*keys, "row", pair.alias("s")).select(*keys, "row", "s.first", "s.last").where("first <= last")
 
 
 def rasterize_polygons(edges: DataFrame, *keys: str, height: int, width: int) -> DataFrame:
-    """keys, row, col of the pixels inside, clipped to the raster."""
-    clipped = spans(edges, *keys).where(F.col("row").between(0, height - 1)).withColumns({"first": F.greatest("first", F.lit(0)), "last": F.least("last", F.lit(width - 1))}).where("first <= last")
-    return clipped.select(*keys, "row", F.explode(F.sequence("first", "last")).alias("col")).distinct()
+    """keys, row, col of the pixels inside, clipped to the raster. Runs of a key and row don't overlap, so each pixel comes once."""
+    clipped = spans(edges, *keys, rows=(0, height - 1)).withColumns({"first": F.greatest("first", F.lit(0)), "last": F.least("last", F.lit(width - 1))}).where("first <= last")
+    return clipped.select(*keys, "row", F.explode(F.sequence("first", "last")).alias("col"))
 
 
 def rasterize_all_touched(edges: DataFrame, *keys: str, height: int, width: int) -> DataFrame:
-    """Also the pixels that an edge passes through; pixels are half open, vertices whole numbers."""
+    """Also the pixels that an edge passes through; pixels are half open, vertices whole numbers. Edges are clipped to the raster before they become pixels."""
     top, bottom = F.least("y0", "y1"), F.greatest("y0", "y1")
-    rows = edges.withColumn("row", F.explode(F.sequence(top, F.greatest(top, bottom - 1))))
+    from_, to = F.greatest(top, F.lit(0)), F.least(F.greatest(top, bottom - 1), F.lit(height - 1))
+    rows = edges.where(from_ <= to).withColumn("row", F.explode(F.sequence(from_, to)))
     at = lambda y: F.col("x0") + (y - F.col("y0")) * (F.col("x1") - F.col("x0")) / (F.col("y1") - F.col("y0"))
     flat = F.col("y0") == F.col("y1")
     xa = F.when(flat, F.col("x0").cast("double")).otherwise(at(F.greatest("row", top)))
     xb = F.when(flat, F.col("x1").cast("double")).otherwise(at(F.least(F.col("row") + 1, bottom)))
     rows = rows.withColumns({"xa": xa, "xb": xb})
     lo = F.floor(F.least("xa", "xb"))
-    rows = rows.withColumns({"first": lo, "last": F.greatest(lo, F.ceil(F.greatest("xa", "xb")) - 1)})
+    rows = rows.withColumns({"first": F.greatest(lo, F.lit(0)), "last": F.least(F.greatest(lo, F.ceil(F.greatest("xa", "xb")) - 1), F.lit(width - 1))}).where("first <= last")
     touched = rows.select(*keys, F.col("row").cast("bigint").alias("row"), F.explode(F.sequence("first", "last")).alias("col"))
-    touched = touched.where(F.col("row").between(0, height - 1) & F.col("col").between(0, width - 1))
     return touched.union(rasterize_polygons(edges, *keys, height=height, width=width)).distinct()
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rasterweave.functions.scalars import hash_number
 from rasterweave.model import RGB_MEAN, RGB_STD
+from rasterweave.session import saved
 
 FIRST_BANDS = 5
 
@@ -24,22 +27,59 @@ def random_windows(rasters: DataFrame, n: int, tile: int, seed: int = 42) -> Dat
     return at.withColumns({"win_row": place("r", "height"), "win_col": place("c", "width")})
 
 
-def band_percentiles(pixels: DataFrame, *keys: str, low: float = 0.02, high: float = 0.98, spread: bool = False, value: str = "v") -> DataFrame:
-    """Linear interpolation between ranks, exact. spread: for groups that outgrow a task; ranks then come from prefix sums over the counts of distinct values, of which no task holds a whole group."""
+#: Rank error of the sketches that bracket percentiles, as one part in so many, and how many such parts a bracket takes on either side.
+ACCURACY, MARGIN = 10_000, 3
+
+
+def few(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """df written once, and marked for a broadcast if it has so few rows."""
+    rows = saved(df, "few")
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
+
+
+def band_percentiles(pixels: DataFrame, *keys: str, low: float = 0.02, high: float = 0.98, spread: bool = False, value: str = "v", accuracy: int = ACCURACY, margin: int = MARGIN) -> DataFrame:
+    """Linear interpolation between ranks, exact. spread: for groups that outgrow a task.
+
+    Spread, a pass of mergeable sketches brackets both percentiles of every group; a second pass counts what lies outside the brackets as a whole and inside them value by value, so
+    tasks send some parts in `accuracy` of a group besides ties, and running counts over those find the ranks exactly. Merged sketches may err by more than they promise: a group whose rank
+    turns out to lie outside its bracket goes round again with a wider one, at last with all of its values.
+    """
     if not spread:
         return pixels.groupBy(*keys, "band").agg(F.percentile(value, low).alias("p_lo"), F.percentile(value, high).alias("p_hi"))
-    from rasterweave.operators.selection import prefix_sums  # which uses this module
-
-    counts = pixels.where(F.col(value).isNotNull()).groupBy(*keys, "band", F.col(value).alias("_value")).agg(F.count("*").alias("_n"))
-    ranked = prefix_sums(counts.withColumn("_order", F.struct(*keys, "band", "_value")), "_order", "_n").drop("_order")
-    sizes = ranked.groupBy(*keys, "band").agg(F.min("before").alias("_first"), F.sum("_n").alias("_total"))
-    placed = ranked.join(sizes, [*keys, "band"]).withColumn("_at", F.col("before") - F.col("_first"))
+    by = [*keys, "band"]
+    at = [min(max(p + side * margin / accuracy, 0.0), 1.0) for p in (low, high) for side in (-1, 1)]
+    real = pixels.where(F.col(value).isNotNull())
+    ends = few(real.groupBy(*by).agg(F.percentile_approx(value, at, accuracy).alias("_e"), F.count("*").alias("_total")).select(*by, "_total", *[F.col("_e")[i].alias(f"_e{i}") for i in range(4)]))
+    same = [real[c].eqNullSafe(ends[c]) for c in by]
+    v, e = F.col(value), [F.col(f"_e{i}") for i in range(4)]
+    # a row's place in order: its value where that matters, else just before, between or just after the brackets
+    put = lambda x, side: F.struct(x.alias("x"), F.lit(side).alias("side"))
+    place = F.when(v < e[0], put(e[0], -1)).when(v <= e[1], put(v, 0)).when(v < e[2], put(e[1], 1)).when(v <= e[3], put(v, 0)).otherwise(put(e[3], 1))
+    counts = real.join(ends, reduce(Column.__and__, same)).select(*[real[c] for c in by], "_total", place.alias("_place")).groupBy(*by, "_total", "_place").agg(F.count("*").alias("_n"))
+    ranked = counts.withColumn("_upto", F.sum("_n").over(Window.partitionBy(*by).orderBy("_place")))
     rank = lambda p: p * (F.col("_total") - 1)
-    of = lambda k: F.max(F.when((F.col("_at") <= k) & (k < F.col("_at") + F.col("_n")), F.col("_value").cast("double")))
-    ends = {f"_{name}_{end}": of(f(rank(p))) for name, p in (("lo", low), ("hi", high)) for end, f in (("below", F.floor), ("above", F.ceil))}
-    found = placed.groupBy(*keys, "band", "_total").agg(*[v.alias(k) for k, v in ends.items()])
+    held = lambda k: (F.col("_upto") - F.col("_n") <= k) & (k < F.col("_upto"))
+    of = lambda k: F.max(F.when(held(k) & (F.col("_place.side") == 0), F.col("_place.x").cast("double")))
+    marks = {f"_{name}_{end}": of(f(rank(p))) for name, p in (("lo", low), ("hi", high)) for end, f in (("below", F.floor), ("above", F.ceil))}
+    found = saved(ranked.groupBy(*by, "_total").agg(*[m.alias(k) for k, m in marks.items()]), "percentiles")
+    whole = reduce(Column.__and__, [F.col(k).isNotNull() for k in marks])
     between = lambda name, p: F.col(f"_{name}_below") + (F.col(f"_{name}_above") - F.col(f"_{name}_below")) * (rank(p) - F.floor(rank(p)))
-    return found.select(*keys, "band", between("lo", low).alias("p_lo"), between("hi", high).alias("p_hi"))
+    out = found.where(whole).select(*by, between("lo", low).alias("p_lo"), between("hi", high).alias("p_hi"))
+    if margin >= accuracy or found.where(~whole).isEmpty():
+        return out
+    missed = found.where(~whole).select(*[F.col(c).alias(f"_{c}") for c in by])
+    again = real.join(few(missed), reduce(Column.__and__, [real[c].eqNullSafe(F.col(f"_{c}")) for c in by]), "left_semi")
+    return out.unionByName(band_percentiles(again, *keys, low=low, high=high, spread=True, value=value, accuracy=accuracy, margin=8 * margin))
+
+
+def source_sketches(meta: DataFrame, *columns: str) -> DataFrame:
+    """A row per shard with a mergeable sketch of the distinct values of each column."""
+    return meta.groupBy("shard").agg(*[F.hll_sketch_agg(F.col(c).cast("string"), F.lit(14)).alias(c) for c in columns])
+
+
+def distinct_from_sketches(sketches: DataFrame, *columns: str) -> DataFrame:
+    """About how many distinct values the shards have together, from sketches alone; within about 1 % (14 bits), exact for few."""
+    return sketches.agg(*[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(c) for c in columns])
 
 
 def band_minmax(pixels: DataFrame, *keys: str, value: str = "v") -> DataFrame:
@@ -51,8 +91,8 @@ def clip(x: Column, lo: float, hi: float) -> Column:
 
 
 def percentile_scale(pixels: DataFrame, *keys: str, spread: bool = False) -> DataFrame:
-    """clip((v - p2) / (p98 - p2 + 1e-6), 0, 1) per group and band; spread as in band_percentiles. A row per group and band joins back."""
-    joined = pixels.join(band_percentiles(pixels, *keys, spread=spread), [*keys, "band"])
+    """clip((v - p2) / (p98 - p2 + 1e-6), 0, 1) per group and band; spread as in band_percentiles. A row per group and band joins back, by a broadcast where these are few."""
+    joined = pixels.join(few(band_percentiles(pixels, *keys, spread=spread)), [*keys, "band"])
     return joined.withColumn("v", clip((F.col("v") - F.col("p_lo")) / (F.col("p_hi") - F.col("p_lo") + 1e-6), 0.0, 1.0)).drop("p_lo", "p_hi")
 
 
@@ -66,7 +106,7 @@ def standardize_rgb(pixels: DataFrame) -> DataFrame:
 
 def minmax_scale(pixels: DataFrame, *keys: str) -> DataFrame:
     """(v - min) / (max - min); a constant band becomes 0."""
-    joined = pixels.join(band_minmax(pixels, *keys), [*keys, "band"])
+    joined = pixels.join(few(band_minmax(pixels, *keys)), [*keys, "band"])
     return joined.withColumn("v", F.when(F.col("hi") > F.col("lo"), (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))).otherwise(0.0)).drop("lo", "hi")
 
 

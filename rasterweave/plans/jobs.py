@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rasterweave.functions import grid, scalars
-from rasterweave.model import CLASSES
+from rasterweave.model import CLASSES, IGNORE
 from rasterweave.operators import filters, metrics, scoring, selection, spatial, stats
 from rasterweave.session import saved, scratch
 from rasterweave.sources import catalog, sinks
 from rasterweave.streaming import shards
-from rasterweave.streaming.alerts import alert_rows
+from rasterweave.streaming.alerts import alert_rows, complete_rows
 
 
 def inspect(rasters: DataFrame, edges: DataFrame, pixels: DataFrame) -> DataFrame:
@@ -44,6 +46,7 @@ def preprocess(pixels: DataFrame, edges: DataFrame, classes: DataFrame, weights:
     capped = selection.cap_by_tokens(selection.with_rarest(kept, weights), selection.allocate_tokens(classes, max_tiles), max_tiles)
     one = tile * tile * (bands * 4 + 1)
     ordered = capped.withColumns({"bytes": F.lit(one).cast("bigint"), "place": F.concat(F.lpad(scalars.hash_number(seed, "id").cast("string"), 10, "0"), F.lit(":"), "id")})
+    ordered = saved(ordered, "ordered")  # ranges are found by a pass of their own, which shall not burn and scale once more
     chosen = saved(selection.cap_by_bytes(ordered, budget, order="place").drop("before"), "chosen")
     summary = stats.run_summary(chosen, stats.class_tile_counts(chosen, classes), budget / scalars.GIB, one).select("total_tiles", "used_gb")
     return chosen.select("id", "tile_row", "tile_col", "valid_ratio", "coverage_ratio", "class_ids", "rarest", "shade").crossJoin(F.broadcast(summary))
@@ -67,19 +70,23 @@ def build_training_set(current: DataFrame, replay: DataFrame, weights: dict[int,
 def predict(pixels: DataFrame, windows: DataFrame, size: int, prompts: DataFrame, scorer, use_tta: bool = True) -> DataFrame:
     """Mask (row, col, class_id) of a raster: scaled bands, sliding windows, a column scorer, blending, the likeliest class, prompts on top.
 
-    scorer takes the bands and the place in the window, both Columns, and gives the class probabilities. With use_tta it sees each window in every
-    variant, and what it says of a pixel at its places there is averaged.
+    scorer takes the bands and the place in the window, both Columns, and gives a logit per class; their softmax is the class probabilities. With use_tta it sees each window in every
+    variant, and what it says of a pixel at its places there is averaged. Logits and exponentials are bound to names per variant, so each is computed once.
     """
     scaled = stats.minmax_scale(pixels.withColumn("one", F.lit(1)), "one")
     bands = scaled.groupBy(F.col("gr").alias("row"), F.col("gc").alias("col")).agg(F.transform(F.sort_array(F.collect_list(F.struct("band", "v"))), lambda s: s.v).alias("bands"))
     covered = spatial.window_cover_join(bands, windows, size)
     r, c = F.col("row") - F.col("win_row"), F.col("col") - F.col("win_col")
     names = grid.DEFAULT_VARIANTS if use_tta else ("identity",)
-    places = [grid.SYMMETRIES[grid.INVERSE.get(v, v)](r, c, size) for v in names]
-    scored = covered.withColumn("variants", F.array(*[scorer(F.col("bands"), *place) for place in places]))
+    places = F.array(*[F.struct(a.alias("r"), b.alias("c")) for a, b in (grid.SYMMETRIES[grid.INVERSE.get(v, v)](r, c, size) for v in names)])
+    logits = F.transform(places, lambda p: scorer(F.col("bands"), p["r"], p["c"]))
+    # transform binds what it runs over, so arrays and their sums stand in structs, once per variant
+    raised = F.transform(logits, lambda x: F.transform(x, F.exp))
+    summed_up = F.transform(raised, lambda x: F.struct(x.alias("e"), F.aggregate(x, F.lit(0.0), lambda a, y: a + y).alias("s")))
+    shares = F.transform(summed_up, lambda p: F.transform(p["e"], lambda y: y / p["s"]))
     none = F.array(*[F.lit(0.0)] * len(CLASSES))
-    total = F.aggregate("variants", none, lambda a, p: F.zip_with(a, p, lambda x, y: x + y))
-    mask = scoring.blend_windows(scored.withColumn("probs", F.transform(total, lambda x: x / len(names))), size).select("row", "col", metrics.argmax_class(F.col("probs")).alias("class_id"))
+    summed = F.aggregate(shares, none, lambda a, p: F.zip_with(a, p, lambda x, y: x + y))
+    mask = scoring.blend_windows(covered.withColumn("probs", F.transform(summed, lambda x: x / len(names))), size).select("row", "col", metrics.argmax_class(F.col("probs")).alias("class_id"))
     return spatial.point_prompt_override(mask, prompts)
 
 
@@ -99,26 +106,65 @@ def sample_report(tiles: DataFrame, pixels: DataFrame, mask: DataFrame, show_cla
     return shown.select("id", "source", "labels", "shares", "r", "c", rgb.alias("rgb"), scoring.colorize(F.col("class_id")).alias("colour"), scoring.overlay_blend(rgb, F.col("class_id")).alias("overlay"))
 
 
-def incremental_run(spark: SparkSession, source: str, schema, weights: dict[int, float], classes: DataFrame, n_replay: int, ceiling: int, bytes_per_tile: int) -> DataFrame:
-    """All shards, one after the other: budget, admitted tiles, replay slice, training set, the rules of the budget and an alert. A row per shard."""
-    store, log = scratch(spark, "store"), scratch(spark, "runs")
-
-    def each(batch: DataFrame, number: int) -> None:
-        replay = sinks.read_replay(spark, store, batch.schema)
-        replay_bytes = replay.count() * bytes_per_tile
-        budget = int(max(ceiling - replay_bytes, scalars.GIB))
-        admitted = selection.cap_by_bytes(filters.default_class_ids(batch).withColumn("bytes", F.lit(bytes_per_tile).cast("bigint")), budget).drop("bytes", "before")
-        admitted = saved(admitted, "admitted")
-        train = build_training_set(admitted, replay, weights)
-        total = train.agg(F.count("*").alias("rows"), F.max("batch").alias("last")).first()
-        chosen = selection.replay_select(admitted, classes, weights, n_replay)
-        sinks.write_replay(chosen.select(*batch.columns), store)
-        n = admitted.count()
-        rules = (replay_bytes < ceiling, budget >= 1, replay_bytes + n * bytes_per_tile <= ceiling * 1.02)
-        row = [(number, budget, n, total.rows, int(total["last"] or 0) + 1, *rules)]
-        done = spark.createDataFrame(row, "batch bigint, budget bigint, admitted bigint, train_rows bigint, train_batches bigint, replay_ok boolean, budget_ok boolean, total_ok boolean")
-        state = done.select(F.concat(F.lit("shard_"), F.col("batch") + 1).alias("run_id"), F.col("train_batches").alias("epoch"), F.lit(0).alias("best_e4"), (~(F.col("replay_ok") & F.col("budget_ok") & F.col("total_ok"))).alias("failed"))
-        done.crossJoin(alert_rows(state).select("kind", "subject")).write.mode("overwrite").parquet(f"{log}/batch={number}")
-
-    shards.drain(spark, source, schema, scratch(spark, "checkpoint"), each)
-    return spark.read.parquet(f"{log}/*")
+def shard_tiles(pixels: DataFrame) -> DataFrame:
+    """Tiles (id, shard, coverage_ratio, class_ids, valid_ratio) of labelled pixels (id, shard, bands, target) that are valid and covered enough."""
+    real = F.col("target") != IGNORE
+    ratios = pixels.groupBy("id", "shard").agg(
+        F.avg(F.exists("bands", lambda v: v != 0).cast("double")).alias("valid_ratio"), F.avg((real & (F.col("target") > 0)).cast("double")).alias("coverage_ratio"), F.sort_array(F.collect_set(F.when(real, F.col("target")))).alias("class_ids"),
+    )
+    return filters.filter_tiles_quality(ratios)
+
+
+RUN = "batch bigint, shard string, status string, budget bigint, admitted bigint, train_rows bigint, train_batches bigint, val_miou double, replay_ok boolean, budget_ok boolean, total_ok boolean"
+Fit = Callable[[DataFrame], Callable[[DataFrame], DataFrame]]
+
+
+def mean_fit(bands: int) -> Fit:
+    """Fits class means and predicts the nearest one."""
+
+    def fit(train: DataFrame) -> Callable[[DataFrame], DataFrame]:
+        means = metrics.class_means(train, bands)
+        return lambda pixels: pixels.withColumn("pred", metrics.nearest_mean(F.col("bands"), means))
+
+    return fit
+
+
+def incremental_run(spark: SparkSession, source: str, schema, checkpoint: str, folder: str, weights: dict[int, float], classes: DataFrame, n_replay: int, ceiling: int, bytes_per_tile: int, total: int, fit: Fit) -> DataFrame:
+    """All shards of labelled pixels (id, shard, r, c, bands, target) from their landing to their alert, one after the other; a row per shard.
+
+    A shard's tiles are checked, capped by what the replay store leaves of the ceiling, split, mixed with replayed tiles and drawn by weight; fit learns from the pixels of the draws (n: how often each was
+    drawn) and is measured by mean IoU on the validation tiles. Then the shard's slice joins the store, pixels and all, and an alert tells of the shard. A shard without a usable tile is skipped and told
+    as an error; an error in fitting stops the run. All that a batch reads is as of the batch before it and all that it writes bears its number, so a batch that is repeated writes the same again.
+    """
+    log, store = f"{folder}/runs", f"{folder}/replay"
+
+    def each(pixels: DataFrame, number: int) -> None:
+        shard = pixels.agg(F.min("shard")).first()[0]
+        held = sinks.slices(spark, f"{store}/tiles", before=number).agg(F.coalesce(F.sum("tiles"), F.lit(0)).alias("n")).first().n * bytes_per_tile
+        budget = max(ceiling - held, scalars.GIB)
+        kept = saved(shard_tiles(pixels).drop("valid_ratio"), "kept")
+        if kept.isEmpty():
+            done = spark.createDataFrame([(number, shard, "skipped: no tiles", budget, 0, 0, 0, None, held < ceiling, budget >= 1, held <= ceiling * 1.02)], RUN)
+        else:
+            admitted = saved(selection.cap_by_bytes(kept.withColumn("bytes", F.lit(bytes_per_tile).cast("bigint")), budget).drop("bytes", "before"), "admitted")
+            replay = sinks.read_slices(spark, f"{store}/tiles", admitted.schema, before=number)
+            drawn = saved(build_training_set(admitted, replay, weights), "drawn")
+            often = drawn.groupBy("id").agg(F.count("*").alias("n"))
+            every = pixels.unionByName(sinks.read_slices(spark, f"{store}/pixels", pixels.schema, before=number))
+            model = fit(every.join(often, "id"))
+            held_out = selection.train_val_split(admitted, "id").where("is_val").select("id")
+            scored = model(pixels.join(held_out, "id", "left_semi"))
+            miou = metrics.iou(metrics.confusion_matrix(scored)).agg(F.max("miou")).first()[0]
+            chosen = selection.replay_select(admitted, classes, weights, n_replay).select(*admitted.columns)
+            sinks.write_slice(pixels.join(chosen.select("id"), "id", "left_semi").select(*pixels.columns), f"{store}/pixels", number)
+            sinks.write_slice(chosen, f"{store}/tiles", number)
+            n, rows = admitted.count(), drawn.count()
+            done = spark.createDataFrame([(number, shard, "done", budget, n, rows, rows // 2, float(miou), held < ceiling, budget >= 1, held + n * bytes_per_tile <= ceiling * 1.02)], RUN)
+        state = done.select("batch", F.col("shard").alias("run_id"), F.col("batch").alias("epoch"), F.lit(0).alias("best_e4"), F.lit(True).alias("failed"), "status", F.floor(F.coalesce("val_miou", F.lit(0.0)) * 10000 + 0.5).cast("int").alias("e4"))
+        good = state.where("status = 'done'").select("run_id", (F.col("batch") + 1).alias("step"), F.lit(total).alias("total"), F.col("e4").alias("best_e4"), F.lit(1).alias("best_epoch"), F.lit(1).alias("epochs"))
+        alert = complete_rows(good).unionByName(alert_rows(state.where("status <> 'done'")))  # one row
+        done.crossJoin(alert.drop("run_id")).write.mode("overwrite").parquet(f"{log}/batch={number}")
+
+    shards.drain(spark, source, schema, checkpoint, each)
+    schema = f"{RUN}, kind string, severity string, subject string, next_step string"
+    return spark.read.schema(schema).parquet(log).select(*[c.split()[0] for c in schema.split(", ")])

@@ -9,6 +9,7 @@ from rasterweave.fixtures import fixture, oracle
 from rasterweave.model import class_map, classes
 from rasterweave.operators import metrics, spatial, stats
 from rasterweave.registry import query
+from rasterweave.session import scratch
 
 SAMPLER, LOSS = class_map(4), class_map(5)
 _LONG = "select scene, prow, pcol, unnest([1, 2, 3, 4]) band, unnest([cast(b1 as double), cast(b2 as double), cast(b3 as double), cast(b4 as double)]) v from fx_big_px"
@@ -180,6 +181,16 @@ def distinct_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture(spark, sf_dir, "fx_tile_meta").agg(F.count_distinct("source").alias("sources"))
 
 
+@query(oracle("select cast(count(distinct source) as bigint) sources, cast(count(distinct id) as bigint) ids, true near from fx_tile_meta", "fx_tile_meta"))
+def distinct_sources_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From sketches that are stored per shard: sources, which are few, come out exact; ids are counted as well, and near tells whether their sketch is within 3 %."""
+    meta, path = fixture(spark, sf_dir, "fx_tile_meta"), scratch(spark, "sketches")
+    stats.source_sketches(meta, "source", "id").write.partitionBy("shard").parquet(path)
+    about = stats.distinct_from_sketches(spark.read.parquet(path), "source", "id")
+    exact = meta.agg(F.count_distinct("id").alias("ids"))
+    return about.crossJoin(exact).select(F.col("source").alias("sources"), "ids", (F.abs(F.col("id") - F.col("ids")) <= 0.03 * F.col("ids")).alias("near"))
+
+
 @query(oracle(f"select cast(m.n as bigint) total_tiles, 50e0 budget_gb, round(m.n * 4456448 / 1073741824e0, 6) used_gb, cast(class_id as int) class_id, n_tiles from (select count(*) n from fx_tile_meta) m, ({_COUNTS}) c", "fx_tile_meta", "fx_classes"))
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     meta = fixture(spark, sf_dir, "fx_tile_meta")

@@ -12,9 +12,11 @@ from rasterweave.queries.aggregations import _RAREST, long_px, rounded
 from rasterweave.queries.functions import _BANDS, _GOES, _MIX, _RGB, _RGB8, VARIANTS, bands_of
 from rasterweave.queries.joins import _GRID, _INSIDE, _MASK, _OVER, _POINTS, _WINDOWS, prompts
 from rasterweave.queries.sampling import _HID, _H
-from rasterweave.queries.streams import TILE_BYTES, landed
+from rasterweave.queries.streams import SHARDS
 from rasterweave.queries.windows import _share
 from rasterweave.registry import query
+from rasterweave.session import scratch
+from rasterweave.streaming.shards import land
 
 _LAYERS = "select class_id layer, min(least(x0, x1)) minx, min(least(y0, y1)) miny, max(greatest(x0, x1)) maxx, max(greatest(y0, y1)) maxy, count(distinct fid) features from fx_edges group by 1"
 
@@ -58,10 +60,8 @@ def build_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scorer(bands: Column, r: Column, c: Column) -> Column:
-    """Probabilities that lean on the place in the window."""
-    raised = [F.exp(4 * bands[i] * (1 + r / 16) + (0.1 * i) * c / 16) for i in range(4)]
-    total = raised[0] + raised[1] + raised[2] + raised[3]
-    return F.array(*[x / total for x in raised])
+    """Logits that lean on the place in the window."""
+    return F.array(*[4 * bands[i] * (1 + r / 16) + (0.1 * i) * c / 16 for i in range(4)])
 
 
 _SCALED = "select gr as row, gc as col, list((v - lo) / (hi - lo) order by band) b from fx_px join (select band, min(v) lo, max(v) hi from fx_px group by 1) using (band) group by 1, 2"
@@ -101,9 +101,51 @@ def sample_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("shares", shares)
 
 
-@query()
+RUN_CEILING, RUN_TILE, RUN_REPLAY = 2 << 30, 64 << 20, 12
+
+
+def labelled_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled pixels of the small tiles, a quarter of the tiles to a shard."""
+    px, scores = fixture(spark, sf_dir, "fx_px"), fixture(spark, sf_dir, "fx_scores").select("tile_id", "r", "c", "target")
+    wide = bands_of(px).join(scores, ["tile_id", "r", "c"])
+    return wide.select(F.col("tile_id").cast("string").alias("id"), F.concat(F.lit("shard_"), F.col("tile_id") % 4 + 1).alias("shard"), "r", "c", "bands", "target")
+
+
+def _run_sql() -> str:
+    """Shard after shard, as each depends on what those before have left in the store."""
+    ctes = {
+        "bb": _BANDS, "lab": "select cast(tile_id as varchar) id, tile_id % 4 s, r, c, bands b, target from bb join fx_scores using (tile_id, r, c)",
+        "usable": f"select *, {_RAREST} rarest from (select id, s, avg(case when b[1] <> 0 or b[2] <> 0 or b[3] <> 0 or b[4] <> 0 then 1e0 else 0e0 end) ok, avg(case when target > 0 and target <> 255 then 1e0 else 0e0 end) coverage, list_sort(list_distinct(list(target) filter (where target <> 255))) class_ids from lab group by 1, 2) where ok >= 0.1e0 and coverage >= 0.05e0",
+    }
+    out = []
+    for s in range(4):
+        before = " union all ".join(f"select id, rarest from rep{i}" for i in range(s)) or "select id, rarest from usable where false"
+        far = " + ".join(f"(b[{i}] - m{i}) * (b[{i}] - m{i})" for i in range(1, 5))
+        ctes |= {
+            f"old{s}": before, f"bud{s}": f"select greatest({RUN_CEILING} - {RUN_TILE} * count(*), 1073741824) budget, {RUN_TILE} * count(*) held from old{s}",
+            f"adm{s}": f"select * from (select *, coalesce(sum({RUN_TILE}) over (order by id rows between unbounded preceding and 1 preceding), 0) before from usable where s = {s}) where before < (select budget from bud{s})",
+            f"rep{s}": f"select id, rarest from (select *, row_number() over (partition by rarest order by coverage desc, id) rn from adm{s}) join (select class_id, {_share(RUN_REPLAY)} quota from fx_classes where class_id in (select rarest from adm{s})) on class_id = rarest where rn <= quota",
+            f"cut{s}": f"select id, rarest, row_number() over (order by lpad(cast({_HID} as varchar), 10, '0') || ':' || id) > ceil(count(*) over () * 0.2e0) train from adm{s}",
+            f"mix{s}": f"select id, rarest, 'current' origin from cut{s} where train union all select id, rarest, 'replay' from old{s}",
+            f"wei{s}": f"select id, cast(floor((case when origin = 'replay' then least(nc * 0.3e0 / greatest(nr * 0.7e0, 1), 5) * w else w end) * 1000000 + 0.5e0) as bigint) iw from (select id, origin, (select sampler_w from fx_classes where class_id = rarest) w from mix{s}), (select count_if(origin = 'current') nc, count_if(origin = 'replay') nr from mix{s})",
+            f"pts{s}": f"select k, cast(floor(cast(concat('0x', substr(md5(concat('42:', cast(k as varchar))), 1, 8)) as bigint) / 4294967296e0 * (select sum(iw) from wei{s})) as bigint) p from (select range k from range((select count(*) // 2 * 2 from wei{s})))",
+            f"dra{s}": f"select k, id from pts{s} asof join (select *, coalesce(sum(iw) over (order by id rows between unbounded preceding and 1 preceding), 0)::bigint b from wei{s}) i on p >= b",
+            f"mea{s}": f"select target, {', '.join(f'avg(b[{i}]) m{i}' for i in range(1, 5))} from dra{s} join lab using (id) where target <> 255 group by 1",
+            f"pre{s}": f"select l.target, (select arg_min(m.target, row({far}, m.target)) from mea{s} m) pred from lab l join cut{s} using (id) where not train and l.target <> 255",
+            f"iou{s}": f"select coalesce(avg(inter / cast(u as double)), 0) miou from (select k, count_if(pred = k and target = k) inter, count_if(pred = k or target = k) u from pre{s}, (select unnest(range(4)) k) group by 1) where u > 0",
+        }
+        out.append(f"select {s} s, budget, held, (select count(*) from adm{s}) n, (select count(*) from dra{s}) drawn, miou from bud{s}, iou{s}")
+    ctes["every"] = " union all ".join(out)
+    e4 = "cast(floor(miou * 10000 + 0.5e0) as int)"
+    return oracle(f"""select cast(s as bigint) batch, concat('shard_', cast(s + 1 as varchar)) shard, 'done' status, cast(budget as bigint) budget, n admitted, drawn train_rows, drawn // 2 train_batches, round(miou, 6) val_miou, held < {RUN_CEILING} replay_ok, budget >= 1 budget_ok, held + n * {RUN_TILE} <= {RUN_CEILING} * 1.02e0 total_ok,
+'complete' kind, case when {e4} / 10000e0 > 0.6 then 'good' when {e4} / 10000e0 > 0.4 then 'fair' else 'poor' end severity, concat('[shard_', cast(s + 1 as varchar), '] done (', cast(s + 1 as varchar), '/4), best mIoU 0.', lpad(cast({e4} as varchar), 4, '0'), ' at epoch 1 of 1') subject, case when s < 3 then concat('next: folder ', cast(s + 2 as varchar)) else 'all folders are done' end next_step from every""", "fx_px", "fx_scores", "fx_classes", **ctes)
+
+
+@query(_run_sql())
 def incremental_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, schema = landed(spark, sf_dir)
-    return jobs.incremental_run(spark, path, schema, class_map(4), classes(spark), 300, 20 << 30, TILE_BYTES)
-
-
+    """From landed pixels to alerts. Budgets bind: a tile counts as 64 MB of 2 GB."""
+    pixels = labelled_shards(spark, sf_dir)
+    path, folder = scratch(spark, "landed"), scratch(spark, "run")
+    land(pixels, path, "shard", SHARDS)
+    out = jobs.incremental_run(spark, path, pixels.schema, scratch(spark, "checkpoint"), folder, class_map(4), classes(spark), RUN_REPLAY, RUN_CEILING, RUN_TILE, 4, jobs.mean_fit(4))
+    return rounded(out, "val_miou")

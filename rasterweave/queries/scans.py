@@ -72,6 +72,17 @@ def write_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select("id", "shard", F.size("image").alias("n_values"), total.alias("total"))
 
 
+@query(oracle("select tile_id id, cast(tile_id % 4 + 1 as int) shard, any_value(gr // 8 * 448) trow, any_value(gc // 8 * 448) tcol, round(sum(cast(v as float)::double), 4) total from fx_px where gr // 8 between 1 and 3 and gc // 8 between 2 and 6 group by 1, 2", "fx_px"))
+def read_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tiles of a window of the mosaic, from the files whose bounds meet it."""
+    path = scratch(spark, "placed")
+    places = fixture(spark, sf_dir, "fx_px").select(F.col("tile_id").alias("id"), (F.floor(F.col("gr") / 8) * 448).alias("trow"), (F.floor(F.col("gc") / 8) * 448).alias("tcol")).distinct()
+    placed = _tiles(spark, sf_dir).join(places, "id")
+    sinks.write_tiles(placed, path, "trow", "tcol", per_file=16)
+    found = sinks.read_tiles(spark, path, placed.schema, "trow", "tcol", (448, 3 * 448), (2 * 448, 6 * 448))
+    return found.select("id", "shard", "trow", "tcol", F.round(F.aggregate("image", F.lit(0.0), lambda a, x: a + x), 4).alias("total"))
+
+
 _META_ROWS = oracle("select id, source, shard, trow, tcol, coverage_ratio, class_ids from fx_tile_meta", "fx_tile_meta")
 
 

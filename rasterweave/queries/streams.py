@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rasterweave.fixtures import fixture, oracle
@@ -12,6 +12,7 @@ from rasterweave.queries.aggregations import _RAREST
 from rasterweave.queries.windows import _IMPROVED, _share, EARLY_SQL
 from rasterweave.registry import query
 from rasterweave.session import scratch
+from rasterweave.sources import sinks
 from rasterweave.streaming import alerts, progress, shards
 
 SHARDS = ["shard_1", "shard_2", "shard_3", "shard_4"]
@@ -51,13 +52,41 @@ def progress_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.select("run_id", F.unix_timestamp("start").alias("start_s"), "value", "n")
 
 
-@query()
+def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of the runs of each user decade: a large purchase ends one, what follows belongs to the next. Other large values are failures."""
+    large = F.col("event_type") == "purchase"
+    events = fixture(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.floor(F.col("user_id") / 10).alias("of"), "value", (~large & (F.col("value") > 100)).alias("failed"), (large & (F.col("value") > 200)).alias("done"))
+    before = Window.partitionBy("of").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, -1)
+    return events.select("event_id", "ts", F.concat(F.lit("run_"), "of", F.lit("_"), F.count_if("done").over(before)).alias("run_id"), "value", "failed", "done")
+
+
+_RUNS = """select event_id, ts, concat('run_', cast(o as varchar), '_', cast(coalesce(count_if(done) over (partition by o order by ts, event_id rows between unbounded preceding and 1 preceding), 0) as varchar)) run_id, value, failed, done
+from (select event_id, ts, user_id // 10 o, value, event_type <> 'purchase' and value > 100 failed, event_type = 'purchase' and value > 200 done from events)"""
+_ENDS = f"select run_id, min(ts) over_at from ({_RUNS}) where done group by 1"
+_UNTIL_DONE = f"select run_id, epoch_us(w) // 1000000 start_s, arg_max(value, row(ts, event_id)) as value, cast(count(*) as bigint) n from (select *, time_bucket(interval '2 hours', ts) w from ({_RUNS})) left join ({_ENDS}) using (run_id) where (over_at is null or over_at >= w + interval '2 hours')"
+
+
+@query(f"{_UNTIL_DONE} group by 1, w")
+def progress_until_done(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return progress.snapshots_until_done(run_events(spark, sf_dir)).select("run_id", F.unix_timestamp("start").alias("start_s"), "value", "n")
+
+
+def replayed(spark: SparkSession, rows: DataFrame, order: str, make, parts: int = 3) -> DataFrame:
+    """What a stream over rows makes, stopped and resumed as the parts of rows, cut by order, arrive."""
+    path, checkpoint, out = (scratch(spark, x) for x in ("arrived", "checkpoint", "made"))
+    cuts = rows.agg(F.percentile_approx(order, [i / parts for i in range(1, parts)])).first()[0]
+    found = None
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+        part = rows if low is None else rows.where(F.col(order) > F.lit(low))
+        (part if high is None else part.where(F.col(order) <= F.lit(high))).write.mode("append").parquet(path)
+        found = progress.drained(make(spark.readStream.schema(rows.schema).parquet(path)), checkpoint, out)
+    return found
+
+
+@query(f"{_UNTIL_DONE} and w + interval '2 hours' <= (select max(ts) from events) - interval '2 hours' group by 1, w")
 def progress_snapshots_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows that the watermark has passed."""
-    path = scratch(spark, "metrics")
-    metric_events(spark, sf_dir).repartitionByRange(4, "ts").write.parquet(path)
-    stream = spark.readStream.schema("event_id bigint, ts timestamp, run_id string, value double").parquet(path)
-    out = progress.drained(progress.progress_snapshots(progress.watermarked(stream)), scratch(spark, "checkpoint"), scratch(spark, "snapshots"))
+    """Windows that the watermark has passed, of runs that were not over by then."""
+    out = replayed(spark, run_events(spark, sf_dir), "ts", lambda stream: progress.snapshots_until_done_stream(progress.watermarked(stream)))
     return out.select("run_id", F.unix_timestamp("start").alias("start_s"), "value", "n")
 
 
@@ -80,7 +109,7 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, schema = landed(spark, sf_dir)
     store = scratch(spark, "store")
     shards.stream_replay(spark, path, schema, scratch(spark, "checkpoint"), store, class_map(4), 300)
-    return spark.read.parquet(store).groupBy("shard").agg(F.count("*").alias("tiles"), F.min("coverage_ratio").alias("least_coverage"))
+    return sinks.read_slices(spark, store, shards.SLICE).groupBy("shard").agg(F.count("*").alias("tiles"), F.min("coverage_ratio").alias("least_coverage"))
 
 
 _KEPT = f"select shard, rarest, least(count(*), any_value(quota)) n from (select shard, {_RAREST} rarest from fx_tile_meta) join (select class_id, {_share(300)} quota from fx_classes) on class_id = rarest group by 1, 2"
@@ -105,14 +134,15 @@ def failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FAIL = "select event_id, ts, concat('run_', cast(user_id // 10 as varchar)) run_id, value from events where value > 100"
 
 
-@query("select event_id, run_id, 'error' kind, 'critical' severity, concat('[', run_id, '] stopped at epoch ', cast(event_id as varchar)) subject, 'see the log tail' next_step from (" + _FAIL + ")")
+_FAILED_AT = "select * from fx_log where cast(regexp_extract(line, 'val_mIoU=([0-9.]+)', 1) as double) > 0.4e0"
+
+
+@query(oracle("select f.run_id, cast(f.line_no as bigint) line_no, 'error' kind, 'critical' severity, concat('[', f.run_id, '] stopped at line ', cast(f.line_no as varchar)) subject, 'resume from the last checkpoint' next_step, left(string_agg(l.line, chr(10) order by l.line_no), 2000) tail from failed f join fx_log l on l.run_id = f.run_id and l.line_no between f.line_no - 39 and f.line_no group by 1, 2, 5", "fx_log", failed=_FAILED_AT))
 def error_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch(spark, "failures")
-    failures(spark, sf_dir).write.parquet(path)
-    stream = spark.readStream.schema("event_id bigint, ts timestamp, run_id string, value double").parquet(path)
-    state = stream.select("run_id", F.col("event_id").alias("epoch"), F.lit(0).alias("best_e4"), F.lit(True).alias("failed"))
-    rows = alerts.alert_rows(state).withColumn("event_id", F.regexp_extract("subject", "epoch ([0-9]+)", 1).cast("bigint"))
-    return progress.drained(rows, scratch(spark, "checkpoint"), scratch(spark, "alerts"))
+    """Lines of a log that arrives in parts; one that tells of a value above 0.4 counts as a failure here."""
+    lines = fixture(spark, sf_dir, "fx_log").select("run_id", F.col("line_no").cast("bigint").alias("line_no"), "line")
+    marked = lines.withColumn("failed", F.regexp_extract("line", "val_mIoU=([0-9.]+)", 1).cast("double") > 0.4)
+    return replayed(spark, marked, "line_no", lambda stream: alerts.error_rows(progress.failures_with_tail(stream)))
 
 
 @query(f"select event_id, run_id, value from (select *, row_number() over (partition by run_id order by ts, event_id) rn from ({_FAIL})) where rn = 1")
@@ -130,13 +160,10 @@ def suppress_after_done(spark: SparkSession, sf_dir: str) -> DataFrame:
     return progress.suppress_after_done(events).select("event_id", "user_id", "event_type")
 
 
-@query()
+@query(f"select event_id, run_id, value from (select *, row_number() over (partition by run_id order by ts, event_id) rn from ({_RUNS}) left join ({_ENDS}) using (run_id) where failed and (over_at is null or ts <= over_at)) where rn = 1")
 def alert_once_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One failure of each run within the watermark's delay."""
-    path = scratch(spark, "failures")
-    failures(spark, sf_dir).write.parquet(path)
-    stream = spark.readStream.schema("event_id bigint, ts timestamp, run_id string, value double").parquet(path)
-    return progress.drained(progress.alert_once_stream(progress.watermarked(stream)), scratch(spark, "checkpoint"), scratch(spark, "alerts")).select("run_id")
+    """The first failure of each run up to its end, from events that arrive in parts, days apart."""
+    return replayed(spark, run_events(spark, sf_dir), "ts", lambda stream: progress.alert_once_stream(progress.watermarked(stream))).select("event_id", "run_id", "value")
 
 
 @query(_UNTIL)

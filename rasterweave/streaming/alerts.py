@@ -23,3 +23,9 @@ def complete_rows(done: DataFrame) -> DataFrame:
     best = F.concat(F.lit("0."), F.lpad(F.col("best_e4").cast("string"), 4, "0"))
     subject = F.concat(F.lit("["), "run_id", F.lit("] done ("), "step", F.lit("/"), "total", F.lit("), best mIoU "), best, F.lit(" at epoch "), "best_epoch", F.lit(" of "), "epochs")
     return done.select("run_id", F.lit("complete").alias("kind"), miou_band(F.col("best_e4") / 10000).alias("severity"), subject.alias("subject"), F.when(F.col("step") < F.col("total"), F.concat(F.lit("next: folder "), F.col("step") + 1)).otherwise("all folders are done").alias("next_step"))
+
+
+def error_rows(failures: DataFrame) -> DataFrame:
+    """failures (run_id, line_no, tail), as rows like those of alert_rows with the log's tail."""
+    subject = F.concat(F.lit("["), "run_id", F.lit("] stopped at line "), "line_no")
+    return failures.select("run_id", "line_no", F.lit("error").alias("kind"), F.lit("critical").alias("severity"), subject.alias("subject"), F.lit("resume from the last checkpoint").alias("next_step"), "tail")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
@@ -17,6 +18,73 @@ def progress_snapshots(events: DataFrame, interval: str = INTERVAL) -> DataFrame
     return events.groupBy(F.window("ts", interval), "run_id").agg(F.max_by("value", "ts").alias("value"), F.count("*").alias("n")).select("run_id", F.col("window.start").alias("start"), "value", "n")
 
 
+def snapshots_until_done(events: DataFrame, interval: str = INTERVAL) -> DataFrame:
+    """As progress_snapshots, from events with done: the window in which a run ends, and later ones, are not told. Batch twin of the stream."""
+    ends = events.where("done").groupBy("run_id").agg(F.min("ts").alias("_end"))
+    latest = F.max_by("value", F.struct("ts", "event_id"))
+    told = events.groupBy(F.window("ts", interval).alias("w"), "run_id").agg(latest.alias("value"), F.count("*").alias("n"))
+    return told.join(ends, "run_id", "left").where(F.col("_end").isNull() | (F.col("_end") >= F.col("w.end"))).select("run_id", F.col("w.start").alias("start"), "value", "n")
+
+
+class Snapshots(StatefulProcessor):
+    """Per run and window the latest event and their number; a timer in event time tells a window when it is over, unless the run has ended by then."""
+
+    def __init__(self, width: int):
+        self.width = width
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.windows = handle.getMapState("windows", "start bigint", "ts bigint, event_id bigint, value double, n bigint")
+        self.end = handle.getValueState("end", "ts bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+        end = self.end.get()[0] if self.end.exists() else None
+        found: dict[int, tuple] = {}  # a row per window of the batch
+        for frame in rows:
+            done = frame.loc[frame["done"], "us"]
+            if len(done):
+                end = int(done.min()) if end is None else min(end, int(done.min()))
+            for start, own in frame.groupby(frame["us"] // self.width * self.width):
+                last = own.sort_values(["us", "event_id"]).iloc[-1]
+                mine = (int(last["us"]), int(last["event_id"]), float(last["value"]), len(own))
+                found[int(start)] = merged(found.get(int(start)), mine)
+        for start, mine in found.items():
+            if end is not None and end < start + self.width:
+                continue  # the run ends before this window does
+            if self.windows.containsKey((start,)):
+                mine = merged(self.windows.getValue((start,)), mine)
+            else:
+                self.handle.registerTimer((start + self.width) // 1000)
+            self.windows.updateValue((start,), mine)
+        if end is not None:
+            self.end.update((end,))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        start = expiredTimerInfo.getExpiryTimeInMs() * 1000 - self.width
+        if self.windows.containsKey((start,)):
+            _, _, value, n = self.windows.getValue((start,))
+            self.windows.removeKey((start,))
+            if not self.end.exists() or self.end.get()[0] >= start + self.width:
+                yield pd.DataFrame({"run_id": [key[0]], "start_us": [start], "value": [value], "n": [n]})
+
+    def close(self) -> None:
+        pass
+
+
+def merged(a: tuple | None, b: tuple) -> tuple:
+    """The later event of two, and the sum of their numbers."""
+    return b if a is None else (*max(tuple(a), tuple(b), key=lambda x: x[:2])[:3], a[3] + b[3])
+
+
+def snapshots_until_done_stream(events: DataFrame, seconds: int = 7200) -> DataFrame:
+    """A stream of (run_id, event_id, ts, value, done) with a watermark as run_id, start, value, n: each window once, when the watermark has passed it, and none that ends after its run."""
+    use_rocksdb(events.sparkSession)
+    rows = events.select("run_id", "event_id", "ts", F.unix_micros("ts").alias("us"), "value", "done")
+    told = rows.groupBy("run_id").transformWithStateInPandas(Snapshots(seconds * 1_000_000), "run_id string, start_us bigint, value double, n bigint", "Append", "EventTime")
+    return told.select("run_id", F.timestamp_micros("start_us").alias("start"), "value", "n")
+
+
 def watermarked(events: DataFrame, delay: str = INTERVAL) -> DataFrame:
     return events.withWatermark("ts", delay)
 
@@ -27,8 +95,75 @@ def alert_once(events: DataFrame) -> DataFrame:
     return events.withColumn("rn", F.row_number().over(first)).where("rn = 1").drop("rn")
 
 
+class AlertOnce(StatefulProcessor):
+    """Per run: whether its failure was told. The flag has no lifetime of its own; it goes when the watermark has passed the run's end, after which nothing of the run can come."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("told", "told boolean, end bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+        told, end = self.state.get() if self.state.exists() else (False, None)
+        first, before = None, end
+        for frame in rows:
+            over = frame.loc[frame["done"], "us"]
+            end = end if not len(over) else int(over.min()) if end is None else min(end, int(over.min()))
+            failed = frame[frame["failed"]]
+            if len(failed):
+                own = failed.sort_values(["us", "event_id"]).iloc[:1]
+                at = (int(own["us"].iloc[0]), int(own["event_id"].iloc[0]))
+                first = (at, own) if first is None or at < first[0] else first
+        now = first is not None and not told and (end is None or first[0][0] <= end)
+        self.state.update((told or now, end))
+        if end is not None and before != end:
+            self.handle.registerTimer(end // 1000 + 1)
+        if now:
+            yield first[1][["run_id", "event_id", "value"]]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
 def alert_once_stream(events: DataFrame) -> DataFrame:
-    return events.dropDuplicatesWithinWatermark(["run_id"])
+    """A stream of (run_id, event_id, ts, value, failed, done) with a watermark, in order of arrival, as run_id, event_id, value: the first failure of each run, however far apart failures are; none after its end."""
+    use_rocksdb(events.sparkSession)
+    rows = events.select("run_id", "event_id", "ts", F.unix_micros("ts").alias("us"), "value", "failed", "done")
+    return rows.groupBy("run_id").transformWithStateInPandas(AlertOnce(), "run_id string, event_id bigint, value double", "Append", "EventTime")
+
+
+class LogTail(StatefulProcessor):
+    """Per run: its last lines, a bounded ring; a line that tells a failure comes out with those up to it."""
+
+    def __init__(self, lines: int, most: int):
+        self.lines, self.most = lines, most
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.ring = handle.getListState("ring", "line_no bigint, line string")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+        ring = deque(self.ring.get() if self.ring.exists() else (), maxlen=self.lines)
+        new = sorted((int(n), line, bool(f)) for frame in rows for n, line, f in zip(frame["line_no"], frame["line"], frame["failed"], strict=True))
+        out = []
+        for n, line, failed in new:
+            ring.append((n, line))
+            if failed:
+                out.append((key[0], n, "\n".join(x[1] for x in ring)[: self.most]))
+        self.ring.put([tuple(x) for x in ring])
+        if out:
+            yield pd.DataFrame(out, columns=["run_id", "line_no", "tail"])
+
+    def close(self) -> None:
+        pass
+
+
+def failures_with_tail(lines: DataFrame, n: int = 40, most: int = 2000) -> DataFrame:
+    """A stream of log lines (run_id, line_no, line, failed), in order of arrival, as run_id, line_no and tail for each failed line: the first `most` characters of the last n lines up to it. A task holds the lines that a run adds in one micro-batch."""
+    use_rocksdb(lines.sparkSession)
+    return lines.select("run_id", "line_no", "line", "failed").groupBy("run_id").transformWithStateInPandas(LogTail(n, most), "run_id string, line_no bigint, tail string", "Append", "None")
 
 
 def suppress_after_done(events: DataFrame) -> DataFrame:

@@ -48,26 +48,32 @@ def incremental_shards(spark: SparkSession, source: str, schema, checkpoint: str
     drain(spark, source, schema, checkpoint, each)
 
 
+SLICE = "id string, source string, trow bigint, tcol bigint, coverage_ratio double, class_ids array<int>, shard string"
+
+
 def stream_replay(spark: SparkSession, source: str, schema, checkpoint: str, store: str, weights: dict[int, float], n: int) -> None:
-    """After each shard its stratified slice replaces that shard's part of the store; a repeated batch changes nothing."""
+    """After each shard its stratified slice becomes the newest version of that shard in the store; a repeated batch replaces its own."""
 
     def each(batch: DataFrame, number: int) -> None:
         chosen = selection.replay_select(batch, classes(spark), weights, n)
-        sinks.write_replay(chosen.select("id", "source", "trow", "tcol", "coverage_ratio", "class_ids", "shard"), store)
+        sinks.write_slice(chosen.select("id", "source", "trow", "tcol", "coverage_ratio", "class_ids", "shard"), store, number)
 
     drain(spark, source, schema, checkpoint, each)
 
 
 def stream_budget(spark: SparkSession, source: str, schema, checkpoint: str, log: str, ceiling: int, bytes_per_tile: int, store: str, weights: dict[int, float], n: int) -> None:
-    """For each shard the bytes that the replay store, as the shards before have left it, leaves, and how many tiles fit; then the shard's own slice joins the store."""
+    """For each shard the bytes that the replay store leaves, as the batches before have left it, and how many tiles fit; then the shard's own slice joins the store.
+
+    A batch that is repeated, after it broke off or was not marked as done, reads the store as of the batch before it and so tells the same budget.
+    """
 
     def each(batch: DataFrame, number: int) -> None:
-        replay = sinks.read_replay(spark, store).count() * bytes_per_tile
-        budget = processed_budget(F.lit(ceiling).cast("bigint"), F.lit(replay).cast("bigint"))
+        held = sinks.slices(spark, store, before=number).agg(F.coalesce(F.sum("tiles"), F.lit(0)).alias("n")).first().n
+        budget = processed_budget(F.lit(ceiling).cast("bigint"), F.lit(held * bytes_per_tile).cast("bigint"))
         sized = batch.select("id", "shard")
         row = sized.groupBy("shard").agg(F.count("*").alias("tiles")).select("shard", F.lit(number).cast("bigint").alias("batch"), budget.alias("budget"), F.least("tiles", F.ceil(budget / bytes_per_tile)).alias("admitted"))
         row.write.mode("overwrite").parquet(f"{log}/batch={number}")
         chosen = selection.replay_select(batch, classes(spark), weights, n)
-        sinks.write_replay(chosen.select("id", "source", "trow", "tcol", "coverage_ratio", "class_ids", "shard"), store)
+        sinks.write_slice(chosen.select("id", "source", "trow", "tcol", "coverage_ratio", "class_ids", "shard"), store, number)
 
     drain(spark, source, schema, checkpoint, each)
