@@ -166,6 +166,6 @@ def byte_values(text: np.ndarray) -> np.ndarray:
 
 
 def buckets_for(docs: DataFrame, bytes_each: int = 4 << 20) -> int:
-    """Buckets by the bytes that Spark expects to scan."""
+    """Buckets by the bytes that Spark expects to scan, 2**20 if it can't tell; a bucket is a group, not a partition, so their number has no cap."""
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(partitions_for(docs.sparkSession), min(1 << 20, size // bytes_each))
+    return max(partitions_for(docs.sparkSession), size // bytes_each if size < 1 << 60 else 1 << 20)

@@ -13,7 +13,8 @@ from rasterweave.llm.common import hash_words, rolling_fixed, steps, table, text
 from rasterweave.llm.superkmers import Windows, merged, repeats
 
 WINDOW = 35
-GRAM = 8
+#: Words of a minimiser, and of the longer ones that take a hot one's place.
+GRAMS = (8, 16, 28)
 
 
 def counted(size: int):
@@ -64,7 +65,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     input. Null is a text without words; texts shorter than a window keep all; repeated rows repeat each other. Other columns are not looked at.
     """
     rows = docs.select(F.col(text_col).alias("text"), F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.xxhash64(text_col), F.lit(0)).alias("h"))
-    found = repeats(rows, Windows(True, window, GRAM if window >= GRAM else 1), counted(window))
+    found = repeats(rows, Windows(True, window, tuple(g for g in GRAMS if g < window) or (1,)), counted(window))
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("removed", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("kept", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

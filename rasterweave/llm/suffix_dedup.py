@@ -23,7 +23,8 @@ from rasterweave.llm.suffix_array import suffix_array
 from rasterweave.llm.superkmers import Windows, merged, repeats
 
 WINDOW = 400
-GRAM = 16
+#: Bytes of a minimiser, and of the longer ones that take a hot one's place.
+GRAMS = (16, 64, 256)
 #: A group with a longer word is worked on byte by byte.
 LONGEST_WORD = 64
 BATCH_SYMBOLS = 60_000
@@ -147,7 +148,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     not looked at.
     """
     rows = docs.select(F.col(text_col).alias("text"), F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.xxhash64(text_col), F.lit(0)).alias("h"))
-    found = repeats(rows, Windows(False, window, GRAM), by_suffixes(window))
+    found = repeats(rows, Windows(False, window, tuple(g for g in GRAMS if g <= window) or (1,)), by_suffixes(window))
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("removed", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("kept", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

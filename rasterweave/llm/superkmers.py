@@ -3,8 +3,9 @@
 Equal windows have equal minimisers, so all places of a window's content meet in one bucket. A bucket tells which windows of its
 strings occur more than once; the strings' digests lead back to the documents that have them.
 
-A minimiser with many different strings would be one large group. Their bytes are counted first; the windows of hot minimisers are not dealt to
-buckets but told apart by their digests, each window a group of its own.
+A minimiser with many different strings would be one large group. Bytes of different strings per minimiser are estimated first; the windows of hot ones take a longer
+minimiser in its place, so their runs are cut where that changes and go to buckets of their own, and those of hot longer ones a longer one again. Which minimiser a window has still follows
+from its content alone. Windows that are hot at every length are told apart by their digests, each window a group of its own.
 """
 
 from __future__ import annotations
@@ -24,32 +25,66 @@ from rasterweave.llm.common import buckets_for, byte_values, hash_words, mix, ro
 BLOCK_BYTES = 24 << 20
 #: A run of more windows is cut, into strings of the same bucket.
 MOST_WINDOWS = 4096
-#: Minimisers with more bytes of strings than this, each string counted once a task, are hot.
-HOT_BYTES = 8 << 20
+#: Minimisers with more bytes of different strings than this are hot; that is estimated from every SAMPLED-th string by hash, and changes no result.
+HOT_BYTES, SAMPLED = 8 << 20, 16
+#: Most counters of minimisers; their bitmap of hot ones, of 16 MB at most, is what the driver and the tasks get to know.
+MOST_SLOTS = 1 << 27
 FLUSH = 300_000
 
 
 @dataclass(frozen=True)
 class Windows:
-    """What a window is: size units, words or bytes; its minimiser is the least hash among its runs of gram units."""
+    """What a window is: size units, words or bytes; its minimiser is the least hash among its runs of gram units, of the first length or, where that is hot, of a later one."""
 
     words: bool
     size: int
-    gram: int
+    grams: tuple[int, ...]
 
 
 @dataclass
 class Runs:
-    """The super-k-mers of some texts: document (a number), first unit there, windows, minimiser, packed string."""
+    """The super-k-mers of some texts: document (a number), first unit there, windows, minimiser, how many of its lengths were hot, packed string."""
 
     doc: np.ndarray
     start: np.ndarray
     windows: np.ndarray
     minimiser: np.ndarray
+    level: np.ndarray
     packed: list[bytes]
 
 
-def super_kmers(texts: list[bytes], kind: Windows) -> Iterator[Runs]:
+@dataclass(frozen=True)
+class Hot:
+    """The hot minimisers of each length, by counter, as bitmaps: minimisers that share a counter with a hot one count as hot too, which changes no result."""
+
+    slots: int
+    maps: tuple[np.ndarray, ...] = ()
+
+    def slot_of(self, minimisers: np.ndarray) -> np.ndarray:
+        return (mix(minimisers ^ np.uint64(1 << 62)) % np.uint64(self.slots)).astype(np.int64)
+
+    def has(self, level: int, minimisers: np.ndarray) -> np.ndarray:
+        slot = self.slot_of(minimisers)
+        return (self.maps[level][slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
+
+
+def cooled(units: np.ndarray, kind: Windows, least: np.ndarray, heat: np.ndarray, hot: Hot) -> tuple[np.ndarray, np.ndarray]:
+    """Each window's minimiser with longer ones in place of hot ones, and how many of its lengths were hot. heat: the windows whose first one is."""
+    least, level = least.copy(), heat.astype(np.int8)
+    for k, gram in enumerate(kind.grams[1:], 1):
+        longer = mix(sliding_min(rolling_fixed(units, gram), kind.size - gram + 1)[heat] ^ np.uint64(k))
+        least[heat] = longer
+        if k == len(hot.maps):
+            break
+        heat = heat.copy()
+        heat[heat] = hot.has(k, longer)
+        if not heat.any():
+            break
+        level[heat] = k + 1
+    return least, level
+
+
+def super_kmers(texts: list[bytes], kind: Windows, hot: Hot | None = None) -> Iterator[Runs]:
     for begin, end in steps([len(t) for t in texts]):
         own = [b" ".join(t.split()) for t in texts[begin:end]] if kind.words else texts[begin:end]
         raw = b"\n".join(own)
@@ -63,7 +98,7 @@ def super_kmers(texts: list[bytes], kind: Windows) -> Iterator[Runs]:
         else:
             first = np.arange(len(buffer))
             last, units, bounds, ends = first + 1, byte_values(buffer), edges, edges[1:] - 1
-        least = sliding_min(rolling_fixed(units, kind.gram), kind.size - kind.gram + 1) if len(units) >= kind.size else units[:0]
+        least = sliding_min(rolling_fixed(units, kind.grams[0]), kind.size - kind.grams[0] + 1) if len(units) >= kind.size else units[:0]
         if not len(least):
             continue
         change = np.zeros(len(least) + 1, dtype=np.int32)  # windows inside one document
@@ -74,7 +109,13 @@ def super_kmers(texts: list[bytes], kind: Windows) -> Iterator[Runs]:
         same = np.zeros(len(least), dtype=bool)
         same[1:] = (least[1:] == least[:-1]) & valid[:-1]
         same[bounds[:-1][inside]] = False
-        starts = np.flatnonzero(valid & ~same)
+        starts, level = np.flatnonzero(valid & ~same), None
+        if hot and hot.maps and (heated := hot.has(0, least[starts])).any():
+            heat = np.zeros(len(least), dtype=bool)
+            heat[valid] = heated[np.cumsum(valid & ~same)[valid] - 1]
+            least, level = cooled(units, kind, least, heat, hot)
+            same[1:] &= (least[1:] == least[:-1]) & (level[1:] == level[:-1])
+            starts = np.flatnonzero(valid & ~same)
         at = np.flatnonzero(valid)
         count = np.diff(np.searchsorted(at, np.append(starts, len(least) + 1)))
         if len(count) and count.max() > MOST_WINDOWS:
@@ -83,44 +124,40 @@ def super_kmers(texts: list[bytes], kind: Windows) -> Iterator[Runs]:
             starts, count = np.repeat(starts, pieces) + step * MOST_WINDOWS, np.minimum(np.repeat(count, pieces) - step * MOST_WINDOWS, MOST_WINDOWS)
         doc = np.searchsorted(bounds, starts, side="right") - 1
         a, b = first[starts].tolist(), last[starts + count + kind.size - 2].tolist()
-        yield Runs(doc + begin, starts - bounds[doc], count, least[starts], [raw[i:j] for i, j in zip(a, b, strict=True)])
-
-
-@dataclass(frozen=True)
-class Hot:
-    """The hot minimisers, by counter: minimisers that share a counter with a hot one count as hot too, which changes no result."""
-
-    slots: int
-    those: np.ndarray
-
-    def slot_of(self, minimisers: np.ndarray) -> np.ndarray:
-        return (mix(minimisers ^ np.uint64(1 << 62)) % np.uint64(self.slots)).astype(np.int64)
-
-    def has(self, minimisers: np.ndarray) -> np.ndarray:
-        return np.isin(self.slot_of(minimisers), self.those)
+        yield Runs(doc + begin, starts - bounds[doc], count, least[starts], np.zeros(len(starts), dtype=np.int8) if level is None else level[starts], [raw[i:j] for i, j in zip(a, b, strict=True)])
 
 
 def hot_minimisers(docs: DataFrame, kind: Windows, n_buckets: int) -> Hot:
-    counters = Hot(min(1 << 24, max(1 << 16, 64 * n_buckets)), np.empty(0, dtype=np.int64))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, seen = np.zeros(counters.slots, dtype=np.int64), set()
-        for batch in batches:
-            for runs in super_kmers(text_bytes(batch.column(0)), kind):
-                names = [xxhash.xxh3_64_intdigest(s) for s in runs.packed]
-                new = np.zeros(len(names), dtype=np.int64)
-                for i, name in enumerate(names):
-                    if name not in seen:
-                        seen.add(name)
-                        new[i] = len(runs.packed[i]) + 60
-                np.add.at(total, counters.slot_of(runs.minimiser), new)
-                if len(seen) > 4 * FLUSH:
-                    seen.clear()
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["slot", "bytes"])
-
-    sums = docs.mapInArrow(run, "slot bigint, bytes bigint").groupBy("slot").agg(F.sum("bytes").alias("bytes"))
-    return Hot(counters.slots, np.array(sorted(r.slot for r in sums.where(F.col("bytes") > HOT_BYTES).collect()), dtype=np.int64))
+    """Length by length, as long as some are hot: each string that is sampled counts once, however many tasks have it. What comes to the driver is a bitmap, 4 KB for each 32,768 counters that have a hot one."""
+    hot = Hot(min(MOST_SLOTS, max(1 << 16, 64 * n_buckets)))
+    for level in range(len(kind.grams)):
+
+        def run(batches: Iterator[pa.RecordBatch], level: int = level, hot: Hot = hot) -> Iterator[pa.RecordBatch]:
+            seen: set[int] = set()
+            for batch in batches:
+                for runs in super_kmers(text_bytes(batch.column(0)), kind, hot):
+                    slots, names, sizes = [], [], []
+                    for i in np.flatnonzero(runs.level == level).tolist():
+                        name = xxhash.xxh3_64_intdigest(runs.packed[i])
+                        if not name % SAMPLED and name not in seen:
+                            seen.add(name)
+                            slots.append(i)
+                            names.append(name - (1 << 63))
+                            sizes.append(len(runs.packed[i]) + 60)
+                    yield pa.RecordBatch.from_arrays([pa.array(hot.slot_of(runs.minimiser[slots])), pa.array(names, pa.int64()), pa.array(sizes, pa.int64())], names=["slot", "name", "bytes"])
+                    if len(seen) > FLUSH:
+                        seen.clear()
+
+        once = docs.mapInArrow(run, "slot bigint, name bigint, bytes bigint").groupBy("slot", "name").agg(F.max("bytes").alias("bytes"))
+        heavy = once.groupBy("slot").agg(F.sum("bytes").alias("bytes")).where(F.col("bytes") * SAMPLED > HOT_BYTES)
+        maps = heavy.groupBy((F.floor(F.col("slot") / 32768)).alias("part")).agg(F.bitmap_construct_agg(F.col("slot") % 32768).alias("bits")).collect()
+        if not maps:
+            break
+        bits = np.zeros(-(-hot.slots // 32768) * 4096, dtype=np.uint8)
+        for r in maps:
+            bits[r.part * 4096 : r.part * 4096 + 4096] = np.frombuffer(r.bits, dtype=np.uint8)
+        hot = Hot(hot.slots, (*hot.maps, bits))
+    return hot
 
 
 def windows_of(packed: bytes, kind: Windows) -> list[bytes]:
@@ -132,11 +169,11 @@ def windows_of(packed: bytes, kind: Windows) -> list[bytes]:
 
 
 def hot_spans(rows: DataFrame, kind: Windows, hot: Hot) -> DataFrame:
-    """doc_id, h, span of the windows of hot minimisers that occur more than once, by 128-bit digest."""
+    """doc_id, h, span of the windows that are hot at every length and occur more than once, by 128-bit digest."""
 
     def hot_runs(texts: list[bytes]) -> Iterator[tuple[int, int, list[bytes]]]:
-        for runs in super_kmers(texts, kind):
-            for i in np.flatnonzero(hot.has(runs.minimiser)).tolist():
+        for runs in super_kmers(texts, kind, hot):
+            for i in np.flatnonzero(runs.level == len(kind.grams)).tolist():
                 yield int(runs.doc[i]), int(runs.start[i]), [xxhash.xxh3_128_digest(w) for w in windows_of(runs.packed[i], kind)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,7 +214,7 @@ def hot_spans(rows: DataFrame, kind: Windows, hot: Hot) -> DataFrame:
 
 
 def blocks(docs: DataFrame, kind: Windows, n_buckets: int, hot: Hot) -> DataFrame:
-    """bucket and a compressed block of strings with their minimisers and counts; a task tells equal strings once a block. Hot minimisers are left to hot_spans()."""
+    """bucket and a compressed block of strings with their minimisers and counts; a task tells equal strings once a block. What is hot at every length is left to hot_spans()."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, list] = {}
@@ -200,8 +237,8 @@ def blocks(docs: DataFrame, kind: Windows, n_buckets: int, hot: Hot) -> DataFram
             return pa.RecordBatch.from_arrays([pa.array(bucket[order][cuts[:-1]].astype(np.int64)), pa.array(sizes, pa.int64()), pa.array(out, pa.binary())], names=["bucket", "size", "block"])
 
         for batch in batches:
-            for runs in super_kmers(text_bytes(batch.column(0)), kind):
-                for value, packed, apart in zip(runs.minimiser.tolist(), runs.packed, hot.has(runs.minimiser).tolist(), strict=True):
+            for runs in super_kmers(text_bytes(batch.column(0)), kind, hot):
+                for value, packed, apart in zip(runs.minimiser.tolist(), runs.packed, (runs.level == len(kind.grams)).tolist(), strict=True):
                     if apart:
                         continue
                     if have := held.get(packed):
@@ -251,13 +288,13 @@ def judged(judge: Judge) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
-def addresses(docs: DataFrame, kind: Windows) -> DataFrame:
+def addresses(docs: DataFrame, kind: Windows, hot: Hot) -> DataFrame:
     """doc_id, h, digest, start of every super-k-mer of docs (text, doc_id, h)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, hashes = batch.column(1), batch.column(2)
-            for runs in super_kmers(text_bytes(batch.column(0)), kind):
+            for runs in super_kmers(text_bytes(batch.column(0)), kind, hot):
                 at = pa.array(runs.doc)
                 yield pa.RecordBatch.from_arrays([ids.take(at), hashes.take(at), pa.array([xxhash.xxh3_128_digest(s) for s in runs.packed], pa.binary()), pa.array(runs.start.astype(np.int32))], names=["doc_id", "h", "digest", "start"])
 
@@ -274,8 +311,8 @@ def repeats(rows: DataFrame, kind: Windows, judge: Judge) -> DataFrame:
     again = saved(blocks(rows.select("text"), kind, n, hot).groupBy("bucket").applyInArrow(judged(judge), "digest binary, runs array<int>"), "repeats")
     run = lambda i: F.struct((F.col("start") + F.get("runs", i * 2)).alias("start"), (F.col("start") + F.get("runs", i * 2 + 1) + kind.size - 1).alias("end"))
     where = F.transform(F.expr("sequence(0, cast(size(runs) div 2 as int) - 1)"), run)
-    found = addresses(rows, kind).join(again, "digest").select("doc_id", "h", F.explode(where).alias("span"))
-    if len(hot.those):
+    found = addresses(rows, kind, hot).join(again, "digest").select("doc_id", "h", F.explode(where).alias("span"))
+    if len(hot.maps) == len(kind.grams):
         found = found.unionByName(hot_spans(rows, kind, hot))
     spans = found.groupBy("doc_id", "h").agg(F.sort_array(F.collect_set("span")).alias("spans"))
     spans = saved(spans, "spans")

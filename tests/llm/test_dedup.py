@@ -100,7 +100,7 @@ def test_suffix_array_is_the_sorted_order(letters):
         assert suffix_array(np.array(s)).tolist() == sorted(range(len(s)), key=lambda i: s[i:])
 
 
-@pytest.mark.parametrize("kind,judge", [(Windows(False, 40, 16), suffix_dedup.by_suffixes(40)), (Windows(True, 6, 2), substring_dedup.counted(6))])
+@pytest.mark.parametrize("kind,judge", [(Windows(False, 40, (16, 24, 32)), suffix_dedup.by_suffixes(40)), (Windows(True, 6, (2, 4)), substring_dedup.counted(6))])
 def test_judges_on_random_texts(kind, judge):
     draw = random.Random(11)
     for _ in range(200):
@@ -122,10 +122,11 @@ def test_judges_on_random_texts(kind, judge):
         assert got == {(d, i) for d, u in enumerate(units) for i in range(len(u) - kind.size + 1) if counts[tuple(u[i : i + kind.size])] > 1}
 
 
-@pytest.mark.parametrize("kind,judge", [(Windows(False, 40, 16), suffix_dedup.by_suffixes(40)), (Windows(True, 12, 4), substring_dedup.counted(12))])
+@pytest.mark.parametrize("kind,judge", [(Windows(False, 40, (16, 24, 32)), suffix_dedup.by_suffixes(40)), (Windows(True, 12, (4, 8, 11)), substring_dedup.counted(12))])
 def test_common_phrases_make_no_large_group(spark, monkeypatch, kind, judge):
     """A phrase shorter than a window, with different text around it, and whole windows that repeat."""
-    monkeypatch.setattr(superkmers, "HOT_BYTES", 2500, raising=False)
+    monkeypatch.setattr(superkmers, "HOT_BYTES", 2500)
+    monkeypatch.setattr(superkmers, "SAMPLED", 1)
     draw = random.Random(9)
     word = lambda: f"v{draw.randrange(5000)}"
     phrase, passage = " ".join(word() for _ in range(6)), " ".join(word() for _ in range(20))
@@ -145,6 +146,27 @@ def test_common_phrases_make_no_large_group(spark, monkeypatch, kind, judge):
     assert {d: [any(a <= i < b for a, b in got[d]) for i in range(len(u))] for d, u in enumerate(units)} == {d: list(map(bool, g)) for d, g in enumerate(repeated(units, kind.size))}
 
 
+@pytest.mark.parametrize("limit,levels", [(-1, 3), (400, 3), (2000, 1), (1 << 40, 0)])
+@pytest.mark.parametrize("kind,judge", [(Windows(False, 40, (16, 24, 32)), suffix_dedup.by_suffixes(40)), (Windows(True, 12, (4, 8, 11)), substring_dedup.counted(12))])
+def test_heat_changes_where_windows_meet_and_nothing_else(spark, monkeypatch, kind, judge, limit, levels):
+    """Every counter hot at every length, some hot at some, none: the same spans; and hot windows still go to buckets as long as a longer minimiser tells them apart."""
+    monkeypatch.setattr(superkmers, "HOT_BYTES", limit)
+    monkeypatch.setattr(superkmers, "SAMPLED", 1)
+    draw = random.Random(21)
+    word = lambda: f"w{draw.randrange(300)}"
+    phrase, passage = " ".join(word() for _ in range(5)), " ".join(word() for _ in range(30))
+    docs = [f"{' '.join(word() for _ in range(draw.randint(3, 30)))} {phrase} {' '.join(word() for _ in range(draw.randint(3, 30)))} {passage if i % 9 == 0 else ''}" for i in range(90)]
+    rows = spark.createDataFrame(list(enumerate([*docs, docs[3], "", "a"])), "doc_id bigint, text string").repartition(3).selectExpr("text", "doc_id", "xxhash64(text) h")
+    hot = superkmers.hot_minimisers(rows.select("text"), kind, 8)
+    assert len(hot.maps) >= levels if levels else not hot.maps
+    for runs in superkmers.super_kmers([t.encode() for t in docs], kind, hot):
+        for level in set(runs.level.tolist()) - {len(kind.grams)}:
+            assert level <= len(hot.maps) and not (level < len(hot.maps) and hot.has(level, runs.minimiser[runs.level == level]).any())
+    units = [(t or "").encode().split() if kind.words else t.encode() for t in [*docs, docs[3], "", "a"]]
+    got = {r.doc_id: superkmers.merged(r.spans) for r in superkmers.repeats(rows, kind, judge).collect()}
+    assert {d: [any(a <= i < b for a, b in got[d]) for i in range(len(u))] for d, u in enumerate(units)} == {d: list(map(bool, g)) for d, g in enumerate(repeated(units, kind.size))}
+
+
 def test_parity_distance_never_exceeds_the_difference():
     draw = np.random.default_rng(5)
     for n in (5, 40, 700):
