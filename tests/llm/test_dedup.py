@@ -146,7 +146,7 @@ def test_common_phrases_make_no_large_group(spark, monkeypatch, kind, judge):
     assert {d: [any(a <= i < b for a, b in got[d]) for i in range(len(u))] for d, u in enumerate(units)} == {d: list(map(bool, g)) for d, g in enumerate(repeated(units, kind.size))}
 
 
-@pytest.mark.parametrize("limit,levels", [(-1, 3), (400, 3), (2000, 1), (1 << 40, 0)])
+@pytest.mark.parametrize("limit,levels", [(-1, 3), (400, 1), (2000, 1), (1 << 40, 0)])
 @pytest.mark.parametrize("kind,judge", [(Windows(False, 40, (16, 24, 32)), suffix_dedup.by_suffixes(40)), (Windows(True, 12, (4, 8, 11)), substring_dedup.counted(12))])
 def test_heat_changes_where_windows_meet_and_nothing_else(spark, monkeypatch, kind, judge, limit, levels):
     """Every counter hot at every length, some hot at some, none: the same spans; and hot windows still go to buckets as long as a longer minimiser tells them apart."""
