@@ -90,6 +90,16 @@ def predict(pixels: DataFrame, windows: DataFrame, size: int, prompts: DataFrame
     return spatial.point_prompt_override(mask, prompts)
 
 
+def predict_blocks(pixels: DataFrame, size: int, step: int, prompts: DataFrame, score: scoring.Scorer, block: int | None = None, use_tta: bool = True) -> DataFrame:
+    """As predict, with a scorer of arrays (windows, bands, size, size) to logits (windows, classes, size, size): the form for models that look at more than a pixel. Windows are scored where their block lies, so
+    pixels are shuffled once with the halos of their blocks, and sums of halos once."""
+    height, width, bands = (int(x) for x in pixels.agg(F.max("gr") + 1, F.max("gc") + 1, F.count_distinct("band")).first())
+    scaled = stats.minmax_scale(pixels.withColumn("one", F.lit(1)), "one")
+    wide = scaled.groupBy(F.col("gr").alias("row"), F.col("gc").alias("col")).agg(F.transform(F.sort_array(F.collect_list(F.struct("band", "v"))), lambda s: s.v).alias("bands"))
+    probs = scoring.blend_blocks(wide, height, width, size, step, score, bands, len(CLASSES), block, grid.DEFAULT_VARIANTS if use_tta else ("identity",))
+    return spatial.point_prompt_override(probs.select("row", "col", metrics.argmax_class(F.col("probs")).alias("class_id")), prompts)
+
+
 def sample_report(tiles: DataFrame, pixels: DataFrame, mask: DataFrame, show_class: int, n: int, seed: int = 42) -> DataFrame:
     """Up to n validation tiles (id, source, class_ids), by source, of those that show a class: a row per pixel with its rgb, its class's colour and the overlay of both, with the tile's labels and class shares.
 

@@ -282,7 +282,7 @@ ALERT_SQL = """select run_id, kind, severity, subject, next_step from (select ru
  concat('[', run_id, '] epoch ', cast(max(epoch) as varchar), ', best mIoU 0.', lpad(cast(max(miou_e4) as varchar), 4, '0')) subject, 'training goes on' next_step from fx_epochs group by 1
  union all select run_id, 'complete', case when best > 6000 then 'good' when best > 4000 then 'fair' else 'poor' end, concat('[', run_id, '] done (', cast(step as varchar), '/', cast(total as varchar), '), best mIoU 0.', lpad(cast(best as varchar), 4, '0'), ' at epoch ', cast(best_epoch as varchar), ' of ', cast(epochs as varchar)),
  case when step < total then concat('next: folder ', cast(step + 1 as varchar)) else 'all folders are done' end from (select *, row_number() over (order by run_id) step, count(*) over () total from (select run_id, max(miou_e4) best, max(epoch) epochs, min(epoch) filter (where miou_e4 = m) best_epoch from (select *, max(miou_e4) over (partition by run_id) m from fx_epochs) group by 1))
- union all select run_id, 'error', 'critical', concat('[', run_id, '] stopped at epoch ', cast(max(epoch) as varchar)), 'see the log tail' from fx_epochs where run_id = 'error' group by 1)"""
+ union all select run_id, 'error', 'critical', concat('[', run_id, '] stopped at epoch ', cast(max(epoch) as varchar)), 'resume from the last checkpoint' from fx_epochs where run_id = 'error' group by 1)"""
 
 
 @query(oracle(ALERT_SQL, "fx_epochs"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,7 +73,10 @@ _BEST = "select row, col, cast(list_position(p, list_max(p)) - 1 as int) class_i
 _PREDICTED = "select row, col, coalesce(arg_max(p.class_id, seq), any_value(m.class_id)) class_id from best m left join points p on row >= floor(y) - 5 and row < floor(y) + 5 and col >= floor(x) - 5 and col < floor(x) + 5 group by 1, 2"
 
 
-@query(oracle("select class_id, cast(count(*) as bigint) n, round(count(*) / cast(sum(count(*)) over () as double), 6) share from predicted group by 1", "fx_px", "fx_prompts", "fx_classes", windows=_WINDOWS, scaled=_SCALED, places=_PLACES, scored=_EXP, best=_BEST, points=_POINTS, predicted=_PREDICTED))
+_PREDICT = oracle("select class_id, cast(count(*) as bigint) n, round(count(*) / cast(sum(count(*)) over () as double), 6) share from predicted group by 1", "fx_px", "fx_prompts", "fx_classes", windows=_WINDOWS, scaled=_SCALED, places=_PLACES, scored=_EXP, best=_BEST, points=_POINTS, predicted=_PREDICTED)
+
+
+@query(_PREDICT)
 def predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class distribution of the predicted mask."""
     from rasterweave.operators.stats import class_distribution
@@ -85,6 +89,21 @@ def predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(class_distribution(mask), "share")
 
 
+def _array_scorer(windows: np.ndarray) -> np.ndarray:
+    """The same logits over whole windows."""
+    r, c = np.mgrid[0 : windows.shape[2], 0 : windows.shape[3]]
+    return np.stack([4 * windows[:, i] * (1 + r / 16) + 0.1 * i * c / 16 for i in range(4)], axis=1)
+
+
+@query(_PREDICT)
+def predict_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As predict, from packed windows in blocks of 32 pixels."""
+    from rasterweave.operators.stats import class_distribution
+
+    mask = jobs.predict_blocks(fixture(spark, sf_dir, "fx_px").select("band", "gr", "gc", "v"), 16, 6, prompts(spark, sf_dir), _array_scorer, block=32)
+    return rounded(class_distribution(mask), "share")
+
+
 _TILES = "select tile_id id, concat('scene_', cast(tile_id % 20 as varchar)) source, list_sort(list_distinct(list(target))) class_ids from fx_scores group by 1"
 _VAL = f"select * from tiles where source in (select source from (select source, row_number() over (order by lpad(cast({_H.format('source')} as varchar), 10, '0') || ':' || source) rn, count(*) over () n from (select distinct source from tiles)) where rn <= ceil(n * 0.2e0))"
 _SAMPLED = f"select id, source, (select string_agg(coalesce(label, concat('cls', c)), '|' order by c) from (select unnest(class_ids) c) u left join fx_classes on class_id = c) labels from (select * from (select * from val order by {_HID}, id limit 200) where list_contains(class_ids, 2)) order by {_HID}, id limit 50"

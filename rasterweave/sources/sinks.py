@@ -139,10 +139,14 @@ def write_mask(mask: DataFrame, path: str) -> None:
     mask.withColumn("class_id", value.alias("class_id", metadata=names)).write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
-def write_history(epochs: DataFrame, path: str) -> None:
-    """A row of parallel arrays per run."""
-    rows = epochs.groupBy("run_id").agg(F.sort_array(F.collect_list(F.struct("epoch", "val_miou", "val_loss"))).alias("h"))
-    rows.select("run_id", "h.epoch", "h.val_miou", "h.val_loss").write.mode("overwrite").json(path)
+#: Epochs of a run that one row of a history holds.
+CHUNK_EPOCHS = 10_000
+
+
+def write_history(epochs: DataFrame, path: str, chunk: int = CHUNK_EPOCHS) -> None:
+    """Rows of parallel arrays, one for each chunk of a run's epochs (by number), so that a long run is no one row. read_history puts them together."""
+    rows = epochs.groupBy("run_id", F.floor(F.col("epoch") / chunk).alias("chunk")).agg(F.sort_array(F.collect_list(F.struct("epoch", "val_miou", "val_loss"))).alias("h"))
+    rows.select("run_id", "chunk", "h.epoch", "h.val_miou", "h.val_loss").write.mode("overwrite").json(path)
 
 
 def read_history(history: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ def alert_rows(state: DataFrame) -> DataFrame:
     subject = F.when(F.col("failed"), F.concat(F.lit("["), "run_id", F.lit("] stopped at epoch "), "epoch")).otherwise(F.concat(F.lit("["), "run_id", F.lit("] epoch "), "epoch", F.lit(", best mIoU "), best))
     return state.select(
         "run_id", F.when(F.col("failed"), "error").otherwise("progress").alias("kind"), F.when(F.col("failed"), "critical").otherwise(miou_band(F.col("best_e4") / 10000)).alias("severity"),
-        subject.alias("subject"), F.when(F.col("failed"), "see the log tail").otherwise("training goes on").alias("next_step"),
+        subject.alias("subject"), F.when(F.col("failed"), "resume from the last checkpoint").otherwise("training goes on").alias("next_step"),
     )
 
 

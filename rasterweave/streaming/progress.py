@@ -172,6 +172,11 @@ def suppress_after_done(events: DataFrame) -> DataFrame:
     return events.withColumn("over", F.coalesce(F.max(F.col("done").cast("int")).over(before), F.lit(0))).where("over = 0").drop("over")
 
 
+def upto(frame: pd.DataFrame, at: tuple) -> pd.DataFrame:
+    """The rows of a frame that stand at (ts, event_id) or before."""
+    return frame[(frame["ts"] < at[0]) | ((frame["ts"] == at[0]) & (frame["event_id"] <= at[1]))]
+
+
 class UntilDone(StatefulProcessor):
     """Per run: whether it is done; emits its events before and at the first done flag."""
 
@@ -179,13 +184,20 @@ class UntilDone(StatefulProcessor):
         self.state = handle.getValueState("done", "done boolean")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        frame = pd.concat(list(rows)).sort_values(["ts", "event_id"], ignore_index=True)
+        """Frame by frame: what stands before the first done flag so far is held back as long as an earlier one may come in this batch, the rest is let go."""
         if self.state.exists():
-            frame = frame.iloc[:0]
-        elif frame["done"].any():
+            return
+        first, held = None, []
+        for frame in rows:
+            over = frame[frame["done"]]
+            if len(over):
+                at = min(zip(over["ts"], over["event_id"], strict=True))
+                if first is None or at < first:
+                    first, held = at, [upto(x, at) for x in held]
+            held.append(frame if first is None else upto(frame, first))
+        if first is not None:
             self.state.update((True,))
-            frame = frame.iloc[: int(frame["done"].to_numpy().argmax()) + 1]
-        yield frame
+        yield from (x for x in held if len(x))
 
     def close(self) -> None:
         pass
@@ -208,9 +220,8 @@ class EarlyStop(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
         best, best_epoch, stopped = self.state.get() if self.state.exists() else (0.0, 0, False)
-        frame = pd.concat(list(rows)).sort_values("epoch")
         out = []
-        for epoch, value in zip(frame["epoch"].tolist(), frame["val_miou"].tolist(), strict=True):
+        for epoch, value in sorted((int(e), float(v)) for frame in rows for e, v in zip(frame["epoch"], frame["val_miou"], strict=True)):  # two numbers an epoch of the batch
             if value > best:
                 best, best_epoch = value, epoch
             now = epoch - best_epoch >= self.patience and not stopped

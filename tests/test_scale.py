@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rasterweave.model import class_map
-from rasterweave.operators import spatial, stats, tile_udfs
+from rasterweave.operators import scoring, spatial, stats, tile_udfs
 from rasterweave.sources import sinks
 
 BOX = "id bigint, minx double, miny double, maxx double, maxy double"
@@ -102,3 +102,37 @@ def test_a_classifier_learns_what_weighted_regression_learns(spark):
     mixed = spark.createDataFrame([(i, 0.0, 0.0, int(i % 4 == 0)) for i in range(400)], "tile_id bigint, b1 double, b2 double, target int")
     share = lambda w: tile_udfs.predict_pixels(mixed.limit(1), tile_udfs.fit_pixel_classifier(mixed, ["b1", "b2"], w)).first().probs[1]
     assert abs(share({0: 1.0, 1: 1.0}) - 0.25) < 0.01 and abs(share({0: 1.0, 1: 3.0}) - 0.5) < 0.01
+
+
+@pytest.mark.parametrize("block", [16, 24, 64, 1000])
+def test_blocks_blend_what_pixels_blend(spark, block):
+    """Windows in blocks of any size against pixels that are joined to their windows, with variants, gaps and a raster of odd sides."""
+    draw = np.random.default_rng(3)
+    height, width, size, step = 41, 53, 16, 6
+    rows = [(r, c, draw.random(2).tolist()) for r in range(height) for c in range(width) if not (10 <= r < 14 and c > 40)]
+    pixels = spark.createDataFrame(rows, "row bigint, col bigint, bands array<double>")
+
+    def score(x: np.ndarray) -> np.ndarray:
+        r, c = np.mgrid[0 : x.shape[2], 0 : x.shape[3]]
+        return np.stack([x[:, 0] * (1 + r / 16), x[:, 1] - c / 16, x[:, 0] * x[:, 1] + 0 * r], axis=1)
+
+    got = {(r.row, r.col): r.probs for r in scoring.blend_blocks(pixels, height, width, size, step, score, 2, k=3, block=block, batch=5).collect()}
+    value, total = {(r, c): b for r, c, b in rows}, {}
+    names = scoring.DEFAULT_VARIANTS
+    for i in scoring.starts_of(height, size, step).tolist():
+        for j in scoring.starts_of(width, size, step).tolist():
+            for r in range(size):
+                for c in range(size):
+                    if (i + r, j + c) not in value:
+                        continue
+                    a, b = value[i + r, j + c]
+                    probs = np.zeros(3)
+                    for name in names:
+                        y, x = scoring.SYMMETRIES[scoring.INVERSE.get(name, name)](r, c, size)
+                        e = np.exp([a * (1 + y / 16), b - x / 16, a * b])
+                        probs += e / e.sum() / len(names)
+                    w = math.exp(-((r - 8) ** 2 + (c - 8) ** 2) / 32)
+                    s = total.setdefault((i + r, j + c), [np.zeros(3), 0.0])
+                    s[0] += w * probs
+                    s[1] += w
+    assert set(got) == set(total) and all(np.allclose(got[k], s / w, atol=1e-9) for k, (s, w) in total.items())

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from pathlib import Path
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -141,3 +142,24 @@ def test_a_run_that_is_killed_anywhere_ends_alike(spark, tmp_path, monkeypatch):
     with pytest.raises(Exception, match="Killed"):
         run("broken")
     assert run("broken") == smooth and failed == [1]
+
+
+def test_until_done_holds_back_no_more_than_an_earlier_end_may_cut():
+    """Frames of one batch in any order: rows up to the first end, wherever it stands; afterwards nothing."""
+    rows = pd.DataFrame({"run_id": "a", "event_id": range(12), "ts": [at(h) for h in range(12)], "done": [i in (5, 8) for i in range(12)]})
+
+    class State:
+        value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def update(self, value):
+            self.value = value
+
+    for order in ([0, 1, 2], [2, 1, 0], [1, 2, 0]):
+        run = progress.UntilDone()
+        run.state = State()
+        out = pd.concat(run.handleInputRows(("a",), iter([rows.iloc[i * 4 : i * 4 + 4] for i in order]), None))
+        assert sorted(out["event_id"]) == [0, 1, 2, 3, 4, 5] and run.state.exists()
+        assert not list(run.handleInputRows(("a",), iter([rows]), None))
