@@ -26,7 +26,7 @@ BLOCK_BYTES = 24 << 20
 #: A run of more windows is cut, into strings of the same bucket.
 MOST_WINDOWS = 4096
 #: Minimisers with more bytes of different strings than this are hot; that is estimated from every SAMPLED-th string by hash, and changes no result.
-HOT_BYTES, SAMPLED = 8 << 20, 16
+HOT_BYTES, SAMPLED = 2 << 20, 16
 #: Most counters of minimisers; their bitmap of hot ones, of 16 MB at most, is what the driver and the tasks get to know.
 MOST_SLOTS = 1 << 27
 FLUSH = 300_000
