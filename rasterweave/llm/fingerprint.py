@@ -38,15 +38,22 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def pieces(paragraph: Column) -> Column:
-    """An over-long paragraph, cut after words by their checksum; what has no such words, after every PIECE characters."""
+    """An over-long paragraph, cut after words by their checksum; what has no such words, after characters by the checksum of the three before the cut, so that an insertion moves cuts near it alone; what
+    has no such characters either, one sign over and over, after every PIECE of them."""
 
-    def cut(words: Column) -> Column:
-        last = F.size(words) - 1
-        ends = F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | (F.crc32(F.get(words, i)) % 8 == 0))
+    def cut(units: Column, ends_here: Callable[[Column], Column]) -> Column:
+        last = F.size(units) - 1
+        ends = F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | ends_here(i))
         before = lambda ends, k: F.coalesce(F.get(ends, k - 1), F.lit(-1))
-        return let(ends, lambda ends: F.transform(ends, lambda e, k: F.array_join(F.slice(words, before(ends, k) + 2, e - before(ends, k)), "")))
+        return let(ends, lambda ends: F.transform(ends, lambda e, k: F.array_join(F.slice(units, before(ends, k) + 2, e - before(ends, k)), "")))
 
-    return F.flatten(F.transform(let(F.split(paragraph, r"(?<=\s)"), cut), lambda p: F.when(F.length(p) <= LONG, F.array(p)).otherwise(F.regexp_extract_all(p, F.lit("(?s).{1,%d}" % PIECE), F.lit(0)))))
+    def whole(long_: Column, further: Callable[[Column], Column]) -> Column:
+        return F.flatten(F.transform(long_, lambda p: F.when(F.length(p) <= LONG, F.array(p)).otherwise(further(p))))
+
+    by_words = let(F.split(paragraph, r"(?<=\s)"), lambda words: cut(words, lambda i: F.crc32(F.get(words, i)) % 8 == 0))
+    three = lambda signs, i: F.crc32(F.concat(F.get(signs, i - 2), F.get(signs, i - 1), F.get(signs, i)))
+    by_signs = lambda p: let(F.regexp_extract_all(p, F.lit("(?s)."), F.lit(0)), lambda signs: cut(signs, lambda i: (i >= 2) & (F.get(signs, i - 1) != F.get(signs, i)) & (three(signs, i) % 64 == 0)))
+    return whole(by_words, lambda p: whole(by_signs(p), lambda q: F.regexp_extract_all(q, F.lit("(?s).{1,%d}" % PIECE), F.lit(0))))
 
 
 def paragraphs(text: Column) -> Column:

@@ -65,6 +65,10 @@ def test_paragraphs_make_up_the_text(spark):
         assert "".join(got[i]) == t and all(0 < len(p) <= fingerprint.LONG for p in got[i])
     before, after = (leaf_lengths(spark, [t])[0] for t in (texts[9], "in front of " + texts[9]))
     assert len(set(before) & set(after)) > 0.9 * len(before)  # cuts of long paragraphs move along
+    unspaced = "".join(chr(0x4E00 + int(x)) for x in draw.integers(0, 3000, 4000))
+    before, front, inside = leaf_lengths(spark, [unspaced, "了" + unspaced, unspaced[:2000] + "了" + unspaced[2000:]]).values()
+    assert "".join(before) == unspaced and min(len(set(before) & set(x)) for x in (front, inside)) > 0.9 * len(before)
+    assert all(len(leaf_lengths(spark, [x * 8000])[0]) == 63 for x in "漢x")
 
 
 def test_likeness_and_edits_against_plain_versions(spark):
