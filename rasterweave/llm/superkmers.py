@@ -25,8 +25,8 @@ from rasterweave.llm.common import buckets_for, byte_values, hash_words, mix, ro
 BLOCK_BYTES = 24 << 20
 #: A run of more windows is cut, into strings of the same bucket.
 MOST_WINDOWS = 4096
-#: Minimisers with more bytes of different strings than this are hot; that is estimated from every SAMPLED-th string by hash, and changes no result.
-HOT_BYTES, SAMPLED = 2 << 20, 16
+#: Minimisers with more bytes of different strings than this are hot. That is estimated from every SAMPLED-th text by hash and from all texts longer than LONG_TEXT; it decides where windows meet and changes no result.
+HOT_BYTES, SAMPLED, LONG_TEXT = 2 << 20, 8, 1 << 20
 #: Most counters of minimisers; their bitmap of hot ones, of 16 MB at most, is what the driver and the tasks get to know.
 MOST_SLOTS = 1 << 27
 FLUSH = 300_000
@@ -69,18 +69,20 @@ class Hot:
 
 
 def cooled(units: np.ndarray, kind: Windows, least: np.ndarray, heat: np.ndarray, hot: Hot) -> tuple[np.ndarray, np.ndarray]:
-    """Each window's minimiser with longer ones in place of hot ones, and how many of its lengths were hot. heat: the windows whose first one is."""
+    """Each window's minimiser with longer ones in place of hot ones, and how many of its lengths were hot. heat: the windows whose first one is; only their stretches of text are looked at again."""
     least, level = least.copy(), heat.astype(np.int8)
-    for k, gram in enumerate(kind.grams[1:], 1):
-        longer = mix(sliding_min(rolling_fixed(units, gram), kind.size - gram + 1)[heat] ^ np.uint64(k))
-        least[heat] = longer
-        if k == len(hot.maps):
-            break
-        heat = heat.copy()
-        heat[heat] = hot.has(k, longer)
-        if not heat.any():
-            break
-        level[heat] = k + 1
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], heat.view(np.int8), [0])))).tolist()
+    for a, b in zip(edges[::2], edges[1::2], strict=True):
+        stretch, at = units[a : b + kind.size - 1], np.arange(a, b)
+        for k, gram in enumerate(kind.grams[1:], 1):
+            longer = mix(sliding_min(rolling_fixed(stretch, gram), kind.size - gram + 1)[at - a] ^ np.uint64(k))
+            least[at] = longer
+            if k == len(hot.maps):
+                break
+            at = at[hot.has(k, longer)]
+            if not len(at):
+                break
+            level[at] = k + 1
     return least, level
 
 
@@ -128,28 +130,30 @@ def super_kmers(texts: list[bytes], kind: Windows, hot: Hot | None = None) -> It
 
 
 def hot_minimisers(docs: DataFrame, kind: Windows, n_buckets: int) -> Hot:
-    """Length by length, as long as some are hot: each string that is sampled counts once, however many tasks have it. What comes to the driver is a bitmap, 4 KB for each 32,768 counters that have a hot one."""
-    hot = Hot(min(MOST_SLOTS, max(1 << 16, 64 * n_buckets)))
+    """Length by length, as long as some are hot: a string counts once, however many tasks have it, times the share of its text's sample. What comes to the driver is a bitmap, 4 KB for each 32,768 counters that have a hot one."""
+    hot, long_ = Hot(min(MOST_SLOTS, max(1 << 16, 64 * n_buckets))), F.octet_length("text") > LONG_TEXT
+    some = docs.where(long_ | (F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0)).select("text", F.when(long_, 1).otherwise(SAMPLED).alias("times"))
     for level in range(len(kind.grams)):
 
         def run(batches: Iterator[pa.RecordBatch], level: int = level, hot: Hot = hot) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()
             for batch in batches:
+                times = batch.column(1).to_pylist()
                 for runs in super_kmers(text_bytes(batch.column(0)), kind, hot):
                     slots, names, sizes = [], [], []
                     for i in np.flatnonzero(runs.level == level).tolist():
                         name = xxhash.xxh3_64_intdigest(runs.packed[i])
-                        if not name % SAMPLED and name not in seen:
+                        if name not in seen:
                             seen.add(name)
                             slots.append(i)
                             names.append(name - (1 << 63))
-                            sizes.append(len(runs.packed[i]) + 60)
+                            sizes.append((len(runs.packed[i]) + 60) * times[int(runs.doc[i])])
                     yield pa.RecordBatch.from_arrays([pa.array(hot.slot_of(runs.minimiser[slots])), pa.array(names, pa.int64()), pa.array(sizes, pa.int64())], names=["slot", "name", "bytes"])
                     if len(seen) > FLUSH:
                         seen.clear()
 
-        once = docs.mapInArrow(run, "slot bigint, name bigint, bytes bigint").groupBy("slot", "name").agg(F.max("bytes").alias("bytes"))
-        heavy = once.groupBy("slot").agg(F.sum("bytes").alias("bytes")).where(F.col("bytes") * SAMPLED > HOT_BYTES)
+        once = some.mapInArrow(run, "slot bigint, name bigint, bytes bigint").groupBy("slot", "name").agg(F.max("bytes").alias("bytes"))
+        heavy = once.groupBy("slot").agg(F.sum("bytes").alias("bytes")).where(F.col("bytes") > HOT_BYTES)
         maps = heavy.groupBy((F.floor(F.col("slot") / 32768)).alias("part")).agg(F.bitmap_construct_agg(F.col("slot") % 32768).alias("bits")).collect()
         if not maps:
             break
