@@ -114,7 +114,7 @@ def early_stop(epochs: DataFrame, patience: int = 12, key: str = "run_id") -> Da
 def ema_warmup(series: DataFrame, key: str, step: str, value: str, decay: float = 0.9998) -> DataFrame:
     """key, steps, ema: e = d * e + (1 - d) * x with d = min(decay, (1 + s) / (10 + s)), s the row's number, from the first value on.
 
-    Written out, a value counts (1 - d) times the product of all later d: running sums of logarithms give it, so no task holds a run.
+    Written out, a value counts (1 - d) times the product of all later d: running sums of logarithms give it. One task sorts a run, spilling if need be, but no row or state holds it.
     """
     order = Window.partitionBy(key).orderBy(step)
     rows = series.select(key, F.col(value).cast("double").alias("x"), F.row_number().over(order).cast("double").alias("s"), step)
