@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rasterweave.llm.common import removed, saved, table
-from rasterweave.llm.vectors import binaries, matrix, products, whole_vectors
+from rasterweave.llm.vectors import matrix, products, whole_vectors
 
 SCALE, K, EVERY = 1024, 10, 100
 #: At most so many pivots; queries of a group and data rows of a piece that one task holds, for 64 components (fewer for longer vectors).
