@@ -29,7 +29,8 @@ def write_tiles(tiles: DataFrame, path: str, row: str | None = None, col: str |
     """Tile rows by shard, in files of about per_file tiles: a shard is cut into ranges, so several tasks write it.
 
     With the columns of a tile's place, files follow a space-filling order of places (in units of step) and `path-bounds` holds the bounds of each file,
-    shard, file, tiles, lo_row, hi_row, lo_col, hi_col, by which read_tiles leaves files unopened. Without, tiles are sorted by id.
+    shard, file, tiles, lo_row, hi_row, lo_col, hi_col, by which read_tiles leaves files unopened. Without, tiles are sorted by id. Tiles are passed over three times (number, ranges, rows), so what is costly to make
+    should be a written table.
     """
     spark = tiles.sparkSession
     keys = [z_order(F.floor(F.col(row) / step), F.floor(F.col(col) / step)).alias("_z")] if row and col else []

@@ -65,16 +65,22 @@ class Killed(Exception):
     pass
 
 
-@pytest.mark.parametrize("where", ["data", "manifest", "checkpoint"])
-def test_a_batch_that_breaks_off_and_comes_again_tells_the_same(spark, tmp_path, monkeypatch, where):
+@pytest.fixture(scope="module")
+def budgets(spark, tmp_path_factory):
+    """Runs stream_budget over four shards in a folder; and what a run that nothing breaks off tells."""
     path, schema = streams.landed(spark, SF)
-    ceiling, n = 20 << 30, 300
 
-    def budgets(folder: Path) -> list:
-        shards.stream_budget(spark, path, schema, f"file://{folder}/cp", f"file://{folder}/log", ceiling, streams.TILE_BYTES, f"file://{folder}/store", class_map(4), n)
+    def run(folder: Path) -> list:
+        shards.stream_budget(spark, path, schema, f"file://{folder}/cp", f"file://{folder}/log", 20 << 30, streams.TILE_BYTES, f"file://{folder}/store", class_map(4), 300)
         return sorted(tuple(r) for r in spark.read.parquet(f"file://{folder}/log/*").collect())
 
-    smooth = budgets(tmp_path / "smooth")
+    folder = tmp_path_factory.mktemp("smooth")
+    return run, folder, run(folder)
+
+
+@pytest.mark.parametrize("where", ["data", "manifest", "checkpoint"])
+def test_a_batch_that_breaks_off_and_comes_again_tells_the_same(spark, tmp_path, monkeypatch, budgets, where):
+    budgets, smooth_folder, smooth = budgets
     assert len({r[2] for r in smooth}) == 4  # each batch has a budget of its own
     write, calls = sinks.write_slice, []
 
@@ -101,7 +107,7 @@ def test_a_batch_that_breaks_off_and_comes_again_tells_the_same(spark, tmp_path,
             budgets(folder)
     assert budgets(folder) == smooth and calls.count(3 if where == "checkpoint" else 1) == 2
     read = lambda store, before=None: sorted((r.id, r.shard) for r in sinks.read_slices(spark, f"file://{store}/store", shards.SLICE, before).collect())
-    assert read(folder) == read(tmp_path / "smooth") and read(folder, 2) == read(tmp_path / "smooth", 2) and read(folder, 0) == []
+    assert read(folder) == read(smooth_folder) and read(folder, 2) == read(smooth_folder, 2) and read(folder, 0) == []
 
 
 def test_versions_of_a_slice(spark, tmp_path):
