@@ -9,7 +9,13 @@ from rasterweave.model import IGNORE, N_CLASSES
 from rasterweave.operators.stats import weight_map
 
 
+def of_size(values: Column, k: int) -> Column:
+    """The first k values of an array, null where it has fewer."""
+    return F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.get(values, i))
+
+
 def softmax(logits: Column) -> Column:
+    """A null logit leaves all of them unknown."""
     top = F.array_max(logits)
     raised = F.transform(logits, lambda x: F.exp(x - top))
     total = F.aggregate(raised, F.lit(0.0), lambda a, x: a + x)
