@@ -63,8 +63,8 @@ def focal_loss(scores: DataFrame, weights: dict[int, float], gamma: float = 2.0)
 
 
 def dice_loss(scores: DataFrame, image: str = "tile_id", k: int = N_CLASSES, smooth: float = 1e-6) -> DataFrame:
-    """1 - (2 * overlap + smooth) / (total + smooth) per image and class, mean over classes from 1; an ignored target counts as the last class."""
-    probs = scores.withColumn("p", softmax(F.col("logits"))).withColumn("t", F.least("target", F.lit(k - 1)))
+    """1 - (2 * overlap + smooth) / (total + smooth) per image and class, mean over classes from 1; an ignored target counts as the last class. A pixel that lacks logits adds to no sum of probabilities."""
+    probs = scores.withColumn("p", softmax(of_size(F.col("logits"), k))).withColumn("t", F.least("target", F.lit(k - 1)))
     sums = []
     for i in range(1, k):
         hot = (F.col("t") == i).cast("double")
