@@ -48,14 +48,14 @@ def iou(confusion: DataFrame, k: int = N_CLASSES) -> DataFrame:
     return rows.withColumn("miou", F.coalesce(F.avg("iou").over(Window.partitionBy()), F.lit(0.0)))
 
 
-def focal_terms(scores: DataFrame, weights: dict[int, float], gamma: float = 2.0) -> DataFrame:
-    """scores (logits, target) with the focal term of each pixel: (1 - exp(-ce))^gamma * ce of the weighted cross entropy; 0 where the target is ignored."""
-    logits = F.col("logits")
+def focal_terms(scores: DataFrame, weights: dict[int, float], gamma: float = 2.0, k: int = N_CLASSES) -> DataFrame:
+    """scores (logits, target) with the focal term of each pixel: (1 - exp(-ce))^gamma * ce of the weighted cross entropy; 0 where the target is ignored, null where one of k logits is not there."""
+    logits = of_size(F.col("logits"), k)
     top = F.array_max(logits)
     lse = top + F.log(F.aggregate(logits, F.lit(0.0), lambda a, x: a + F.exp(x - top)))
     ce = weight_map(weights)[F.col("target")] * (lse - F.get(logits, F.col("target")))
     with_ce = scores.withColumn("ce", F.when(F.col("target") != IGNORE, ce))
-    return with_ce.withColumn("focal", F.coalesce(F.pow(1 - F.exp(-F.col("ce")), gamma) * F.col("ce"), F.lit(0.0)))
+    return with_ce.withColumn("focal", F.when(F.col("target") == IGNORE, 0.0).otherwise(F.pow(1 - F.exp(-F.col("ce")), gamma) * F.col("ce")))
 
 
 def focal_loss(scores: DataFrame, weights: dict[int, float], gamma: float = 2.0) -> DataFrame:
