@@ -90,7 +90,8 @@ def best_epoch(epochs: DataFrame) -> DataFrame:
 
 def class_means(pixels: DataFrame, bands: int, weight: str = "n") -> dict[int, list[float]]:
     """The weighted mean of each band per class of labelled pixels (bands, target, weight): the least model that can be fitted in one pass. A row per class."""
-    mean = lambda i: F.sum(F.col("bands")[i] * F.col(weight)) / F.sum(weight)
+    value = lambda i: F.get("bands", F.lit(i))
+    mean = lambda i: F.sum(value(i) * F.col(weight)) / F.sum(F.when(value(i).isNotNull(), F.col(weight)))
     rows = pixels.where(F.col("target") != IGNORE).groupBy("target").agg(F.array(*[mean(i) for i in range(bands)]).alias("means"))
     return {r.target: list(r.means) for r in rows.collect()}
 

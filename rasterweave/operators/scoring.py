@@ -24,7 +24,7 @@ def colorize(class_id: Column, reverse: bool = False) -> Column:
 
 
 def to_rgb8(bands: Column) -> Column:
-    """The first three bands, or the first one three times, from 0..1 to whole 0..255, truncated."""
+    """The first three bands, or the first one three times, from 0..1 to whole 0..255, truncated; a null one is 0."""
     three = F.when(F.size(bands) >= 3, F.slice(bands, 1, 3)).otherwise(F.array_repeat(F.get(bands, F.lit(0)), 3))
     return F.transform(three, lambda v: F.least(F.greatest(v * 255, F.lit(0.0)), F.lit(255.0)).cast("int"))
 

@@ -120,7 +120,7 @@ def shard_tiles(pixels: DataFrame) -> DataFrame:
     """Tiles (id, shard, coverage_ratio, class_ids, valid_ratio) of labelled pixels (id, shard, bands, target) that are valid and covered enough."""
     real = F.col("target") != IGNORE
     ratios = pixels.groupBy("id", "shard").agg(
-        F.avg(F.exists("bands", lambda v: v != 0).cast("double")).alias("valid_ratio"), F.avg((real & (F.col("target") > 0)).cast("double")).alias("coverage_ratio"), F.sort_array(F.collect_set(F.when(real, F.col("target")))).alias("class_ids"),
+        F.avg(F.exists("bands", lambda v: F.coalesce(v, F.lit(0.0)) != 0).cast("double")).alias("valid_ratio"), F.avg((real & (F.col("target") > 0)).cast("double")).alias("coverage_ratio"), F.sort_array(F.collect_set(F.when(real, F.col("target")))).alias("class_ids"),
     )
     return filters.filter_tiles_quality(ratios)
 
