@@ -14,7 +14,8 @@ from rasterweave.registry import query
 
 @query(oracle("select tile_id, r, c, round(max(v) filter (where band = 1), 6) b1, round(max(v) filter (where band = 3), 6) b3 from fx_px group by 1, 2, 3", "fx_px"))
 def select_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    px = fixture(spark, sf_dir, "fx_px").groupBy("tile_id", "r", "c").agg(F.transform(F.sort_array(F.collect_list(F.struct("band", "v"))), lambda s: s.v).alias("bands"))
+    value = lambda band: F.max(F.when(F.col("band") == band, F.col("v")))
+    px = fixture(spark, sf_dir, "fx_px").groupBy("tile_id", "r", "c").agg(F.array(*map(value, range(1, 5))).alias("bands"))  # null where a tile lacks a band
     chosen = px.select("tile_id", "r", "c", filters.select_bands(F.col("bands"), [1, 3, 2, 4], 2).alias("b"))
     return chosen.select("tile_id", "r", "c", F.round(F.col("b")[0], 6).alias("b1"), F.round(F.col("b")[1], 6).alias("b3"))
 
