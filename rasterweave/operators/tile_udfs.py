@@ -38,15 +38,18 @@ def map_tiles(tiles: DataFrame, fn: Transform, bands: int, size: int) -> DataFra
 
 
 def score_tiles(tiles: DataFrame, load: Callable[[], Callable[[np.ndarray], np.ndarray]], k: int = 4) -> DataFrame:
-    """tiles with probs: load runs once per worker and gives the scorer, which takes a batch of rows of the column x and returns k probabilities each."""
+    """tiles with probs: load runs once per worker and gives the scorer, which takes a batch of rows of the column x and returns k probabilities each. Rows that hold a null are not scored; their probs are null."""
 
     @pandas_udf("array<double>")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = load()
         for x in batches:
-            yield pd.Series(list(scorer(np.stack(x.to_numpy())))) if len(x) else pd.Series([], dtype=object)
+            out, whole = pd.Series([None] * len(x), dtype=object), x.notna().to_numpy()
+            if whole.any():
+                out[whole] = pd.Series(list(scorer(np.stack(x[whole].to_numpy()))), index=out.index[whole])
+            yield out
 
-    return tiles.withColumn("probs", score("x"))
+    return tiles.withColumn("probs", score(F.when(F.forall("x", lambda v: v.isNotNull()), F.col("x"))))
 
 
 def flat_map_blocks(blocks: DataFrame, fn: Callable[[dict], list[tuple]], keys: list[str], schema: str) -> DataFrame:
