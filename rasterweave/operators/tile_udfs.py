@@ -22,13 +22,13 @@ Transform = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 def map_tiles(tiles: DataFrame, fn: Transform, bands: int, size: int) -> DataFrame:
-    """tiles (id, image, mask; flat arrays) with fn on the first three bands and the mask; further bands pass through."""
+    """tiles (id, image, mask; flat arrays) with fn on the first three bands and the mask; further bands pass through. Nulls of an image are NaN to fn, and stay nulls or NaN."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             images, masks = [], []
             for image, mask in zip(frame["image"], frame["mask"], strict=True):
-                image = np.array(image).reshape(bands, size, size)
+                image = np.array(image, dtype=float).reshape(bands, size, size)
                 front, mask = fn(image[:3], np.array(mask).reshape(size, size))
                 images.append(np.concatenate((front, image[3:])).ravel())
                 masks.append(mask.ravel())

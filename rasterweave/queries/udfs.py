@@ -15,8 +15,11 @@ from rasterweave.registry import query
 
 
 def _tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images of four bands, null where a tile lacks one, and masks."""
     values = lambda *c: F.transform(F.sort_array(F.collect_list(F.struct(*c))), lambda s: s[c[-1]])
-    image = fixture(spark, sf_dir, "fx_px").groupBy(F.col("tile_id").alias("id")).agg(values("band", "r", "c", "v").alias("image"))
+    planes = fixture(spark, sf_dir, "fx_px").groupBy(F.col("tile_id").alias("id"), "band").agg(values("r", "c", "v").alias("plane"))
+    none = F.array_repeat(F.lit(None).cast("double"), 64)
+    image = planes.groupBy("id").agg(F.concat(*[F.coalesce(F.first(F.when(F.col("band") == i, F.col("plane")), ignorenulls=True), none) for i in range(1, 5)]).alias("image"))
     mask = fixture(spark, sf_dir, "fx_scores").groupBy(F.col("tile_id").alias("id")).agg(values("r", "c", "target").alias("mask"))
     return image.join(mask, "id")
 
@@ -24,7 +27,7 @@ def _tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(oracle("select tile_id id, round(sum(case when band <= 3 then 1 - v else v end), 5) total, (select cast(sum(target * (8 - c)) as bigint) from fx_scores s where s.tile_id = p.tile_id) mask_check from fx_px p group by 1", "fx_px", "fx_scores"))
 def map_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapped = tile_udfs.map_tiles(_tiles(spark, sf_dir), lambda image, mask: (1 - image, mask[:, ::-1]), 4, 8)
-    total = F.aggregate("image", F.lit(0.0), lambda a, x: a + x)
+    total = F.aggregate(F.filter("image", lambda x: x.isNotNull() & ~F.isnan(x)), F.lit(0.0), lambda a, x: a + x)
     check = F.aggregate(F.transform("mask", lambda x, i: x * (i % 8 + 1)), F.lit(0).cast("bigint"), lambda a, x: a + x)
     return mapped.select("id", F.round(total, 5).alias("total"), check.alias("mask_check"))
 
