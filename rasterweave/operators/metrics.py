@@ -23,8 +23,8 @@ def softmax(logits: Column) -> Column:
 
 
 def argmax_class(scores: Column) -> Column:
-    """Of equals, the least id."""
-    return (F.array_position(scores, F.array_max(scores)) - 1).cast("int")
+    """Of equals, the least id; 0 where no score is known."""
+    return F.when(scores.isNotNull(), F.coalesce(F.array_position(scores, F.array_max(scores)) - 1, F.lit(0))).cast("int")
 
 
 def one_hot(target: Column, k: int = N_CLASSES) -> Column:

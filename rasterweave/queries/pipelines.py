@@ -61,8 +61,8 @@ def build_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scorer(bands: Column, r: Column, c: Column) -> Column:
-    """Logits that lean on the place in the window."""
-    return F.array(*[4 * bands[i] * (1 + r / 16) + (0.1 * i) * c / 16 for i in range(4)])
+    """Logits that lean on the place in the window; null for a band that is not there."""
+    return F.array(*[4 * F.get(bands, F.lit(i)) * (1 + r / 16) + (0.1 * i) * c / 16 for i in range(4)])
 
 
 _SCALED = "select gr as row, gc as col, list((v - lo) / (hi - lo) order by band) b from fx_px join (select band, min(v) lo, max(v) hi from fx_px group by 1) using (band) group by 1, 2"
