@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rasterweave.functions.grid import DEFAULT_VARIANTS, INVERSE, SYMMETRIES, symmetry
 from rasterweave.model import CLASSES
+from rasterweave.operators.metrics import of_size
 from rasterweave.session import saved
 
 
@@ -94,12 +95,12 @@ def blend_blocks(pixels: DataFrame, height: int, width: int, size: int, step: in
 
     A block (of at least a window's size) has the windows that start in it; a pixel goes to its own block and, within a window's size of a border, to the ones above and to
     the left, whose windows reach it. Windows never leave a task: it adds their weighted scores up, and only sums of pixels that other blocks' windows reach too, the halos, are shuffled once more.
-    Pixels that are not there count as zeros in the windows and are not told.
+    Pixels that are not there count as zeros in the windows and are not told. Bands that a pixel lacks are NaN to the scorer; probabilities that are not a number are told as null.
     """
     block = max(size, block or 4 * size)
     rows_at, cols_at = starts_of(height, size, step), starts_of(width, size, step)
     reach = lambda c: F.explode(F.sequence(F.greatest(F.floor((F.col(c) - size + 1) / block), F.lit(0)).cast("int"), F.floor(F.col(c) / block).cast("int")))
-    dealt = pixels.select("row", "col", "bands").withColumn("block_row", reach("row")).withColumn("block_col", reach("col"))
+    dealt = pixels.select("row", "col", of_size(F.col("bands"), bands).alias("bands")).withColumn("block_row", reach("row")).withColumn("block_col", reach("col"))
     half, s = size // 2, size * sigma_ratio
     r, c = np.mgrid[0:size, 0:size]
     weight = np.exp(-((r - half) ** 2 + (c - half) ** 2) / (2 * s * s))
@@ -127,7 +128,7 @@ def blend_blocks(pixels: DataFrame, height: int, width: int, size: int, step: in
     parts = saved(dealt.groupBy("block_row", "block_col").applyInArrow(run, f"row {types['row']}, col {types['col']}, whole boolean, w double, s array<double>"), "blended")
     halo = parts.where("not whole").groupBy("row", "col").agg(F.sum("w").alias("w"), *[F.sum(F.col("s")[i]).alias(f"s{i}") for i in range(k)])
     summed = parts.where("whole").select("row", "col", "w", "s").unionByName(halo.select("row", "col", "w", F.array(*[f"s{i}" for i in range(k)]).alias("s")))
-    return summed.select("row", "col", F.transform("s", lambda x: x / F.greatest("w", F.lit(1e-6))).alias("probs"))
+    return summed.select("row", "col", F.transform("s", lambda x: F.when(~F.isnan(x), x / F.greatest("w", F.lit(1e-6)))).alias("probs"))
 
 
 def bilinear_resize(pixels: DataFrame, keys: list[str], height: int, width: int, new_height: int, new_width: int, value: str = "v") -> DataFrame:

@@ -12,7 +12,7 @@ from rasterweave.registry import core_oracle_sql, core_queries
 FULL = Path("/root/testdata/sf0.001")
 #: One of four bands is missing, all but the last, and the last two of the last tile.
 MISSING = (13, 20, 21, 22)
-CASES = ["softmax", "blend_windows", "dice_loss", "focal_loss", "combined_loss", "to_rgb8", "sample_report", "incremental_run", "overlay_blend", "select_bands", "transpose_layout", "score_tiles", "map_tiles", "predict"]
+CASES = ["softmax", "blend_windows", "dice_loss", "focal_loss", "combined_loss", "to_rgb8", "sample_report", "incremental_run", "overlay_blend", "select_bands", "transpose_layout", "score_tiles", "map_tiles", "predict", "predict_blocks"]
 
 
 @pytest.fixture(scope="module")
