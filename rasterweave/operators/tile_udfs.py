@@ -94,13 +94,15 @@ class TileGrid:
 
 
 def fit_pixel_classifier(pixels: DataFrame, bands: list[str], weights: dict[int, float]) -> PipelineModel:
-    """Multinomial logistic regression on pixels (bands, target), weighted by class; the fit is distributed."""
-    rows = pixels.withColumn("weight", weight_map(weights)[F.col("target")])
-    return Pipeline(stages=[VectorAssembler(inputCols=bands, outputCol="features"), LogisticRegression(labelCol="target", weightCol="weight", family="multinomial", maxIter=15)]).fit(rows)
+    """Multinomial logistic regression on pixels (bands, target), weighted by class; the fit is distributed. Pixels that lack a band are not learnt from."""
+    rows = pixels.dropna(subset=bands).withColumn("weight", weight_map(weights)[F.col("target")])
+    return Pipeline(stages=[VectorAssembler(inputCols=bands, outputCol="features", handleInvalid="keep"), LogisticRegression(labelCol="target", weightCol="weight", family="multinomial", maxIter=15)]).fit(rows)
 
 
 def predict_pixels(pixels: DataFrame, model: PipelineModel) -> DataFrame:
+    """pixels with probs and pred, both null where a pixel lacks a band."""
     scored = model.transform(pixels).withColumn("probs", vector_to_array("probability"))
+    scored = scored.withColumn("probs", F.when(~F.exists("probs", F.isnan), F.col("probs")))
     return scored.withColumn("pred", argmax_class(F.col("probs"))).drop("features", "rawPrediction", "probability", "prediction")
 
 

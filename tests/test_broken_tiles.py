@@ -38,3 +38,15 @@ def test_tiles_without_all_bands(spark, broken, name):
     names = [x[0] for x in cursor.description]
     expected = sorted(tuple(plain(r[names.index(c)]) for c in columns) for r in cursor.fetchall())
     assert sorted(tuple(plain(r[c]) for c in columns) for r in df.collect()) == expected
+
+
+def test_a_classifier_leaves_out_pixels_without_all_bands(spark, broken):
+    queries = core_queries()
+    counts = {r.pred: r.n for r in queries["fit_pixel_classifier"](spark, broken).collect()}
+    out = queries["predict_pixels"](spark, broken).collect()
+    assert len(out) == sum(counts.values()) and counts[None] == sum(r.pred is None for r in out) == sum(r.tile_id in lacking(broken) for r in out) > 0
+    assert all((r.pred is None) == (r.tile_id in lacking(broken)) for r in out)
+
+
+def lacking(at: str) -> set[int]:
+    return {r[0] for r in duckdb.sql(f"select vec_id // 4 from '{at}/embeddings.parquet' group by 1 having count(*) < 4").fetchall()}
