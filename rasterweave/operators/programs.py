@@ -278,13 +278,13 @@ def run_steps(image: np.ndarray, mask: np.ndarray, steps: list[tuple[str, list[f
         r, c, inside = places(steps, image.shape[1])
         bands, mask = sampled(bands, r, c, inside, between), sampled(mask[None], r, c, inside, False)[0]
     for op, p in steps:
-        if op not in MAPS:
+        if op not in MAPS and len(bands):
             bands = coloured(bands, op, p)
     return np.concatenate((bands, image[front:])), mask
 
 
-def augmented(tiles: DataFrame, epochs: list[int], size: int, seed: int = 42, front: int = 3, between: bool = True, only: tuple[str, ...] | None = None) -> DataFrame:
-    """tiles (tile_id, image, mask, ...; flat arrays) once per epoch, with epoch, ops (the names of the steps) and image and mask after that epoch's program; only: of these operations.
+def augmented(tiles: DataFrame, epochs: list[int], size: int, seed: int = 42, front: int | str = 3, between: bool = True, only: tuple[str, ...] | None = None) -> DataFrame:
+    """tiles (tile_id, image, mask, ...; flat arrays) once per epoch, with epoch, ops (the names of the steps) and image and mask after that epoch's program; only: of these operations. front: how many bands of an image steps change, or the column that has their number.
 
     A null image or mask stays null and so does its partner. What is sent to a worker at once is bounded by spark.sql.execution.arrow.maxBytesPerBatch.
     """
@@ -298,10 +298,11 @@ def augmented(tiles: DataFrame, epochs: list[int], size: int, seed: int = 42, fr
             for i in range(batch.num_rows):  # a tile is what one step works on
                 image, mask = batch.column(at["image"])[i], batch.column(at["mask"])[i]
                 plans, made = batch.column(at["_programs"])[i].as_py(), []
+                first = batch.column(at[front])[i].as_py() if isinstance(front, str) else front
                 for plan in plans:
                     own = [(s["op"], s["p"]) for s in plan["steps"]]
                     if image.is_valid and mask.is_valid:
-                        x, m = run_steps(image.values.to_numpy(zero_copy_only=False).reshape(-1, size, size), mask.values.to_numpy(zero_copy_only=False).reshape(size, size), own, front, between)
+                        x, m = run_steps(image.values.to_numpy(zero_copy_only=False).reshape(-1, size, size), mask.values.to_numpy(zero_copy_only=False).reshape(size, size), own, first, between)
                         made.append((x.ravel(), m.ravel(), [op for op, _ in own]))
                     else:
                         made.append((None, None, [op for op, _ in own]))
@@ -313,6 +314,6 @@ def augmented(tiles: DataFrame, epochs: list[int], size: int, seed: int = 42, fr
 
 
 def packed_tiles(pixels: DataFrame, masks: DataFrame) -> DataFrame:
-    """tile_id, image, mask from long pixels (tile_id, band, r, c, v) and masks (tile_id, r, c, class_id): each tile's values meet once."""
+    """tile_id, bands (those that the image has, in order), image, mask from long pixels (tile_id, band, r, c, v) and masks (tile_id, r, c, class_id): each tile's values meet once."""
     values = lambda *names: F.transform(F.sort_array(F.collect_list(F.struct(*names))), lambda s: s[names[-1]])
-    return pixels.groupBy("tile_id").agg(values("band", "r", "c", "v").alias("image")).join(masks.groupBy("tile_id").agg(values("r", "c", "class_id").alias("mask")), "tile_id")
+    return pixels.groupBy("tile_id").agg(F.sort_array(F.collect_set("band")).alias("bands"), values("band", "r", "c", "v").alias("image")).join(masks.groupBy("tile_id").agg(values("r", "c", "class_id").alias("mask")), "tile_id")

@@ -258,7 +258,9 @@ def _composed() -> dict[str, str]:
 
 
 def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return programs.packed_tiles(px(spark, sf_dir), fixture(spark, sf_dir, "fx_scores").select("tile_id", "r", "c", F.col("target").alias("class_id")))
+    """Packed tiles; front is how many of the first three bands a tile has."""
+    packed = programs.packed_tiles(px(spark, sf_dir), fixture(spark, sf_dir, "fx_scores").select("tile_id", "r", "c", F.col("target").alias("class_id")))
+    return packed.withColumn("front", F.size(F.filter("bands", lambda b: b <= 3)))
 
 
 @query(oracle("""select p.tile_id, p.epoch, cast(p.tr as int) r, cast(p.tc as int) c, b.band, round(case when b.band = 4 then own.v else coalesce(v.v, 0) end, 6) v, cast(coalesce(m.target, 0) as int) class_id
@@ -266,15 +268,15 @@ from placed p, (select unnest([1, 2, 3, 4]) band) b join fx_px own on own.tile_i
 left join fx_px v on v.tile_id = p.tile_id and v.band = b.band and v.r = p.sr and v.c = p.sc left join fx_scores m on m.tile_id = p.tile_id and m.r = p.sr and m.c = p.sc""", "fx_px", "fx_scores", **_composed()))
 def augment_geometric(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Image and mask of every tile in two epochs after the geometric steps of their programs, taken from the nearest pixel; the fourth band stays."""
-    done = programs.augmented(tiles(spark, sf_dir), EPOCHS, 8, between=False, only=tuple(programs.MAPS))
-    at = done.select("tile_id", "epoch", "image", F.posexplode("mask").alias("at", "class_id"))
-    rows = at.select("tile_id", "epoch", F.floor(F.col("at") / 8).cast("int").alias("r"), (F.col("at") % 8).cast("int").alias("c"), "class_id", F.explode(F.transform(F.array(*map(F.lit, range(4))), lambda b: F.struct((b + 1).alias("band"), F.get("image", b * 64 + F.col("at")).alias("v")))).alias("x"))
+    done = programs.augmented(tiles(spark, sf_dir), EPOCHS, 8, front="front", between=False, only=tuple(programs.MAPS))
+    at = done.select("tile_id", "epoch", "bands", "image", F.posexplode("mask").alias("at", "class_id"))
+    rows = at.select("tile_id", "epoch", F.floor(F.col("at") / 8).cast("int").alias("r"), (F.col("at") % 8).cast("int").alias("c"), "class_id", F.explode(F.transform("bands", lambda b, k: F.struct(b.alias("band"), F.get("image", k * 64 + F.col("at")).alias("v")))).alias("x"))
     return rounded(rows.select("tile_id", "epoch", "r", "c", "x.band", "x.v", "class_id"), "v")
 
 
 @query()
 def augment_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole programs over every tile in two epochs: the steps, the mean of each band and the classes of the mask. Compared with plain steps in the tests."""
-    done = programs.augmented(tiles(spark, sf_dir), EPOCHS, 8)
+    done = programs.augmented(tiles(spark, sf_dir), EPOCHS, 8, front="front")
     mean = lambda b: F.aggregate(F.slice("image", b * 64 + 1, 64), F.lit(0.0), lambda a, x: a + x) / 64
     return done.select("tile_id", "epoch", F.array_join("ops", "+").alias("ops"), F.array(*[F.round(mean(b), 6) for b in range(4)]).alias("band_means"), F.sort_array(F.array_distinct("mask")).alias("class_ids"))

@@ -12,7 +12,7 @@ from rasterweave.registry import core_oracle_sql, core_queries
 FULL = Path("/root/testdata/sf0.001")
 #: One of four bands is missing, all but the last, and the last two of the last tile.
 MISSING = (13, 20, 21, 22)
-CASES = ["softmax", "blend_windows", "dice_loss", "focal_loss", "combined_loss", "to_rgb8", "sample_report", "incremental_run", "overlay_blend", "select_bands", "transpose_layout", "score_tiles", "map_tiles", "predict", "predict_blocks"]
+CASES = ["softmax", "blend_windows", "dice_loss", "focal_loss", "combined_loss", "to_rgb8", "sample_report", "incremental_run", "overlay_blend", "select_bands", "transpose_layout", "score_tiles", "map_tiles", "predict", "predict_blocks", "augment_geometric"]
 
 
 @pytest.fixture(scope="module")
@@ -50,3 +50,8 @@ def test_a_classifier_leaves_out_pixels_without_all_bands(spark, broken):
 
 def lacking(at: str) -> set[int]:
     return {r[0] for r in duckdb.sql(f"select vec_id // 4 from '{at}/embeddings.parquet' group by 1 having count(*) < 4").fetchall()}
+
+
+
+def test_whole_programs_run_over_tiles_without_all_bands(spark, broken):
+    assert core_queries()["augment_tiles"](spark, broken).count() == 2 * duckdb.sql(f"select count(distinct vec_id // 4) from '{broken}/embeddings.parquet'").fetchall()[0][0]
