@@ -11,7 +11,7 @@ from rasterweave.operators import filters
 from rasterweave.queries.aggregations import _RAREST
 from rasterweave.queries.windows import _IMPROVED, _share, EARLY_SQL
 from rasterweave.registry import query
-from rasterweave.session import scratch
+from rasterweave.session import saved, scratch
 from rasterweave.sources import sinks
 from rasterweave.streaming import alerts, progress, shards
 
@@ -74,6 +74,7 @@ def progress_until_done(spark: SparkSession, sf_dir: str) -> DataFrame:
 def replayed(spark: SparkSession, rows: DataFrame, order: str, make, parts: int = 3) -> DataFrame:
     """What a stream over rows makes, stopped and resumed as the parts of rows, cut by order, arrive."""
     path, checkpoint, out = (scratch(spark, x) for x in ("arrived", "checkpoint", "made"))
+    rows = saved(rows, "rows")  # it is read for the cuts and for each part
     cuts = rows.agg(F.percentile_approx(order, [i / parts for i in range(1, parts)])).first()[0]
     found = None
     for low, high in zip([None, *cuts], [*cuts, None], strict=True):

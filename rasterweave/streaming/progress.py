@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,62 +27,38 @@ def snapshots_until_done(events: DataFrame, interval: str = INTERVAL) -> DataFra
     return told.join(ends, "run_id", "left").where(F.col("_end").isNull() | (F.col("_end") >= F.col("w.end"))).select("run_id", F.col("w.start").alias("start"), "value", "n")
 
 
-class Snapshots(StatefulProcessor):
-    """Per run and window the latest event and their number; a timer in event time tells a window when it is over, unless the run has ended by then."""
-
-    def __init__(self, width: int):
-        self.width = width
+class Ended(StatefulProcessor):
+    """Closed windows of the runs of a bucket, those of a batch at once: per ended run the window it ends in; that window and later ones are not told. A window comes no later than those after it, so an end is known in time."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.windows = handle.getMapState("windows", "start bigint", "ts bigint, event_id bigint, value double, n bigint")
-        self.end = handle.getValueState("end", "ts bigint")
+        self.ends = handle.getMapState("ends", "run string", "start bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        end = self.end.get()[0] if self.end.exists() else None
-        found: dict[int, tuple] = {}  # a row per window of the batch
-        for frame in rows:
-            done = frame.loc[frame["done"], "us"]
-            if len(done):
-                end = int(done.min()) if end is None else min(end, int(done.min()))
-            for start, own in frame.groupby(frame["us"] // self.width * self.width):
-                last = own.sort_values(["us", "event_id"]).iloc[-1]
-                mine = (int(last["us"]), int(last["event_id"]), float(last["value"]), len(own))
-                found[int(start)] = merged(found.get(int(start)), mine)
-        for start, mine in found.items():
-            if end is not None and end < start + self.width:
-                continue  # the run ends before this window does
-            if self.windows.containsKey((start,)):
-                mine = merged(self.windows.getValue((start,)), mine)
-            else:
-                self.handle.registerTimer((start + self.width) // 1000)
-            self.windows.updateValue((start,), mine)
-        if end is not None:
-            self.end.update((end,))
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        start = expiredTimerInfo.getExpiryTimeInMs() * 1000 - self.width
-        if self.windows.containsKey((start,)):
-            _, _, value, n = self.windows.getValue((start,))
-            self.windows.removeKey((start,))
-            if not self.end.exists() or self.end.get()[0] >= start + self.width:
-                yield pd.DataFrame({"run_id": [key[0]], "start_us": [start], "value": [value], "n": [n]})
+        frame = pd.concat(rows, ignore_index=True)
+        ends = {run: self.ends.getValue((run,))[0] for run in frame["run"].unique() if self.ends.containsKey((run,))}
+        for run, start in frame[frame["done"].astype(bool)].groupby("run")["start_us"].min().items():
+            if run not in ends or start < ends[run]:
+                ends[run] = int(start)
+                self.ends.updateValue((run,), (int(start),))
+        told = frame[frame["start_us"] < frame["run"].map(ends).astype(float).fillna(np.inf)]
+        if len(told):
+            yield told[["run_id", "start_us", "value", "n"]]
 
     def close(self) -> None:
         pass
 
 
-def merged(a: tuple | None, b: tuple) -> tuple:
-    """The later event of two, and the sum of their numbers."""
-    return b if a is None else (*max(tuple(a), tuple(b), key=lambda x: x[:2])[:3], a[3] + b[3])
+def snapshots_until_done_stream(events: DataFrame, seconds: int = 7200, buckets: int = 1024) -> DataFrame:
+    """A stream of (run_id, event_id, ts, value, done) with a watermark as run_id, start, value, n: each window once, when the watermark has passed it, and none that ends after its run.
 
-
-def snapshots_until_done_stream(events: DataFrame, seconds: int = 7200) -> DataFrame:
-    """A stream of (run_id, event_id, ts, value, done) with a watermark as run_id, start, value, n: each window once, when the watermark has passed it, and none that ends after its run."""
+    Spark's own aggregation holds the open windows; what it closes goes to Python by buckets of runs, of which a task holds one at a time. An ended run leaves one number behind.
+    """
     use_rocksdb(events.sparkSession)
-    rows = events.select("run_id", "event_id", "ts", F.unix_micros("ts").alias("us"), "value", "done")
-    told = rows.groupBy("run_id").transformWithStateInPandas(Snapshots(seconds * 1_000_000), "run_id string, start_us bigint, value double, n bigint", "Append", "EventTime")
+    latest = F.max_by("value", F.struct("ts", "event_id"))
+    closed = events.groupBy(F.window("ts", f"{seconds} seconds"), "run_id").agg(latest.alias("value"), F.count("*").alias("n"), F.coalesce(F.bool_or("done"), F.lit(False)).alias("done"))
+    run = F.coalesce(F.concat(F.lit("="), F.col("run_id")), F.lit(""))
+    rows = closed.select(F.pmod(F.xxhash64("run_id"), F.lit(buckets)).alias("bucket"), run.alias("run"), "run_id", F.unix_micros("window.start").alias("start_us"), "value", "n", "done")
+    told = rows.groupBy("bucket").transformWithStateInPandas(Ended(), "run_id string, start_us bigint, value double, n bigint", "Append", "None")
     return told.select("run_id", F.timestamp_micros("start_us").alias("start"), "value", "n")
 
 
