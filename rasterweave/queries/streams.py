@@ -94,7 +94,7 @@ def progress_snapshots_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(oracle(EARLY_SQL.replace("epoch - coalesce(", "cast(epoch - coalesce(", 1).replace("0) since", "0) as int) since", 1), "fx_epochs", improved=_IMPROVED))
 def stream_early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From a stream that is resumed as epochs arrive."""
-    epochs = fixture(spark, sf_dir, "fx_epochs").select("run_id", "epoch", "val_miou")
+    epochs = saved(fixture(spark, sf_dir, "fx_epochs").select("run_id", "epoch", "val_miou"), "numbered")
     path, checkpoint, out = (scratch(spark, x) for x in ("epochs", "checkpoint", "stops"))
     for part in ("epoch <= 10", "epoch > 10 and epoch <= 30", "epoch > 30"):
         epochs.where(part).write.mode("append").parquet(path)

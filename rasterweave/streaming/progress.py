@@ -187,25 +187,32 @@ def suppress_after_done_stream(events: DataFrame) -> DataFrame:
 
 
 class EarlyStop(StatefulProcessor):
-    """Per run: best value so far (strictly greater, from 0), epochs since; emits each epoch, and stops once."""
+    """Per run: best value so far (strictly greater, from 0), epochs since; emits each epoch, and stops once. A batch's epochs of a run are held as two packed numbers each, what is told is made piece by piece."""
 
-    def __init__(self, patience: int):
-        self.patience = patience
+    def __init__(self, patience: int, piece: int = 50_000):
+        self.patience, self.piece = patience, piece
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("best", "best double, best_epoch int, stopped boolean")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
         best, best_epoch, stopped = self.state.get() if self.state.exists() else (0.0, 0, False)
-        out = []
-        for epoch, value in sorted((int(e), float(v)) for frame in rows for e, v in zip(frame["epoch"], frame["val_miou"], strict=True)):  # two numbers an epoch of the batch
-            if value > best:
-                best, best_epoch = value, epoch
-            now = epoch - best_epoch >= self.patience and not stopped
-            stopped = stopped or now
-            out.append((key[0], epoch, best, epoch - best_epoch, now))
+        packed = [(frame["epoch"].to_numpy(np.int32, copy=True), frame["val_miou"].to_numpy(float, copy=True)) for frame in rows]
+        epochs, values = (np.concatenate([x[i] for x in packed]) for i in (0, 1))
+        del packed
+        order = np.lexsort((values, epochs))
+        for begin in range(0, len(order), self.piece):
+            at = order[begin : begin + self.piece]
+            epoch, value = epochs[at], values[at]
+            tops = np.fmax.accumulate(np.append(best, value))  # the best before each epoch, and after the last
+            last = np.maximum.accumulate(np.where(value > tops[:-1], np.arange(len(at)), -1))  # the place of the latest improvement
+            since = epoch - np.where(last >= 0, epoch[last], best_epoch)
+            now = np.zeros(len(at), dtype=bool)
+            if not stopped and (since >= self.patience).any():
+                now[np.argmax(since >= self.patience)] = stopped = True
+            best, best_epoch = float(tops[-1]), int(epoch[-1] - since[-1])
+            yield pd.DataFrame({"run_id": key[0], "epoch": epoch, "best": tops[1:], "since": since.astype(np.int32), "stop": now})
         self.state.update((best, best_epoch, stopped))
-        yield pd.DataFrame(out, columns=["run_id", "epoch", "best", "since", "stop"])
 
     def close(self) -> None:
         pass

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import random
+import tracemalloc
+
+import numpy as np
 import pandas as pd
 
 from rasterweave.streaming import progress
@@ -40,6 +44,41 @@ class State:
         self.value[key] = value
 
 
+def test_early_stop_tells_piece_by_piece_what_a_plain_loop_tells():
+    draw = random.Random(3)
+    values = [draw.choice((0.1, 0.2, 0.3, 0.9 * draw.random(), float("nan"))) for _ in range(700)]
+    step = progress.EarlyStop(12, piece=50)
+    step.init(State())
+    got, begin = [], 0
+    for end in (10, 30, 300, 700):
+        rows = list(enumerate(values))[begin:end]
+        draw.shuffle(rows)
+        frames = [pd.DataFrame(rows[i : i + 40], columns=["epoch", "val_miou"]) for i in range(0, len(rows), 40)]
+        made = list(step.handleInputRows(("a",), iter(frames), None))
+        assert max(map(len, made)) <= 50
+        got += [tuple(r) for x in made for r in x.itertuples(index=False)]
+        begin = end
+    best, at, stopped, expected = 0.0, 0, False, []
+    for epoch, value in enumerate(values):
+        if value > best:
+            best, at = value, epoch
+        now = epoch - at >= 12 and not stopped
+        stopped = stopped or now
+        expected.append(("a", epoch, best, epoch - at, now))
+    assert got == expected and stopped
+
+
+def test_early_stop_holds_few_bytes_an_epoch():
+    n, step = 400_000, progress.EarlyStop(12)
+    step.init(State())
+    frames = (pd.DataFrame({"epoch": np.arange(i, i + 10_000, dtype=np.int32), "val_miou": np.random.default_rng(i).random(10_000)}) for i in range(0, n, 10_000))
+    tracemalloc.start()
+    assert sum(len(x) for x in step.handleInputRows(("a",), frames, None)) == n
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80 * n
+
+
 def test_closed_windows_ask_for_state_once_a_run():
     step, state = progress.Ended(), State()
     step.init(state)
