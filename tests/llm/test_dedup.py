@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from llm_cases import SF, documents, frame, groups, repeated, sha
+from pyspark.sql.classic.dataframe import DataFrame
 
 from rasterweave.llm import components, ngram_join, substring_dedup, suffix_dedup, superkmers
 from rasterweave.llm.suffix_array import suffix_array
@@ -167,6 +168,38 @@ def test_heat_changes_where_windows_meet_and_nothing_else(spark, monkeypatch, ki
     assert {d: [any(a <= i < b for a, b in got[d]) for i in range(len(u))] for d, u in enumerate(units)} == {d: list(map(bool, g)) for d, g in enumerate(repeated(units, kind.size))}
 
 
+def test_hot_windows_meet_once_a_part(spark, monkeypatch):
+    """Copies, and one passage inside many different texts: windows are hashed for different strings alone, and what meets doesn't grow with the crowd."""
+    monkeypatch.setattr(superkmers, "HOT_BYTES", -1)
+    monkeypatch.setattr(superkmers, "SAMPLED", 1)
+    draw = random.Random(4)
+    word = lambda: f"w{draw.randrange(9000)}"
+    copied, passage = " ".join(word() for _ in range(80)), " ".join(word() for _ in range(20))
+    docs = [copied] * 60 + [f"{word()} {word()} {passage} {word()} {word()}" for _ in range(60)]
+    kind, judge, plain = Windows(False, 40, (16, 24, 32)), suffix_dedup.by_suffixes(40), superkmers.windows_of
+    hashed, joins, join = spark.sparkContext.accumulator(0), [], DataFrame.join
+
+    def told(packed, kind):
+        hashed.add(len(packed) - kind.size + 1)
+        return plain(packed, kind)
+
+    def joined(self, other, on=None, how=None):
+        out = join(self, other, on, how)
+        if isinstance(on, str) and on == "window":
+            joins.append(out)
+        return out
+
+    monkeypatch.setattr(superkmers, "windows_of", told)
+    monkeypatch.setattr(DataFrame, "join", joined)
+    rows = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string").repartition(3).selectExpr("text", "doc_id", "xxhash64(text) h")
+    units = [t.encode() for t in docs]
+    got = {r.doc_id: superkmers.merged(r.spans) for r in superkmers.repeats(rows, kind, judge).collect()}
+    assert {d: [any(a <= i < b for a, b in got[d]) for i in range(len(u))] for d, u in enumerate(units)} == {d: list(map(bool, g)) for d, g in enumerate(repeated(units, 40))}
+    windows = {u[i : i + 40] for u in units for i in range(len(u) - 39)}
+    assert hashed.value <= 2.5 * (len(windows) + 60 * len(passage))  # before: copies as well
+    assert sum(j.count() for j in joins) < 60 * len(passage) / 2
+
+
 def test_parity_distance_never_exceeds_the_difference():
     draw = np.random.default_rng(5)
     for n in (5, 40, 700):
