@@ -194,9 +194,14 @@ def initial(frequency: np.ndarray, bounds: np.ndarray) -> Parameters:
     return [small(k + 1, WIDTH), np.full((CONTEXT, WIDTH), 1 / CONTEXT, np.float32), small(k, WIDTH), within, small(len(mass), WIDTH), np.log(mass).astype(np.float32)]
 
 
+def by_number(numbers: np.ndarray) -> np.ndarray:
+    """Their stable order; numbers of 16 bits, which most are, take numpy's radix sort."""
+    return np.argsort(numbers.astype(np.uint16) if len(numbers) and numbers.max() < 1 << 16 else numbers, kind="stable")
+
+
 def by_row(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct row numbers, and the sum of the values of each."""
-    order = np.argsort(rows, kind="stable")
+    order = by_number(rows)
     own = rows[order]
     begins = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
     return own[begins], np.add.reduceat(values[order], begins, axis=0)
@@ -213,6 +218,15 @@ def windows(rows: np.ndarray) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(rows, CONTEXT, axis=0).transpose(0, 2, 1)[:, ::-1]
 
 
+def summed(rows: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Of each CONTEXT consecutive rows, the sum by scale, whose first is for the last row."""
+    n = max(len(rows) - CONTEXT + 1, 0)
+    out = rows[CONTEXT - 1 :] * scale[0]
+    for j in range(1, CONTEXT):
+        out += rows[CONTEXT - 1 - j : CONTEXT - 1 - j + n] * scale[j]
+    return out
+
+
 class Trainer:
     """Noise-contrastive estimation by minibatches of stretches of text, with steps scaled per parameter by past gradients."""
 
@@ -244,8 +258,8 @@ class Trainer:
         last = len(flat)
         vectors = e[flat]
         before = windows(vectors[:-1])  # of the CONTEXT tokens before each place from CONTEXT on
-        places = places[np.argsort(self.group[flat[places]], kind="stable")]  # by group
-        predicted = np.einsum("njw,jw->nw", before, c)[places - CONTEXT]
+        places = places[by_number(self.group[flat[places]])]  # by group
+        predicted = summed(vectors[:-1], c)[places - CONTEXT]
         target, (other, within) = flat[places], self.noise()
         group = self.group[target]
         own, begins = np.unique(group, return_index=True)
@@ -266,7 +280,7 @@ class Trainer:
         spread = np.zeros((last + CONTEXT, WIDTH), np.float32)
         spread[places] = back
         self.step(1, np.arange(CONTEXT), np.einsum("nw,njw->jw", spread[CONTEXT:last], before))
-        to_vectors = np.einsum("njw,jw->nw", windows(spread[1:]), c[::-1])  # of the CONTEXT places after each token
+        to_vectors = summed(spread[1:], c[::-1])  # of the CONTEXT places after each token
         self.step(0, *by_row(flat, to_vectors))
         self.seen += len(places)
 
@@ -355,7 +369,7 @@ def averaged(rows: pa.Table) -> pa.Table:
 def normalised(true: np.ndarray, scores: np.ndarray) -> np.ndarray:
     """Log probability of the true score of each row of scores."""
     with np.errstate(over="ignore", divide="ignore"):
-        total = np.log(np.exp(scores).sum(1))
+        total = np.log(np.exp(scores) @ np.ones(scores.shape[1], scores.dtype))
     for k in np.flatnonzero(~np.isfinite(total)).tolist():  # beyond what the numbers hold: once more, from the largest score
         total[k] = scores[k].max() + np.log(np.exp(scores[k] - scores[k].max()).sum())
     return true.astype(float) - total
@@ -364,22 +378,24 @@ def normalised(true: np.ndarray, scores: np.ndarray) -> np.ndarray:
 def class_logs(parameters: Parameters, bounds: np.ndarray, flat: np.ndarray, places: np.ndarray) -> np.ndarray:
     """log10 probability of the class at each place, normalised over all groups and all classes of its group. The CONTEXT classes before each place stand in flat."""
     e, c, q, b, u, a = parameters
-    out = np.empty(len(places))
+    out, group_of = np.empty(len(places)), np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     for i in range(0, len(places), SCORED):
         own = places[i : i + SCORED]
         first, last = own[0] - CONTEXT, own[-1] + 1
         vectors, target = e[flat[first:last]], flat[own]
-        predicted = np.einsum("njw,jw->nw", windows(vectors[:-1]), c)[own - own[0]]
-        group = np.searchsorted(bounds, target, side="right") - 1
+        group = group_of[target]
+        order = by_number(group)  # the rows of a group stand together
+        group, target = group[order], target[order]
+        predicted = summed(vectors[:-1], c)[(own - own[0])[order]]
         scores = predicted @ u.T + a
         logs = normalised(scores[np.arange(len(own)), group], scores)
-        order = np.argsort(group, kind="stable")
-        for rows in np.split(order, np.flatnonzero(np.diff(group[order])) + 1):
-            low, high = bounds[group[rows[0]]], bounds[group[rows[0]] + 1]
+        cuts = np.flatnonzero(np.diff(group)) + 1
+        for first, last in zip([0, *cuts.tolist()], [*cuts.tolist(), len(own)], strict=True):
+            low, high = bounds[group[first]], bounds[group[first] + 1]
             if high - low > 1:
-                scores = predicted[rows] @ q[low:high].T + b[low:high]
-                logs[rows] += normalised(scores[np.arange(len(rows)), target[rows] - low], scores)
-        out[i : i + len(own)] = logs / np.log(10)
+                scores = predicted[first:last] @ q[low:high].T + b[low:high]
+                logs[first:last] += normalised(scores[np.arange(last - first), target[first:last] - low], scores)
+        out[i + order] = logs / np.log(10)
     return out
 
 

@@ -171,6 +171,15 @@ def test_lm_beats_its_base_on_held_out_texts(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_summed_rows_and_stable_order():
+    draw = np.random.default_rng(2)
+    rows, scale = draw.standard_normal((40, 3)), draw.standard_normal((lm_scoring.CONTEXT, 3))
+    assert np.allclose(lm_scoring.summed(rows, scale), np.einsum("njw,jw->nw", lm_scoring.windows(rows), scale))
+    for most in (50, 1 << 16, 1 << 40):
+        numbers = draw.integers(0, most, 500) // 7 * 7
+        assert (lm_scoring.by_number(numbers) == np.argsort(numbers, kind="stable")).all()
+
+
 def test_class_probabilities_add_up():
     frequency = np.arange(20, 0, -1) / 210
     bounds = lm_scoring.grouped(frequency)
