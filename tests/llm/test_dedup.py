@@ -93,6 +93,20 @@ def test_query_bytes(spark):
     assert Counter(map(tuple, suffix_dedup.op8_suffix_array(spark, SF).collect())) == expected
 
 
+@pytest.mark.parametrize("size", [399, 400, 401])
+def test_passages_of_over_50_words_go_from_400_bytes_on(spark, size):
+    """A passage of 60 words in two documents: bytes go from a window of 400 on, words in any case; n_bytes is the length of the input, whatever goes."""
+    words = [f"w{i:04}" for i in range(60)]
+    passage = " ".join(words[:-1]) + " " + "x" * (size - 6 * 59)
+    docs = [(1, f"one\n{passage}\nend"), (2, f"two {passage} fin"), (3, "a clean one " * 2)]
+    rows = spark.createDataFrame(docs, "doc_id bigint, text string")
+    gone = {1: [(4, 4 + size)], 2: [(4, 4 + size)], 3: []} if size >= 400 else {1: [], 2: [], 3: []}
+    found = suffix_dedup.remove_repeats(rows).collect()
+    assert {r.doc_id: [tuple(s) for s in r.removed] for r in found} == gone
+    assert {r.doc_id: r.n_bytes for r in found} == {d: len(t.encode()) for d, t in docs}
+    assert {r.doc_id: [tuple(s) for s in r.removed] for r in substring_dedup.remove_repeats(rows).collect()} == {1: [(1, 61)], 2: [(1, 61)], 3: []}
+
+
 @pytest.mark.parametrize("letters", [1, 2, 3, 26])
 def test_suffix_array_is_the_sorted_order(letters):
     draw = random.Random(letters)
