@@ -107,6 +107,20 @@ def test_passages_of_over_50_words_go_from_400_bytes_on(spark, size):
     assert {r.doc_id: [tuple(s) for s in r.removed] for r in substring_dedup.remove_repeats(rows).collect()} == {1: [(1, 61)], 2: [(1, 61)], 3: []}
 
 
+@pytest.mark.parametrize("window", [1, 20, 250, 400])
+def test_planted_passages_go_by_their_bytes(spark, window):
+    """Passages of 51 to 90 words, each planted in two documents: with a window of 250 bytes all go, with the query's 400 those that have as many; clean documents keep all."""
+    draw = random.Random(8)
+    words = lambda n: " ".join("".join(draw.choices("etaoins", k=draw.randint(2, 9))) for _ in range(n))
+    passages = [words(n) for n in range(51, 91)]
+    docs = [(2 * i + j, f"{words(30)} <{i}{j}>{p}<{j}{i}> {words(30)}") for i, p in enumerate(passages) for j in range(2)] + [(100 + i, words(90)) for i in range(10)]
+    found = {r.doc_id: r.removed for r in suffix_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id bigint, text string"), window).collect()}
+    units = [t.encode() for _, t in docs]
+    assert {d: sum(s.end - s.start for s in r) for d, r in found.items()} == {d: sum(g) for (d, _), g in zip(docs, repeated(units, window), strict=True)}
+    if window >= 250:
+        assert {d for d, r in found.items() if r} == {2 * i + j for i, p in enumerate(passages) for j in range(2) if len(p) + 2 >= window}  # > and < beside it recur too
+
+
 @pytest.mark.parametrize("letters", [1, 2, 3, 26])
 def test_suffix_array_is_the_sorted_order(letters):
     draw = random.Random(letters)
